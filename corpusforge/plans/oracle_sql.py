@@ -199,3 +199,75 @@ def split_case(pos: str, n: str) -> str:
         f"CASE WHEN {pos} <= floor(0.7::DOUBLE * {n}) THEN 'train' "
         f"WHEN {pos} <= floor(0.85::DOUBLE * {n}) THEN 'validation' ELSE 'test' END"
     )
+
+
+# -- HTML (regex tier) -------------------------------------------------------
+def lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def html_noise(x: str) -> str:
+    from corpusforge.operators import html as X
+
+    return f"regexp_replace({nz(x)}, {lit(X.NOISE)}, '', 'g')"
+
+
+def decode_entities(x: str) -> str:
+    from corpusforge.operators import html as X
+
+    for ent, ch in X.ENTITIES:
+        x = f"replace({x}, {lit(ent)}, {lit(ch)})"
+    return x
+
+
+def inner_text(x: str) -> str:
+    from corpusforge.operators import html as X
+
+    return decode_entities(f"regexp_replace({x}, {lit(X.ANY_TAG)}, '', 'g')")
+
+
+def element_inner(x: str, tag: str, cls: str | None = None) -> str:
+    from corpusforge.operators import html as X
+
+    return f"regexp_extract({x}, {lit(X.element_pattern(tag, cls))}, 1)"
+
+
+def element_text_or_null(x: str, tag: str, cls: str | None = None) -> str:
+    from corpusforge.operators import html as X
+
+    pat = lit(X.element_pattern(tag, cls))
+    return f"CASE WHEN regexp_matches({x}, {pat}) THEN {py_strip(inner_text(element_inner(x, tag, cls)))} END"
+
+
+def hrefs(fragment: str) -> str:
+    from corpusforge.operators import html as X
+
+    strip_q = "regexp_replace(h, '^[\"'']|[\"'']$', '', 'g')"
+    return f"list_transform(regexp_extract_all({fragment}, {lit(X.HREF)}, 1), lambda h: {decode_entities(strip_q)})"
+
+
+def paragraphs(fragment: str) -> str:
+    segs = f"regexp_split_to_array({fragment}, '(?i)<p\\b[^>]*>')"
+    body = f"list_transform({segs}[2:], lambda s: regexp_replace(s, '(?is)</p\\s*>.*', ''))"
+    texts = f"list_transform({body}, lambda s: {py_strip(inner_text('s'))})"
+    return f"array_to_string(list_filter({texts}, lambda s: s <> ''), chr(10))"
+
+
+def page_base(url: str) -> str:
+    from corpusforge.operators import html as X
+
+    return f"regexp_extract({url}, {lit(X.BASE)}, 1)"
+
+
+def absolutize(h: str, base: str) -> str:
+    return (f"CASE WHEN starts_with({h}, 'http') THEN {h} WHEN starts_with({h}, '/') THEN {base} || {h} "
+            f"ELSE {base} || '/' || {h} END")
+
+
+def page_source(url: str) -> str:
+    host = f"regexp_extract({url}, '^[A-Za-z][A-Za-z0-9+.\\-]*://([^/?#:]*)', 1)"
+    return f"regexp_replace({host}, '^www\\.', '')"
+
+
+def page_category(url: str) -> str:
+    return f"regexp_extract({url}, '^[A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*/([^/?#]*)', 1)"

@@ -419,3 +419,102 @@ register(
     "corpus_build",
     f"SELECT split, category, count(*) AS n FROM ({_split_articles_sql()}) GROUP BY split, category",
 )(corpus_build)
+
+
+# ---------------------------------------------------------------------------
+# X*: extraction from pages
+# ---------------------------------------------------------------------------
+from corpusforge.operators import html as X  # noqa: E402
+
+_LINKS_SQL = f"""SELECT page_id, url, CAST(generate_subscripts(hs, 1) AS BIGINT) AS pos, unnest(hs) AS href
+FROM (SELECT page_id, url, {Q.hrefs(Q.element_inner(Q.html_noise('html'), 'nav'))} AS hs FROM pages)"""
+
+
+@register("extract_links", f"SELECT page_id, pos, href FROM ({_LINKS_SQL})")
+def q_extract_links(spark, sf_dir):
+    return X.extract_links(table(spark, sf_dir, "pages")).select("page_id", "pos", "href")
+
+
+@register("filter_link_suffix", f"SELECT page_id, pos, href FROM ({_LINKS_SQL}) WHERE ends_with(href, '.htm')")
+def q_filter_link_suffix(spark, sf_dir):
+    return X.filter_link_suffix(X.extract_links(table(spark, sf_dir, "pages"))).select("page_id", "pos", "href")
+
+
+_ABS_SQL = f"""SELECT page_id, pos, {Q.absolutize('href', Q.page_base('url'))} AS link,
+  {Q.page_source('url')} AS source, {Q.page_category('url')} AS category FROM ({_LINKS_SQL})"""
+
+
+@register("absolutize_links", f"SELECT page_id, pos, link FROM ({_ABS_SQL})")
+def q_absolutize_links(spark, sf_dir):
+    return X.absolutize_links(X.extract_links(table(spark, sf_dir, "pages"))).select("page_id", "pos", "link")
+
+
+@register("distinct_links_per_page", f"SELECT DISTINCT page_id, href FROM ({_LINKS_SQL})")
+def q_distinct_links_per_page(spark, sf_dir):
+    return X.distinct_links_per_page(table(spark, sf_dir, "pages"))
+
+
+_DEDUPE_SQL = f"""SELECT link AS url, source, category FROM (
+  SELECT *, row_number() OVER (PARTITION BY link ORDER BY page_id, pos) AS rn FROM ({_ABS_SQL})) WHERE rn = 1"""
+
+
+@register("dedupe_links_first", _DEDUPE_SQL)
+def q_dedupe_links_first(spark, sf_dir):
+    return X.dedupe_links_first(X.page_links(table(spark, sf_dir, "pages")))
+
+
+@register(
+    "extract_title",
+    f"SELECT page_id, {Q.element_text_or_null(Q.html_noise('html'), 'h1')} AS title FROM pages",
+)
+def q_extract_title(spark, sf_dir):
+    return X.extract_title(table(spark, sf_dir, "pages"))
+
+
+_BODY_SQL = Q.paragraphs(Q.element_inner(Q.html_noise("html"), "article"))
+
+
+@register("extract_body", f"SELECT page_id, {_BODY_SQL} AS content FROM pages")
+def q_extract_body(spark, sf_dir):
+    return X.extract_body(table(spark, sf_dir, "pages"))
+
+
+_FIELDS_SQL = f"""SELECT page_id, url, {Q.element_text_or_null(Q.html_noise('html'), 'h1')} AS title,
+  coalesce({Q.element_text_or_null(Q.html_noise('html'), 'h2', 'sapo')}, '') AS summary,
+  {_BODY_SQL} AS content,
+  coalesce({Q.element_text_or_null(Q.html_noise('html'), 'time')}, '') AS pub_date FROM pages"""
+_GATE = f"title IS NOT NULL AND length(title) >= 10 AND {Q.word_count('content')} >= 30"
+
+
+@register("gate_pages", f"SELECT page_id, url, title, content FROM ({_FIELDS_SQL}) WHERE {_GATE}")
+def q_gate_pages(spark, sf_dir):
+    return X.gate_pages(table(spark, sf_dir, "pages"))
+
+
+@register(
+    "pages_to_articles",
+    f"""SELECT page_id, title, summary, content, pub_date, {Q.page_category('url')} AS category, url,
+  {Q.page_source('url')} AS source, '1970-01-01 07:00:00' AS scraped_at FROM ({_FIELDS_SQL}) WHERE {_GATE}""",
+)
+def q_pages_to_articles(spark, sf_dir):
+    return X.pages_to_articles(table(spark, sf_dir, "pages"))
+
+
+@register(
+    "join_links_pages",
+    f"SELECT d.url, d.source, d.category, p.page_id FROM ({_DEDUPE_SQL}) d JOIN pages p ON d.url = p.url",
+)
+def q_join_links_pages(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    links = X.dedupe_links_first(X.page_links(pages))
+    return X.join_links_pages(links, pages.select("page_id", "url")).select("url", "source", "category", "page_id")
+
+
+# parser tier: rows-only checks (selector lists need a real element tree)
+register("extract_card_links")(lambda spark, sf_dir: X.extract_card_links(table(spark, sf_dir, "pages")))
+register("extract_summary")(lambda spark, sf_dir: X.extract_summary(table(spark, sf_dir, "pages")))
+register("extract_pub_time")(lambda spark, sf_dir: X.extract_pub_time(table(spark, sf_dir, "pages")))
+register("extract_strict")(lambda spark, sf_dir: X.extract_strict(table(spark, sf_dir, "pages")))
+register("extract_strict_nested")(
+    lambda spark, sf_dir: X.extract_strict(table(spark, sf_dir, "pages"), nested=True)
+)
