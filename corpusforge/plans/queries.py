@@ -518,3 +518,90 @@ register("extract_strict")(lambda spark, sf_dir: X.extract_strict(table(spark, s
 register("extract_strict_nested")(
     lambda spark, sf_dir: X.extract_strict(table(spark, sf_dir, "pages"), nested=True)
 )
+
+
+# ---------------------------------------------------------------------------
+# W*: tokenisation and the compound lexicon
+# ---------------------------------------------------------------------------
+from corpusforge.functions import tokens as TK  # noqa: E402
+from corpusforge.operators import tokens as W  # noqa: E402
+
+_W_SQL = "[\\p{L}\\p{N}_]"
+_TOKEN_SQL = f"{_W_SQL}+(?:[.,\\-/]{_W_SQL}+)*|[^\\p{{L}}\\p{{N}}_{Q.WS_BODY}]"
+_WORD_TOKEN_SQL = f"^{_W_SQL}+(?:[.,\\-/]{_W_SQL}+)*$"
+
+
+def _tok_sql(x: str) -> str:
+    return f"regexp_extract_all({Q.nz(x)}, {Q.lit(_TOKEN_SQL)})"
+
+
+@register(
+    "tokenize_columns",
+    f"""SELECT id, array_to_string({_tok_sql('title')}, ' ') AS tokenized_title,
+       array_to_string({_tok_sql('summary')}, ' ') AS tokenized_summary,
+       array_to_string({_tok_sql('content')}, ' ') AS tokenized_content FROM ({_A_SQL})""",
+)
+def q_tokenize_columns(spark, sf_dir):
+    return W.tokenize_columns(_clean_a_articles(spark, sf_dir)).select(
+        "id", "tokenized_title", "tokenized_summary", "tokenized_content"
+    )
+
+
+_TOKS_SQL = f"SELECT {_tok_sql('text')} AS t FROM documents"
+def _wt(x: str) -> str:
+    return f"regexp_full_match({x}, {Q.lit(_WORD_TOKEN_SQL)})"
+
+
+@register(
+    "bigram_lexicon",
+    f"""WITH tk AS ({_TOKS_SQL}),
+uni AS (SELECT w, count(*) AS n FROM (SELECT unnest(t) AS w FROM tk) WHERE {_wt('w')} GROUP BY w),
+tot AS (SELECT sum(n) AS N FROM uni),
+pr AS (SELECT t[i] AS w1, t[i + 1] AS w2 FROM (SELECT t, unnest(range(1, len(t))) AS i FROM tk)),
+bi AS (SELECT w1, w2, count(*) AS n12 FROM pr WHERE {_wt('w1')} AND {_wt('w2')} GROUP BY w1, w2
+       HAVING count(*) >= {W.MIN_COUNT})
+SELECT bi.w1, bi.w2, bi.n12, u1.n AS n1, u2.n AS n2
+FROM bi JOIN uni u1 ON bi.w1 = u1.w JOIN uni u2 ON bi.w2 = u2.w, tot
+WHERE CAST(bi.n12 AS HUGEINT) * CAST(tot.N AS HUGEINT) >= {W.PMI_RATIO} * CAST(u1.n AS HUGEINT) * CAST(u2.n AS HUGEINT)""",
+)
+def q_bigram_lexicon(spark, sf_dir):
+    return W.bigram_lexicon(table(spark, sf_dir, "documents"))
+
+
+@register("compound_merge")
+def q_compound_merge(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    lex = W.bigram_lexicon(d)
+    return W.merge_compounds(d, lex, "doc_id")
+
+
+# ---------------------------------------------------------------------------
+# ST*: incremental jobs (file stream over the documents folder)
+# ---------------------------------------------------------------------------
+from corpusforge.streaming import stream as STR  # noqa: E402
+
+
+def _docs_stream(spark, sf_dir, transform, name):
+    schema = table(spark, sf_dir, "documents").schema
+    return STR.stream_table(spark, sf_dir, "documents.parquet", transform, schema, name)
+
+
+@register("stream_clean_article_b", SQL["clean_article_b"])
+def q_stream_clean_article_b(spark, sf_dir):
+    return _docs_stream(
+        spark, sf_dir, lambda s: A.clean_article_b(A.documents_as_articles(s, summary="first_line")), "st1"
+    )
+
+
+@register(
+    "stream_dedupe_text",
+    "SELECT count(DISTINCT text) AS n FROM documents",
+)
+def q_stream_dedupe_text(spark, sf_dir):
+    """ST2 on documents: first arrival of each text wins (ingest time as event time)."""
+
+    def t(s):
+        s = s.withColumn("ts", F.current_timestamp()).withWatermark("ts", "1 day")
+        return s.dropDuplicatesWithinWatermark(["text"]).select("doc_id")
+
+    return _docs_stream(spark, sf_dir, t, "st2").agg(F.count(F.lit(1)).alias("n"))
