@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from corpusforge.functions import sentences as S
 from corpusforge.functions import text as T
+from corpusforge.operators.plan_utils import filter_computed
 
 REQUIRED_A = ("title", "summary", "content", "source")
 REQUIRED_BCD = ("url", "summary", "content")
@@ -129,7 +130,7 @@ def clean_article_a(raw: DataFrame) -> DataFrame:
         # A removes characters after collapsing, which can leave double
         # spaces: count words with the general (regex) form.
     ).withColumn("_content_words", T.word_count("content"))
-    df = df.filter(quality_a(F.col("title"), F.col("content"), F.col("_content_words")))
+    df = filter_computed(df, quality_a(F.col("title"), F.col("content"), F.col("_content_words")))
     return df.select(
         T.article_id("source", "url").alias("id"),
         "title",
@@ -155,7 +156,7 @@ def clean_article_narrow(raw: DataFrame, variant: str, carry_bug: bool = False)
         fn("summary").alias("summary"),
         fn("content").alias("content"),
     ).withColumn("_content_words", T.word_count("content"))
-    df = df.filter(quality_b(F.col("summary"), F.col("content"), F.col("_content_words")))
+    df = filter_computed(df, quality_b(F.col("summary"), F.col("content"), F.col("_content_words")))
     return df.drop("_content_words")
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import types as TY
 
 from corpusforge.functions import html_select as H
 from corpusforge.functions import text as T
+from corpusforge.operators.plan_utils import filter_computed
 
 # ---------------------------------------------------------------------------
 # Selector lists and entity table of the original extractors.
@@ -250,7 +251,7 @@ def gate(title: Column, body: Column) -> Column:
 
 def gate_pages(pages: DataFrame) -> DataFrame:
     f = pages.select("page_id", "url", title_text("html").alias("title"), body_text("html").alias("content"))
-    return f.filter(gate(F.col("title"), F.col("content")))
+    return filter_computed(f, gate(F.col("title"), F.col("content")))
 
 
 def pages_to_articles(pages: DataFrame, scraped_at: str = "1970-01-01 07:00:00", fields: DataFrame | None = None,
@@ -276,7 +277,7 @@ def pages_to_articles(pages: DataFrame, scraped_at: str = "1970-01-01 07:00:00",
             body_text("html").alias("content"),
             F.coalesce(first_element_text(clean, [("time", None)]), F.lit("")).alias("pub_date"),
         )
-    f = f.filter(gate(F.col("title"), F.col("content")))
+    f = filter_computed(f, gate(F.col("title"), F.col("content")))
     return f.select(
         "page_id",
         "title",

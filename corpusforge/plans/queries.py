@@ -17,14 +17,16 @@ from corpusforge.functions import text as T
 from corpusforge.operators import articles as A
 from corpusforge.operators import split as G
 from corpusforge.operators import stats as ST
+from corpusforge.operators.plan_utils import filter_computed
 from corpusforge.plans import oracle_sql as Q
+from corpusforge.sources.io import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def register(name: str, sql: str | None = None):
@@ -154,7 +156,9 @@ def q_filter_quality_a(spark, sf_dir):
     a = A.filter_required(A.documents_as_articles(table(spark, sf_dir, "documents")), A.REQUIRED_A)
     c = a.select("doc_id", T.clean_a("title").alias("title"), T.clean_a("content").alias("content"))
     c = c.withColumn("n_words", T.word_count("content"))
-    return c.filter(A.quality_a(F.col("title"), F.col("content"), F.col("n_words"))).select("doc_id", "n_words")
+    return filter_computed(c, A.quality_a(F.col("title"), F.col("content"), F.col("n_words"))).select(
+        "doc_id", "n_words"
+    )
 
 
 @register(
@@ -171,7 +175,9 @@ def q_filter_quality_b(spark, sf_dir):
     )
     c = a.select("doc_id", T.clean_b("summary").alias("summary"), T.clean_b("content").alias("content"))
     c = c.withColumn("n_words", T.spaced_word_count("content"))
-    return c.filter(A.quality_b(F.col("summary"), F.col("content"), F.col("n_words"))).select("doc_id", "n_words")
+    return filter_computed(c, A.quality_b(F.col("summary"), F.col("content"), F.col("n_words"))).select(
+        "doc_id", "n_words"
+    )
 
 
 # ---------------------------------------------------------------------------
@@ -582,7 +588,7 @@ from corpusforge.streaming import stream as STR  # noqa: E402
 
 
 def _docs_stream(spark, sf_dir, transform, name):
-    schema = table(spark, sf_dir, "documents").schema
+    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet").schema
     return STR.stream_table(spark, sf_dir, "documents.parquet", transform, schema, name)
 
 

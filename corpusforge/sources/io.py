@@ -14,6 +14,28 @@ from pyspark.sql import functions as F
 from corpusforge.sources import schemas
 
 
+# ---------------------------------------------------------------------------
+# S3: Parquet tables
+# ---------------------------------------------------------------------------
+def spread(df: DataFrame) -> DataFrame:
+    """Give an under-split scan at least the cluster's default parallelism.
+
+    A large table already scans into many splits and is returned unchanged
+    (no shuffle).  A table stored as a few big row groups would otherwise run
+    its CPU-heavy text work in a handful of tasks; it is round-robin
+    repartitioned (deterministic: Spark sorts before a round-robin shuffle).
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """S3: a Parquet table (pushdown and pruning apply), spread if under-split."""
+    return spread(spark.read.parquet(path))
+
+
 # ---------------------------------------------------------------------------
 # Directory of JSON objects, one per file
 # ---------------------------------------------------------------------------
