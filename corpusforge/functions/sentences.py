@@ -97,8 +97,8 @@ def _pack_sentence(s: Column, max_words: int, carry_bug: bool) -> Column:
     return F.aggregate(parts, init, step, finish)
 
 
-def chunk_pieces(col, max_words: int = MAX_WORDS, carry_bug: bool = False) -> Column:
-    """Sentences of collapsed text, long ones re-packed -> array<string>.
+def chunk_sentences(sentences, max_words: int = MAX_WORDS, carry_bug: bool = False) -> Column:
+    """N3 on an array of sentences (already split and stripped) -> array<string>.
 
     A sentence of at most ``max_words`` words passes untouched.  A longer one
     is walked by comma part: a part joins the buffer (with ``', '``) while
@@ -106,19 +106,45 @@ def chunk_pieces(col, max_words: int = MAX_WORDS, carry_bug: bool = False) -> Co
     emitted and the part is emitted at once in ``max_words`` slices, each word
     followed by a space.  ``carry_bug=True`` reproduces the original rule that
     glues the flushed buffer onto the first slice.
+
+    Higher-order functions are interpreted (no codegen and no common
+    subexpression elimination), so pass a column *reference* here: the
+    sentences are read three times.  :func:`with_chunks` does that for you.
     """
-    sentences = split_sentences(col, collapsed=True)
-    long_ = F.exists(sentences, lambda s: _n_words_spaced(s) > max_words)
+    sents = _c(sentences)
+    long_ = F.exists(sents, lambda s: _n_words_spaced(s) > max_words)
     packed = F.flatten(
         F.transform(
-            sentences,
+            sents,
             lambda s: F.when(_n_words_spaced(s) <= max_words, F.array(s)).otherwise(
                 _pack_sentence(s, max_words, carry_bug)
             ),
         )
     )
-    # The fold is interpreted (no codegen); only rows with a long sentence pay for it.
-    return F.when(long_, packed).otherwise(sentences)
+    # The fold only runs for rows that have a long sentence.
+    return F.when(long_, packed).otherwise(sents)
+
+
+def chunk_pieces(col, max_words: int = MAX_WORDS, carry_bug: bool = False) -> Column:
+    """N3 on collapsed text in one expression (convenient; see :func:`with_chunks` for the fast form)."""
+    return chunk_sentences(split_sentences(col, collapsed=True), max_words, carry_bug)
+
+
+def with_chunks(df, outputs: dict, max_words: int = MAX_WORDS, carry_bug: bool = False, joined: bool = True):
+    """Add re-packed columns: ``outputs`` maps new column -> collapsed-text Column.
+
+    Two projections: the first splits the cleaned text into sentences (the
+    regex chain runs once), the second re-packs from the column.  Catalyst
+    keeps them apart because collapsing would duplicate the expensive array.
+    ``joined=True`` yields the N4 string, else the array of pieces.
+    """
+    tmp = {f"_sents_{k}": split_sentences(v, collapsed=True) for k, v in outputs.items()}
+    df = df.withColumns(tmp)
+    final = {}
+    for k in outputs:
+        pieces = chunk_sentences(F.col(f"_sents_{k}"), max_words, carry_bug)
+        final[k] = join_pieces(pieces) if joined else pieces
+    return df.withColumns(final).drop(*tmp.keys())
 
 
 def join_pieces(pieces) -> Column:

@@ -146,16 +146,16 @@ def clean_article_narrow(raw: DataFrame, variant: str, carry_bug: bool = False)
     Output ``url, source, category, summary, content``.  (The summary
     fallback is unreachable here: P2b already rejects an empty summary.)
     """
-    fn = cleaner(variant, carry_bug)
     df = drop_unparsed(raw)
     df = filter_required(df, REQUIRED_BCD)
-    df = df.select(
-        "url",
-        "source",
-        "category",
-        fn("summary").alias("summary"),
-        fn("content").alias("content"),
-    ).withColumn("_content_words", T.word_count("content"))
+    df = df.select("url", "source", "category", "summary", "content")
+    if variant in ("c", "d"):
+        text = T.clean_c_text if variant == "c" else T.clean_d_text
+        df = S.with_chunks(df, {"summary": text("summary"), "content": text("content")}, carry_bug=carry_bug)
+    else:
+        fn = cleaner(variant, carry_bug)
+        df = df.withColumns({"summary": fn("summary"), "content": fn("content")})
+    df = df.withColumn("_content_words", T.word_count("content"))
     df = filter_computed(df, quality_b(F.col("summary"), F.col("content"), F.col("_content_words")))
     return df.drop("_content_words")
 

@@ -23,7 +23,7 @@ from pyspark.sql import types as TY
 
 from corpusforge.functions import html_select as H
 from corpusforge.functions import text as T
-from corpusforge.operators.plan_utils import filter_computed
+from corpusforge.operators.plan_utils import explode_computed, filter_computed
 
 # ---------------------------------------------------------------------------
 # Selector lists and entity table of the original extractors.
@@ -169,11 +169,7 @@ def page_category(url) -> Column:
 # ---------------------------------------------------------------------------
 def extract_links(pages: DataFrame, region_tag: str = "nav", region_class: str | None = None) -> DataFrame:
     """Every ``<a href>`` inside the listing region -> ``page_id, url, pos, href``."""
-    return pages.select(
-        "page_id",
-        "url",
-        F.posexplode(hrefs(region("html", region_tag, region_class))).alias("pos", "href"),
-    ).withColumn("pos", (F.col("pos") + 1).cast("bigint"))
+    return explode_computed(pages, hrefs(region("html", region_tag, region_class)), ["page_id", "url"], "pos", "href")
 
 
 def filter_link_suffix(links: DataFrame, suffix: str = LINK_SUFFIX, col: str = "href") -> DataFrame:
@@ -188,9 +184,8 @@ def absolutize_links(links: DataFrame) -> DataFrame:
 
 def distinct_links_per_page(pages: DataFrame, region_tag: str = "nav", region_class: str | None = None) -> DataFrame:
     """Distinct hrefs per page (``array_distinct`` before explode, no shuffle)."""
-    return pages.select(
-        "page_id", F.explode(F.array_distinct(hrefs(region("html", region_tag, region_class)))).alias("href")
-    )
+    links = F.array_distinct(hrefs(region("html", region_tag, region_class)))
+    return explode_computed(pages, links, ["page_id"], None, "href")
 
 
 def dedupe_links_first(links: DataFrame, url_col: str = "link") -> DataFrame:
@@ -354,10 +349,7 @@ def parse_fields(pages: DataFrame) -> DataFrame:
 
 def extract_card_links(pages: DataFrame) -> DataFrame:
     """Card links (union over card selectors; first link selector with href)."""
-    f = parse_fields(pages)
-    return f.select("page_id", "url", F.posexplode("card_links").alias("pos", "href")).withColumn(
-        "pos", (F.col("pos") + 1).cast("bigint")
-    )
+    return explode_computed(parse_fields(pages), F.col("card_links"), ["page_id", "url"], "pos", "href")
 
 
 def extract_summary(pages: DataFrame) -> DataFrame:

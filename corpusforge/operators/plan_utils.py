@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusforge.session import scratch_path
+
 
 def filter_computed(df: DataFrame, cond: Column) -> DataFrame:
     """Filter on columns that the projection below computes with expensive
@@ -19,3 +23,34 @@ def filter_computed(df: DataFrame, cond: Column) -> DataFrame:
     """
     tagged = df.withColumn("_cf_pid", F.spark_partition_id())
     return tagged.filter(cond & (F.col("_cf_pid") >= 0)).drop("_cf_pid")
+
+
+def explode_computed(df: DataFrame, array_col: Column, keep: list, pos: str | None = "pos",
+                     value: str = "value", one_based: bool = True) -> DataFrame:
+    """``posexplode`` of a computed array without the inferred pre-filter.
+
+    For ``explode``/``posexplode`` Catalyst infers ``size(array) > 0`` and pushes
+    it down, inlining the whole array expression below the generator (often
+    into the scan, even under a repartition).  The outer variant infers
+    nothing; its one null row per empty array is dropped by a filter on the
+    generated position, which cannot move below the generator.
+    """
+    p = pos or "_ec_pos"
+    out = df.select(*keep, F.posexplode_outer(array_col).alias(p, value)).filter(F.col(p).isNotNull())
+    if pos is None:
+        return out.drop(p)
+    if one_based:
+        out = out.withColumn(p, (F.col(p) + 1).cast("bigint"))
+    return out
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    Used before multi-pass operators (the exact split reads its input twice)
+    when the input is expensive to recompute (cleaned text).  Cuts lineage
+    too: a lost executor re-reads the table instead of re-cleaning.
+    """
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -10,10 +10,11 @@ floating-point rounding decides membership.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusforge.functions import tokens as TK
+from corpusforge.operators.plan_utils import explode_computed
 
 TOKENISED_COLUMNS = {"title": "tokenized_title", "summary": "tokenized_summary", "content": "tokenized_content"}
 
@@ -30,7 +31,7 @@ def tokenize_columns(df: DataFrame, columns=TOKENISED_COLUMNS, tokenizer=None) -
 
 
 def unigram_counts(tok: DataFrame, col: str = "tokens") -> DataFrame:
-    w = tok.select(F.explode(col).alias("w")).filter(TK.is_word_token("w"))
+    w = explode_computed(tok, F.col(col), [], None, "w").filter(TK.is_word_token("w"))
     return w.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -39,7 +40,7 @@ def bigram_counts(tok: DataFrame, col: str = "tokens") -> DataFrame:
     t = F.col(col)
     n = F.size(t)
     pairs = F.arrays_zip(F.slice(t, 1, F.greatest(n - 1, F.lit(0))), F.slice(t, 2, F.greatest(n - 1, F.lit(0))))
-    p = tok.select(F.explode(pairs).alias("p")).select(
+    p = explode_computed(tok, pairs, [], None, "p").select(
         F.col("p").getField("0").alias("w1"), F.col("p").getField("1").alias("w2")
     )
     p = p.filter(TK.is_word_token("w1") & TK.is_word_token("w2"))
@@ -67,29 +68,34 @@ def bigram_lexicon(texts: DataFrame, text_col: str = "text", min_count: int = MI
 def merge_compounds(texts: DataFrame, lexicon: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """Apply a lexicon: in each text, a lexicon pair of adjacent tokens is
     joined with ``_`` (left to right, non-overlapping); tokens re-joined with
-    spaces.  The lexicon is joined, not broadcast (its size grows with the
-    corpus): tokens are exploded with positions, each adjacent pair is looked
-    up with an equi-join, and the text is reassembled per key."""
-    tok = texts.select(key, F.posexplode(TK.tokens(text_col)).alias("i", "w"))
+    spaces.
+
+    The lexicon is joined, not broadcast (its size grows with the corpus).
+    Left-to-right resolution is gaps-and-islands with window functions over
+    each text's token positions: inside a run of consecutive hits starting
+    at ``s``, the pairs at ``s, s+2, s+4, ...`` are used.  Every window shares
+    one partitioning (``key``) and order (``i``), so Spark sorts once.
+    """
+    tok = explode_computed(texts, TK.tokens(text_col), [key], "i", "w", one_based=False)
     nxt = tok.select(key, (F.col("i") - 1).alias("i"), F.col("w").alias("w_next"))
     pairs = tok.join(nxt, [key, "i"], "left")
     lex = lexicon.select(F.col("w1").alias("w"), F.col("w2").alias("w_next"), F.lit(True).alias("_hit"))
-    marked = pairs.join(lex, ["w", "w_next"], "left").withColumn("_hit", F.coalesce("_hit", F.lit(False)))
-    # Resolve overlaps left to right inside each text: a hit at i is used only
-    # if the pair at i-1 was not used.  Per-text arrays, ordered by position.
-    per = marked.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct("i", "w", "_hit"))).alias("toks")
+    marked = pairs.join(lex, ["w", "w_next"], "left").select(
+        key, "i", "w", F.coalesce("_hit", F.lit(False)).alias("_hit")
     )
-
-    def step(acc, x):
-        skip = acc["skip"]
-        use = (~skip) & x["_hit"]
-        # when a pair is used, the next token is appended to the current one
-        out = F.when(skip, F.concat(F.slice(acc["out"], 1, F.size(acc["out"]) - 1),
-                                    F.array(F.concat(F.element_at(acc["out"], -1), F.lit("_"), x["w"]))))
-        out = out.otherwise(F.concat(acc["out"], F.array(x["w"])))
-        return F.struct(out.alias("out"), use.alias("skip"))
-
-    init = F.struct(F.array().cast("array<string>").alias("out"), F.lit(False).alias("skip"))
-    merged = F.aggregate("toks", init, step, lambda acc: F.array_join(acc["out"], " "))
-    return per.select(key, merged.alias(text_col))
+    w = Window.partitionBy(key).orderBy("i")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    prev_hit = F.coalesce(F.lag("_hit").over(w), F.lit(False))
+    m = marked.withColumn("_start", F.when(F.col("_hit") & ~prev_hit, F.col("i")))
+    m = m.withColumn("_run", F.max("_start").over(upto))
+    m = m.withColumn("_used", F.col("_hit") & (((F.col("i") - F.col("_run")) % 2) == 0))
+    m = m.withColumn("_glued", F.coalesce(F.lag("_used").over(w), F.lit(False)))
+    m = m.withColumn("_word", F.sum(F.when(F.col("_glued"), 0).otherwise(1)).over(upto))
+    # a merged word holds at most two tokens
+    words = m.groupBy(key, "_word").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "w"))), lambda x: x["w"]), "_").alias("w")
+    )
+    per = words.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_word", "w"))).alias("_ws"))
+    merged = per.select(key, F.array_join(F.transform("_ws", lambda x: x["w"]), " ").alias(text_col))
+    # texts without tokens keep a row, with ''
+    return texts.select(key).join(merged, key, "left").select(key, F.coalesce(text_col, F.lit("")).alias(text_col))

@@ -17,7 +17,7 @@ from corpusforge.functions import text as T
 from corpusforge.operators import articles as A
 from corpusforge.operators import split as G
 from corpusforge.operators import stats as ST
-from corpusforge.operators.plan_utils import filter_computed
+from corpusforge.operators.plan_utils import explode_computed, filter_computed, materialize
 from corpusforge.plans import oracle_sql as Q
 from corpusforge.sources.io import read_table
 
@@ -112,11 +112,11 @@ def q_default_fields(spark, sf_dir):
 # C / D cleaners (with the sentence re-packer)
 # ---------------------------------------------------------------------------
 def _chunked(variant: str, carry_bug: bool):
-    fn = S.clean_c if variant == "c" else S.clean_d
+    text = T.clean_c_text if variant == "c" else T.clean_d_text
 
     def q(spark, sf_dir):
-        d = table(spark, sf_dir, "documents")
-        return d.select("doc_id", fn("text", carry_bug=carry_bug).alias("out"))
+        d = table(spark, sf_dir, "documents").select("doc_id", "text")
+        return S.with_chunks(d, {"out": text("text")}, carry_bug=carry_bug).select("doc_id", "out")
 
     return q
 
@@ -251,9 +251,7 @@ SELECT doc_id, CAST(generate_subscripts(ss, 1) AS BIGINT) AS pos, unnest(ss) AS
 )
 def q_split_sentences(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", F.posexplode(S.split_sentences(T.clean_c_text("text"))).alias("pos", "sentence")).select(
-        "doc_id", (F.col("pos") + 1).cast("bigint").alias("pos"), "sentence"
-    )
+    return explode_computed(d, S.split_sentences(T.clean_c_text("text")), ["doc_id"], "pos", "sentence")
 
 
 @register(
@@ -262,10 +260,9 @@ def q_split_sentences(spark, sf_dir):
 SELECT k AS doc_id, row_number() OVER (PARTITION BY k ORDER BY i, j) AS pos, piece FROM pieces""",
 )
 def q_chunk_sentences(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", F.posexplode(S.chunk_pieces(T.clean_c_text("text"))).alias("pos", "piece")).select(
-        "doc_id", (F.col("pos") + 1).cast("bigint").alias("pos"), "piece"
-    )
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    p = S.with_chunks(d, {"pieces": T.clean_c_text("text")}, joined=False)
+    return explode_computed(p, F.col("pieces"), ["doc_id"], "pos", "piece")
 
 
 @register(
@@ -286,16 +283,10 @@ FROM u WHERE {Q.word_count('sentence')} > {S.LONG_SENTENCE_WORDS}""",
 )
 def q_long_sentences(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    u = d.select("doc_id", F.posexplode(S.split_sentences("text", collapsed=False)).alias("pos", "sentence"))
-    return (
-        u.withColumn("n_words", T.word_count("sentence"))
-        .filter(F.col("n_words") > S.LONG_SENTENCE_WORDS)
-        .select(
-            "doc_id",
-            (F.col("pos") + 1).cast("bigint").alias("pos"),
-            "n_words",
-            F.char_length("sentence").cast("bigint").alias("n_chars"),
-        )
+    u = explode_computed(d, S.split_sentences("text", collapsed=False), ["doc_id"], "pos", "sentence")
+    u = u.withColumn("n_words", T.word_count("sentence"))
+    return filter_computed(u, F.col("n_words") > S.LONG_SENTENCE_WORDS).select(
+        "doc_id", "pos", "n_words", F.char_length("sentence").cast("bigint").alias("n_chars")
     )
 
 
@@ -381,7 +372,9 @@ GROUP BY GROUPING SETS ((split), (source), (category), ())"""
 
 
 def _split_articles(spark, sf_dir):
-    return G.split_exact(_clean_a_articles(spark, sf_dir), "id")
+    # the exact split reads its input twice (bucket counts, then ranks):
+    # write the cleaned articles once instead of cleaning twice
+    return G.split_exact(materialize(_clean_a_articles(spark, sf_dir), "clean-a"), "id")
 
 
 @register("stats_grouping_sets", f"SELECT kind, key, n FROM ({_GS_SQL}) WHERE NOT _null")
