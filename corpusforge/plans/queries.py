@@ -604,3 +604,24 @@ def q_stream_dedupe_text(spark, sf_dir):
         return s.dropDuplicatesWithinWatermark(["text"]).select("doc_id")
 
     return _docs_stream(spark, sf_dir, t, "st2").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register(
+    "stream_running_counts",
+    "SELECT source, lang AS category, count(*) AS n FROM documents GROUP BY source, lang",
+)
+def q_stream_running_counts(spark, sf_dir):
+    """ST3: running counts per source/category maintained by a complete-mode stream."""
+    import uuid
+
+    from corpusforge.session import scratch_path
+
+    run = f"st3-{uuid.uuid4().hex[:12]}"
+    out, ckpt = scratch_path(spark, f"{run}/out"), scratch_path(spark, f"{run}/checkpoint")
+    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet").schema
+    stream = (
+        spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
+        .select("source", F.col("lang").alias("category"))
+    )
+    STR.run_counts(stream, out, ckpt)
+    return spark.read.parquet(out)

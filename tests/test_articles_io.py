@@ -111,3 +111,31 @@ def test_stream_dedupe_keeps_first_and_late_duplicate(spark):
     STR.run_counts(raw, f"{d}/cnt", f"{d}/ck2")
     top = spark.read.parquet(f"{d}/cnt").orderBy(F.desc("n")).first()
     assert (top.category, top.n) == ("phap-luat", 60)
+
+
+@needs(RAW_VTV)
+def test_build_corpus_end_to_end(spark):
+    from corpusforge.plans.corpus import build_corpus
+
+    d = tempfile.mkdtemp(prefix="cf-corpus-", dir="/tmp")
+    raw = io.scan_raw_json(spark, RAW_VTV)
+    res = build_corpus(spark, raw, d, variant="d", tokenize=True)
+    assert res.counters == {"read": 236, "kept": 227, "rejected": 9}
+    assert sum(res.rejects.values()) == 236 and res.rejects["kept"] == 227
+    st = spark.read.json(res.stats_path).first()
+    assert (st.total, st.train, st.validation, st.test) == (227, 158, 34, 35)
+    assert sum(st.sources.asDict().values()) == 227
+    clean = spark.read.parquet(res.clean_path)
+    assert "tokenized_content" in clean.columns and clean.count() == 227
+
+
+def test_raw_sink_and_compaction(spark):
+    d = tempfile.mkdtemp(prefix="cf-raw-", dir="/tmp")
+    df = spark.createDataFrame([("u1", "s1", "c1", "x", "y"), ("u2", "s2", "c2", "x", "y")],
+                               "url string, source string, category string, summary string, content string")
+    io.write_raw(df, f"{d}/raw")
+    back = spark.read.json(f"{d}/raw")
+    assert sorted(r.url for r in back.collect()) == ["u1", "u2"]
+    assert {r.source for r in back.collect()} == {"s1", "s2"}
+    io.compact_raw(back.withColumn("_file", F.lit("f")), f"{d}/compact")
+    assert spark.read.parquet(f"{d}/compact").count() == 2
