@@ -70,18 +70,22 @@ def merge_compounds(texts: DataFrame, lexicon: DataFrame, key: str, text_col: st
     joined with ``_`` (left to right, non-overlapping); tokens re-joined with
     spaces.
 
-    The lexicon is joined, not broadcast (its size grows with the corpus).
-    Left-to-right resolution is gaps-and-islands with window functions over
-    each text's token positions: inside a run of consecutive hits starting
-    at ``s``, the pairs at ``s, s+2, s+4, ...`` are used.  Every window shares
-    one partitioning (``key``) and order (``i``), so Spark sorts once.
+    Adjacent pairs come from zipping the token array with itself shifted by
+    one (no self-join).  The lexicon is joined, not broadcast (its size grows
+    with the corpus; AQE broadcasts it at runtime when it is small).
+    Left-to-right resolution is gaps-and-islands over each text's positions:
+    inside a run of consecutive hits starting at ``s``, the pairs at
+    ``s, s+2, s+4, ...`` are used.  All windows share one partitioning
+    (``key``) and order (``i``), so Spark sorts once; the final regroup is on
+    the same key (no further shuffle).
     """
-    tok = explode_computed(texts, TK.tokens(text_col), [key], "i", "w", one_based=False)
-    nxt = tok.select(key, (F.col("i") - 1).alias("i"), F.col("w").alias("w_next"))
-    pairs = tok.join(nxt, [key, "i"], "left")
+    t = TK.tokens(text_col)
+    nxt = F.concat(F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0))), F.array(F.lit(None).cast("string")))
+    pairs = explode_computed(texts, F.arrays_zip(t.alias("w"), nxt.alias("w_next")), [key], "i", "p")
+    pairs = pairs.select(key, "i", F.col("p.w").alias("w"), F.col("p.w_next").alias("w_next"))
     lex = lexicon.select(F.col("w1").alias("w"), F.col("w2").alias("w_next"), F.lit(True).alias("_hit"))
     marked = pairs.join(lex, ["w", "w_next"], "left").select(
-        key, "i", "w", F.coalesce("_hit", F.lit(False)).alias("_hit")
+        key, "i", "w", "w_next", F.coalesce("_hit", F.lit(False)).alias("_hit")
     )
     w = Window.partitionBy(key).orderBy("i")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -90,12 +94,10 @@ def merge_compounds(texts: DataFrame, lexicon: DataFrame, key: str, text_col: st
     m = m.withColumn("_run", F.max("_start").over(upto))
     m = m.withColumn("_used", F.col("_hit") & (((F.col("i") - F.col("_run")) % 2) == 0))
     m = m.withColumn("_glued", F.coalesce(F.lag("_used").over(w), F.lit(False)))
-    m = m.withColumn("_word", F.sum(F.when(F.col("_glued"), 0).otherwise(1)).over(upto))
-    # a merged word holds at most two tokens
-    words = m.groupBy(key, "_word").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "w"))), lambda x: x["w"]), "_").alias("w")
-    )
-    per = words.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_word", "w"))).alias("_ws"))
-    merged = per.select(key, F.array_join(F.transform("_ws", lambda x: x["w"]), " ").alias(text_col))
+    # a used pair emits "w_w_next"; the token it absorbed emits nothing
+    word = F.when(F.col("_used"), F.concat_ws("_", "w", "w_next")).otherwise(F.col("w"))
+    kept = m.filter(~F.col("_glued")).select(key, "i", word.alias("word"))
+    per = kept.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("i", "word"))).alias("_ws"))
+    merged = per.select(key, F.array_join(F.transform("_ws", lambda x: x["word"]), " ").alias(text_col))
     # texts without tokens keep a row, with ''
     return texts.select(key).join(merged, key, "left").select(key, F.coalesce(text_col, F.lit("")).alias(text_col))
