@@ -75,3 +75,11 @@ def test_summary_fallback_and_id(spark):
     assert r[0].s == " ".join(f"w{i}" for i in range(50))
     assert r[1].s == "kept"
     assert r[0].id.startswith("src_") and len(r[0].id) == 4 + 16
+
+
+def test_word_rules_on_astral_and_controls(spark):
+    samples = ["𝐀𝐁 c\x00d\x1be", "\U0001F600 x", "a​b c", "　lead trail　", "", "   "]
+    df = spark.createDataFrame([(s,) for s in samples], "s string")
+    got = df.select(T.word_count("s").alias("n"), T.first_words("s", 2).alias("f")).collect()
+    assert [r.n for r in got] == [len(s.split()) for s in samples]
+    assert [r.f for r in got] == [" ".join(s.split()[:2]) for s in samples]
