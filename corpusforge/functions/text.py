@@ -129,8 +129,13 @@ def strip_dateline(col) -> Column:
 
 
 def strip_promo(col) -> Column:
-    """Trailing ``* ... VTVGo ... .`` at the very end."""
-    return F.regexp_replace(_c(col), PROMO, "")
+    """Trailing ``* ... VTVGo ... .`` at the very end.
+
+    Once newlines are gone the lazy ``.*?`` runs to the end of the text from
+    every ``*``; the pattern needs the literal ``VTVGo``, so texts without it
+    skip the regex (same result, no quadratic scan)."""
+    c = _c(col)
+    return F.when(F.instr(c, "VTVGo") > 0, F.regexp_replace(c, PROMO, "")).otherwise(c)
 
 
 def repair_brand(col) -> Column:
