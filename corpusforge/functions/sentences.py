@@ -24,8 +24,8 @@ def _c(col) -> Column:
 
 
 def _n_words_spaced(s: Column) -> Column:
-    """Words of a trimmed, single-spaced string (int)."""
-    return F.when(s == "", F.lit(0)).otherwise(F.size(F.split(s, " ")))
+    """Words of a trimmed, single-spaced string (int): spaces + 1, no array built."""
+    return F.when(s == "", F.lit(0)).otherwise(F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit(""))) + 1)
 
 
 def split_sentences(col, collapsed: bool = True) -> Column:
@@ -149,7 +149,8 @@ def with_chunks(df, outputs: dict, max_words: int = MAX_WORDS, carry_bug: bool =
 
 def join_pieces(pieces) -> Column:
     """Every piece followed by ``'. '`` (trailing space kept; no piece -> '')."""
-    return F.array_join(F.transform(_c(pieces), lambda x: F.concat(x, F.lit(". "))), "")
+    p = _c(pieces)
+    return F.when(F.size(p) > 0, F.concat(F.array_join(p, ". "), F.lit(". "))).otherwise(F.lit(""))
 
 
 def fit_to_max_words(col, max_words: int = MAX_WORDS, carry_bug: bool = False) -> Column:
