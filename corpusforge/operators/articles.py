@@ -23,8 +23,9 @@ WIDE_COLUMNS = ("id", "title", "summary", "content", "pub_date", "category", "ur
 # Test-data adaptor
 # ---------------------------------------------------------------------------
 def first_line(col) -> Column:
+    """Text before the first newline (whole text if none) without splitting every line."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.split(c, "\n").getItem(0)
+    return F.substring_index(c, "\n", 1)
 
 
 def documents_as_articles(docs: DataFrame, summary: str = "empty") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusforge.functions import tokens as TK
-from corpusforge.operators.plan_utils import explode_computed
+from corpusforge.operators.plan_utils import explode_computed, materialize
 
 TOKENISED_COLUMNS = {"title": "tokenized_title", "summary": "tokenized_summary", "content": "tokenized_content"}
 
@@ -30,36 +30,47 @@ def tokenize_columns(df: DataFrame, columns=TOKENISED_COLUMNS, tokenizer=None) -
     return df.withColumns({dst: TK.tokenize(src, tokenizer) for src, dst in present.items()})
 
 
-def unigram_counts(tok: DataFrame, col: str = "tokens") -> DataFrame:
-    w = explode_computed(tok, F.col(col), [], None, "w").filter(TK.is_word_token("w"))
+def _pairs(texts: DataFrame, text_col: str, keep=()) -> DataFrame:
+    """Each token with its right neighbour: ``w, w_next`` (``w_next`` null at the end).
+
+    Tokens are projected first and the pairs built from the column reference
+    (the tokenizer regex runs once; Catalyst keeps the projections apart
+    because the array is referenced three times)."""
+    tok = texts.select(*keep, TK.tokens(text_col).alias("_t"))
+    t = F.col("_t")
+    nxt = F.concat(F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0))), F.array(F.lit(None).cast("string")))
+    p = explode_computed(tok, F.arrays_zip(t.alias("w"), nxt.alias("w_next")), list(keep), "i", "p")
+    return p.select(*keep, "i", F.col("p.w").alias("w"), F.col("p.w_next").alias("w_next"))
+
+
+def unigram_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
+    """``w, n`` over word tokens (partial aggregate: hot words combine map-side)."""
+    w = explode_computed(texts, TK.tokens(text_col), [], None, "w").filter(TK.is_word_token("w"))
     return w.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
 
 
-def bigram_counts(tok: DataFrame, col: str = "tokens") -> DataFrame:
-    """Adjacent token pairs (both word tokens; punctuation breaks a pair)."""
-    t = F.col(col)
-    n = F.size(t)
-    pairs = F.arrays_zip(F.slice(t, 1, F.greatest(n - 1, F.lit(0))), F.slice(t, 2, F.greatest(n - 1, F.lit(0))))
-    p = explode_computed(tok, pairs, [], None, "p").select(
-        F.col("p").getField("0").alias("w1"), F.col("p").getField("1").alias("w2")
-    )
-    p = p.filter(TK.is_word_token("w1") & TK.is_word_token("w2"))
-    return p.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n12"))
+def bigram_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
+    """``w1, w2, n12`` over adjacent word tokens (punctuation breaks a pair)."""
+    p = _pairs(texts, text_col).filter(TK.is_word_token("w") & TK.is_word_token("w_next"))
+    return p.groupBy(F.col("w").alias("w1"), F.col("w_next").alias("w2")).agg(F.count(F.lit(1)).alias("n12"))
 
 
 def bigram_lexicon(texts: DataFrame, text_col: str = "text", min_count: int = MIN_COUNT,
                    pmi_ratio: int = PMI_RATIO) -> DataFrame:
     """``w1, w2, n12, n1, n2`` for pairs with ``n12 >= min_count`` and
-    ``n12 * N >= pmi_ratio * n1 * n2`` (N = word tokens in the corpus)."""
-    tok = texts.select(TK.tokens(text_col).alias("tokens"))
-    uni = unigram_counts(tok)
-    total = uni.agg(F.sum("n").alias("N"))  # one row
-    bi = bigram_counts(tok).filter(F.col("n12") >= min_count)  # prune before the joins
+    ``n12 * N >= pmi_ratio * n1 * n2`` (N = word tokens in the corpus).
+
+    The unigram table feeds three consumers (both joins and the total); it is
+    written once under the shared checkpoint folder.  Pairs are pruned by
+    ``min_count`` before the joins."""
+    uni = materialize(unigram_counts(texts, text_col), "unigrams")
+    total = uni.agg(F.sum("n")).scalar()  # scalar subquery: the corpus token count
+    bi = bigram_counts(texts, text_col).filter(F.col("n12") >= min_count)
     u1 = uni.select(F.col("w").alias("w1"), F.col("n").alias("n1"))
     u2 = uni.select(F.col("w").alias("w2"), F.col("n").alias("n2"))
-    j = bi.join(u1, "w1").join(u2, "w2").crossJoin(F.broadcast(total))  # total: exactly one row
+    j = bi.join(u1, "w1").join(u2, "w2")
     dec = "decimal(38,0)"
-    keep = (F.col("n12").cast(dec) * F.col("N").cast(dec)) >= (
+    keep = (F.col("n12").cast(dec) * total.cast(dec)) >= (
         F.lit(pmi_ratio).cast(dec) * F.col("n1").cast(dec) * F.col("n2").cast(dec)
     )
     return j.filter(keep).select("w1", "w2", "n12", "n1", "n2")
@@ -79,10 +90,7 @@ def merge_compounds(texts: DataFrame, lexicon: DataFrame, key: str, text_col: st
     (``key``) and order (``i``), so Spark sorts once; the final regroup is on
     the same key (no further shuffle).
     """
-    t = TK.tokens(text_col)
-    nxt = F.concat(F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0))), F.array(F.lit(None).cast("string")))
-    pairs = explode_computed(texts, F.arrays_zip(t.alias("w"), nxt.alias("w_next")), [key], "i", "p")
-    pairs = pairs.select(key, "i", F.col("p.w").alias("w"), F.col("p.w_next").alias("w_next"))
+    pairs = _pairs(texts, text_col, keep=[key])
     lex = lexicon.select(F.col("w1").alias("w"), F.col("w2").alias("w_next"), F.lit(True).alias("_hit"))
     marked = pairs.join(lex, ["w", "w_next"], "left").select(
         key, "i", "w", "w_next", F.coalesce("_hit", F.lit(False)).alias("_hit")
