@@ -90,6 +90,39 @@ def dataset_stats(split_df: DataFrame) -> DataFrame:
     )
 
 
+def corpus_stats_flat(df: DataFrame) -> DataFrame:
+    """G6 without ranking any row: the split sizes of an exact split depend
+    only on the row count (``int(0.7n)``, ``int(0.85n)``), so one grouping-sets
+    aggregate over source and category gives the whole stats document.
+    Output ``kind, key, n`` as :func:`dataset_stats_flat`."""
+    g = df.groupingSets([["source"], ["category"], []], "source", "category").agg(
+        F.count(F.lit(1)).alias("n"), F.grouping_id().alias("_gid")
+    )
+    # grouping_id bits (source, category): 0b01 -> source, 0b10 -> category, 0b11 -> total
+    counts = g.filter(
+        ~(((F.col("_gid") == 1) & F.col("source").isNull()) | ((F.col("_gid") == 2) & F.col("category").isNull()))
+    ).select(
+        F.when(F.col("_gid") == 1, "sources").when(F.col("_gid") == 2, "categories").otherwise("total").alias("kind"),
+        F.when(F.col("_gid") == 1, F.col("source")).when(F.col("_gid") == 2, F.col("category")).otherwise("").alias(
+            "key"
+        ),
+        F.col("n").cast("bigint").alias("n"),
+    )
+    n = F.col("n")
+    cut1 = F.floor(F.lit(0.7) * n).cast("bigint")
+    cut2 = F.floor(F.lit(0.85) * n).cast("bigint")
+    sizes = counts.filter(F.col("kind") == "total").select(
+        F.explode(
+            F.array(
+                F.struct(F.lit("train").alias("kind"), F.lit("").alias("key"), cut1.alias("n")),
+                F.struct(F.lit("validation").alias("kind"), F.lit("").alias("key"), (cut2 - cut1).alias("n")),
+                F.struct(F.lit("test").alias("kind"), F.lit("").alias("key"), (n - cut2).alias("n")),
+            )
+        ).alias("s")
+    ).select("s.*")
+    return counts.unionByName(sizes)
+
+
 def dataset_stats_flat(split_df: DataFrame) -> DataFrame:
     """G6 flattened to ``kind, key, n`` rows (total/train/validation/test, sources, categories)."""
     g = stats_grouping_sets(split_df)

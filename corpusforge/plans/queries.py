@@ -390,7 +390,8 @@ def q_stats_grouping_sets(spark, sf_dir):
 FROM ({_GS_SQL}) WHERE NOT _null""",
 )
 def q_dataset_stats(spark, sf_dir):
-    return ST.dataset_stats_flat(_split_articles(spark, sf_dir))
+    # split sizes follow from the row count: no ranking, one aggregate pass
+    return ST.corpus_stats_flat(_clean_a_articles(spark, sf_dir))
 
 
 @register(

@@ -59,3 +59,11 @@ def test_observe_counters(spark):
     observed, obs = ST.observe_counts(df)
     observed.write.format("noop").mode("overwrite").save()
     assert obs.get == {"read": 12, "kept": 9, "rejected": 3}
+
+
+def test_rank_free_stats_equal_ranked(spark):
+    rows = [(i, f"s{i % 3}", None if i % 7 == 0 else f"c{i % 4}") for i in range(157)]
+    df = spark.createDataFrame(rows, "k long, source string, category string")
+    ranked = sorted(tuple(r) for r in ST.dataset_stats_flat(G.split_exact(df, "k")).collect())
+    free = sorted(tuple(r) for r in ST.corpus_stats_flat(df).collect())
+    assert ranked == free
