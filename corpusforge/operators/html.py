@@ -220,17 +220,27 @@ def page_links(pages: DataFrame, region_tag: str = "nav", region_class: str | No
 # ---------------------------------------------------------------------------
 # Article fields (regex tier)
 # ---------------------------------------------------------------------------
-def title_text(html) -> Column:
+def title_text(html, cleaned: bool = False) -> Column:
     """X8 regex tier: the first ``h1`` (title selectors all end in ``h1``)."""
-    return first_element_text(drop_noise(html), [("h1", None)])
+    return first_element_text(_c(html) if cleaned else drop_noise(html), [("h1", None)])
 
 
-def body_text(html, scope_tag: str = "article", scope_class: str | None = None) -> Column:
+def body_text(html, scope_tag: str = "article", scope_class: str | None = None, cleaned: bool = False) -> Column:
     """X11 regex tier: paragraphs of the scope element joined with newlines."""
-    scope = F.regexp_extract(drop_noise(html), element_pattern(scope_tag, scope_class), 1)
+    scope = F.regexp_extract(_c(html) if cleaned else drop_noise(html), element_pattern(scope_tag, scope_class), 1)
     return F.array_join(paragraph_texts(scope), "\n")
 
 
+def with_clean_html(pages: DataFrame) -> DataFrame:
+    """Project the noise-free HTML once as ``_clean``.
+
+    Several fields read it; the paragraph split runs inside interpreted
+    higher-order functions, where no common-subexpression elimination applies,
+    so without the column the noise regex would run once per use.
+    """
+    return pages.withColumn("_clean", drop_noise("html"))
+
+
 def extract_title(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", title_text("html").alias("title"))
 
@@ -245,7 +255,13 @@ def gate(title: Column, body: Column) -> Column:
 
 
 def gate_pages(pages: DataFrame) -> DataFrame:
-    f = pages.select("page_id", "url", title_text("html").alias("title"), body_text("html").alias("content"))
+    p = with_clean_html(pages.select("page_id", "url", "html"))
+    f = p.select(
+        "page_id",
+        "url",
+        title_text("_clean", cleaned=True).alias("title"),
+        body_text("_clean", cleaned=True).alias("content"),
+    )
     return filter_computed(f, gate(F.col("title"), F.col("content")))
 
 
@@ -260,16 +276,16 @@ def pages_to_articles(pages: DataFrame, scraped_at: str = "1970-01-01 07:00:00",
     style element exists.
     """
     if use_parser:
-        f = parse_fields(pages)
-        f = f.select("page_id", "url", "title", "summary", "content", "pub_date")
+        f = parse_fields(pages, ("title", "summary", "content", "pub_date"))
     else:
-        clean = drop_noise("html")
-        f = pages.select(
+        p = with_clean_html(pages.select("page_id", "url", "html"))
+        clean = F.col("_clean")
+        f = p.select(
             "page_id",
             "url",
-            title_text("html").alias("title"),
+            title_text(clean, cleaned=True).alias("title"),
             F.coalesce(first_element_text(clean, [("h2", "sapo")]), F.lit("")).alias("summary"),
-            body_text("html").alias("content"),
+            body_text(clean, cleaned=True).alias("content"),
             F.coalesce(first_element_text(clean, [("time", None)]), F.lit("")).alias("pub_date"),
         )
     f = filter_computed(f, gate(F.col("title"), F.col("content")))
@@ -315,57 +331,71 @@ FIELDS_SCHEMA = TY.StructType(
 )
 
 
-def _fields_of(html: str | None) -> dict:
+def _fields_of(html: str | None, wanted) -> dict:
     root = H.parse(html)
-    pair_s = H.select_one(root, STRICT_PAIR[0])
-    pair_c = H.select_one(root, STRICT_PAIR[1])
-    strict_ok = pair_s is not None and pair_c is not None
-    nest_s = H.scoped(root, STRICT_NESTED[0], STRICT_NESTED[1])
-    nest_c = H.scoped(root, STRICT_NESTED[0], STRICT_NESTED[2])
-    nested_ok = nest_s is not None and nest_c is not None
-    return {
-        "title": H.first_text(root, TITLE_SELECTORS),
-        "summary": H.first_text(root, SUMMARY_SELECTORS) or "",
-        "pub_date": H.first_text(root, TIME_SELECTORS) or "",
-        "content": H.paragraphs(root, BODY_SELECTORS),
-        "card_links": H.card_links(root, CARD_SELECTORS, CARD_LINK_SELECTORS),
-        # X12 keeps the text unstripped; X13 strips it
-        "strict_summary": pair_s.text() if strict_ok else None,
-        "strict_content": pair_c.text() if strict_ok else None,
-        "nested_summary": nest_s.text().strip() if nested_ok else None,
-        "nested_content": nest_c.text().strip() if nested_ok else None,
-    }
-
-
-@F.pandas_udf(FIELDS_SCHEMA)
-def _parse_fields_udf(html: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([_fields_of(h) for h in html], columns=[f.name for f in FIELDS_SCHEMA.fields])
-
-
-def parse_fields(pages: DataFrame) -> DataFrame:
-    """Parse each page once; all parser-tier fields as columns."""
-    return pages.select("page_id", "url", _parse_fields_udf("html").alias("_f")).select("page_id", "url", "_f.*")
+    out = {}
+    if "title" in wanted:
+        out["title"] = H.first_text(root, TITLE_SELECTORS)
+    if "summary" in wanted:
+        out["summary"] = H.first_text(root, SUMMARY_SELECTORS) or ""
+    if "pub_date" in wanted:
+        out["pub_date"] = H.first_text(root, TIME_SELECTORS) or ""
+    if "content" in wanted:
+        out["content"] = H.paragraphs(root, BODY_SELECTORS)
+    if "card_links" in wanted:
+        out["card_links"] = H.card_links(root, CARD_SELECTORS, CARD_LINK_SELECTORS)
+    if "strict_summary" in wanted or "strict_content" in wanted:
+        # X12 keeps the text unstripped; a missing element drops the pair
+        ps, pc = H.select_one(root, STRICT_PAIR[0]), H.select_one(root, STRICT_PAIR[1])
+        ok = ps is not None and pc is not None
+        out["strict_summary"] = ps.text() if ok else None
+        out["strict_content"] = pc.text() if ok else None
+    if "nested_summary" in wanted or "nested_content" in wanted:
+        # Both inside the scope element, stripped
+        ns = H.scoped(root, STRICT_NESTED[0], STRICT_NESTED[1])
+        nc = H.scoped(root, STRICT_NESTED[0], STRICT_NESTED[2])
+        ok = ns is not None and nc is not None
+        out["nested_summary"] = ns.text().strip() if ok else None
+        out["nested_content"] = nc.text().strip() if ok else None
+    return {k: out[k] for k in wanted}
+
+
+def _fields_udf(wanted: tuple):
+    schema = TY.StructType([f for f in FIELDS_SCHEMA.fields if f.name in wanted])
+    names = [f.name for f in schema.fields]
+
+    @F.pandas_udf(schema)
+    def parse(html: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([_fields_of(h, names) for h in html], columns=names)
+
+    return parse
+
+
+def parse_fields(pages: DataFrame, fields=tuple(f.name for f in FIELDS_SCHEMA.fields)) -> DataFrame:
+    """Parse each page once (Arrow batches) and return the requested parser-tier fields as columns."""
+    wanted = tuple(f.name for f in FIELDS_SCHEMA.fields if f.name in fields)
+    return pages.select("page_id", "url", _fields_udf(wanted)("html").alias("_f")).select("page_id", "url", "_f.*")
 
 
 def extract_card_links(pages: DataFrame) -> DataFrame:
     """Card links (union over card selectors; first link selector with href)."""
-    return explode_computed(parse_fields(pages), F.col("card_links"), ["page_id", "url"], "pos", "href")
+    return explode_computed(parse_fields(pages, ("card_links",)), F.col("card_links"), ["page_id", "url"], "pos", "href")
 
 
 def extract_summary(pages: DataFrame) -> DataFrame:
     """First of the summary selectors, else ''."""
-    return parse_fields(pages).select("page_id", "summary")
+    return parse_fields(pages, ("summary",)).select("page_id", "summary")
 
 
 def extract_pub_time(pages: DataFrame) -> DataFrame:
     """First of the time selectors, else ''."""
-    return parse_fields(pages).select("page_id", "pub_date")
+    return parse_fields(pages, ("pub_date",)).select("page_id", "pub_date")
 
 
 def extract_strict(pages: DataFrame, nested: bool = False) -> DataFrame:
     """X12 (``nested=False``) / X13: both elements required, else the page is dropped."""
-    f = parse_fields(pages)
     s, c = ("nested_summary", "nested_content") if nested else ("strict_summary", "strict_content")
+    f = parse_fields(pages, (s, c))
     return f.filter(F.col(s).isNotNull() & F.col(c).isNotNull()).select(
         "page_id", "url", F.col(s).alias("summary"), F.col(c).alias("content")
     )
