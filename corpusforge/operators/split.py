@@ -101,7 +101,9 @@ def split_hash(df: DataFrame, key: str, seed: int = SEED) -> DataFrame:
 
 
 def split_sizes(split_df: DataFrame) -> DataFrame:
-    """Rows per split plus the ``total`` row."""
-    per = split_df.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
-    total = split_df.agg(F.count(F.lit(1)).alias("n")).select(F.lit("total").alias("split"), "n")
-    return per.unionByName(total)
+    """Rows per split plus the ``total`` row, in one aggregate pass
+    (``GROUPING SETS ((split), ())``)."""
+    g = split_df.groupingSets([["split"], []], "split").agg(
+        F.count(F.lit(1)).alias("n"), F.grouping_id().alias("_gid")
+    )
+    return g.select(F.when(F.col("_gid") == 1, F.lit("total")).otherwise(F.col("split")).alias("split"), "n")

@@ -99,28 +99,27 @@ def corpus_stats_flat(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.grouping_id().alias("_gid")
     )
     # grouping_id bits (source, category): 0b01 -> source, 0b10 -> category, 0b11 -> total
-    counts = g.filter(
+    g = g.filter(
         ~(((F.col("_gid") == 1) & F.col("source").isNull()) | ((F.col("_gid") == 2) & F.col("category").isNull()))
-    ).select(
-        F.when(F.col("_gid") == 1, "sources").when(F.col("_gid") == 2, "categories").otherwise("total").alias("kind"),
-        F.when(F.col("_gid") == 1, F.col("source")).when(F.col("_gid") == 2, F.col("category")).otherwise("").alias(
-            "key"
-        ),
-        F.col("n").cast("bigint").alias("n"),
     )
-    n = F.col("n")
+    n = F.col("n").cast("bigint")
     cut1 = F.floor(F.lit(0.7) * n).cast("bigint")
     cut2 = F.floor(F.lit(0.85) * n).cast("bigint")
-    sizes = counts.filter(F.col("kind") == "total").select(
-        F.explode(
-            F.array(
-                F.struct(F.lit("train").alias("kind"), F.lit("").alias("key"), cut1.alias("n")),
-                F.struct(F.lit("validation").alias("kind"), F.lit("").alias("key"), (cut2 - cut1).alias("n")),
-                F.struct(F.lit("test").alias("kind"), F.lit("").alias("key"), (n - cut2).alias("n")),
-            )
-        ).alias("s")
-    ).select("s.*")
-    return counts.unionByName(sizes)
+
+    def row(kind, key, value):
+        return F.struct(F.lit(kind).alias("kind") if isinstance(kind, str) else kind.alias("kind"),
+                        F.lit(key).alias("key") if isinstance(key, str) else key.alias("key"), value.alias("n"))
+
+    # one pass: the total row fans out into total/train/validation/test
+    rows = F.when(
+        F.col("_gid") == 3,
+        F.array(row("total", "", n), row("train", "", cut1), row("validation", "", cut2 - cut1),
+                row("test", "", n - cut2)),
+    ).otherwise(
+        F.array(row(F.when(F.col("_gid") == 1, "sources").otherwise("categories"),
+                    F.when(F.col("_gid") == 1, F.col("source")).otherwise(F.col("category")), n))
+    )
+    return g.select(F.explode(rows).alias("r")).select("r.*")
 
 
 def dataset_stats_flat(split_df: DataFrame) -> DataFrame:
