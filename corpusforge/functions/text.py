@@ -216,6 +216,20 @@ def raw_file_name(source, scraped_epoch, category) -> Column:
     return F.concat(_c(source), F.lit("_"), _c(scraped_epoch).cast("string"), F.lit("_"), _c(category), F.lit(".json"))
 
 
+def local_text_epoch(text, utc_offset_seconds: int = 7 * 3600) -> Column:
+    """Epoch seconds of a zone-less ``yyyy-MM-dd HH:mm:ss`` local time with a
+    fixed UTC offset, computed from its fields (independent of the session
+    time zone)."""
+    t = _c(text)
+    day = F.datediff(F.to_date(F.substring(t, 1, 10)), F.lit("1970-01-01").cast("date")).cast("bigint")
+    hms = (
+        F.substring(t, 12, 2).cast("bigint") * 3600
+        + F.substring(t, 15, 2).cast("bigint") * 60
+        + F.substring(t, 18, 2).cast("bigint")
+    )
+    return day * 86400 + hms - utc_offset_seconds
+
+
 # ---------------------------------------------------------------------------
 # Composed cleaners (before the sentence chunker)
 # ---------------------------------------------------------------------------

@@ -203,3 +203,19 @@ def reject_reason(df: DataFrame, variant: str = "a", carry_bug: bool = False) ->
         .otherwise("kept")
     )
     return cleaned.withColumn("reason", reason).drop("_ok_keys", "_head", "_content")
+
+
+# ---------------------------------------------------------------------------
+# X6 on raw articles (optional): one row per URL, earliest crawl wins
+# ---------------------------------------------------------------------------
+def dedupe_by_url(raw: DataFrame, order_cols=("scraped_at", "_file")) -> DataFrame:
+    """Keep one raw article per ``url``: the one with the smallest
+    ``order_cols`` (earliest ``scraped_at``, then file name).
+
+    ``min_by`` aggregates partially on the map side, so a URL crawled in a
+    third of all files costs one partial row per task.
+    """
+    order = [c for c in order_cols if c in raw.columns] or ["url"]
+    cols = [c for c in raw.columns if c != "url"]
+    agg = raw.groupBy("url").agg(F.min_by(F.struct(*cols), F.struct(*order)).alias("_r"))
+    return agg.select("url", "_r.*").select(*raw.columns)

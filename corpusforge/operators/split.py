@@ -13,8 +13,9 @@ task, so the rank is computed in two phases instead:
    because md5 is uniform) plus the offset is the global rank.
 
 Buckets are ordered by the same hex prefix as the hash, so bucket order plus
-in-bucket order equals the global order.  The key must identify the row;
-equal keys get equal hashes and are ordered by the tie-break columns.
+in-bucket order equals the global order.  The key should identify the row
+(an article id): equal keys get equal hashes, land in one bucket, and are
+ordered by the ``tiebreak`` columns so the result is the same on every run.
 """
 
 from __future__ import annotations
@@ -45,6 +46,7 @@ def global_rank(
     prefix_hex: int = 4,
     rank_col: str = "pos",
     total_col: str | None = None,
+    tiebreak=(),
 ) -> DataFrame:
     """Add the 1-based position of each row in the seeded order (G1)."""
     if not 1 <= prefix_hex <= 5:
@@ -58,7 +60,7 @@ def global_rank(
         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
         F.sum("_cnt").over(Window.partitionBy()).alias("_n"),
     )
-    within = Window.partitionBy("_b").orderBy("_h", _c(key))
+    within = Window.partitionBy("_b").orderBy("_h", _c(key), *[_c(c) for c in tiebreak])
     out = (
         h.join(F.broadcast(offsets), "_b")
         .withColumn(rank_col, (F.col("_off") + F.row_number().over(within)).cast("bigint"))
@@ -78,9 +80,10 @@ def split_label(pos: Column, n: Column, train: float = TRAIN_FRACTION, val_end:
     return F.when(pos <= cut1, "train").when(pos <= cut2, "validation").otherwise("test")
 
 
-def split_exact(df: DataFrame, key: str, seed: int = SEED, prefix_hex: int = 4, keep_pos: bool = False) -> DataFrame:
+def split_exact(df: DataFrame, key: str, seed: int = SEED, prefix_hex: int = 4, keep_pos: bool = False,
+                tiebreak=()) -> DataFrame:
     """Exact 70/15/15 split in the seeded order, as a ``split`` column."""
-    ranked = global_rank(df, key, seed, prefix_hex, rank_col="_pos", total_col="_total")
+    ranked = global_rank(df, key, seed, prefix_hex, rank_col="_pos", total_col="_total", tiebreak=tiebreak)
     out = ranked.withColumn("split", split_label(F.col("_pos"), F.col("_total")))
     if keep_pos:
         out = out.withColumnRenamed("_pos", "pos")

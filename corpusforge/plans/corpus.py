@@ -51,14 +51,18 @@ def build_corpus(
     tokenizer=None,
     carry_bug: bool = False,
     split_format: str = "csv",
+    dedupe_urls: bool = False,
 ) -> CorpusResult:
     """Run the whole corpus preparation and write ``clean/``, ``splits/`` and ``stats/``.
 
     ``key`` orders the seeded split (default: ``id`` for variant A, ``url``
     otherwise).  ``tokenize`` adds ``tokenized_*`` columns (W1).
+    ``dedupe_urls`` keeps one raw article per URL (earliest crawl) first.
     """
     out = out_dir.rstrip("/")
     key = key or ("id" if variant == "a" else "url")
+    if dedupe_urls:
+        raw = A.dedupe_by_url(raw)
 
     # Reasons for every input row, counted in the same pass that the
     # counters observe (the reason table is small: one row per reason).
@@ -74,7 +78,9 @@ def build_corpus(
     cleaned.write.mode("overwrite").parquet(clean_path)
     cleaned = spark.read.parquet(clean_path)
 
-    split = G.split_exact(cleaned, key)
+    # repeated keys (a URL crawled twice) are ordered by the remaining columns
+    tiebreak = [c for c, t in cleaned.dtypes if c != key and t in ("string", "bigint", "int")]
+    split = G.split_exact(cleaned, key, tiebreak=tiebreak)
     splits_path = f"{out}/splits"
     io.write_splits(split, splits_path, fmt=split_format)
 

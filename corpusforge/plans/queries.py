@@ -626,3 +626,16 @@ def q_stream_running_counts(spark, sf_dir):
     )
     STR.run_counts(stream, out, ckpt)
     return spark.read.parquet(out)
+
+
+@register(
+    "raw_file_names",
+    f"""SELECT page_id, source || '_' || CAST(CAST(epoch(CAST(scraped_at AS TIMESTAMP)) AS BIGINT) - 25200 AS VARCHAR)
+       || '_' || category || '.json' AS file_name
+FROM (SELECT page_id, {Q.page_source('url')} AS source, {Q.page_category('url')} AS category,
+             '1970-01-01 07:00:00' AS scraped_at FROM ({_FIELDS_SQL}) WHERE {_GATE})""",
+)
+def q_raw_file_names(spark, sf_dir):
+    """The per-article raw file name ``{source}_{epoch}_{category}.json``."""
+    a = X.pages_to_articles(table(spark, sf_dir, "pages"))
+    return a.select("page_id", T.raw_file_name("source", T.local_text_epoch("scraped_at"), "category").alias("file_name"))

@@ -139,3 +139,21 @@ def test_raw_sink_and_compaction(spark):
     assert {r.source for r in back.collect()} == {"s1", "s2"}
     io.compact_raw(back.withColumn("_file", F.lit("f")), f"{d}/compact")
     assert spark.read.parquet(f"{d}/compact").count() == 2
+
+
+@needs(RAW_ECONOMY)
+def test_dedupe_by_url_keeps_earliest(spark):
+    raw = io.scan_raw_json(spark, RAW_ECONOMY)
+    d = A.dedupe_by_url(raw)
+    assert d.count() == 152 and d.columns == raw.columns
+    dup = [r for r in raw.groupBy("url").count().collect() if r["count"] > 1][0].url
+    kept = d.filter(F.col("url") == dup).first()
+    first = raw.filter(F.col("url") == dup).orderBy("scraped_at", "_file").first()
+    assert kept.scraped_at == first.scraped_at and kept._file == first._file
+
+
+def test_local_text_epoch(spark):
+    from corpusforge.functions import text as T
+
+    df = spark.createDataFrame([("2025-04-06 18:30:59",)], "s string")
+    assert df.select(T.local_text_epoch("s").alias("e")).first().e == 1743939059
