@@ -568,7 +568,23 @@ def q_bigram_lexicon(spark, sf_dir):
     return W.bigram_lexicon(table(spark, sf_dir, "documents"))
 
 
-@register("compound_merge")
+_MERGE_SQL = f"""WITH lex AS ({SQL["bigram_lexicon"]}),
+tk AS (SELECT doc_id, {_tok_sql('text')} AS t FROM documents),
+u AS (SELECT doc_id, unnest(t) AS w, generate_subscripts(t, 1) AS i FROM tk),
+p AS (SELECT doc_id, i, w, lead(w) OVER (PARTITION BY doc_id ORDER BY i) AS w_next FROM u),
+h AS (SELECT p.*, lex.w1 IS NOT NULL AS hit FROM p LEFT JOIN lex ON p.w = lex.w1 AND p.w_next = lex.w2),
+s AS (SELECT *, CASE WHEN hit AND NOT coalesce(lag(hit) OVER (PARTITION BY doc_id ORDER BY i), false)
+                     THEN i END AS st FROM h),
+r AS (SELECT *, max(st) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run
+      FROM s),
+x AS (SELECT *, hit AND (i - run) % 2 = 0 AS used FROM r),
+y AS (SELECT *, coalesce(lag(used) OVER (PARTITION BY doc_id ORDER BY i), false) AS glued FROM x),
+m AS (SELECT doc_id, string_agg(CASE WHEN used THEN w || '_' || w_next ELSE w END, ' ' ORDER BY i) AS text
+      FROM y WHERE NOT glued GROUP BY doc_id)
+SELECT d.doc_id, coalesce(m.text, '') AS text FROM documents d LEFT JOIN m ON d.doc_id = m.doc_id"""
+
+
+@register("compound_merge", _MERGE_SQL)
 def q_compound_merge(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     lex = W.bigram_lexicon(d)
