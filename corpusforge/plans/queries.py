@@ -617,8 +617,10 @@ def q_stream_dedupe_text(spark, sf_dir):
     """ST2 on documents: first arrival of each text wins (ingest time as event time)."""
 
     def t(s):
-        s = s.withColumn("ts", F.current_timestamp()).withWatermark("ts", "1 day")
-        return s.dropDuplicatesWithinWatermark(["text"]).select("doc_id")
+        # state is keyed by the text's digest, not the text itself
+        s = s.withColumn("ts", F.current_timestamp()).withColumn("_th", F.md5(F.coalesce("text", F.lit(""))))
+        s = s.withColumn("_null", F.col("text").isNull()).withWatermark("ts", "1 day")
+        return s.dropDuplicatesWithinWatermark(["_th", "_null"]).select("doc_id")
 
     return _docs_stream(spark, sf_dir, t, "st2").agg(F.count(F.lit(1)).alias("n"))
 

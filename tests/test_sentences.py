@@ -105,3 +105,13 @@ def test_cleaned_text_has_no_newline(spark):
                  T.clean_b("text").alias("b"))
     assert n.filter(F.col("a").contains("\n") | F.col("b").contains("\n") | F.col("c").contains("\n")
                     | F.col("d").contains("\n")).count() == 0
+
+
+@needs(SF_MID)
+def test_cleaning_independent_of_partitioning(spark):
+    from corpusforge.operators import articles as A
+
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    one = A.clean_article_c(A.documents_as_articles(docs.coalesce(1), "first_line")).collect()
+    eight = A.clean_article_c(A.documents_as_articles(docs.repartition(8), "first_line")).collect()
+    assert sorted(one) == sorted(eight) and len(one) == 958
