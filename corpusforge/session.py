@@ -35,9 +35,34 @@ def configure(spark: SparkSession) -> SparkSession:
         except Exception:  # static conf on a running cluster: leave it
             pass
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``corpusforge`` importable in Python workers (pandas UDFs).
+
+    Zips the package once per SparkContext and registers it with
+    ``addPyFile``; Spark copies it to every executor.  A no-op when the
+    package is already installed on the cluster's Python path.
+    """
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED or spark.conf.get("corpusforge.shipped", "false") == "true":
+        return
+    import shutil
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="corpusforge-pyfiles-")
+    archive = shutil.make_archive(os.path.join(out, "corpusforge"), "zip", os.path.dirname(pkg_dir), "corpusforge")
+    sc.addPyFile(archive)
+    spark.conf.set("corpusforge.shipped", "true")
+    _SHIPPED.add(key)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
