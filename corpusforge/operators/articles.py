@@ -219,3 +219,54 @@ def dedupe_by_url(raw: DataFrame, order_cols=("scraped_at", "_file")) -> DataFra
     cols = [c for c in raw.columns if c != "url"]
     agg = raw.groupBy("url").agg(F.min_by(F.struct(*cols), F.struct(*order)).alias("_r"))
     return agg.select("url", "_r.*").select(*raw.columns)
+
+
+REASONS = ("kept", "missing_key", "empty_title", "empty_summary", "empty_content", "short_content")
+
+
+def clean_with_reason(raw: DataFrame, variant: str, carry_bug: bool = False) -> DataFrame:
+    """Every input row cleaned once, with the output columns of the article
+    operator of ``variant`` and the first failing rule in ``reason``
+    (``kept`` for rows the operator keeps).
+
+    Used by jobs that need both the kept rows and the reject statistics: one
+    cleaning pass serves both (filter ``reason == 'kept'`` with
+    :func:`filter_computed`).
+    """
+    df = drop_unparsed(raw)
+    if variant == "a":
+        keys, head = REQUIRED_A, "title"
+        df = df.select(
+            *[c for c in df.columns if c not in ("title", "summary", "content")],
+            has_keys(df, keys).alias("_ok"),
+            T.clean_a("title").alias("title"),
+            T.clean_a("summary").alias("summary"),
+            T.clean_a("content").alias("content"),
+        )
+    else:
+        keys, head = REQUIRED_BCD, "summary"
+        df = df.select("url", "source", "category", has_keys(df, keys).alias("_ok"), "summary", "content")
+        if variant in ("c", "d"):
+            text = T.clean_c_text if variant == "c" else T.clean_d_text
+            df = S.with_chunks(df, {"summary": text("summary"), "content": text("content")}, carry_bug=carry_bug)
+        else:
+            df = df.withColumns({"summary": T.clean_b("summary"), "content": T.clean_b("content")})
+    df = df.withColumn("_words", T.word_count("content"))
+    reason = (
+        F.when(~F.col("_ok"), "missing_key")
+        .when(F.col(head) == "", "empty_title" if variant == "a" else "empty_summary")
+        .when(F.col("content") == "", "empty_content")
+        .when(F.col("_words") < T.MIN_CONTENT_WORDS, "short_content")
+        .otherwise("kept")
+    )
+    df = df.withColumn("reason", reason)
+    if variant == "a":
+        return df.select(
+            T.article_id("source", "url").alias("id"),
+            "title",
+            T.summary_fallback("summary", "content").alias("summary"),
+            "content",
+            *T.default_fields("pub_date", "category", "url", "source"),
+            "reason",
+        )
+    return df.select("url", "source", "category", "summary", "content", "reason")

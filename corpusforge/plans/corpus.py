@@ -6,8 +6,9 @@ statistics), each of which re-read CSV files:
 * the cleaned articles are written once (Parquet under ``out_dir/clean``); the
   split, the split sinks and the statistics read that table, so cleaning runs
   once and a lost executor re-reads files instead of re-cleaning;
-* run counters (read / kept / rejected) are collected by ``observe`` while the
-  clean table is written, and rejects are counted per reason;
+* each raw row is cleaned once: its reject reason is computed with the
+  cleaned columns, and run counters (read / kept / per reason) are collected
+  by ``observe`` while the kept rows are written;
 * the stats document is written with ``mode='ignore'``: a rerun over an
   existing output is skipped (the original skip-if-done guard).
 """
@@ -16,13 +17,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from corpusforge.operators import articles as A
 from corpusforge.operators import split as G
 from corpusforge.operators import stats as ST
 from corpusforge.operators import tokens as W
+from corpusforge.operators.plan_utils import filter_computed
 from corpusforge.sources import io
 
 
@@ -64,19 +66,24 @@ def build_corpus(
     if dedupe_urls:
         raw = A.dedupe_by_url(raw)
 
-    # Reasons for every input row, counted in the same pass that the
-    # counters observe (the reason table is small: one row per reason).
-    reasons = A.reject_reason(raw, variant, carry_bug)
-    tagged, obs = ST.observe_counts(reasons.withColumn("kept", F.col("reason") == "kept"))
-    rejects = {r.reason: r.n for r in ST.reject_counts(tagged).collect()}
-    counters = obs.get
-
-    cleaned = clean(raw, variant, carry_bug)
+    # One cleaning pass: every row gets its cleaned columns and reject reason;
+    # the counters (G7) are observed on that pass while the kept rows are written.
+    tagged = A.clean_with_reason(raw, variant, carry_bug)
+    obs = Observation("corpus_counters")
+    tagged = tagged.observe(
+        obs,
+        F.count(F.lit(1)).alias("read"),
+        *[F.count_if(F.col("reason") == r).alias(r) for r in A.REASONS],
+    )
+    cleaned = filter_computed(tagged, F.col("reason") == "kept").drop("reason")
     if tokenize:
         cleaned = W.tokenize_columns(cleaned, tokenizer=tokenizer)
     clean_path = f"{out}/clean"
     cleaned.write.mode("overwrite").parquet(clean_path)
     cleaned = spark.read.parquet(clean_path)
+    metrics = obs.get
+    rejects = {r: metrics[r] for r in A.REASONS if metrics[r]}
+    counters = {"read": metrics["read"], "kept": metrics["kept"], "rejected": metrics["read"] - metrics["kept"]}
 
     # repeated keys (a URL crawled twice) are ordered by the remaining columns
     tiebreak = [c for c, t in cleaned.dtypes if c != key and t in ("string", "bigint", "int")]

@@ -157,3 +157,16 @@ def test_local_text_epoch(spark):
 
     df = spark.createDataFrame([("2025-04-06 18:30:59",)], "s string")
     assert df.select(T.local_text_epoch("s").alias("e")).first().e == 1743939059
+
+
+@needs(RAW_VTV)
+@pytest.mark.parametrize("variant", ["a", "b", "c", "d"])
+def test_clean_with_reason_matches_operators(spark, variant):
+    raw = io.scan_raw_json(spark, RAW_VTV)
+    tagged = A.clean_with_reason(raw, variant)
+    kept = sorted(tuple(r) for r in tagged.filter(F.col("reason") == "kept").drop("reason").collect())
+    op = A.clean_article_a(raw) if variant == "a" else A.clean_article_narrow(raw, variant)
+    assert kept == sorted(tuple(r) for r in op.collect())
+    reasons = {r.reason: r.n for r in tagged.groupBy("reason").agg(F.count("*").alias("n")).collect()}
+    old = {r.reason: r.n for r in A.reject_reason(raw, variant).groupBy("reason").agg(F.count("*").alias("n")).collect()}
+    assert reasons == old
