@@ -180,29 +180,10 @@ def reject_reason(df: DataFrame, variant: str = "a", carry_bug: bool = False) ->
     """Every input row with the first rule that rejects it (``kept`` otherwise).
 
     Reasons in rule order: ``missing_key``, ``empty_title`` (A) /
-    ``empty_summary`` (B-D), ``empty_content``, ``short_content``.
+    ``empty_summary`` (B-D), ``empty_content``, ``short_content``.  Same pass
+    as :func:`clean_with_reason` (defined below).
     """
-    df = drop_unparsed(df)
-    fn = cleaner(variant, carry_bug)
-    if variant == "a":
-        keys, head, head_reason = REQUIRED_A, "title", "empty_title"
-    else:
-        keys, head, head_reason = REQUIRED_BCD, "summary", "empty_summary"
-    cleaned = df.select(
-        "*",
-        has_keys(df, keys).alias("_ok_keys"),
-        fn(head).alias("_head"),
-        fn("content").alias("_content"),
-    )
-    nw = T.spaced_word_count("_content") if variant == "b" else T.word_count("_content")
-    reason = (
-        F.when(~F.col("_ok_keys"), "missing_key")
-        .when(F.col("_head") == "", head_reason)
-        .when(F.col("_content") == "", "empty_content")
-        .when(nw < T.MIN_CONTENT_WORDS, "short_content")
-        .otherwise("kept")
-    )
-    return cleaned.withColumn("reason", reason).drop("_ok_keys", "_head", "_content")
+    return clean_with_reason(df, variant, carry_bug)
 
 
 # ---------------------------------------------------------------------------
