@@ -138,13 +138,18 @@ def with_chunks(df, outputs: dict, max_words: int = MAX_WORDS, carry_bug: bool =
     keeps them apart because collapsing would duplicate the expensive array.
     ``joined=True`` yields the N4 string, else the array of pieces.
     """
-    tmp = {f"_sents_{k}": split_sentences(v, collapsed=True) for k, v in outputs.items()}
+    from corpusforge.operators.plan_utils import pinned, with_pinned
+
+    # 1) cleaned text in its own (code-generated) projection
+    df = with_pinned(df, {f"_text_{k}": v for k, v in outputs.items()})
+    # 2) sentences from the text column; 3) re-pack from the sentence column
+    tmp = {f"_sents_{k}": pinned(split_sentences(F.col(f"_text_{k}"), collapsed=True)) for k in outputs}
     df = df.withColumns(tmp)
     final = {}
     for k in outputs:
         pieces = chunk_sentences(F.col(f"_sents_{k}"), max_words, carry_bug)
         final[k] = join_pieces(pieces) if joined else pieces
-    return df.withColumns(final).drop(*tmp.keys())
+    return df.withColumns(final).drop(*tmp.keys(), *[f"_text_{k}" for k in outputs], "_pin")
 
 
 def join_pieces(pieces) -> Column:

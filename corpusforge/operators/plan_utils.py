@@ -54,3 +54,22 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def with_pinned(df: DataFrame, cols: dict) -> DataFrame:
+    """Add ``cols`` in a projection that Catalyst keeps separate from its consumers.
+
+    Catalyst inlines a projection into the next one when each alias is used
+    once.  That is harmful when the consumer is a higher-order function
+    (``transform``/``filter``/``aggregate`` are interpreted, with no common
+    subexpression elimination): the inlined regex chain then runs outside
+    code generation, and sub-expressions it repeats run repeatedly.  A
+    partition-id marker in the same projection, read by :func:`pinned`,
+    stops the inlining.  Drop ``_pin`` when done.
+    """
+    return df.withColumns({**cols, "_pin": F.spark_partition_id()})
+
+
+def pinned(col: Column) -> Column:
+    """Reference a column added by :func:`with_pinned` (keeps the projection apart)."""
+    return F.when(F.col("_pin") >= 0, col)
