@@ -170,3 +170,31 @@ def test_clean_with_reason_matches_operators(spark, variant):
     reasons = {r.reason: r.n for r in tagged.groupBy("reason").agg(F.count("*").alias("n")).collect()}
     old = {r.reason: r.n for r in A.reject_reason(raw, variant).groupBy("reason").agg(F.count("*").alias("n")).collect()}
     assert reasons == old
+
+
+def test_stream_dedupe_drops_late_duplicate_across_batches(spark):
+    from corpusforge.streaming import stream as STR
+
+    d = tempfile.mkdtemp(prefix="cf-late-", dir="/tmp")
+    src = f"{d}/raw"
+    os.makedirs(src)
+    rows = [
+        ("a_1.json", {"url": "u1", "source": "s", "category": "c", "scraped_at": "2025-05-07 10:00:00",
+                      "summary": "x", "content": "first"}),
+        ("b_2.json", {"url": "u2", "source": "s", "category": "c", "scraped_at": "2025-05-07 11:00:00",
+                      "summary": "x", "content": "other"}),
+        ("c_3.json", {"url": "u1", "source": "s", "category": "c", "scraped_at": "2025-05-07 12:00:00",
+                      "summary": "x", "content": "late copy"}),
+    ]
+    import time
+
+    base = time.time() - 3600
+    for k, (name, obj) in enumerate(rows):
+        path = os.path.join(src, name)
+        with open(path, "w", encoding="utf-8") as f:
+            json.dump(obj, f, indent=2)
+        os.utime(path, (base + 10 * k, base + 10 * k))  # the file source orders by modification time
+    stream = STR.read_raw_stream(spark, src, max_files_per_trigger=1)  # one file per micro-batch
+    STR.run_to_files(STR.dedupe_stream(stream).drop("scraped_ts"), f"{d}/out", f"{d}/ck")
+    got = {(r.url, r.content) for r in spark.read.parquet(f"{d}/out").collect()}
+    assert got == {("u1", "first"), ("u2", "other")}
