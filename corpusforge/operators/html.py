@@ -109,12 +109,15 @@ def element_pattern(tag: str, cls: str | None = None) -> str:
 
 
 def first_element_text(html, tag_classes) -> Column:
-    """Stripped text of the first element matched by the first (tag, class) that matches; null if none."""
+    """Stripped text of the first element matched by the first (tag, class) that matches; null if none.
+
+    ``regexp_substr`` finds the whole element in one scan of the page (null
+    when absent); the open/close tags are then cut from that small match."""
     out = None
     for tag, cls in tag_classes:
-        pat = element_pattern(tag, cls)
-        val = T.py_strip(inner_text(F.regexp_extract(_c(html), pat, 1)))
-        branch = F.when(_c(html).rlike(pat), val)
+        element = F.regexp_substr(_c(html), F.lit(element_pattern(tag, cls)))
+        inner = F.regexp_replace(element, r"(?is)^" + _open_tag(tag, cls) + r"|</" + tag + r"\s*>$", "")
+        branch = T.py_strip(inner_text(inner))
         out = branch if out is None else F.coalesce(out, branch)
     return out
 
