@@ -43,16 +43,32 @@ def _pairs(texts: DataFrame, text_col: str, keep=()) -> DataFrame:
     return p.select(*keep, "i", F.col("p.w").alias("w"), F.col("p.w_next").alias("w_next"))
 
 
+def ngram_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
+    """Unigram and adjacent-bigram counts of word tokens in one pass.
+
+    One tokenisation and one explode of ``(w, w_next)``, one aggregate with
+    ``GROUPING SETS ((w), (w, w_next))`` (partial aggregation combines hot
+    words map-side).  Output ``w, w_next, n``; ``w_next`` is null on unigram
+    rows.  Punctuation tokens break pairs.
+    """
+    p = _pairs(texts, text_col).filter(TK.is_word_token("w"))
+    p = p.withColumn("w_next", F.when(TK.is_word_token("w_next"), F.col("w_next")))
+    g = p.groupingSets([["w"], ["w", "w_next"]], "w", "w_next").agg(
+        F.count(F.lit(1)).alias("n"), F.grouping_id().alias("_g")
+    )
+    # pair rows whose right token is not a word (or absent) are dropped
+    return g.filter((F.col("_g") == 1) | F.col("w_next").isNotNull()).select("w", "w_next", "n")
+
+
 def unigram_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
-    """``w, n`` over word tokens (partial aggregate: hot words combine map-side)."""
-    w = explode_computed(texts, TK.tokens(text_col), [], None, "w").filter(TK.is_word_token("w"))
-    return w.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    """``w, n`` over word tokens."""
+    return ngram_counts(texts, text_col).filter(F.col("w_next").isNull()).select("w", "n")
 
 
 def bigram_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
-    """``w1, w2, n12`` over adjacent word tokens (punctuation breaks a pair)."""
-    p = _pairs(texts, text_col).filter(TK.is_word_token("w") & TK.is_word_token("w_next"))
-    return p.groupBy(F.col("w").alias("w1"), F.col("w_next").alias("w2")).agg(F.count(F.lit(1)).alias("n12"))
+    """``w1, w2, n12`` over adjacent word tokens."""
+    c = ngram_counts(texts, text_col).filter(F.col("w_next").isNotNull())
+    return c.select(F.col("w").alias("w1"), F.col("w_next").alias("w2"), F.col("n").alias("n12"))
 
 
 def bigram_lexicon(texts: DataFrame, text_col: str = "text", min_count: int = MIN_COUNT,
@@ -60,12 +76,16 @@ def bigram_lexicon(texts: DataFrame, text_col: str = "text", min_count: int = MI
     """``w1, w2, n12, n1, n2`` for pairs with ``n12 >= min_count`` and
     ``n12 * N >= pmi_ratio * n1 * n2`` (N = word tokens in the corpus).
 
-    The unigram table feeds three consumers (both joins and the total); it is
-    written once under the shared checkpoint folder.  Pairs are pruned by
-    ``min_count`` before the joins."""
-    uni = materialize(unigram_counts(texts, text_col), "unigrams")
+    The n-gram table (one tokenisation pass) feeds four consumers (the pair
+    side, both unigram joins and the corpus total); it is written once under
+    the shared checkpoint folder.  Pairs are pruned by ``min_count`` before
+    the joins."""
+    counts = materialize(ngram_counts(texts, text_col), "ngrams")
+    uni = counts.filter(F.col("w_next").isNull()).select("w", "n")
     total = uni.agg(F.sum("n")).scalar()  # scalar subquery: the corpus token count
-    bi = bigram_counts(texts, text_col).filter(F.col("n12") >= min_count)
+    bi = counts.filter(F.col("w_next").isNotNull() & (F.col("n") >= min_count)).select(
+        F.col("w").alias("w1"), F.col("w_next").alias("w2"), F.col("n").alias("n12")
+    )
     u1 = uni.select(F.col("w").alias("w1"), F.col("n").alias("n1"))
     u2 = uni.select(F.col("w").alias("w2"), F.col("n").alias("n2"))
     j = bi.join(u1, "w1").join(u2, "w2")
