@@ -19,7 +19,6 @@ DEFAULTS = (
     ("spark.sql.adaptive.enabled", "true", "true"),
     ("spark.sql.adaptive.coalescePartitions.enabled", "true", "true"),
     ("spark.sql.adaptive.skewJoin.enabled", "true", "true"),
-    ("spark.sql.execution.arrow.pyspark.enabled", "false", "true"),
     # Pandas UDFs here take whole pages / texts per row: keep Arrow batches
     # small enough for the Python worker's memory.
     ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"),
