@@ -54,14 +54,19 @@ def build_corpus(
     carry_bug: bool = False,
     split_format: str = "csv",
     dedupe_urls: bool = False,
-) -> CorpusResult:
+    skip_if_done: bool = True,
+) -> CorpusResult | None:
     """Run the whole corpus preparation and write ``clean/``, ``splits/`` and ``stats/``.
 
     ``key`` orders the seeded split (default: ``id`` for variant A, ``url``
     otherwise).  ``tokenize`` adds ``tokenized_*`` columns (W1).
     ``dedupe_urls`` keeps one raw article per URL (earliest crawl) first.
+    With ``skip_if_done`` an existing stats output means the corpus was
+    already built: nothing runs and ``None`` is returned (K7).
     """
     out = out_dir.rstrip("/")
+    if skip_if_done and io.path_exists(spark, f"{out}/stats"):
+        return None
     key = key or ("id" if variant == "a" else "url")
     if dedupe_urls:
         raw = A.dedupe_by_url(raw)

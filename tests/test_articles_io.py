@@ -127,6 +127,7 @@ def test_build_corpus_end_to_end(spark):
     assert sum(st.sources.asDict().values()) == 227
     clean = spark.read.parquet(res.clean_path)
     assert "tokenized_content" in clean.columns and clean.count() == 227
+    assert build_corpus(spark, raw, d, variant="d") is None  # rerun guard: already built
 
 
 def test_raw_sink_and_compaction(spark):
