@@ -43,31 +43,27 @@ def _pairs(texts: DataFrame, text_col: str, keep=()) -> DataFrame:
     return p.select(*keep, "i", F.col("p.w").alias("w"), F.col("p.w_next").alias("w_next"))
 
 
-def ngram_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
-    """Unigram and adjacent-bigram counts of word tokens in one pass.
+def pair_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
+    """``w, w_next, n`` for every word token ``w`` and its right neighbour.
 
-    One tokenisation and one explode of ``(w, w_next)``, one aggregate with
-    ``GROUPING SETS ((w), (w, w_next))`` (partial aggregation combines hot
-    words map-side).  Output ``w, w_next, n``; ``w_next`` is null on unigram
-    rows.  Punctuation tokens break pairs.
+    ``w_next`` is null at the end of a text or when the neighbour is not a
+    word token, so every word token is counted exactly once: unigram counts
+    are sums over this table (no second pass over the tokens).  One
+    tokenisation, one explode, one partial aggregate.
     """
     p = _pairs(texts, text_col).filter(TK.is_word_token("w"))
-    p = p.withColumn("w_next", F.when(TK.is_word_token("w_next"), F.col("w_next")))
-    g = p.groupingSets([["w"], ["w", "w_next"]], "w", "w_next").agg(
-        F.count(F.lit(1)).alias("n"), F.grouping_id().alias("_g")
-    )
-    # pair rows whose right token is not a word (or absent) are dropped
-    return g.filter((F.col("_g") == 1) | F.col("w_next").isNotNull()).select("w", "w_next", "n")
+    p = p.select("w", F.when(TK.is_word_token("w_next"), F.col("w_next")).alias("w_next"))
+    return p.groupBy("w", "w_next").agg(F.count(F.lit(1)).alias("n"))
 
 
 def unigram_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
     """``w, n`` over word tokens."""
-    return ngram_counts(texts, text_col).filter(F.col("w_next").isNull()).select("w", "n")
+    return pair_counts(texts, text_col).groupBy("w").agg(F.sum("n").alias("n"))
 
 
 def bigram_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
-    """``w1, w2, n12`` over adjacent word tokens."""
-    c = ngram_counts(texts, text_col).filter(F.col("w_next").isNotNull())
+    """``w1, w2, n12`` over adjacent word tokens (punctuation breaks a pair)."""
+    c = pair_counts(texts, text_col).filter(F.col("w_next").isNotNull())
     return c.select(F.col("w").alias("w1"), F.col("w_next").alias("w2"), F.col("n").alias("n12"))
 
 
@@ -76,14 +72,14 @@ def bigram_lexicon(texts: DataFrame, text_col: str = "text", min_count: int = MI
     """``w1, w2, n12, n1, n2`` for pairs with ``n12 >= min_count`` and
     ``n12 * N >= pmi_ratio * n1 * n2`` (N = word tokens in the corpus).
 
-    The n-gram table (one tokenisation pass) feeds four consumers (the pair
-    side, both unigram joins and the corpus total); it is written once under
+    The pair table (one tokenisation pass) feeds the pair side and, summed per
+    word, both unigram joins and the corpus total; it is written once under
     the shared checkpoint folder.  Pairs are pruned by ``min_count`` before
     the joins."""
-    counts = materialize(ngram_counts(texts, text_col), "ngrams")
-    uni = counts.filter(F.col("w_next").isNull()).select("w", "n")
-    total = uni.agg(F.sum("n")).scalar()  # scalar subquery: the corpus token count
-    bi = counts.filter(F.col("w_next").isNotNull() & (F.col("n") >= min_count)).select(
+    pairs = materialize(pair_counts(texts, text_col), "pairs")
+    uni = pairs.groupBy("w").agg(F.sum("n").alias("n"))
+    total = pairs.agg(F.sum("n")).scalar()  # scalar subquery: the corpus word-token count
+    bi = pairs.filter(F.col("w_next").isNotNull() & (F.col("n") >= min_count)).select(
         F.col("w").alias("w1"), F.col("w_next").alias("w2"), F.col("n").alias("n12")
     )
     u1 = uni.select(F.col("w").alias("w1"), F.col("n").alias("n1"))
