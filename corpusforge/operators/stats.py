@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-GROUPING_KINDS = ("split", "source", "category")
 
 
 def value_counts(df: DataFrame, col: str, name: str = "n") -> DataFrame:

@@ -523,7 +523,6 @@ register("extract_strict_nested")(
 # ---------------------------------------------------------------------------
 # W*: tokenisation and the compound lexicon
 # ---------------------------------------------------------------------------
-from corpusforge.functions import tokens as TK  # noqa: E402
 from corpusforge.operators import tokens as W  # noqa: E402
 
 _W_SQL = "[\\p{L}\\p{N}_]"
