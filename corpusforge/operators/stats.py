@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-
 def value_counts(df: DataFrame, col: str, name: str = "n") -> DataFrame:
     """Count per non-null value, most frequent first (ties by value)."""
     return (
