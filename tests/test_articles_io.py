@@ -199,3 +199,13 @@ def test_stream_dedupe_drops_late_duplicate_across_batches(spark):
     STR.run_to_files(STR.dedupe_stream(stream).drop("scraped_ts"), f"{d}/out", f"{d}/ck")
     got = {(r.url, r.content) for r in spark.read.parquet(f"{d}/out").collect()}
     assert got == {("u1", "first"), ("u2", "other")}
+
+
+@needs(RAW_ECONOMY)
+def test_cli_build(spark, capsys):
+    from corpusforge.__main__ import main
+
+    d = tempfile.mkdtemp(prefix="cf-cli-", dir="/tmp")
+    assert main(["build", "--raw", RAW_ECONOMY, "--out", f"{d}/c", "--variant", "b", "--dedupe-urls"]) == 0
+    res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert res["counters"] == {"read": 152, "kept": 98, "rejected": 54}
