@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusforge.llm import lines, mixing, near, packing, quality, sql
+from corpusforge.llm import chat, html, lines, mixing, near, packing, quality, sql, tokens, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"pipeline": corpus_pipeline.run}
 SQL: dict[str, str] = dict(sql.ORACLES)
@@ -33,11 +33,31 @@ def op2_mix_sources(documents: DataFrame) -> DataFrame:
     return mixing.mix_table(documents)
 
 
+@register("pages")
+def op3_html_extract(pages: DataFrame) -> DataFrame:
+    return html.main_text(pages)
+
+
+@register("conversations")
+def op4_chat_prefix_trees(conversations: DataFrame) -> DataFrame:
+    return chat.format_table(conversations)
+
+
+@register("embeddings")
+def op5_embedding_dedup(embeddings: DataFrame) -> DataFrame:
+    return vectors.vector_classes(embeddings)
+
+
 @register("documents")
 def op6_line_dedup(documents: DataFrame) -> DataFrame:
     return lines.line_digest(documents)
 
 
+@register("documents")
+def op7_token_counts(documents: DataFrame) -> DataFrame:
+    return tokens.count_table(documents)
+
+
 @register("documents")
 def op8_pack_sequences(documents: DataFrame) -> DataFrame:
     return packing.pack(documents)
@@ -46,3 +66,8 @@ def op8_pack_sequences(documents: DataFrame) -> DataFrame:
 @register("documents")
 def op9_quality_rules(documents: DataFrame) -> DataFrame:
     return quality.quality_table(documents)
+
+
+@register("pages")
+def op10_warc_zstd(pages: DataFrame) -> DataFrame:
+    return warc.archive_table(pages)

@@ -91,4 +91,49 @@ FROM base
 """
 
 
-ORACLES = {"op2_mix_sources": OP2, "op6_line_dedup": OP6, "op9_quality_rules": _op9()}
+#: Number, in the eight-digit base-32 groups of a hexadecimal SHA-1, of each character.
+BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, {5 * g + 1}, 5))::INT >> {15 - 5 * k}) & 31) + 1, 1)"
+    for g in range(8) for k in range(4))
+
+OP10 = f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+q AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, payload_bytes, {BASE32} AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to, NULL::VARCHAR AS error
+FROM q
+"""
+
+_ESCAPED = r"replace(replace(replace({x}, '\', '\\'), '### ', '\### '), '</turn>', '\</turn>')"
+
+OP4 = rf"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+), f AS (
+  SELECT *, length({_ESCAPED.format(x="text")}) + length(role) + length('### : </turn>') + 1 AS n FROM t
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(n)::BIGINT AS formatted_chars
+FROM f GROUP BY conv_id
+"""
+
+OP5 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach AS (
+  SELECT vec_id AS node, vec_id AS seen FROM embeddings
+  UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.seen
+), least AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node)
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE a = e.vec_id) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN least ON node = e.vec_id
+"""
+
+ORACLES = {"op2_mix_sources": OP2, "op4_chat_prefix_trees": OP4, "op5_embedding_dedup": OP5, "op6_line_dedup": OP6, "op9_quality_rules": _op9(),
+           "op10_warc_zstd": OP10}
