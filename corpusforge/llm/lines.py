@@ -33,6 +33,7 @@ from corpusforge.session import scratch_path
 STRIP = b" \t\n\x0b\x0c\r"
 MIN_CHARS = 10
 LAST = (1 << 63) - 1
+RUN = "k1 bigint, k2 bigint, owner bigint, shared boolean"  # owner: null if an older run holds the key
 
 
 def line_key(line: bytes, min_chars: int = MIN_CHARS) -> bytes | None:
@@ -131,7 +132,7 @@ class LineRuns:
             new = new.unionByName(held.select("k1", "k2", F.lit(None).cast("bigint").alias("owner"), F.lit(True).alias("shared")))
         self.levels[0].append(self._write(new))
         # read by path, without the buckets: both sides are shuffled, so Spark can split a key that many documents hold
-        shared = self.spark.read.parquet(f"{self.root}/{self.made}").filter("shared").select(F.col("k1").alias("s1"), F.col("k2").alias("s2"), "owner")
+        shared = self.spark.read.schema(RUN).parquet(f"{self.root}/{self.made}").filter("shared").select(F.col("k1").alias("s1"), F.col("k2").alias("s2"), "owner")
         self._compact()
         return (keys.join(shared, (F.col("k1") == F.col("s1")) & (F.col("k2") == F.col("s2")))
                 .filter("owner IS NULL OR id <> owner").select("id", "k1", "k2"))

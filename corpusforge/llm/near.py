@@ -16,8 +16,8 @@ each pair of blocks a group of its own, so no group is unbounded; a group
 emits only links that join two components (at most members - 1), never all
 pairs.  Each pair is handled in the first bucket that its texts share.
 
-Defined results: a null or wordless text links with nothing, not even with
-equal ones (there is nothing to compare); a text of under five words is one
+Defined results: a null text is empty; equal texts are copies, empty ones
+too, but a wordless text is near no other; a text of under five words is one
 window; rows without doc_id have no class and stay; rows that
 share a doc_id are classed each by its own text; extra columns are not read;
 an empty table gives an empty table.
@@ -213,27 +213,29 @@ def near_links(texts: DataFrame, block: int = BLOCK) -> DataFrame:
     return full.mapInPandas(_links, "a bigint, b bigint, similarity double")
 
 
+def _key(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
 def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, ``class_id`` (the smallest doc_id of its class), ``kept`` and ``key`` (of the text)."""
-    base = docs.select(docs[doc_id].alias("id"), F.unhex(F.md5(docs[text])).alias("key"), signatures(docs[text]).alias("s"))
+    base = docs.select(docs[doc_id].alias("id"), _key(docs[text]).alias("key"), signatures(docs[text]).alias("s"))
     base = materialize(base.select("id", "key", "s.*"), "signatures")
-    known = base.filter("id IS NOT NULL AND n > 0")
-    equal = known.groupBy("key").agg(F.min("id").alias("id"))
-    texts = known.join(equal, ["key", "id"]).dropDuplicates(["key"]).select("key", "id", "sketch", "seq")
+    equal = base.filter("id IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"))
+    texts = base.filter("n > 0").join(equal, ["key", "id"]).dropDuplicates(["key"]).select("key", "id", "sketch", "seq")
     links = materialize(near_links(texts).select("a", "b"), "near-links")
     classes = components(links)
     named = equal.join(classes, equal.id == classes.node, "left").select("key", F.coalesce("component", "id").alias("class"))
-    out = base.select("id", "key", F.expr("id IS NOT NULL AND n > 0").alias("known")).join(named, "key", "left")
-    out = out.select(F.col("id").alias("doc_id"), F.expr("if(known, class, id)").alias("class_id"), "key")
+    out = base.select("id", "key").join(named, "key", "left")
+    out = out.select(F.col("id").alias("doc_id"), F.expr("if(id IS NULL, NULL, class)").alias("class_id"), "key")
     return out.withColumn("kept", F.expr("coalesce(doc_id = class_id, true)"))
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each class, with all its columns; documents without doc_id or words all stay."""
+    """One document of each class, with all its columns; documents without doc_id all stay."""
     gone = near_classes(docs, doc_id, text).filter("NOT kept").select(F.col("doc_id").alias("g1"), F.col("key").alias("g2")).distinct()
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[doc_id].alias("id"), F.unhex(F.md5(docs[text])).alias("key"),
-                       docs[text].alias("text"))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[doc_id].alias("id"), _key(docs[text]).alias("key"))
     rows = rows.join(gone, (F.col("id") == F.col("g1")) & (F.col("key") == F.col("g2")), "left_anti")
-    # a row that repeats doc_id and text of another is a copy too
-    worded = F.coalesce(F.col("id").isNotNull() & F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    return rows.filter(worded).dropDuplicates(["id", "key"]).unionByName(rows.filter(~worded)).select("row.*")
+    # a row that repeats doc_id and text of another is a copy too; rows without doc_id are told apart by a number
+    rows = rows.withColumn("alone", F.when(F.col("id").isNull(), F.monotonically_increasing_id()))
+    return rows.dropDuplicates(["id", "key", "alone"]).select("row.*")
