@@ -39,7 +39,7 @@ def main(argv=None) -> int:
         split_format=args.split_format, dedupe_urls=args.dedupe_urls,
     )
     if res is None:
-        print(json.dumps({"skipped": True, "reason": "stats output exists"}))
+        print(json.dumps({"skipped": True, "reason": "the stats output is complete"}))
     else:
         print(json.dumps({"clean": res.clean_path, "splits": res.splits_path, "stats": res.stats_path,
                           "counters": res.counters, "rejects": res.rejects}))

@@ -197,8 +197,8 @@ def summary_fallback(summary, content, n: int = SUMMARY_FALLBACK_WORDS) -> Colum
 
 
 def article_id(source, url) -> Column:
-    """T17 (deterministic form): ``{source}_{first 16 hex of md5(url)}``."""
-    return F.concat_ws("_", null_to_empty(source), F.substring(F.md5(null_to_empty(url)), 1, 16))
+    """T17 (deterministic form): ``{source}_{md5(url)}``, the whole digest."""
+    return F.concat_ws("_", null_to_empty(source), F.md5(null_to_empty(url)))
 
 
 def default_fields(*cols: str) -> list[Column]:
@@ -219,13 +219,13 @@ def raw_file_name(source, scraped_epoch, category) -> Column:
 def local_text_epoch(text, utc_offset_seconds: int = 7 * 3600) -> Column:
     """Epoch seconds of a zone-less ``yyyy-MM-dd HH:mm:ss`` local time with a
     fixed UTC offset, computed from its fields (independent of the session
-    time zone)."""
+    time zone); null if the text is no such time."""
     t = _c(text)
-    day = F.datediff(F.to_date(F.substring(t, 1, 10)), F.lit("1970-01-01").cast("date")).cast("bigint")
+    day = F.datediff(F.substring(t, 1, 10).try_cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
     hms = (
-        F.substring(t, 12, 2).cast("bigint") * 3600
-        + F.substring(t, 15, 2).cast("bigint") * 60
-        + F.substring(t, 18, 2).cast("bigint")
+        F.substring(t, 12, 2).try_cast("bigint") * 3600
+        + F.substring(t, 15, 2).try_cast("bigint") * 60
+        + F.substring(t, 18, 2).try_cast("bigint")
     )
     return day * 86400 + hms - utc_offset_seconds
 

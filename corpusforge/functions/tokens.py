@@ -23,7 +23,6 @@ from corpusforge.functions import text as T
 
 W = "[" + T.WORD_BODY + "]"
 TOKEN = W + "+(?:[.,\\-/]" + W + "+)*|[^" + T.WORD_BODY + T.WS_BODY + "]"
-WORD_TOKEN = "^" + W + "+(?:[.,\\-/]" + W + "+)*$"
 
 
 def _c(col) -> Column:
@@ -45,7 +44,3 @@ def tokenize(col, tokenizer: Callable[[str], list[str]] | None = None) -> Column
         return s.map(lambda x: " ".join(tokenizer(x)) if isinstance(x, str) else "")
 
     return _seg(_c(col))
-
-
-def is_word_token(col) -> Column:
-    return _c(col).rlike(WORD_TOKEN)

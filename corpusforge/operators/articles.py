@@ -108,12 +108,6 @@ def cleaner(variant: str, carry_bug: bool = False):
     return fn
 
 
-def clean_columns(df: DataFrame, variant: str, cols=("summary", "content"), carry_bug: bool = False) -> DataFrame:
-    """Apply one cleaner to several columns in a single projection."""
-    fn = cleaner(variant, carry_bug)
-    return df.withColumns({c: fn(c) for c in cols})
-
-
 def clean_article_a(raw: DataFrame) -> DataFrame:
     """Article operator A: P1 -> clean A (title/summary/content) -> P2a -> T16 -> T17/T18.
 
@@ -191,15 +185,27 @@ def reject_reason(df: DataFrame, variant: str = "a", carry_bug: bool = False) ->
 # ---------------------------------------------------------------------------
 def dedupe_by_url(raw: DataFrame, order_cols=("scraped_at", "_file")) -> DataFrame:
     """Keep one raw article per ``url``: the one with the smallest
-    ``order_cols`` (earliest ``scraped_at``, then file name).
+    ``order_cols`` (earliest ``scraped_at``, then file name).  Articles
+    without a URL are not copies of each other: all stay.
 
     ``min_by`` aggregates partially on the map side, so a URL crawled in a
     third of all files costs one partial row per task.
     """
     order = [c for c in order_cols if c in raw.columns] or ["url"]
     cols = [c for c in raw.columns if c != "url"]
-    agg = raw.groupBy("url").agg(F.min_by(F.struct(*cols), F.struct(*order)).alias("_r"))
-    return agg.select("url", "_r.*").select(*raw.columns)
+    agg = raw.filter("url IS NOT NULL").groupBy("url").agg(F.min_by(F.struct(*cols), F.struct(*order)).alias("_r"))
+    return agg.select("url", "_r.*").select(*raw.columns).unionByName(raw.filter("url IS NULL"))
+
+
+# ---------------------------------------------------------------------------
+# Union of the sites' corpora
+# ---------------------------------------------------------------------------
+def union_sites(*corpora: DataFrame) -> DataFrame:
+    """One corpus of several sites' articles; a column that a site lacks is null there."""
+    out = corpora[0]
+    for c in corpora[1:]:
+        out = out.unionByName(c, allowMissingColumns=True)
+    return out
 
 
 REASONS = ("kept", "missing_key", "empty_title", "empty_summary", "empty_content", "short_content")

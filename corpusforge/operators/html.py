@@ -1,27 +1,21 @@
-"""Extraction from tables of HTML pages.
+"""Extraction from tables of HTML pages (X1-X16), all in JVM built-ins.
 
-Two tiers:
+Noise goes first (script, style, comments), then elements are cut out, then
+tags and entities go.  :func:`regions` cuts out every outermost element of a
+tag and class: the page is split at that tag's open and close tags and a fold
+counts the depth, so elements that nest in themselves (``div``) close where
+they should.  A selector is a path of ``tag.class`` steps, outermost first; a
+priority list of selectors takes the first that matches.
 
-* **regex tier** (JVM built-ins, DuckDB-checkable): works on elements that do
-  not nest inside themselves (``nav``, ``h1``, ``p``, ``a``, ``article``).
-  Noise first (script/style/comments), then tags, then entities.
-* **parser tier** (Arrow-batched pandas UDF over the stdlib ``html.parser``):
-  selector priority lists and class-scoped regions that may nest
-  (``div.detail__content``).  Each page is parsed once per UDF call and all
-  requested fields come back as one struct.
-
-Pages are independent, so both tiers are narrow (no shuffle); only link
-dedupe (X6) and the link->page join (X16) shuffle.
+Pages are independent, so extraction is narrow (no shuffle); only link dedupe
+(X6) and the link->page join (X16) shuffle.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as TY
 
-from corpusforge.functions import html_select as H
 from corpusforge.functions import text as T
 from corpusforge.operators.plan_utils import explode_computed, filter_computed
 
@@ -53,9 +47,12 @@ BODY_SELECTORS = (
     "div.content-detail__content p", "article.fck_detail p:not(.author)", ".maincontent p", ".detail-content p",
     ".vnn-content p", ".article-body p", ".article-content p", ".content p",
 )
-# strict pairs: (summary element, content element) and the nested form (scope, summary, content)
+# strict pairs: (summary element, content element), and the form inside a scope
 STRICT_PAIR = ("h2.detail__summary", "div.detail__content")
-STRICT_NESTED = ("div.noidung", "h2.sapo", "div.ta-justify")
+STRICT_NESTED = ("div.noidung h2.sapo", "div.noidung div.ta-justify")
+# listing regions of two of the sites
+REGION_FEATURED = ("div", "zone zone--featured")
+REGION_TIMELINE = ("div", "list_news timeline")
 LINK_SUFFIX = ".htm"
 MIN_TITLE_CHARS = 10
 MIN_BODY_WORDS = 30
@@ -77,6 +74,19 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _step(text: str) -> tuple:
+    """``h1.title``, ``.title`` or ``h1`` as ``(tag, class)``; ``tag[name="value"]`` has the attribute for its class."""
+    if "[" in text:
+        return text[:text.index("[")], text[text.index("[") + 1:-1]
+    tag, _, cls = text.partition(".")
+    return tag or None, cls or None
+
+
+def path(selector) -> tuple:
+    """A selector's steps, outermost first; a path is returned as it is."""
+    return tuple(_step(x) for x in selector.split() if x != ">") if isinstance(selector, str) else selector
+
+
 # ---------------------------------------------------------------------------
 # regex tier building blocks
 # ---------------------------------------------------------------------------
@@ -97,34 +107,76 @@ def inner_text(fragment) -> Column:
     return decode_entities(F.regexp_replace(_c(fragment), ANY_TAG, ""))
 
 
-def _open_tag(tag: str, cls: str | None) -> str:
-    if cls is None:
-        return rf"<{tag}\b[^>]*>"
-    return rf"""<{tag}\b[^>]*?\bclass\s*=\s*["'](?:[^"']*\s)?{cls}(?:\s[^"']*)?["'][^>]*>"""
+ANY = 1 << 30
+
 
+def _has_class(cls: str) -> str:
+    """Pattern of an open tag, from its ``<``, that has every class of ``cls`` (or the given attribute)."""
+    if "=" in cls:
+        return r"(?is)^<[^>]*?\s" + cls.replace('"', "[\"']")
+    one = r"""(?=<[^>]*?\sclass\s*=\s*(?:"(?:[^"]*\s)?{c}(?:\s[^"]*)?"|'(?:[^']*\s)?{c}(?:\s[^']*)?'|{c}[\s>]))"""
+    return "(?is)^" + "".join(one.replace("{c}", c) for c in cls.split())
 
-def element_pattern(tag: str, cls: str | None = None) -> str:
-    """First ``<tag class~=cls>...</tag>`` of a non-self-nesting element; group 1 = inner HTML."""
-    return "(?is)" + _open_tag(tag, cls) + rf"(.*?)</{tag}\s*>"
 
+def _regions_of(html: Column, tag: Column, cls: str | None) -> Column:
+    """Inner HTML of every outermost ``<tag class~=cls>`` element; an unclosed one runs to the end."""
+    marked = F.regexp_replace(F.translate(html, "\u0001\u0002", ""), F.concat(F.lit("(?i)<(/?"), tag, F.lit("(?=[\\s/>])[^>]*)>")), F.lit("\u0001<$1>\u0002"))
+    pieces = F.slice(F.split(marked, "\u0001"), 2, ANY)
+    matches = (lambda x: F.lit(True)) if cls is None else (lambda x: x.rlike(_has_class(cls)))
 
-def first_element_text(html, tag_classes) -> Column:
-    """Stripped text of the first element matched by the first (tag, class) that matches; null if none.
+    def step(acc: Column, piece: Column) -> Column:
+        opens, depth = ~F.startswith(piece, F.lit("</")), acc["depth"]
+        starts, ends = (depth == 0) & opens & matches(piece), (depth == 1) & ~opens
+        return F.struct(
+            F.when(starts, 1).when(depth == 0, 0).when(opens, depth + 1).otherwise(depth - 1).alias("depth"),
+            F.when(starts, F.substring_index(piece, "\u0002", -1)).when((depth == 0) | ends, F.lit(""))
+            .otherwise(F.concat(acc["cur"], F.translate(piece, "\u0002", ""))).alias("cur"),
+            F.when(ends, F.concat(acc["out"], F.array(acc["cur"]))).otherwise(acc["out"]).alias("out"),
+        )
 
-    ``regexp_substr`` finds the whole element in one scan of the page (null
-    when absent); the open/close tags are then cut from that small match."""
-    out = None
-    for tag, cls in tag_classes:
-        element = F.regexp_substr(_c(html), F.lit(element_pattern(tag, cls)))
-        inner = F.regexp_replace(element, r"(?is)^" + _open_tag(tag, cls) + r"|</" + tag + r"\s*>$", "")
-        branch = T.py_strip(inner_text(inner))
-        out = branch if out is None else F.coalesce(out, branch)
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("cur"), F.array().cast("array<string>").alias("out"))
+    return F.aggregate(pieces, start, step, lambda acc: F.when(acc["depth"] > 0, F.concat(acc["out"], F.array(acc["cur"]))).otherwise(acc["out"]))
+
+
+def regions(html, tag: str | None, cls: str | None = None) -> Column:
+    """Inner HTML of every outermost element with this tag and class, in order.
+
+    With ``tag=None`` the class alone counts: the elements of each tag that
+    has it, tag by tag.  Pages without the class or tag skip the fold.
+    """
+    h = _c(html)
+    none = F.array().cast("array<string>")
+    if tag is not None:
+        word = cls.split()[0] if cls else "<" + tag
+        return F.when(F.instr(F.lower(h) if cls is None else h, word) > 0, _regions_of(h, F.lit(tag), cls)).otherwise(none)
+    open_tag = r"(?is)<([a-z][a-z0-9]*)(?=[\s/>])" + _has_class(cls)[6:].replace("<[^>]*?", "[^>]*?")
+    tags = F.array_distinct(F.transform(F.regexp_extract_all(h, F.lit(open_tag), 1), F.lower))
+    return F.when(F.instr(h, cls.split()[0]) > 0, F.flatten(F.transform(tags, lambda t: _regions_of(h, t, cls)))).otherwise(none)
+
+
+def select(html, selector) -> Column:
+    """Inner HTML of the elements that a selector matches."""
+    (tag, cls), *rest = path(selector)
+    out = regions(html, tag, cls)
+    for tag, cls in rest:
+        out = regions(F.array_join(out, ""), tag, cls)
     return out
 
 
-def region(html, tag: str = "nav", cls: str | None = None) -> Column:
-    """X1 region: inner HTML of the first listing region (noise removed)."""
-    return F.regexp_extract(drop_noise(html), element_pattern(tag, cls), 1)
+def select_text(html, selector) -> Column:
+    """Text of the first element that a selector matches, null if none, with its white space."""
+    return inner_text(F.get(select(html, selector), F.lit(0)))
+
+
+def first_text(html, selectors) -> Column:
+    """Stripped text of the first element of the first selector that matches; null if none does."""
+    return F.coalesce(*[T.py_strip(select_text(html, s)) for s in selectors])
+
+
+def region(html, tag: str = "nav", cls: str | None = None, every: bool = False) -> Column:
+    """X1 region: inner HTML of the first listing region, or of all of them (noise removed)."""
+    found = regions(drop_noise(html), tag, cls)
+    return F.array_join(found, "") if every else F.coalesce(F.get(found, F.lit(0)), F.lit(""))
 
 
 def hrefs(fragment) -> Column:
@@ -170,9 +222,9 @@ def page_category(url) -> Column:
 # ---------------------------------------------------------------------------
 # links
 # ---------------------------------------------------------------------------
-def extract_links(pages: DataFrame, region_tag: str = "nav", region_class: str | None = None) -> DataFrame:
-    """Every ``<a href>`` inside the listing region -> ``page_id, url, pos, href``."""
-    return explode_computed(pages, hrefs(region("html", region_tag, region_class)), ["page_id", "url"], "pos", "href")
+def extract_links(pages: DataFrame, region_tag: str = "nav", region_class: str | None = None, every: bool = False) -> DataFrame:
+    """Every ``<a href>`` inside the first listing region (or ``every`` one) -> ``page_id, url, pos, href``."""
+    return explode_computed(pages, hrefs(region("html", region_tag, region_class, every)), ["page_id", "url"], "pos", "href")
 
 
 def filter_link_suffix(links: DataFrame, suffix: str = LINK_SUFFIX, col: str = "href") -> DataFrame:
@@ -221,35 +273,101 @@ def page_links(pages: DataFrame, region_tag: str = "nav", region_class: str | No
 
 
 # ---------------------------------------------------------------------------
-# Article fields (regex tier)
+# Card links
 # ---------------------------------------------------------------------------
-def title_text(html, cleaned: bool = False) -> Column:
-    """X8 regex tier: the first ``h1`` (title selectors all end in ``h1``)."""
-    return first_element_text(_c(html) if cleaned else drop_noise(html), [("h1", None)])
+A_TAG = r"<a(?=[\s>])[^>]*>"
+# elements without inner tags that may stand before a direct child
+FLAT = r"[^<]*(?:<(\w+)\b[^>]*>[^<]*</\1\s*>[^<]*)*"
+
+
+def _card_href(card: Column, selector: str) -> Column:
+    """href of the first anchor that a link selector matches in a card; null without one or without an href."""
+    *outer, (_, cls) = path(selector)
+    if not outer:
+        tags = F.regexp_extract_all(card, F.lit("(?is)(" + A_TAG + ")"), 1)
+        tag = F.get(tags if cls is None else F.filter(tags, lambda t: t.rlike(_has_class(cls))), F.lit(0))
+    else:
+        inner = select(card, tuple(outer))
+        if ">" in selector:
+            tag = F.get(F.filter(F.transform(inner, lambda x: F.regexp_extract(x, "(?is)^" + FLAT + "(" + A_TAG + ")", 2)), lambda t: t != ""), F.lit(0))
+        else:
+            tag = F.nullif(F.regexp_extract(F.array_join(inner, ""), "(?is)" + A_TAG, 0), F.lit(""))
+    return F.get(hrefs(F.concat(tag, F.lit(" "))), F.lit(0))
+
 
+def card_links(html, cards=CARD_SELECTORS, links=CARD_LINK_SELECTORS) -> Column:
+    """One link per card, over all card selectors; in a card the first link selector whose anchor has an href."""
+    found = F.flatten(F.array(*[select(html, c) for c in cards]))
+    hs = F.transform(found, lambda card: F.coalesce(*[_card_href(card, x) for x in links]))
+    return F.array_distinct(F.filter(hs, lambda h: h.isNotNull()))
+
+
+def extract_card_links(pages: DataFrame, cards=CARD_SELECTORS, links=CARD_LINK_SELECTORS) -> DataFrame:
+    """X2 as rows ``page_id, url, pos, href``."""
+    return explode_computed(with_clean_html(pages), card_links("_clean", cards, links), ["page_id", "url"], "pos", "href")
+
+
+# ---------------------------------------------------------------------------
+# Article fields
+# ---------------------------------------------------------------------------
+def title_text(html, selectors=TITLE_SELECTORS) -> Column:
+    """The first title that the selectors match; null if none."""
+    return first_text(html, selectors)
 
-def body_text(html, scope_tag: str = "article", scope_class: str | None = None, cleaned: bool = False) -> Column:
-    """X11 regex tier: paragraphs of the scope element joined with newlines."""
-    scope = F.regexp_extract(_c(html) if cleaned else drop_noise(html), element_pattern(scope_tag, scope_class), 1)
-    return F.array_join(paragraph_texts(scope), "\n")
+
+def summary_text(html, selectors=SUMMARY_SELECTORS) -> Column:
+    """The first summary that the selectors match, else ''."""
+    return F.coalesce(first_text(html, selectors), F.lit(""))
+
+
+def time_text(html, selectors=TIME_SELECTORS) -> Column:
+    """The first publish time that the selectors match, else ''."""
+    return F.coalesce(first_text(html, selectors), F.lit(""))
+
+
+def _without_paragraphs(scope: Column, cls: str) -> Column:
+    """A fragment without its paragraphs of one class."""
+    return F.array_join(F.filter(F.split(scope, r"(?i)(?=<p\b)"), lambda x: ~x.rlike(_has_class(cls))), "")
+
+
+def body_text(html, selectors=BODY_SELECTORS) -> Column:
+    """X11: the paragraphs of the first selector (``scope p``) whose scope has any, joined with newlines, else ''."""
+    found = []
+    for s in selectors:
+        outer, _, last = s.rpartition(" ")
+        scope = F.array_join(select(html, outer), "")
+        if ":not(." in last:
+            scope = _without_paragraphs(scope, last[last.index("(.") + 2:-1])
+        found.append(F.when(scope.rlike(r"(?i)<p\b"), F.array_join(paragraph_texts(scope), "\n")))
+    return F.coalesce(*found, F.lit(""))
 
 
 def with_clean_html(pages: DataFrame) -> DataFrame:
     """Project the noise-free HTML once as ``_clean``.
 
-    Several fields read it; the paragraph split runs inside interpreted
-    higher-order functions, where no common-subexpression elimination applies,
-    so without the column the noise regex would run once per use.
+    Several fields read it, most of them inside interpreted higher-order
+    functions, where no common-subexpression elimination applies; without the
+    column the noise regex would run once per use.  The partition id keeps
+    Catalyst from inlining the projection again.
     """
-    return pages.withColumn("_clean", drop_noise("html"))
+    out = pages.withColumns({"_clean": drop_noise("html"), "_pin": F.spark_partition_id()})
+    return out.withColumn("_clean", F.when(F.col("_pin") >= 0, F.col("_clean"))).drop("_pin")
 
 
-def extract_title(pages: DataFrame) -> DataFrame:
-    return pages.select("page_id", title_text("html").alias("title"))
+def extract_field(pages: DataFrame, field, name: str, selectors=None) -> DataFrame:
+    """``page_id`` and one text field (:func:`title_text`, :func:`summary_text`, :func:`time_text` or :func:`body_text`)."""
+    value = field("_clean", selectors) if selectors is not None else field("_clean")
+    return with_clean_html(pages).select("page_id", value.alias(name))
 
 
-def extract_body(pages: DataFrame, scope_tag: str = "article") -> DataFrame:
-    return pages.select("page_id", body_text("html", scope_tag).alias("content"))
+def extract_strict(pages: DataFrame, pair=STRICT_PAIR, strip: bool = False) -> DataFrame:
+    """Both elements required, else the page is dropped; X13 is the same
+    with selectors inside a scope (``STRICT_NESTED``) and stripped text."""
+    summary, content = (select_text("_clean", p) for p in pair)
+    if strip:
+        summary, content = T.py_strip(summary), T.py_strip(content)
+    f = with_clean_html(pages).select("page_id", "url", summary.alias("summary"), content.alias("content"))
+    return filter_computed(f, F.col("summary").isNotNull() & F.col("content").isNotNull())
 
 
 def gate(title: Column, body: Column) -> Column:
@@ -257,148 +375,61 @@ def gate(title: Column, body: Column) -> Column:
     return title.isNotNull() & (F.char_length(title) >= MIN_TITLE_CHARS) & (T.word_count(body) >= MIN_BODY_WORDS)
 
 
-def gate_pages(pages: DataFrame) -> DataFrame:
-    p = with_clean_html(pages.select("page_id", "url", "html"))
-    f = p.select(
-        "page_id",
-        "url",
-        title_text("_clean", cleaned=True).alias("title"),
-        body_text("_clean", cleaned=True).alias("content"),
-    )
-    return filter_computed(f, gate(F.col("title"), F.col("content")))
+class Fields:
+    """The selector lists of a site, by field."""
+
+    def __init__(self, title=TITLE_SELECTORS, summary=SUMMARY_SELECTORS, pub_date=TIME_SELECTORS, content=BODY_SELECTORS):
+        self.title, self.summary, self.pub_date, self.content = title, summary, pub_date, content
+
 
+def gate_pages(pages: DataFrame, fields: Fields | None = None) -> DataFrame:
+    """``page_id, url, title, content`` of the pages that pass the gate."""
+    f = fields or Fields()
+    p = with_clean_html(pages).select("page_id", "url", title_text("_clean", f.title).alias("title"), body_text("_clean", f.content).alias("content"))
+    return filter_computed(p, gate(F.col("title"), F.col("content")))
 
-def pages_to_articles(pages: DataFrame, scraped_at: str = "1970-01-01 07:00:00", fields: DataFrame | None = None,
-                      use_parser: bool = False) -> DataFrame:
+
+def pages_to_articles(pages: DataFrame, scraped_at: str = "1970-01-01 07:00:00", fields: Fields | None = None) -> DataFrame:
     """Gated pages -> raw wide articles
-    ``title, summary, content, pub_date, category, url, source, scraped_at``.
+    ``page_id, title, summary, content, pub_date, category, url, source, scraped_at``.
 
-    ``scraped_at`` is a fixed argument so reruns are reproducible.  With
-    ``use_parser`` summary/pub_date come from the selector lists (parser tier);
-    the regex tier leaves them ``''`` unless a ``<h2 class=sapo>``/``<time>``
-    style element exists.
+    A page that was reached by a link (X16) has the link's ``source`` and
+    ``category`` as columns, which go into the article; else they come from
+    the page's own URL.  ``scraped_at`` is an argument so reruns are
+    reproducible.
     """
-    if use_parser:
-        f = parse_fields(pages, ("title", "summary", "content", "pub_date"))
-    else:
-        p = with_clean_html(pages.select("page_id", "url", "html"))
-        clean = F.col("_clean")
-        f = p.select(
-            "page_id",
-            "url",
-            title_text(clean, cleaned=True).alias("title"),
-            F.coalesce(first_element_text(clean, [("h2", "sapo")]), F.lit("")).alias("summary"),
-            body_text(clean, cleaned=True).alias("content"),
-            F.coalesce(first_element_text(clean, [("time", None)]), F.lit("")).alias("pub_date"),
-        )
-    f = filter_computed(f, gate(F.col("title"), F.col("content")))
-    return f.select(
+    f = fields or Fields()
+    linked = {"source", "category"} <= set(pages.columns)
+    p = with_clean_html(pages).select(
         "page_id",
-        "title",
-        "summary",
-        "content",
-        "pub_date",
-        page_category("url").alias("category"),
+        title_text("_clean", f.title).alias("title"),
+        summary_text("_clean", f.summary).alias("summary"),
+        body_text("_clean", f.content).alias("content"),
+        time_text("_clean", f.pub_date).alias("pub_date"),
+        (F.col("category") if linked else page_category("url")).alias("category"),
         "url",
-        page_source("url").alias("source"),
+        (F.col("source") if linked else page_source("url")).alias("source"),
         F.lit(scraped_at).alias("scraped_at"),
     )
+    return filter_computed(p, gate(F.col("title"), F.col("content")))
 
 
+# ---------------------------------------------------------------------------
+# Links -> fetched pages -> articles
+# ---------------------------------------------------------------------------
 def join_links_pages(links: DataFrame, pages: DataFrame) -> DataFrame:
-    """Each unique link is looked up among the fetched pages (equi inner join on url).
+    """Each unique link is looked up among the fetched pages (equi inner
+    join on url); the link's ``source`` and ``category`` go with the page.
 
     Both sides grow with the crawl, so no broadcast hint: AQE picks a
     broadcast only when the runtime size of a side is under its threshold.
     """
-    return links.join(pages.withColumnRenamed("url", "link_url"), F.col("url") == F.col("link_url"), "inner").drop(
-        "link_url"
-    )
+    return pages.drop("source", "category").join(links.select("url", "source", "category"), "url", "inner")
 
 
-# ---------------------------------------------------------------------------
-# Parser tier (X2, X9, X10, X12, X13 and full-selector X8/X11)
-# ---------------------------------------------------------------------------
-FIELDS_SCHEMA = TY.StructType(
-    [
-        TY.StructField("title", TY.StringType()),
-        TY.StructField("summary", TY.StringType()),
-        TY.StructField("pub_date", TY.StringType()),
-        TY.StructField("content", TY.StringType()),
-        TY.StructField("card_links", TY.ArrayType(TY.StringType())),
-        TY.StructField("strict_summary", TY.StringType()),
-        TY.StructField("strict_content", TY.StringType()),
-        TY.StructField("nested_summary", TY.StringType()),
-        TY.StructField("nested_content", TY.StringType()),
-    ]
-)
-
-
-def _fields_of(html: str | None, wanted) -> dict:
-    root = H.parse(html)
-    out = {}
-    if "title" in wanted:
-        out["title"] = H.first_text(root, TITLE_SELECTORS)
-    if "summary" in wanted:
-        out["summary"] = H.first_text(root, SUMMARY_SELECTORS) or ""
-    if "pub_date" in wanted:
-        out["pub_date"] = H.first_text(root, TIME_SELECTORS) or ""
-    if "content" in wanted:
-        out["content"] = H.paragraphs(root, BODY_SELECTORS)
-    if "card_links" in wanted:
-        out["card_links"] = H.card_links(root, CARD_SELECTORS, CARD_LINK_SELECTORS)
-    if "strict_summary" in wanted or "strict_content" in wanted:
-        # X12 keeps the text unstripped; a missing element drops the pair
-        ps, pc = H.select_one(root, STRICT_PAIR[0]), H.select_one(root, STRICT_PAIR[1])
-        ok = ps is not None and pc is not None
-        out["strict_summary"] = ps.text() if ok else None
-        out["strict_content"] = pc.text() if ok else None
-    if "nested_summary" in wanted or "nested_content" in wanted:
-        # Both inside the scope element, stripped
-        ns = H.scoped(root, STRICT_NESTED[0], STRICT_NESTED[1])
-        nc = H.scoped(root, STRICT_NESTED[0], STRICT_NESTED[2])
-        ok = ns is not None and nc is not None
-        out["nested_summary"] = ns.text().strip() if ok else None
-        out["nested_content"] = nc.text().strip() if ok else None
-    return {k: out[k] for k in wanted}
-
-
-def _fields_udf(wanted: tuple):
-    schema = TY.StructType([f for f in FIELDS_SCHEMA.fields if f.name in wanted])
-    names = [f.name for f in schema.fields]
-
-    @F.pandas_udf(schema)
-    def parse(html: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_fields_of(h, names) for h in html], columns=names)
-
-    return parse
-
-
-def parse_fields(pages: DataFrame, fields=tuple(f.name for f in FIELDS_SCHEMA.fields)) -> DataFrame:
-    """Parse each page once (Arrow batches) and return the requested parser-tier fields as columns."""
-    wanted = tuple(f.name for f in FIELDS_SCHEMA.fields if f.name in fields)
-    return pages.select("page_id", "url", _fields_udf(wanted)("html").alias("_f")).select("page_id", "url", "_f.*")
-
-
-def extract_card_links(pages: DataFrame) -> DataFrame:
-    """Card links (union over card selectors; first link selector with href)."""
-    return explode_computed(parse_fields(pages, ("card_links",)), F.col("card_links"), ["page_id", "url"], "pos", "href")
-
-
-def extract_summary(pages: DataFrame) -> DataFrame:
-    """First of the summary selectors, else ''."""
-    return parse_fields(pages, ("summary",)).select("page_id", "summary")
-
-
-def extract_pub_time(pages: DataFrame) -> DataFrame:
-    """First of the time selectors, else ''."""
-    return parse_fields(pages, ("pub_date",)).select("page_id", "pub_date")
-
-
-def extract_strict(pages: DataFrame, nested: bool = False) -> DataFrame:
-    """X12 (``nested=False``) / X13: both elements required, else the page is dropped."""
-    s, c = ("nested_summary", "nested_content") if nested else ("strict_summary", "strict_content")
-    f = parse_fields(pages, (s, c))
-    return f.filter(F.col(s).isNotNull() & F.col(c).isNotNull()).select(
-        "page_id", "url", F.col(s).alias("summary"), F.col(c).alias("content")
-    )
+def links_to_articles(listing: DataFrame, fetched: DataFrame, fields: Fields | None = None, region_tag: str = "nav",
+                      region_class: str | None = None, suffix: str | None = None) -> DataFrame:
+    """X1 -> X3 -> X4 -> X6 -> X16 -> X15: the links of listing pages, each once
+    and by its first sighting, looked up among the fetched pages and extracted."""
+    links = dedupe_links_first(page_links(listing, region_tag, region_class, suffix))
+    return pages_to_articles(join_links_pages(links, fetched), fields=fields)

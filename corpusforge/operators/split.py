@@ -1,21 +1,17 @@
 """Seeded shuffle and train/validation/test split.
 
-The exact split needs every row's global position in a seeded order.  A
-``Window.orderBy`` without a partition would pull the whole table into one
-task, so the rank is computed in two phases instead:
-
-1. hash every row (``md5('{seed}:{key}')``); its first ``prefix_hex`` hex digits
-   name a bucket.  Count rows per bucket (map-side partial aggregate; the
-   result has at most ``16**prefix_hex`` rows whatever the table size).
-2. prefix sums over that bounded bucket table give each bucket's offset; the
-   table is broadcast (its size bound is fixed by ``prefix_hex``), and a
-   ``row_number`` inside each bucket (a shuffle on the bucket, spread evenly
-   because md5 is uniform) plus the offset is the global rank.
-
-Buckets are ordered by the same hex prefix as the hash, so bucket order plus
-in-bucket order equals the global order.  The key should identify the row
-(an article id): equal keys get equal hashes, land in one bucket, and are
-ordered by the ``tiebreak`` columns so the result is the same on every run.
+Rows are ordered by ``md5('{seed}:{key}')``.  The exact split does not move
+them: rows are counted per hash bucket (``16**prefix_hex`` rows at most,
+whatever the table size), which shows the two buckets that hold the cut
+points; only those buckets' hashes are ranked, which gives two threshold
+hashes; every row is then labelled where it is, by comparing its own hash.
+
+The order itself (G1, :func:`global_rank`) is the position in the same order:
+``row_number`` inside each bucket plus the bucket's offset, for keys only.
+
+A null key is ordered as the empty string.  Equal keys are ordered by a digest
+of the ``tiebreak`` columns; rows equal in those too are told apart by nothing
+and get the same label.
 """
 
 from __future__ import annotations
@@ -27,7 +23,6 @@ from pyspark.sql import functions as F
 SEED = 42
 TRAIN_FRACTION = 0.7
 VALIDATION_END = 0.85
-SPLITS = ("train", "validation", "test")
 
 
 def _c(col) -> Column:
@@ -35,8 +30,8 @@ def _c(col) -> Column:
 
 
 def shuffle_key(key, seed: int = SEED) -> Column:
-    """G1: the seeded sort key ``md5('{seed}:{key}')`` (hex string)."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), _c(key).cast("string")))
+    """G1: the seeded sort key ``md5('{seed}:{key}')`` (hex string; a null key counts as '')."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(_c(key).cast("string"), F.lit(""))))
 
 
 def global_rank(
@@ -45,10 +40,9 @@ def global_rank(
     seed: int = SEED,
     prefix_hex: int = 4,
     rank_col: str = "pos",
-    total_col: str | None = None,
     tiebreak=(),
 ) -> DataFrame:
-    """Add the 1-based position of each row in the seeded order (G1)."""
+    """Add the 1-based position of each row in the seeded order (G1).  Give it keys, not whole rows: it sorts them."""
     if not 1 <= prefix_hex <= 5:
         raise ValueError("prefix_hex must be in 1..5 (bucket table <= 16**5 rows)")
     h = df.withColumn("_h", shuffle_key(key, seed)).withColumn("_b", F.substring("_h", 1, prefix_hex))
@@ -58,36 +52,41 @@ def global_rank(
     offsets = counts.select(
         "_b",
         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
-        F.sum("_cnt").over(Window.partitionBy()).alias("_n"),
     )
     within = Window.partitionBy("_b").orderBy("_h", _c(key), *[_c(c) for c in tiebreak])
-    out = (
-        h.join(F.broadcast(offsets), "_b")
-        .withColumn(rank_col, (F.col("_off") + F.row_number().over(within)).cast("bigint"))
-    )
-    if total_col:
-        out = out.withColumnRenamed("_n", total_col)
-    return out.drop("_h", "_b", "_off", "_n")
-
-
-def split_label(pos: Column, n: Column, train: float = TRAIN_FRACTION, val_end: float = VALIDATION_END) -> Column:
-    """Rows at 1-based position <= int(train*n) train, <= int(val_end*n) validation, rest test.
-
-    The fractions are doubles (``int(0.7 * n)`` in floating point, not decimal).
-    """
-    cut1 = F.floor(F.lit(float(train)) * n)
-    cut2 = F.floor(F.lit(float(val_end)) * n)
-    return F.when(pos <= cut1, "train").when(pos <= cut2, "validation").otherwise("test")
+    out = h.join(F.broadcast(offsets), "_b")
+    return out.withColumn(rank_col, (F.col("_off") + F.row_number().over(within)).cast("bigint")).drop("_h", "_b", "_off")
+
+
+def _thresholds(keys: DataFrame, prefix_hex: int, train: float, val_end: float) -> DataFrame:
+    """One row ``t1, t2``: the ``h, tie`` of the last train and the last validation row."""
+    counts = keys.groupBy(F.substring("h", 1, prefix_hex).alias("b")).agg(F.count(F.lit(1)).alias("cnt"))
+    # bounded (<= 16**prefix_hex rows): single-partition windows are fine here
+    before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = counts.select("b", "cnt", F.coalesce(F.sum("cnt").over(before), F.lit(0)).alias("off"), F.sum("cnt").over(Window.partitionBy()).alias("n"))
+    buckets = buckets.select("b", "cnt", "off", F.floor(F.lit(float(train)) * F.col("n")).alias("c1"), F.floor(F.lit(float(val_end)) * F.col("n")).alias("c2"))
+    holds = lambda c: (F.col(c) > F.col("off")) & (F.col(c) <= F.col("off") + F.col("cnt"))
+    cut = buckets.filter(holds("c1") | holds("c2")).select("b", "off", "c1", "c2")  # two rows at most
+    near = keys.withColumn("b", F.substring("h", 1, prefix_hex)).join(F.broadcast(cut), "b")
+    pos = F.col("off") + F.row_number().over(Window.partitionBy("b").orderBy("h", "tie"))
+    ranked = near.withColumn("pos", pos)
+    pick = lambda c: F.max(F.when(F.col("pos") == F.col(c), F.struct("h", "tie")))
+    return ranked.agg(pick("c1").alias("t1"), pick("c2").alias("t2"))
+
+
+def split_exact(df: DataFrame, key: str, seed: int = SEED, prefix_hex: int = 4, tiebreak=()) -> DataFrame:
+    """Exact 70/15/15 split in the seeded order, as a ``split`` column (no row is shuffled)."""
+    if not 1 <= prefix_hex <= 5:
+        raise ValueError("prefix_hex must be in 1..5 (bucket table <= 16**5 rows)")
+    tie = F.md5(F.to_json(F.struct(*[_c(c) for c in tiebreak]))) if tiebreak else F.lit("")
+    h = shuffle_key(key, seed)
+    cuts = _thresholds(df.select(h.alias("h"), tie.alias("tie")), prefix_hex, TRAIN_FRACTION, VALIDATION_END)
 
+    def upto(name: str) -> Column:
+        th, tt = cuts.select(f"{name}.h").scalar(), cuts.select(f"{name}.tie").scalar()
+        return F.coalesce((h < th) | ((h == th) & (tie <= tt)), F.lit(False))
 
-def split_exact(df: DataFrame, key: str, seed: int = SEED, prefix_hex: int = 4, keep_pos: bool = False,
-                tiebreak=()) -> DataFrame:
-    """Exact 70/15/15 split in the seeded order, as a ``split`` column."""
-    ranked = global_rank(df, key, seed, prefix_hex, rank_col="_pos", total_col="_total", tiebreak=tiebreak)
-    out = ranked.withColumn("split", split_label(F.col("_pos"), F.col("_total")))
-    if keep_pos:
-        out = out.withColumnRenamed("_pos", "pos")
-    return out.drop("_pos", "_total")
+    return df.withColumn("split", F.when(upto("t1"), "train").when(upto("t2"), "validation").otherwise("test"))
 
 
 def hash_unit(key, seed: int = SEED) -> Column:
@@ -103,10 +102,11 @@ def split_hash(df: DataFrame, key: str, seed: int = SEED) -> DataFrame:
     return df.withColumn("split", label)
 
 
-def split_sizes(split_df: DataFrame) -> DataFrame:
-    """Rows per split plus the ``total`` row, in one aggregate pass
-    (``GROUPING SETS ((split), ())``)."""
-    g = split_df.groupingSets([["split"], []], "split").agg(
-        F.count(F.lit(1)).alias("n"), F.grouping_id().alias("_gid")
-    )
-    return g.select(F.when(F.col("_gid") == 1, F.lit("total")).otherwise(F.col("split")).alias("split"), "n")
+def split_sizes(df: DataFrame) -> DataFrame:
+    """Rows per split plus the ``total`` row.  An exact split's sizes follow
+    from the row count alone, so nothing is ranked."""
+    n = F.count(F.lit(1))
+    cut1, cut2 = F.floor(F.lit(TRAIN_FRACTION) * F.col("n")).cast("bigint"), F.floor(F.lit(VALIDATION_END) * F.col("n")).cast("bigint")
+    sizes = {"train": cut1, "validation": cut2 - cut1, "test": F.col("n") - cut2, "total": F.col("n")}
+    rows = F.array(*[F.struct(F.lit(k).alias("split"), v.alias("n")) for k, v in sizes.items()])
+    return df.agg(n.alias("n")).select(F.explode(rows).alias("r")).select("r.*").filter("n > 0 OR split = 'total'")

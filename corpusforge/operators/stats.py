@@ -7,7 +7,7 @@ hot reducer.  The stats document is assembled from those small aggregates.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -63,36 +63,12 @@ def stats_grouping_sets(split_df: DataFrame) -> DataFrame:
     return g.filter(~null_group).select(kind.alias("kind"), key.alias("key"), F.col("n").cast("bigint").alias("n"))
 
 
-def dataset_stats(split_df: DataFrame) -> DataFrame:
-    """One row ``total, train, validation, test: long; sources,
-    categories: map<string,long>`` built from the grouping-sets aggregate."""
-    g = stats_grouping_sets(split_df)
-
-    def scalar(kind: str, key: str | None = None):
-        cond = F.col("kind") == kind
-        if key is not None:
-            cond = cond & (F.col("key") == key)
-        return F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0)).cast("bigint")
-
-    def mapping(kind: str):
-        entries = F.collect_list(F.when(F.col("kind") == kind, F.struct(F.col("key"), F.col("n"))))
-        return F.map_from_entries(entries)
-
-    return g.agg(
-        scalar("total").alias("total"),
-        scalar("split", "train").alias("train"),
-        scalar("split", "validation").alias("validation"),
-        scalar("split", "test").alias("test"),
-        mapping("source").alias("sources"),
-        mapping("category").alias("categories"),
-    )
-
-
-def corpus_stats_flat(df: DataFrame) -> DataFrame:
+def dataset_stats(df: DataFrame) -> DataFrame:
     """G6 without ranking any row: the split sizes of an exact split depend
     only on the row count (``int(0.7n)``, ``int(0.85n)``), so one grouping-sets
     aggregate over source and category gives the whole stats document.
-    Output ``kind, key, n`` as :func:`dataset_stats_flat`."""
+    Output rows ``kind, key, n`` (total/train/validation/test, sources, categories): the
+    document never is one row, its sites and categories grow with the crawl."""
     g = df.groupingSets([["source"], ["category"], []], "source", "category").agg(
         F.count(F.lit(1)).alias("n"), F.grouping_id().alias("_gid")
     )
@@ -120,33 +96,6 @@ def corpus_stats_flat(df: DataFrame) -> DataFrame:
     return g.select(F.explode(rows).alias("r")).select("r.*")
 
 
-def dataset_stats_flat(split_df: DataFrame) -> DataFrame:
-    """G6 flattened to ``kind, key, n`` rows (total/train/validation/test, sources, categories)."""
-    g = stats_grouping_sets(split_df)
-    kind = (
-        F.when(F.col("kind") == "split", F.col("key"))
-        .when(F.col("kind") == "source", F.lit("sources"))
-        .when(F.col("kind") == "category", F.lit("categories"))
-        .otherwise(F.lit("total"))
-    )
-    key = F.when(F.col("kind").isin("source", "category"), F.col("key")).otherwise(F.lit(""))
-    return g.select(kind.alias("kind"), key.alias("key"), "n")
-
-
 def reject_counts(reasons: DataFrame) -> DataFrame:
     """Rows per reject reason (``kept`` included)."""
     return reasons.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
-
-
-def observe_counts(df: DataFrame, kept_col: str = "kept", name: str = "run_counters"):
-    """G7 run counters without an extra pass: ``read``, ``kept``, ``rejected``
-    are collected while the DataFrame is written.  Returns ``(df, observation)``;
-    read ``observation.get`` after the action."""
-    obs = Observation(name)
-    observed = df.observe(
-        obs,
-        F.count(F.lit(1)).alias("read"),
-        F.count_if(F.col(kept_col)).alias("kept"),
-        F.count_if(~F.col(kept_col)).alias("rejected"),
-    )
-    return observed, obs

@@ -10,16 +10,17 @@ floating-point rounding decides membership.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusforge.functions import tokens as TK
-from corpusforge.operators.plan_utils import explode_computed, materialize
+from corpusforge.operators.plan_utils import explode_computed, materialize, pinned, with_pinned
 
 TOKENISED_COLUMNS = {"title": "tokenized_title", "summary": "tokenized_summary", "content": "tokenized_content"}
 
 # Fixed defaults of the lexicon rule: keep a pair seen at least MIN_COUNT times
 # whose co-occurrence is at least PMI_RATIO times chance (PMI >= log2(8) = 3 bits).
+MARK = "\n"  # between two tokens of a lexicon pair; no token holds white space
 MIN_COUNT = 5
 PMI_RATIO = 8
 
@@ -30,17 +31,16 @@ def tokenize_columns(df: DataFrame, columns=TOKENISED_COLUMNS, tokenizer=None) -
     return df.withColumns({dst: TK.tokenize(src, tokenizer) for src, dst in present.items()})
 
 
-def _pairs(texts: DataFrame, text_col: str, keep=()) -> DataFrame:
-    """Each token with its right neighbour: ``w, w_next`` (``w_next`` null at the end).
-
-    Tokens are projected first and the pairs built from the column reference
-    (the tokenizer regex runs once; Catalyst keeps the projections apart
-    because the array is referenced three times)."""
-    tok = texts.select(*keep, TK.tokens(text_col).alias("_t"))
-    t = F.col("_t")
+def _with_next(t: Column) -> Column:
+    """Each element of an array with its right neighbour (null at the end): ``w, w_next``."""
     nxt = F.concat(F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0))), F.array(F.lit(None).cast("string")))
-    p = explode_computed(tok, F.arrays_zip(t.alias("w"), nxt.alias("w_next")), list(keep), "i", "p")
-    return p.select(*keep, "i", F.col("p.w").alias("w"), F.col("p.w_next").alias("w_next"))
+    return F.arrays_zip(t.alias("w"), nxt.alias("w_next"))
+
+
+def _words_of(t: Column) -> Column:
+    """A token array with null in place of punctuation: the tokenizer gives
+    either a word or a single other character, so the first character tells."""
+    return F.transform(t, lambda x: F.when(F.substring(x, 1, 1).rlike(TK.W), x))
 
 
 def pair_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
@@ -49,36 +49,27 @@ def pair_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
     ``w_next`` is null at the end of a text or when the neighbour is not a
     word token, so every word token is counted exactly once: unigram counts
     are sums over this table (no second pass over the tokens).  One
-    tokenisation, one explode, one partial aggregate.
+    tokenisation, one explode, one partial aggregate; each token is tested
+    once, in the array, before the pairs are made.
     """
-    p = _pairs(texts, text_col).filter(TK.is_word_token("w"))
-    p = p.select("w", F.when(TK.is_word_token("w_next"), F.col("w_next")).alias("w_next"))
+    w = with_pinned(texts.select(TK.tokens(text_col).alias("_t")), {"_w": _words_of(F.col("_t"))})
+    p = explode_computed(w, _with_next(pinned(F.col("_w"))), [], "i", "p")
+    p = p.select(F.col("p.w").alias("w"), F.col("p.w_next").alias("w_next")).filter(F.col("w").isNotNull())
     return p.groupBy("w", "w_next").agg(F.count(F.lit(1)).alias("n"))
 
 
-def unigram_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
-    """``w, n`` over word tokens."""
-    return pair_counts(texts, text_col).groupBy("w").agg(F.sum("n").alias("n"))
-
-
-def bigram_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
-    """``w1, w2, n12`` over adjacent word tokens (punctuation breaks a pair)."""
-    c = pair_counts(texts, text_col).filter(F.col("w_next").isNotNull())
-    return c.select(F.col("w").alias("w1"), F.col("w_next").alias("w2"), F.col("n").alias("n12"))
-
-
 def bigram_lexicon(texts: DataFrame, text_col: str = "text", min_count: int = MIN_COUNT,
                    pmi_ratio: int = PMI_RATIO) -> DataFrame:
     """``w1, w2, n12, n1, n2`` for pairs with ``n12 >= min_count`` and
     ``n12 * N >= pmi_ratio * n1 * n2`` (N = word tokens in the corpus).
 
-    The pair table (one tokenisation pass) feeds the pair side and, summed per
-    word, both unigram joins and the corpus total; it is written once under
-    the shared checkpoint folder.  Pairs are pruned by ``min_count`` before
-    the joins."""
+    The pair table (one tokenisation pass) feeds the pair side and the word
+    table, which both joins and the corpus total read; each is written once
+    under the shared checkpoint folder.  Pairs are pruned by ``min_count``
+    before the joins."""
     pairs = materialize(pair_counts(texts, text_col), "pairs")
-    uni = pairs.groupBy("w").agg(F.sum("n").alias("n"))
-    total = pairs.agg(F.sum("n")).scalar()  # scalar subquery: the corpus word-token count
+    uni = materialize(pairs.groupBy("w").agg(F.sum("n").alias("n")), "words")
+    total = uni.agg(F.sum("n")).scalar()  # scalar subquery: the corpus word-token count
     bi = pairs.filter(F.col("w_next").isNotNull() & (F.col("n") >= min_count)).select(
         F.col("w").alias("w1"), F.col("w_next").alias("w2"), F.col("n").alias("n12")
     )
@@ -97,31 +88,20 @@ def merge_compounds(texts: DataFrame, lexicon: DataFrame, key: str, text_col: st
     joined with ``_`` (left to right, non-overlapping); tokens re-joined with
     spaces.
 
-    Adjacent pairs come from zipping the token array with itself shifted by
-    one (no self-join).  The lexicon is joined, not broadcast (its size grows
-    with the corpus; AQE broadcasts it at runtime when it is small).
-    Left-to-right resolution is gaps-and-islands over each text's positions:
-    inside a run of consecutive hits starting at ``s``, the pairs at
-    ``s, s+2, s+4, ...`` are used.  All windows share one partitioning
-    (``key``) and order (``i``), so Spark sorts once; the final regroup is on
-    the same key (no further shuffle).
+    Tokens stay where they are: only the distinct pairs of each text are
+    joined with the lexicon (not broadcast, its size grows with the corpus;
+    AQE does so when it is small), and the hits come back as one small array
+    per text.  Tokens are then joined by a marker where the pair is a hit and
+    by a space elsewhere, and one left-to-right replacement glues ``a|b``.
     """
-    pairs = _pairs(texts, text_col, keep=[key])
-    lex = lexicon.select(F.col("w1").alias("w"), F.col("w2").alias("w_next"), F.lit(True).alias("_hit"))
-    marked = pairs.join(lex, ["w", "w_next"], "left").select(
-        key, "i", "w", "w_next", F.coalesce("_hit", F.lit(False)).alias("_hit")
-    )
-    w = Window.partitionBy(key).orderBy("i")
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prev_hit = F.coalesce(F.lag("_hit").over(w), F.lit(False))
-    m = marked.withColumn("_start", F.when(F.col("_hit") & ~prev_hit, F.col("i")))
-    m = m.withColumn("_run", F.max("_start").over(upto))
-    m = m.withColumn("_used", F.col("_hit") & (((F.col("i") - F.col("_run")) % 2) == 0))
-    m = m.withColumn("_glued", F.coalesce(F.lag("_used").over(w), F.lit(False)))
-    # a used pair emits "w_w_next"; the token it absorbed emits nothing
-    word = F.when(F.col("_used"), F.concat_ws("_", "w", "w_next")).otherwise(F.col("w"))
-    kept = m.filter(~F.col("_glued")).select(key, "i", word.alias("word"))
-    per = kept.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("i", "word"))).alias("_ws"))
-    merged = per.select(key, F.array_join(F.transform("_ws", lambda x: x["word"]), " ").alias(text_col))
-    # texts without tokens keep a row, with ''
-    return texts.select(key).join(merged, key, "left").select(key, F.coalesce(text_col, F.lit("")).alias(text_col))
+    t = texts.select(F.col(key), TK.tokens(text_col).alias("_t"))
+    pairs = F.array_distinct(F.filter(_with_next(_words_of(F.col("_t"))), lambda p: p["w"].isNotNull() & p["w_next"].isNotNull()))
+    cand = explode_computed(t, pairs, [key], None, "p").select(key, F.col("p.w").alias("w"), F.col("p.w_next").alias("w_next"))
+    lex = lexicon.select(F.col("w1").alias("w"), F.col("w2").alias("w_next"))
+    hits = cand.join(lex, ["w", "w_next"]).groupBy(key).agg(F.collect_set(F.struct("w", "w_next")).alias("_hits"))
+    j = texts.select(key, TK.tokens(text_col).alias("_t")).join(hits, key, "left")
+    tokens, found = F.col("_t"), F.coalesce(F.col("_hits"), F.array().cast("array<struct<w: string, w_next: string>>"))
+    hit = lambda x, i: F.coalesce(F.array_contains(found, F.struct(x.alias("w"), F.get(tokens, i + 1).alias("w_next"))), F.lit(False))
+    marked = F.array_join(F.transform(tokens, lambda x, i: F.concat(x, F.when(hit(x, i), MARK).otherwise(" "))), "")
+    glued = F.regexp_replace(marked, f"([^ {MARK}]+){MARK}([^ {MARK}]+)", "$1_$2")
+    return j.select(key, F.rtrim(F.translate(glued, MARK, " ")).alias(text_col))

@@ -9,8 +9,10 @@ statistics), each of which re-read CSV files:
 * each raw row is cleaned once: its reject reason is computed with the
   cleaned columns, and run counters (read / kept / per reason) are collected
   by ``observe`` while the kept rows are written;
-* the stats document is written with ``mode='ignore'``: a rerun over an
-  existing output is skipped (the original skip-if-done guard).
+* the statistics come from the cleaned table (split sizes follow from its row
+  count), never from the split files read again, so they do not depend on the
+  split format; they are written last, and a rerun over an output whose
+  statistics were written whole is skipped (the skip-if-done guard).
 """
 
 from __future__ import annotations
@@ -37,12 +39,6 @@ class CorpusResult:
     rejects: dict
 
 
-def clean(raw: DataFrame, variant: str, carry_bug: bool = False) -> DataFrame:
-    if variant == "a":
-        return A.clean_article_a(raw)
-    return A.clean_article_narrow(raw, variant, carry_bug)
-
-
 def build_corpus(
     spark: SparkSession,
     raw: DataFrame,
@@ -61,11 +57,12 @@ def build_corpus(
     ``key`` orders the seeded split (default: ``id`` for variant A, ``url``
     otherwise).  ``tokenize`` adds ``tokenized_*`` columns (W1).
     ``dedupe_urls`` keeps one raw article per URL (earliest crawl) first.
-    With ``skip_if_done`` an existing stats output means the corpus was
-    already built: nothing runs and ``None`` is returned (K7).
+    With ``skip_if_done`` a finished stats output means the corpus was
+    already built: nothing runs and ``None`` is returned (K7).  Otherwise
+    everything is written anew.
     """
     out = out_dir.rstrip("/")
-    if skip_if_done and io.path_exists(spark, f"{out}/stats"):
+    if skip_if_done and io.is_done(spark, f"{out}/stats"):
         return None
     key = key or ("id" if variant == "a" else "url")
     if dedupe_urls:
@@ -90,16 +87,9 @@ def build_corpus(
     rejects = {r: metrics[r] for r in A.REASONS if metrics[r]}
     counters = {"read": metrics["read"], "kept": metrics["kept"], "rejected": metrics["read"] - metrics["kept"]}
 
-    # repeated keys (a URL crawled twice) are ordered by the remaining columns
-    tiebreak = [c for c, t in cleaned.dtypes if c != key and t in ("string", "bigint", "int")]
-    split = G.split_exact(cleaned, key, tiebreak=tiebreak)
-    splits_path = f"{out}/splits"
+    # repeated keys (a URL crawled twice) are ordered by their other columns
+    split = G.split_exact(cleaned, key, tiebreak=[c for c in cleaned.columns if c != key])
+    splits_path, stats_path = f"{out}/splits", f"{out}/stats"
     io.write_splits(split, splits_path, fmt=split_format)
-
-    stats_path = f"{out}/stats"
-    # statistics from the written splits (no re-ranking)
-    written = spark.read.option("header", True).csv(splits_path) if split_format == "csv" else spark.read.parquet(
-        splits_path
-    )
-    io.write_stats(ST.dataset_stats(written), stats_path)
+    io.write_stats(ST.dataset_stats(cleaned), stats_path)
     return CorpusResult(clean_path, splits_path, stats_path, counters, rejects)

@@ -7,6 +7,7 @@ aliased identically on both sides.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +19,14 @@ from corpusforge.operators import articles as A
 from corpusforge.operators import split as G
 from corpusforge.operators import stats as ST
 from corpusforge.operators.plan_utils import explode_computed, filter_computed, materialize
+from corpusforge.operators import html as X
+from corpusforge.operators import tokens as W
 from corpusforge.plans import oracle_sql as Q
+from corpusforge.plans.corpus import build_corpus
+from corpusforge.session import scratch_path
+from corpusforge.sources import io
 from corpusforge.sources.io import read_table
+from corpusforge.streaming import stream as STR
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -90,7 +97,7 @@ def q_summary_fallback(spark, sf_dir):
 
 @register(
     "article_id",
-    "SELECT doc_id, concat_ws('_', coalesce(source, ''), substr(md5('doc://' || CAST(doc_id AS VARCHAR)), 1, 16)) AS id "
+    "SELECT doc_id, concat_ws('_', coalesce(source, ''), md5('doc://' || CAST(doc_id AS VARCHAR))) AS id "
     "FROM documents",
 )
 def q_article_id(spark, sf_dir):
@@ -190,7 +197,7 @@ def clean_article_a_sql(src: str | None = None) -> str:
 c AS (SELECT url, source, category, pub_date, {Q.clean_a('title')} AS title,
              {Q.clean_a('summary')} AS summary, {Q.clean_a('content')} AS content FROM r),
 g AS (SELECT * FROM c WHERE title <> '' AND content <> '' AND {Q.word_count('content')} >= 50)
-SELECT concat_ws('_', coalesce(source, ''), substr(md5(coalesce(url, '')), 1, 16)) AS id, title,
+SELECT concat_ws('_', coalesce(source, ''), md5(coalesce(url, ''))) AS id, title,
        CASE WHEN summary = '' THEN array_to_string({Q.words('content')}[1:50], ' ') ELSE summary END AS summary,
        content, coalesce(pub_date, '') AS pub_date, coalesce(category, '') AS category,
        coalesce(url, '') AS url, coalesce(source, '') AS source
@@ -330,7 +337,7 @@ UNION ALL SELECT 'total' AS split, count(*) AS n FROM documents""",
 )
 def q_split_sizes(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id")
-    return G.split_sizes(G.split_exact(d, "doc_id"))
+    return G.split_sizes(d)
 
 
 def _clean_a_articles(spark, sf_dir):
@@ -372,9 +379,10 @@ GROUP BY GROUPING SETS ((split), (source), (category), ())"""
 
 
 def _split_articles(spark, sf_dir):
-    # the exact split reads its input twice (bucket counts, then ranks):
-    # write the cleaned articles once instead of cleaning twice
-    return G.split_exact(materialize(_clean_a_articles(spark, sf_dir), "clean-a"), "id")
+    # the exact split reads its input several times: clean once, and write
+    # only what the statistics read
+    kept = _clean_a_articles(spark, sf_dir).select("id", "source", "category")
+    return G.split_exact(materialize(kept, "clean-a"), "id")
 
 
 @register("stats_grouping_sets", f"SELECT kind, key, n FROM ({_GS_SQL}) WHERE NOT _null")
@@ -391,21 +399,55 @@ FROM ({_GS_SQL}) WHERE NOT _null""",
 )
 def q_dataset_stats(spark, sf_dir):
     # split sizes follow from the row count: no ranking, one aggregate pass
-    return ST.corpus_stats_flat(_clean_a_articles(spark, sf_dir))
+    return ST.dataset_stats(_clean_a_articles(spark, sf_dir))
+
+
+def _reasons_sql(src: str, ok: str, head: str, head_name: str, content: str) -> str:
+    return f"""SELECT CASE WHEN NOT ({ok}) THEN 'missing_key' WHEN {head} = '' THEN '{head_name}' WHEN {content} = '' THEN 'empty_content'
+            WHEN {Q.word_count(content)} < 50 THEN 'short_content' ELSE 'kept' END AS reason, count(*) AS n
+FROM {src} GROUP BY 1"""
+
+
+def _reasons_chunked_sql(variant: str) -> str:
+    text_fn = Q.clean_c_text if variant == "c" else Q.clean_d_text
+    src = f"({Q.articles_view('first_line')})"
+    return f"""WITH sm AS ({Q.chunked_text_sql(src, 'url', text_fn('summary'), 'url', 's')}),
+ct AS ({Q.chunked_text_sql(src, 'url', text_fn('content'), 'url', 'c')}),
+j AS (SELECT r.*, s, c FROM {src} r JOIN sm USING (url) JOIN ct USING (url))
+{_reasons_sql('j', 'url IS NOT NULL AND summary IS NOT NULL AND content IS NOT NULL', 's', 'empty_summary', 'c')}"""
+
+
+_REASONS_SQL = {
+    "a": _reasons_sql(f"(SELECT *, {Q.clean_a('title')} AS t, {Q.clean_a('content')} AS c FROM ({Q.articles_view()}))",
+                      "title IS NOT NULL AND summary IS NOT NULL AND content IS NOT NULL AND source IS NOT NULL", "t", "empty_title", "c"),
+    "b": _reasons_sql(f"(SELECT *, {Q.clean_b('summary')} AS s, {Q.clean_b('content')} AS c FROM ({Q.articles_view('first_line')}))",
+                      "url IS NOT NULL AND summary IS NOT NULL AND content IS NOT NULL", "s", "empty_summary", "c"),
+    "c": _reasons_chunked_sql("c"),
+    "d": _reasons_chunked_sql("d"),
+}
+
+
+def _reject_reasons(variant: str):
+    def q(spark, sf_dir):
+        a = A.documents_as_articles(table(spark, sf_dir, "documents"), summary="empty" if variant == "a" else "first_line")
+        return ST.reject_counts(A.clean_with_reason(a, variant))
+
+    return q
+
+
+for _v, _sql in _REASONS_SQL.items():
+    register("reject_reasons" if _v == "a" else f"reject_reasons_{_v}", _sql)(_reject_reasons(_v))
 
 
 @register(
-    "reject_reasons",
-    f"""WITH r AS ({Q.articles_view()}),
-c AS (SELECT title IS NOT NULL AND summary IS NOT NULL AND content IS NOT NULL AND source IS NOT NULL AS ok,
-             {Q.clean_a('title')} AS t, {Q.clean_a('content')} AS c FROM r)
-SELECT CASE WHEN NOT ok THEN 'missing_key' WHEN t = '' THEN 'empty_title' WHEN c = '' THEN 'empty_content'
-            WHEN {Q.word_count('c')} < 50 THEN 'short_content' ELSE 'kept' END AS reason, count(*) AS n
-FROM c GROUP BY 1""",
-)
-def q_reject_reasons(spark, sf_dir):
-    a = A.documents_as_articles(table(spark, sf_dir, "documents"))
-    return ST.reject_counts(A.reject_reason(a, "a"))
+    "union_sites",
+    f"""SELECT source, title, summary, category, url FROM ({Q.articles_view('first_line')}) WHERE source = 'src0'
+UNION ALL SELECT source, NULL AS title, summary, category, url FROM ({Q.articles_view('first_line')}) WHERE source <> 'src0'""",
+)
+def q_union_sites(spark, sf_dir):
+    """Two sites' corpora, one without titles, as one."""
+    a = A.documents_as_articles(table(spark, sf_dir, "documents"), summary="first_line").select("source", "title", "summary", "category", "url")
+    return A.union_sites(a.filter("source = 'src0'"), a.filter("source <> 'src0'").drop("title"))
 
 
 # ---------------------------------------------------------------------------
@@ -424,10 +466,11 @@ register(
 # ---------------------------------------------------------------------------
 # X*: extraction from pages
 # ---------------------------------------------------------------------------
-from corpusforge.operators import html as X  # noqa: E402
-
+_CLEAN = Q.html_noise("html")
 _LINKS_SQL = f"""SELECT page_id, url, CAST(generate_subscripts(hs, 1) AS BIGINT) AS pos, unnest(hs) AS href
-FROM (SELECT page_id, url, {Q.hrefs(Q.element_inner(Q.html_noise('html'), 'nav'))} AS hs FROM pages)"""
+FROM (SELECT page_id, url, {Q.hrefs(Q.element_inner(_CLEAN, 'nav'))} AS hs FROM pages)"""
+# the test pages' places of the fields that sites keep elsewhere
+PAGE_FIELDS = X.Fields(title=("h1",), summary=("div.ad",), pub_date=("footer",), content=("article p",))
 
 
 @register("extract_links", f"SELECT page_id, pos, href FROM ({_LINKS_SQL})")
@@ -435,9 +478,9 @@ def q_extract_links(spark, sf_dir):
     return X.extract_links(table(spark, sf_dir, "pages")).select("page_id", "pos", "href")
 
 
-@register("filter_link_suffix", f"SELECT page_id, pos, href FROM ({_LINKS_SQL}) WHERE ends_with(href, '.htm')")
+@register("filter_link_suffix", f"SELECT page_id, pos, href FROM ({_LINKS_SQL}) WHERE ends_with(href, 'e')")
 def q_filter_link_suffix(spark, sf_dir):
-    return X.filter_link_suffix(X.extract_links(table(spark, sf_dir, "pages"))).select("page_id", "pos", "href")
+    return X.filter_link_suffix(X.extract_links(table(spark, sf_dir, "pages")), "e").select("page_id", "pos", "href")
 
 
 _ABS_SQL = f"""SELECT page_id, pos, {Q.absolutize('href', Q.page_base('url'))} AS link,
@@ -464,31 +507,68 @@ def q_dedupe_links_first(spark, sf_dir):
 
 
 @register(
-    "extract_title",
-    f"SELECT page_id, {Q.element_text_or_null(Q.html_noise('html'), 'h1')} AS title FROM pages",
+    "extract_card_links",
+    f"""SELECT page_id, CAST(generate_subscripts(hs, 1) AS BIGINT) AS pos, unnest(hs) AS href FROM (
+  SELECT page_id, list_transform(list_distinct_in_order, lambda x: x) AS hs FROM (
+    SELECT page_id, list_filter(hs, lambda h, i: list_position(hs, h) = i) AS list_distinct_in_order
+    FROM (SELECT page_id, {Q.hrefs(Q.element_inner(_CLEAN, 'nav'))} AS hs FROM pages)))""",
 )
+def q_extract_card_links(spark, sf_dir):
+    """X2 with the menu entries of the test pages as cards."""
+    return X.extract_card_links(table(spark, sf_dir, "pages"), cards=("nav li",), links=("a.item-title", "li > a", "a")).select("page_id", "pos", "href")
+
+
+@register("extract_title", f"SELECT page_id, {Q.element_text_or_null(_CLEAN, 'h1')} AS title FROM pages")
 def q_extract_title(spark, sf_dir):
-    return X.extract_title(table(spark, sf_dir, "pages"))
+    return X.extract_field(table(spark, sf_dir, "pages"), X.title_text, "title")
 
 
-_BODY_SQL = Q.paragraphs(Q.element_inner(Q.html_noise("html"), "article"))
+_BODY_SQL = Q.paragraphs(Q.element_inner(_CLEAN, "article"))
+_SUMMARY_SQL = f"coalesce({Q.py_strip(Q.inner_text(Q.element_inner(_CLEAN, 'div', 'ad')))}, '')"
+_TIME_SQL = f"coalesce({Q.element_text_or_null(_CLEAN, 'footer')}, '')"
 
 
 @register("extract_body", f"SELECT page_id, {_BODY_SQL} AS content FROM pages")
 def q_extract_body(spark, sf_dir):
-    return X.extract_body(table(spark, sf_dir, "pages"))
+    return X.extract_field(table(spark, sf_dir, "pages"), X.body_text, "content", X.BODY_SELECTORS + PAGE_FIELDS.content)
+
+
+@register("extract_summary", f"SELECT page_id, {_SUMMARY_SQL} AS summary FROM pages")
+def q_extract_summary(spark, sf_dir):
+    return X.extract_field(table(spark, sf_dir, "pages"), X.summary_text, "summary", X.SUMMARY_SELECTORS + PAGE_FIELDS.summary)
 
 
-_FIELDS_SQL = f"""SELECT page_id, url, {Q.element_text_or_null(Q.html_noise('html'), 'h1')} AS title,
-  coalesce({Q.element_text_or_null(Q.html_noise('html'), 'h2', 'sapo')}, '') AS summary,
-  {_BODY_SQL} AS content,
-  coalesce({Q.element_text_or_null(Q.html_noise('html'), 'time')}, '') AS pub_date FROM pages"""
+@register("extract_pub_time", f"SELECT page_id, {_TIME_SQL} AS pub_date FROM pages")
+def q_extract_pub_time(spark, sf_dir):
+    return X.extract_field(table(spark, sf_dir, "pages"), X.time_text, "pub_date", X.TIME_SELECTORS + PAGE_FIELDS.pub_date)
+
+
+@register(
+    "extract_strict",
+    f"""SELECT page_id, url, {Q.inner_text(Q.element_inner(_CLEAN, 'div', 'ad'))} AS summary,
+  {Q.inner_text(Q.element_inner(_CLEAN, 'footer'))} AS content FROM pages""",
+)
+def q_extract_strict(spark, sf_dir):
+    return X.extract_strict(table(spark, sf_dir, "pages"), ("div.ad", "footer"))
+
+
+@register(
+    "extract_strict_nested",
+    f"""SELECT page_id, url, {Q.py_strip(Q.inner_text(Q.element_inner(Q.element_inner(_CLEAN, 'article'), 'h1')))} AS summary,
+  {Q.py_strip(Q.inner_text(Q.element_inner(Q.element_inner(_CLEAN, 'nav'), 'ul')))} AS content FROM pages""",
+)
+def q_extract_strict_nested(spark, sf_dir):
+    return X.extract_strict(table(spark, sf_dir, "pages"), ("article h1", "nav ul"), strip=True)
+
+
+_FIELDS_SQL = f"""SELECT page_id, url, {Q.element_text_or_null(_CLEAN, 'h1')} AS title,
+  {_SUMMARY_SQL} AS summary, {_BODY_SQL} AS content, {_TIME_SQL} AS pub_date FROM pages"""
 _GATE = f"title IS NOT NULL AND length(title) >= 10 AND {Q.word_count('content')} >= 30"
 
 
 @register("gate_pages", f"SELECT page_id, url, title, content FROM ({_FIELDS_SQL}) WHERE {_GATE}")
 def q_gate_pages(spark, sf_dir):
-    return X.gate_pages(table(spark, sf_dir, "pages"))
+    return X.gate_pages(table(spark, sf_dir, "pages"), PAGE_FIELDS)
 
 
 @register(
@@ -497,34 +577,42 @@ def q_gate_pages(spark, sf_dir):
   {Q.page_source('url')} AS source, '1970-01-01 07:00:00' AS scraped_at FROM ({_FIELDS_SQL}) WHERE {_GATE}""",
 )
 def q_pages_to_articles(spark, sf_dir):
-    return X.pages_to_articles(table(spark, sf_dir, "pages"))
+    return X.pages_to_articles(table(spark, sf_dir, "pages"), fields=PAGE_FIELDS)
+
+
+# Test-data adaptor: every page also stands for the fetched target of the last
+# link of its own menu, so that listing links lead to pages of the table.
+_FETCHED_SQL = f"SELECT page_id, max_by(link, pos) AS url FROM ({_ABS_SQL}) GROUP BY page_id"
+
+
+def _fetched(pages: DataFrame) -> DataFrame:
+    menu = X.hrefs(X.region("html"))
+    return pages.select("page_id", X.absolutize(F.element_at(menu, -1), X.page_base("url")).alias("url"), "html")
 
 
 @register(
     "join_links_pages",
-    f"SELECT d.url, d.source, d.category, p.page_id FROM ({_DEDUPE_SQL}) d JOIN pages p ON d.url = p.url",
+    f"SELECT p.url, d.source, d.category, p.page_id FROM ({_DEDUPE_SQL}) d JOIN ({_FETCHED_SQL}) p ON d.url = p.url",
 )
 def q_join_links_pages(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     links = X.dedupe_links_first(X.page_links(pages))
-    return X.join_links_pages(links, pages.select("page_id", "url")).select("url", "source", "category", "page_id")
+    return X.join_links_pages(links, _fetched(pages)).select("url", "source", "category", "page_id")
 
 
-# parser tier: rows-only checks (selector lists need a real element tree)
-register("extract_card_links")(lambda spark, sf_dir: X.extract_card_links(table(spark, sf_dir, "pages")))
-register("extract_summary")(lambda spark, sf_dir: X.extract_summary(table(spark, sf_dir, "pages")))
-register("extract_pub_time")(lambda spark, sf_dir: X.extract_pub_time(table(spark, sf_dir, "pages")))
-register("extract_strict")(lambda spark, sf_dir: X.extract_strict(table(spark, sf_dir, "pages")))
-register("extract_strict_nested")(
-    lambda spark, sf_dir: X.extract_strict(table(spark, sf_dir, "pages"), nested=True)
+@register(
+    "links_to_articles",
+    f"""SELECT f.page_id, f.title, f.summary, f.content, f.pub_date, d.category, p.url, d.source, '1970-01-01 07:00:00' AS scraped_at
+FROM ({_DEDUPE_SQL}) d JOIN ({_FETCHED_SQL}) p ON d.url = p.url JOIN ({_FIELDS_SQL}) f ON f.page_id = p.page_id WHERE {_GATE}""",
 )
+def q_links_to_articles(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return X.links_to_articles(pages, _fetched(pages), PAGE_FIELDS)
 
 
 # ---------------------------------------------------------------------------
 # W*: tokenisation and the compound lexicon
 # ---------------------------------------------------------------------------
-from corpusforge.operators import tokens as W  # noqa: E402
-
 _W_SQL = "[\\p{L}\\p{N}_]"
 _TOKEN_SQL = f"{_W_SQL}+(?:[.,\\-/]{_W_SQL}+)*|[^\\p{{L}}\\p{{N}}_{Q.WS_BODY}]"
 _WORD_TOKEN_SQL = f"^{_W_SQL}+(?:[.,\\-/]{_W_SQL}+)*$"
@@ -593,35 +681,25 @@ def q_compound_merge(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # ST*: incremental jobs (file stream over the documents folder)
 # ---------------------------------------------------------------------------
-from corpusforge.streaming import stream as STR  # noqa: E402
-
-
-def _docs_stream(spark, sf_dir, transform, name):
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet").schema
-    return STR.stream_table(spark, sf_dir, "documents.parquet", transform, schema, name)
+def _docs_stream(spark, sf_dir):
+    """The documents table, a file or a folder of them, a few files per micro-batch."""
+    return STR.read_table_stream(spark, f"{sf_dir.rstrip('/')}/documents.parquet", max_files_per_trigger=4)
 
 
 @register("stream_clean_article_b", SQL["clean_article_b"])
 def q_stream_clean_article_b(spark, sf_dir):
-    return _docs_stream(
-        spark, sf_dir, lambda s: A.clean_article_b(A.documents_as_articles(s, summary="first_line")), "st1"
-    )
+    articles = A.documents_as_articles(_docs_stream(spark, sf_dir), summary="first_line")
+    return STR.stream_to_table(A.clean_article_b(articles), "st1")
 
 
-@register(
-    "stream_dedupe_text",
-    "SELECT count(DISTINCT text) AS n FROM documents",
-)
+@register("stream_dedupe_text", "SELECT md5(coalesce(text, '')) AS url, count(*) > 0 AS seen FROM documents GROUP BY 1")
 def q_stream_dedupe_text(spark, sf_dir):
-    """ST2 on documents: first arrival of each text wins (ingest time as event time)."""
-
-    def t(s):
-        # state is keyed by the text's digest, not the text itself
-        s = s.withColumn("ts", F.current_timestamp()).withColumn("_th", F.md5(F.coalesce("text", F.lit(""))))
-        s = s.withColumn("_null", F.col("text").isNull()).withWatermark("ts", "1 day")
-        return s.dropDuplicatesWithinWatermark(["_th", "_null"]).select("doc_id")
-
-    return _docs_stream(spark, sf_dir, t, "st2").agg(F.count(F.lit(1)).alias("n"))
+    """ST2 on documents: first arrival of each text wins; the text's digest is the URL, event times lie within the delay."""
+    rows = _docs_stream(spark, sf_dir).select(
+        F.md5(F.coalesce("text", F.lit(""))).alias("url"),
+        F.concat(F.lit("2025-01-01 "), F.lpad((F.col("doc_id") % 24).cast("string"), 2, "0"), F.lit(":00:00")).alias("scraped_at"),
+    )
+    return STR.stream_to_table(STR.dedupe_stream(rows, "2 days").select("url"), "st2").select("url", F.lit(True).alias("seen"))
 
 
 @register(
@@ -630,29 +708,144 @@ def q_stream_dedupe_text(spark, sf_dir):
 )
 def q_stream_running_counts(spark, sf_dir):
     """ST3: running counts per source/category maintained by a complete-mode stream."""
-    import uuid
-
-    from corpusforge.session import scratch_path
-
     run = f"st3-{uuid.uuid4().hex[:12]}"
     out, ckpt = scratch_path(spark, f"{run}/out"), scratch_path(spark, f"{run}/checkpoint")
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet").schema
-    stream = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
-        .select("source", F.col("lang").alias("category"))
-    )
-    STR.run_counts(stream, out, ckpt)
+    STR.run_counts(_docs_stream(spark, sf_dir).select("source", F.col("lang").alias("category")), out, ckpt)
     return spark.read.parquet(out)
 
 
 @register(
     "raw_file_names",
-    f"""SELECT page_id, source || '_' || CAST(CAST(epoch(CAST(scraped_at AS TIMESTAMP)) AS BIGINT) - 25200 AS VARCHAR)
-       || '_' || category || '.json' AS file_name
-FROM (SELECT page_id, {Q.page_source('url')} AS source, {Q.page_category('url')} AS category,
-             '1970-01-01 07:00:00' AS scraped_at FROM ({_FIELDS_SQL}) WHERE {_GATE})""",
+    """SELECT event_id, strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS scraped_at,
+       event_type || '_' || CAST(CAST(floor(epoch(ts)) AS BIGINT) - 25200 AS VARCHAR) || '_' || CAST(user_id AS VARCHAR) || '.json' AS file_name
+FROM events""",
 )
 def q_raw_file_names(spark, sf_dir):
-    """The per-article raw file name ``{source}_{epoch}_{category}.json``."""
-    a = X.pages_to_articles(table(spark, sf_dir, "pages"))
-    return a.select("page_id", T.raw_file_name("source", T.local_text_epoch("scraped_at"), "category").alias("file_name"))
+    """A crawl time as text, and the raw file name ``{source}_{epoch}_{category}.json`` made from it."""
+    e = table(spark, sf_dir, "events").select("event_id", T.format_scraped_at("ts").alias("scraped_at"), "event_type", F.col("user_id").cast("string").alias("user"))
+    return e.select("event_id", "scraped_at", T.raw_file_name("event_type", T.local_text_epoch("scraped_at"), "user").alias("file_name"))
+
+
+# ---------------------------------------------------------------------------
+# S* / K*: what a sink wrote, read again by the matching scan
+# ---------------------------------------------------------------------------
+def _out(spark, name: str) -> str:
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _raw_articles(spark, sf_dir) -> DataFrame:
+    a = A.documents_as_articles(table(spark, sf_dir, "documents"), summary="first_line")
+    return a.select("url", "source", "category", "title", "summary", "content")
+
+
+_RAW_SQL = f"SELECT url, source, category, title, summary, content FROM ({Q.articles_view('first_line')})"
+# an empty CSV field reads back as null
+_RAW_CSV_SQL = "SELECT url, source, category, nullif(title, '') AS title, nullif(summary, '') AS summary, nullif(content, '') AS content FROM (" + _RAW_SQL + ")"
+
+
+@register("raw_sink_scan", _RAW_SQL)
+def q_raw_sink_scan(spark, sf_dir):
+    """K1 and S1 (line by line): raw articles in folders by source and category."""
+    path = _out(spark, "k1")
+    io.write_raw(_raw_articles(spark, sf_dir), path)
+    back = spark.read.schema("url string, title string, summary string, content string, source string, category string").json(path)
+    return back.select("url", "source", "category", "title", "summary", "content")
+
+
+@register("json_dir_scan", f"SELECT url, source, summary, content IS NOT NULL AS has_content FROM ({Q.articles_view('first_line')})")
+def q_json_dir_scan(spark, sf_dir):
+    """A folder of JSON objects, each file parsed whole with its keys (one file per source here, of one article each per partition)."""
+    path = _out(spark, "s1")
+    a = _raw_articles(spark, sf_dir)
+    a.select(F.to_json(F.struct(*a.columns)).alias("value")).write.option("maxRecordsPerFile", 1).text(path, lineSep="\n")
+    back = io.scan_raw_json(spark, path, pattern="*.txt")
+    return back.select("url", "source", "summary", F.array_contains("_keys", "content").alias("has_content"))
+
+
+@register("csv_sink_scan", _RAW_CSV_SQL)
+def q_csv_sink_scan(spark, sf_dir):
+    """The processed corpus as CSV; the first existing of two paths is read."""
+    path = _out(spark, "k2")
+    io.write_csv(_raw_articles(spark, sf_dir), path)
+    schema = "url string, source string, category string, title string, summary string, content string"
+    return io.read_first_existing(spark, [f"{path}-tokenised", path], schema)
+
+
+@register("links_sink_scan", f"SELECT url, source, category FROM ({_DEDUPE_SQL})")
+def q_links_sink_scan(spark, sf_dir):
+    """K3: the link list as CSV."""
+    path = _out(spark, "k3")
+    io.write_links_csv(X.dedupe_links_first(X.page_links(table(spark, sf_dir, "pages"))), path)
+    return io.read_csv(spark, path, "url string, source string, category string")
+
+
+@register("tokenised_sink_scan", f"SELECT doc_id, nullif(array_to_string({_tok_sql('text')}, ' '), '') AS tokenized_content FROM documents")
+def q_tokenised_sink_scan(spark, sf_dir):
+    """K4: the tokenised corpus as CSV."""
+    path = _out(spark, "k4")
+    d = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("content"))
+    io.write_csv(W.tokenize_columns(d).select("doc_id", "tokenized_content"), path)
+    return io.read_csv(spark, path, "doc_id bigint, tokenized_content string")
+
+
+@register("splits_sink_scan", f"SELECT doc_id, source, nullif(text, '') AS text, split FROM ({_SPLIT_DOCS_SQL}) JOIN (SELECT doc_id, text FROM documents) USING (doc_id)")
+def q_splits_sink_scan(spark, sf_dir):
+    """K5: the three splits in one CSV folder, texts with quotes, commas and line breaks."""
+    path = _out(spark, "k5")
+    io.write_splits(G.split_exact(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "doc_id"), path)
+    return io.read_csv(spark, path, "doc_id bigint, source string, text string, split string")
+
+
+@register(
+    "stats_sink_scan",
+    """SELECT 'sources' AS kind, source AS key, count(*) AS n FROM documents WHERE source IS NOT NULL GROUP BY source
+UNION ALL SELECT 'categories', lang, count(*) FROM documents WHERE lang IS NOT NULL GROUP BY lang
+UNION ALL SELECT 'total', '', count(*) FROM documents
+UNION ALL SELECT 'train', '', CAST(floor(0.7::DOUBLE * count(*)) AS BIGINT) FROM documents
+UNION ALL SELECT 'validation', '', CAST(floor(0.85::DOUBLE * count(*)) - floor(0.7::DOUBLE * count(*)) AS BIGINT) FROM documents
+UNION ALL SELECT 'test', '', CAST(count(*) - floor(0.85::DOUBLE * count(*)) AS BIGINT) FROM documents""",
+)
+def q_stats_sink_scan(spark, sf_dir):
+    """K6 and K7: the statistics as JSON, marked as done once written whole."""
+    path = _out(spark, "k6")
+    assert not io.is_done(spark, path)
+    io.write_stats(ST.dataset_stats(table(spark, sf_dir, "documents").select("source", F.col("lang").alias("category"))), path)
+    assert io.is_done(spark, path)
+    return spark.read.schema("kind string, key string, n bigint").json(path)
+
+
+@register("incremental_scan", f"SELECT url, source, category, title FROM ({Q.articles_view('first_line')})")
+def q_incremental_scan(spark, sf_dir):
+    """Raw JSON files picked up by a stream."""
+    path = _out(spark, "s4")
+    a = _raw_articles(spark, sf_dir).select("url", "source", "category", "title")
+    a.write.json(path)
+    stream = STR.read_raw_stream(spark, path, multi_line=False).select("url", "source", "category", "title")
+    return STR.stream_to_table(stream, "s4-sink")
+
+
+# ---------------------------------------------------------------------------
+# The end-to-end job
+# ---------------------------------------------------------------------------
+_SPLIT_D = f"""SELECT *, {Q.split_case(f"row_number() OVER (ORDER BY {Q.md5_key('url')}, url)", "count(*) OVER ()")} AS split FROM ({SQL['clean_article_d']})"""
+
+
+@register(
+    "corpus_stats_end_to_end",
+    f"""WITH s AS ({_SPLIT_D})
+SELECT 'split' AS kind, split AS key, count(*) AS n FROM s GROUP BY split
+UNION ALL SELECT 'sources', source, count(*) FROM s WHERE source IS NOT NULL GROUP BY source
+UNION ALL SELECT 'categories', category, count(*) FROM s WHERE category IS NOT NULL GROUP BY category
+UNION ALL SELECT 'total', '', count(*) FROM s
+UNION ALL SELECT 'kept', '', count(*) FROM s
+UNION ALL SELECT 'read', '', count(*) FROM documents""",
+)
+def q_corpus_stats_end_to_end(spark, sf_dir):
+    """build_corpus to its sinks; splits counted from the split files, the rest from the statistics and counters."""
+    out = _out(spark, "corpus")
+    raw = A.documents_as_articles(table(spark, sf_dir, "documents"), summary="first_line")
+    res = build_corpus(spark, raw, out, variant="d")
+    splits = io.read_csv(spark, res.splits_path, None).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    stats = spark.read.schema("kind string, key string, n bigint").json(res.stats_path).filter("kind IN ('total', 'sources', 'categories')")
+    counters = spark.createDataFrame([(k, "", res.counters[k]) for k in ("read", "kept")], stats.schema)
+    return splits.select(F.lit("split").alias("kind"), F.col("split").alias("key"), "n").unionByName(stats).unionByName(counters)

@@ -39,6 +39,7 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 _SHIPPED: set = set()
+_SCRATCH: set = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -63,20 +64,29 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """This application's folder under the shared one named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (local runs, tests) do we create one.
+    Executors must see it too, so a session without the setting is refused
+    unless everything runs in one process (local mode), where a temporary
+    folder serves.  What lies there are intermediates: the folder goes when
+    the driver's JVM ends.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
-    if d:
-        return d
-    d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="corpusforge-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        if not d:
+            if not sc.master.startswith("local[") and sc.master != "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            d = tempfile.mkdtemp(prefix="corpusforge-ckpt-")
+            spark.conf.set("spark.checkpoint.dir", d)
+        sc.setCheckpointDir(d)
+        d = sc.getCheckpointDir() or d
+    if sc.applicationId not in _SCRATCH:
+        path = sc._jvm.org.apache.hadoop.fs.Path(d)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(path)
+        _SCRATCH.add(sc.applicationId)
+    return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

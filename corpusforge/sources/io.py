@@ -17,30 +17,16 @@ from corpusforge.sources import schemas
 # ---------------------------------------------------------------------------
 # S3: Parquet tables
 # ---------------------------------------------------------------------------
-def spread(df: DataFrame) -> DataFrame:
-    """Give an under-split scan at least the cluster's default parallelism.
-
-    A large table already scans into many splits and is returned unchanged
-    (no shuffle).  A table stored as a few big row groups would otherwise run
-    its CPU-heavy text work in a handful of tasks; it is round-robin
-    repartitioned (deterministic: Spark sorts before a round-robin shuffle).
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
-
-
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """S3: a Parquet table (pushdown and pruning apply), spread if under-split."""
-    return spread(spark.read.parquet(path))
+    """S3: a Parquet table, a file or a folder of files (pushdown and pruning apply)."""
+    return spark.read.parquet(path)
 
 
 # ---------------------------------------------------------------------------
 # Directory of JSON objects, one per file
 # ---------------------------------------------------------------------------
-def scan_raw_json(spark: SparkSession, path: str, exact_keys: bool = True) -> DataFrame:
-    """Read every ``*.json`` file under ``path`` as one raw article.
+def scan_raw_json(spark: SparkSession, path: str, exact_keys: bool = True, pattern: str = "*.json") -> DataFrame:
+    """Read every file named like ``pattern`` under ``path`` as one raw article.
 
     ``exact_keys=True`` reads each file whole and parses it with ``from_json``,
     adding ``_keys`` (the object's keys) so a missing key and a JSON ``null``
@@ -54,24 +40,31 @@ def scan_raw_json(spark: SparkSession, path: str, exact_keys: bool = True) -> Da
             .option("multiLine", True)
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", "_corrupt_record")
-            .option("pathGlobFilter", "*.json")
+            .option("pathGlobFilter", pattern)
             .json(path)
         )
         df = df.withColumn("_file", F.input_file_name())
         return df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
     text = (
-        spark.read.option("pathGlobFilter", "*.json")
+        spark.read.option("pathGlobFilter", pattern)
         .text(path, wholetext=True)
         .withColumn("_file", F.input_file_name())
     )
+    v = F.try_parse_json("value")
+    kinds = [F.schema_of_variant(F.try_variant_get(v, f"$.{f}", "variant")) for f in schemas.TEXT_FIELDS]
     parsed = text.select(
         F.from_json("value", schemas.RAW).alias("r"),
         F.json_object_keys("value").alias("_keys"),
+        *[k.alias(f"_t{i}") for i, k in enumerate(kinds)],
         "_file",
     )
     # from_json yields null for a malformed document; json_object_keys yields
-    # null for anything that is not a JSON object.
-    return parsed.filter(F.col("r").isNotNull() & F.col("_keys").isNotNull()).select("r.*", "_keys", "_file")
+    # null for anything that is not a JSON object.  A list, object or number
+    # where a text is cleaned makes the whole row unusable.
+    ok = F.col("r").isNotNull() & F.col("_keys").isNotNull()
+    for i in range(len(kinds)):
+        ok = ok & F.coalesce(F.col(f"_t{i}").isin("STRING", "VOID"), F.lit(True))
+    return parsed.filter(ok).select("r.*", "_keys", "_file")
 
 
 def compact_raw(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -107,9 +100,16 @@ def read_first_existing(spark: SparkSession, paths, schema=None) -> DataFrame |
 # ---------------------------------------------------------------------------
 # Sinks
 # ---------------------------------------------------------------------------
-def write_raw(df: DataFrame, path: str, fmt: str = "json", mode: str = "append") -> None:
-    """K1: raw articles partitioned by source/category (not one file per row)."""
-    df.write.mode(mode).partitionBy("source", "category").format(fmt).save(path)
+def write_raw(df: DataFrame, path: str, fmt: str = "json", mode: str = "append", rows_per_file: int = 100_000, salts: int = 16) -> None:
+    """K1: raw articles partitioned by source/category (not one file per row).
+
+    Rows meet by their folder first, so a folder gets at most ``salts`` tasks'
+    files instead of one from every task; the salt keeps a site with a third
+    of all rows from landing in one task.
+    """
+    salt = F.pmod(F.xxhash64("url"), F.lit(salts))
+    (df.repartition("source", "category", salt).write.mode(mode).partitionBy("source", "category")
+     .option("maxRecordsPerFile", rows_per_file).format(fmt).save(path))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -130,7 +130,12 @@ def write_splits(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwr
     w.format(fmt).save(path)
 
 
-def write_stats(stats: DataFrame, path: str, mode: str = "ignore") -> None:
-    """K6/K7: the one-row stats document as JSON; ``mode='ignore'`` skips the
-    write when the output already exists (the rerun guard)."""
-    stats.coalesce(1).write.mode(mode).json(path)
+def write_stats(stats: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """K6: the statistics as JSON lines ``kind, key, n`` (one per site and
+    category: their number grows with the crawl, so they are never one row)."""
+    stats.write.mode(mode).json(path)
+
+
+def is_done(spark: SparkSession, path: str) -> bool:
+    """K7: whether a job finished writing ``path`` (a failed one leaves the folder without this mark)."""
+    return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")

@@ -8,23 +8,5 @@ _S = T.StringType()
 RAW_FIELDS = ("title", "summary", "content", "pub_date", "category", "url", "source", "scraped_at")
 RAW = T.StructType([T.StructField(f, _S) for f in RAW_FIELDS])
 RAW_WITH_CORRUPT = T.StructType(RAW.fields + [T.StructField("_corrupt_record", _S)])
-
-LINK = T.StructType([T.StructField(f, _S) for f in ("url", "source", "category")])
-
-CLEAN_WIDE = T.StructType(
-    [T.StructField(f, _S) for f in ("id", "title", "summary", "content", "pub_date", "category", "url", "source")]
-)
-CLEAN_NARROW = T.StructType([T.StructField(f, _S) for f in ("url", "summary", "content")])
-
-TOKENISED_EXTRA = ("tokenized_title", "tokenized_summary", "tokenized_content")
-
-STATS = T.StructType(
-    [
-        T.StructField("total", T.LongType()),
-        T.StructField("train", T.LongType()),
-        T.StructField("validation", T.LongType()),
-        T.StructField("test", T.LongType()),
-        T.StructField("sources", T.MapType(_S, T.LongType())),
-        T.StructField("categories", T.MapType(_S, T.LongType())),
-    ]
-)
+# fields whose text is cleaned: anything but a text or null there makes the row unusable
+TEXT_FIELDS = ("title", "summary", "content")

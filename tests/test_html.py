@@ -1,13 +1,15 @@
-"""X1-X16 on hand-made pages (the driver pages have no class-scoped selectors)."""
+"""X1-X16 on hand-made pages with the sites' own classes."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from corpusforge.functions import html_select as H
 from corpusforge.operators import html as X
 
 PAGE = """<html><head><title>t</title><script>var x="</p><h1>no</h1>";</script><style>p{}</style></head>
 <body><!-- <a href="/hidden">x</a> -->
-<div class="zone zone--featured"><ul>
+<div class="zone zone--featured"><div><a href="/z1.htm">1</a></div><div class="x"><a href="/z2.htm">2</a></div></div>
+<div class="list_news timeline"><a href="/t1.htm">1</a></div><div class="list_news timeline"><div><a href="/t2.htm">2</a></div></div>
+<div class="box"><ul>
  <li class="item-news"><h3 class="title-news"><a href="/a-1.htm">One</a></h3><a href="/other">o</a></li>
  <li class="item-news"><a class="vnn-title" href="https://x.vn/b-2.htm">Two</a></li>
  <li class="item-news"><a>no href</a></li>
@@ -21,7 +23,7 @@ PAGE = """<html><head><title>t</title><script>var x="</p><h1>no</h1>";</script><
 </div>
 <div class="noidung"><h2 class="sapo"> Nested sapo </h2><div class="ta-justify"><div>inner</div> body </div></div>
 <h2 class="detail__summary"> S </h2><div class="detail__content"><div>a</div><div>b</div></div>
-<article><p>Alpha beta gamma.<p>Delta &amp; epsilon</p></article>
+<article class="fck_detail"><p>Alpha beta gamma.<p class="author">me<p>Delta &amp; epsilon</p></article>
 </body></html>"""
 
 
@@ -49,45 +51,67 @@ def test_dedupe_first_seen_wins(spark):
     assert got == {"u": "early", "v": "x"}
 
 
-def test_regex_title_body_gate(spark):
+def test_regions_close_where_they_should(spark):
     p = _pages(spark)
-    r = p.select(X.title_text("html").alias("t"), X.body_text("html").alias("b")).first()
-    assert r.t == "Title of the article & more"
-    assert r.b == "Alpha beta gamma.\nDelta & epsilon"
-    assert X.gate_pages(p).count() == 0  # body under 30 words
-    art = X.pages_to_articles(p.withColumn("html", F.regexp_replace("html", "Alpha", "w " * 40)))
-    assert art.select("source", "category").first() == ("site.vn", "cat")
-
-
-def test_parser_fields(spark):
-    f = X.parse_fields(_pages(spark)).first()
+    assert [r.href for r in X.extract_links(p, *X.REGION_FEATURED).orderBy("pos").collect()] == ["/z1.htm", "/z2.htm"]
+    assert [r.href for r in X.extract_links(p, *X.REGION_TIMELINE, every=True).orderBy("pos").collect()] == ["/t1.htm", "/t2.htm"]
+    assert [r.href for r in X.extract_links(p, *X.REGION_TIMELINE).collect()] == ["/t1.htm"]
+
+
+@pytest.mark.parametrize("html,tag,cls,want", [
+    ("<div class=a>1<div>2</div>3</div><div class='b a c'>4</div><div class=ab>5</div>", "div", "a", ["1<div>2</div>3", "4"]),
+    ("<div><div class=a>in</div></div>", "div", "a", ["in"]),
+    ("<div class=a>open <div>x</div>", "div", "a", ["open <div>x</div>"]),
+    ("</div><DIV CLASS=\"a\">u</DIV>", "div", "a", ["u"]),
+    ("<p class=a>p</p><span class=a>s</span><p>n</p>", None, "a", ["p", "s"]),
+    ("<divx class=a>no</divx>", "div", "a", []),
+    ("", "div", None, []),
+])
+def test_regions(spark, html, tag, cls, want):
+    df = spark.createDataFrame([(html,)], "h string")
+    assert df.select(X.regions("h", tag, cls).alias("r")).first().r == want
+
+
+def test_fields_by_selector_priority(spark):
+    f = X.with_clean_html(_pages(spark)).select(
+        X.title_text("_clean").alias("title"), X.summary_text("_clean").alias("summary"), X.time_text("_clean").alias("time"),
+        X.body_text("_clean").alias("body"), X.body_text("_clean", X.BODY_SELECTORS[1:]).alias("fck"), X.card_links("_clean").alias("cards")).first()
     assert f.title == "Title of the article & more"
     assert f.summary == "The sapo"
-    assert f.pub_date == "01/02/2025"
-    assert f.content == 'First para "q".\nAuthor\nSecond bold para\nThird unclosed'
-    assert f.card_links == ["/a-1.htm", "https://x.vn/b-2.htm"]
-    assert (f.strict_summary, f.strict_content) == (" S ", "ab")
-    assert (f.nested_summary, f.nested_content) == ("Nested sapo", "inner body")
+    assert f.time == "01/02/2025"
+    assert f.body == 'First para "q".\nAuthor\nSecond bold para\nThird unclosed'
+    assert f.fck == "Alpha beta gamma.\nDelta & epsilon"  # without the author's paragraph
+    assert f.cards == ["/a-1.htm", "https://x.vn/b-2.htm"]
 
 
-def test_parser_strict_drops_missing(spark):
-    p = spark.createDataFrame([(1, "https://a.vn/x", "<div class='noidung'><h2 class='sapo'>s</h2></div>")],
-                              "page_id long, url string, html string")
-    assert X.extract_strict(p, nested=True).count() == 0
-    assert X.extract_strict(p).count() == 0
+def test_strict_pairs(spark):
+    p = _pages(spark)
+    assert [(r.summary, r.content) for r in X.extract_strict(p).collect()] == [(" S ", "ab")]
+    assert [(r.summary, r.content) for r in X.extract_strict(p, X.STRICT_NESTED, strip=True).collect()] == [("Nested sapo", "inner body")]
+    half = spark.createDataFrame([(1, "https://a.vn/x", "<div class='noidung'><h2 class='sapo'>s</h2></div>"), (2, "u", None)],
+                                 "page_id long, url string, html string")
+    assert X.extract_strict(half, X.STRICT_NESTED).count() == X.extract_strict(half).count() == 0
 
 
-def test_selector_helper():
-    root = H.parse('<div class="a b"><p>x</p><span><p class="author">y</p></span></div><p>z</p>')
-    assert [n.text() for n in H.select(root, ".a p")] == ["x", "y"]
-    assert [n.text() for n in H.select(root, "div > p")] == ["x"]
-    assert [n.text() for n in H.select(root, "p:not(.author)")] == ["x", "z"]
-    assert H.first_text(root, ["h1", "span p"]) == "y"
+def test_gate_and_articles(spark):
+    p = _pages(spark)
+    assert X.gate_pages(p).count() == 0  # body under 30 words
+    long = p.withColumn("html", F.regexp_replace("html", "First", "w " * 40))
+    art = X.pages_to_articles(long)
+    assert art.select("source", "category").first() == ("site.vn", "cat")
+    assert art.select("title", "summary", "pub_date").first() == ("Title of the article & more", "The sapo", "01/02/2025")
+
+
+def test_links_to_articles_carries_the_links_category(spark):
+    p = _pages(spark)
+    fetched = p.withColumns({"page_id": F.lit(9).cast("long"), "url": F.lit("https://www.site.vn/z2.htm"), "html": F.regexp_replace("html", "First", "w " * 40)})
+    got = X.links_to_articles(p, fetched, None, *X.REGION_FEATURED, suffix=".htm").collect()
+    assert [(r.page_id, r.url, r.source, r.category) for r in got] == [(9, "https://www.site.vn/z2.htm", "site.vn", "cat")]
 
 
 def test_join_links_pages(spark):
     links = spark.createDataFrame([("https://a.vn/1", "a.vn", "c"), ("https://a.vn/2", "a.vn", "c")],
                                   "url string, source string, category string")
-    pages = spark.createDataFrame([(7, "https://a.vn/2")], "page_id long, url string")
+    pages = spark.createDataFrame([(7, "https://a.vn/2"), (8, "https://a.vn/9")], "page_id long, url string")
     got = X.join_links_pages(links, pages).collect()
     assert [(r.url, r.page_id, r.category) for r in got] == [("https://a.vn/2", 7, "c")]

@@ -1,10 +1,7 @@
 """Plan-shape regressions: the physical plans keep the properties the design relies on."""
 
-import re
-
 import __spark_entry__ as E
 from conftest import SF_MID, needs
-from corpusforge.sources.io import spread
 
 
 def _plan(spark, name):
@@ -42,12 +39,20 @@ def test_no_regex_pushed_below_exchange(spark):
 
 
 @needs(SF_MID)
-def test_exact_split_single_partition_only_for_bucket_table(spark):
-    plan = _plan(spark, "split_exact")
-    assert plan.count("Exchange SinglePartition") == 1
-    below = plan.split("Exchange SinglePartition", 1)[1].splitlines()[1]
-    assert "HashAggregate(keys=[_b" in below  # the bounded bucket-count table
-    assert re.search(r"Window \[.*\], \[_b#\d+\]", plan)  # ranking is partitioned by bucket
+def test_exact_split_shuffles_no_rows(spark):
+    from corpusforge.operators import split as G
+
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    plan = G.split_exact(docs, "doc_id")._jdf.queryExecution().executedPlan().toString()
+    head = plan.split("Subquery", 1)[0]
+    assert "text" in head and "Exchange" not in head  # labels are projected
+    assert not any("text#" in line for line in plan.splitlines() if "Exchange" in line)
+
+
+@needs(SF_MID)
+def test_no_round_robin_shuffle(spark):
+    for name in ("clean_article_a", "extract_links", "split_exact", "bigram_lexicon", "reject_reasons"):
+        assert "RoundRobinPartitioning" not in _plan(spark, name)
 
 
 @needs(SF_MID)
@@ -59,11 +64,3 @@ def test_lexicon_has_no_cartesian_join(spark):
 @needs(SF_MID)
 def test_dedupe_aggregates_partially(spark):
     assert "partial_min_by" in _plan(spark, "dedupe_links_first")
-
-
-def test_spread_leaves_well_split_inputs_alone(spark):
-    n = spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 1000, numPartitions=n * 2)
-    assert spread(wide) is wide
-    narrow = spark.range(0, 1000, numPartitions=1)
-    assert spread(narrow).rdd.getNumPartitions() == n
