@@ -84,22 +84,32 @@ def sketch(grams: np.ndarray) -> np.ndarray:
     return out
 
 
+def _sketch_array(found: list[np.ndarray]) -> pa.Array:
+    ends = np.arange(len(found) + 1, dtype=np.int32) * ELEMENTS
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found) if found else np.empty(0, np.int64)))
+
+
+def sketches(text: Column) -> Column:
+    """The sketch of a text, or an empty array for a wordless one."""
+
+    @F.arrow_udf("array<bigint>")
+    def run(column: pa.Array) -> pa.Array:
+        found = [labelled(b) for b in W.texts(column)]
+        flat = [sketch(x).view(np.int64) for x in found if len(x)]
+        ends = np.cumsum([0] + [ELEMENTS * (len(x) > 0) for x in found])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(flat) if flat else np.empty(0, np.int64)))
+
+    return run(text)
+
+
 def signatures(text: Column) -> Column:
-    """Struct of ``n`` windows, the ``sketch`` and the windows themselves (32 bits each), or null for a wordless text."""
+    """Struct of the ``sketch`` of a text with words and of the windows themselves (32 bits each)."""
 
-    @F.arrow_udf("n int, sketch array<bigint>, seq binary")
+    @F.arrow_udf("sketch array<bigint>, seq binary")
     def run(column: pa.Array) -> pa.Array:
-        n, flat, seq = [], [], []
-        for b in W.texts(column):
-            grams = labelled(b)
-            n.append(len(grams))
-            flat.append(sketch(grams).view(np.int64))
-            seq.append((grams >> np.uint64(32)).astype("<u4").tobytes())
-        ends = np.arange(len(n) + 1, dtype=np.int32) * ELEMENTS
-        sk = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(flat) if flat else np.empty(0, np.int64)))
-        none = pa.array([x == 0 for x in n], pa.bool_())
-        return pa.StructArray.from_arrays([pa.array(n, pa.int32()), sk, pa.array(seq, pa.binary())],
-                                          names=["n", "sketch", "seq"], mask=none)
+        found = [labelled(b) for b in W.texts(column)]
+        seq = [(x >> np.uint64(32)).astype("<u4").tobytes() for x in found]
+        return pa.StructArray.from_arrays([_sketch_array([sketch(x).view(np.int64) for x in found]), pa.array(seq, pa.binary())], names=["sketch", "seq"])
 
     return run(text)
 
@@ -201,16 +211,21 @@ def _links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield done()
 
 
-def near_links(texts: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Verified links ``a, b, similarity`` between the rows of ``key, id, sketch, seq``; they span every component."""
-    rows = texts.select("key", "id", F.explode("sketch").alias("bucket"))
-    sizes = rows.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
-    member = rows.join(sizes, "bucket").select("key", "bucket", F.ceil(F.col("size") / block).alias("blocks"), F.xxhash64("key").alias("h"))
-    member = member.select("key", "bucket", F.expr("pmod(h, blocks)").alias("block"), F.explode(F.expr("sequence(0L, blocks - 1)")).alias("other"))
-    member = member.select("key", "bucket", "block", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"))
-    full = member.join(texts.select("key", "id", "sketch", "seq"), "key").drop("key")
+def near_links(texts: DataFrame, rows: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Verified links ``a, b`` that span every component, between distinct texts (``id, key, sketch``).
+
+    ``rows`` (``id, key, text``) has their words; only those of texts that share a bucket are looked at again.
+    """
+    flat = texts.select("id", "key", F.explode("sketch").alias("bucket"))
+    sizes = flat.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+    member = flat.join(sizes, "bucket").select("id", "key", "bucket", F.ceil(F.col("size") / block).alias("blocks"))
+    member = member.withColumn("block", F.expr("pmod(xxhash64(key), blocks)")).withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+    member = materialize(member.select("id", "key", "bucket", "block", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj")), "members")
+    words = rows.join(member.select("id", "key").distinct(), ["id", "key"]).select("id", "key", signatures(F.col("text")).alias("s"))
+    words = materialize(words.select("id", "key", "s.*").dropDuplicates(["id", "key"]), "windows")
+    full = member.join(words, ["id", "key"]).drop("key")
     full = full.repartition("bucket", "bi", "bj").sortWithinPartitions("bucket", "bi", "bj", "id")
-    return full.mapInPandas(_links, "a bigint, b bigint, similarity double")
+    return full.mapInPandas(_links, "a bigint, b bigint, similarity double").select("a", "b")
 
 
 def _key(text: Column) -> Column:
@@ -219,11 +234,11 @@ def _key(text: Column) -> Column:
 
 def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, ``class_id`` (the smallest doc_id of its class), ``kept`` and ``key`` (of the text)."""
-    base = docs.select(docs[doc_id].alias("id"), _key(docs[text]).alias("key"), signatures(docs[text]).alias("s"))
-    base = materialize(base.select("id", "key", "s.*"), "signatures")
+    rows = docs.select(docs[doc_id].cast("bigint").alias("id"), _key(docs[text]).alias("key"), docs[text].alias("text"))
+    base = materialize(rows.select("id", "key", sketches(F.col("text")).alias("sketch")), "sketches")
     equal = base.filter("id IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"))
-    texts = base.filter("n > 0").join(equal, ["key", "id"]).dropDuplicates(["key"]).select("key", "id", "sketch", "seq")
-    links = materialize(near_links(texts).select("a", "b"), "near-links")
+    texts = base.filter("size(sketch) > 0").join(equal, ["key", "id"]).dropDuplicates(["key"]).select("id", "key", "sketch")
+    links = materialize(near_links(texts, rows), "near-links")
     classes = components(links)
     named = equal.join(classes, equal.id == classes.node, "left").select("key", F.coalesce("component", "id").alias("class"))
     out = base.select("id", "key").join(named, "key", "left")
