@@ -94,14 +94,16 @@ def merge_compounds(texts: DataFrame, lexicon: DataFrame, key: str, text_col: st
     per text.  Tokens are then joined by a marker where the pair is a hit and
     by a space elsewhere, and one left-to-right replacement glues ``a|b``.
     """
-    t = texts.select(F.col(key), TK.tokens(text_col).alias("_t"))
-    pairs = F.array_distinct(F.filter(_with_next(_words_of(F.col("_t"))), lambda p: p["w"].isNotNull() & p["w_next"].isNotNull()))
-    cand = explode_computed(t, pairs, [key], None, "p").select(key, F.col("p.w").alias("w"), F.col("p.w_next").alias("w_next"))
-    lex = lexicon.select(F.col("w1").alias("w"), F.col("w2").alias("w_next"))
-    hits = cand.join(lex, ["w", "w_next"]).groupBy(key).agg(F.collect_set(F.struct("w", "w_next")).alias("_hits"))
+    # a pair is one string (arrays of structs have no hashed distinct)
+    t = with_pinned(texts.select(key, TK.tokens(text_col).alias("_t")), {"_w": _words_of(F.col("_t"))})
+    zipped = with_pinned(t.select(key, pinned(F.col("_w")).alias("_w")), {"_p": _with_next(F.col("_w"))})
+    pairs = F.transform(pinned(F.col("_p")), lambda p: F.concat(p["w"], F.lit(MARK), p["w_next"]))  # null beside punctuation
+    cand = explode_computed(zipped, F.array_distinct(pairs), [key], None, "pair").filter(F.col("pair").isNotNull())
+    lex = lexicon.select(F.concat("w1", F.lit(MARK), "w2").alias("pair"))
+    hits = cand.join(lex, "pair").groupBy(key).agg(F.collect_set("pair").alias("_hits"))
     j = texts.select(key, TK.tokens(text_col).alias("_t")).join(hits, key, "left")
-    tokens, found = F.col("_t"), F.coalesce(F.col("_hits"), F.array().cast("array<struct<w: string, w_next: string>>"))
-    hit = lambda x, i: F.coalesce(F.array_contains(found, F.struct(x.alias("w"), F.get(tokens, i + 1).alias("w_next"))), F.lit(False))
+    tokens, found = F.col("_t"), F.coalesce(F.col("_hits"), F.array().cast("array<string>"))
+    hit = lambda x, i: F.coalesce(F.array_contains(found, F.concat(x, F.lit(MARK), F.get(tokens, i + 1))), F.lit(False))
     marked = F.array_join(F.transform(tokens, lambda x, i: F.concat(x, F.when(hit(x, i), MARK).otherwise(" "))), "")
     glued = F.regexp_replace(marked, f"([^ {MARK}]+){MARK}([^ {MARK}]+)", "$1_$2")
     return j.select(key, F.rtrim(F.translate(glued, MARK, " ")).alias(text_col))
