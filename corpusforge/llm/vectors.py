@@ -126,13 +126,32 @@ def _first_meeting(a: np.ndarray, b: np.ndarray, bucket: int) -> np.ndarray:
     return ok
 
 
-def _group(rows: list, bucket: int, cross: bool) -> pd.DataFrame:
+def _linked(x: np.ndarray, block: np.ndarray, cross: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows whose cosine reaches the threshold (of different blocks only, if ``cross``)."""
+    found = []
+    for lo in range(0, len(x), 256):
+        i, j = np.nonzero(x[lo:lo + 256] @ x.T >= THRESHOLD)
+        i += lo
+        use = (i < j) & (block[i] != block[j]) if cross else i < j
+        found.append((i[use], j[use]))
+    return np.concatenate([i for i, _ in found]), np.concatenate([j for _, j in found])
+
+
+def _group(rows: list, bucket: int, cross: bool) -> pd.DataFrame | None:
     """Counts of linked partners, and links that join components, of one group."""
     n, dim = len(rows), rows[0].dim
     kind = f"f{len(rows[0].vec) // dim}"  # single or double precision, as in the table
-    x = _unit(np.frombuffer(b"".join(r.vec for r in rows), kind).reshape(n, dim))
-    code, block = buckets(x), np.array([r.block for r in rows])
-    count, parent, links = np.zeros(n, np.int64), list(range(n)), []
+    x = _unit(np.frombuffer(b"".join([r.vec for r in rows]), kind).reshape(n, dim))
+    i, j = _linked(x, np.array([r.block for r in rows]), cross)
+    if not len(i):
+        return None
+    # only linked vectors are hashed again, to count a pair where it meets first
+    some, at = np.unique(np.concatenate((i, j)), return_inverse=True)
+    code = buckets(x[some])
+    first = np.concatenate([_first_meeting(code[a], code[b], bucket) for a, b in zip(*(np.array_split(y, 1 + len(i) // 100_000) for y in np.split(at, 2)), strict=True)])
+    i, j = i[first], j[first]
+    count = np.bincount(i, minlength=n) + np.bincount(j, minlength=n)
+    parent, links = list(range(n)), []
 
     def root(k: int) -> int:
         while parent[k] != k:
@@ -140,24 +159,12 @@ def _group(rows: list, bucket: int, cross: bool) -> pd.DataFrame:
             k = parent[k]
         return k
 
-    for lo in range(0, n, 256):
-        cos = x[lo:lo + 256] @ x.T
-        i, j = np.nonzero(cos >= THRESHOLD)
-        i += lo
-        use = i < j
-        if cross:
-            use &= block[i] != block[j]
-        i, j = i[use], j[use]
-        first = _first_meeting(code[i], code[j], bucket)
-        i, j = i[first], j[first]
-        count += np.bincount(i, minlength=n) + np.bincount(j, minlength=n)
-        for a, b in zip(i.tolist(), j.tolist(), strict=True):
-            ra, rb = root(a), root(b)
-            if ra != rb:
-                parent[rb] = ra
-                links.append((rows[a].id, rows[b].id))
-    some = np.flatnonzero(count)
-    out = [(rows[k].id, None, int(count[k])) for k in some] + [(a, b, 0) for a, b in links]
+    for a, b in zip(i.tolist(), j.tolist(), strict=True):
+        ra, rb = root(a), root(b)
+        if ra != rb:
+            parent[rb] = ra
+            links.append((rows[a].id, rows[b].id))
+    out = [(rows[k].id, None, int(count[k])) for k in np.flatnonzero(count)] + [(a, b, 0) for a, b in links]
     return pd.DataFrame(out, columns=["a", "b", "n"]).astype({"b": "Int64"})
 
 
@@ -168,8 +175,8 @@ def _groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for r in chain(rows, [None]):
         now = r and (r.label, r.dim, r.bucket, r.bi, r.bj)
         if now != key:
-            if len(held) > 1:
-                yield _group(held, key[2], key[3] != key[4])
+            if len(held) > 1 and (found := _group(held, key[2], key[3] != key[4])) is not None:
+                yield found
             key, held = now, []
         held.append(r)
 
