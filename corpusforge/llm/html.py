@@ -1,15 +1,17 @@
 """Operator 3, main text of web pages: consensus host paths.
 
-Every page is parsed once to score its containers; its best one votes, by its
+Every page is parsed to score its containers; its best one votes, by its
 generalised path of tags and classes (digits removed), for the layout of its
-host.  Spark counts the votes, and a second parse extracts each page from the
-container at its host's winning path, or from its own best container where the
-page has none there.
+host.  Spark counts the votes.  Pages whose best container does not lie at
+their host's winning path are extracted again, from the container there, or
+from their own where the page has none there; the others' text stands.
 
 Containers that are not article text by their tag, role or class (menus,
 headers, footers, sidebars, notices, adverts, forms, comments) count for
 nothing and are left out.  Votes are partial aggregates, so a host with a
-third of all pages is a few rows; Spark may split its side of the join.
+third of all pages is a few rows.  Pages are never shuffled by host: those to
+extract again are found among small rows and looked up by page_id, and their
+list is broadcast only if its written size is small.
 
 Defined results: a null or empty page has the empty text; a page without a
 host votes for no one and is extracted by itself; ties go to the smaller path;
@@ -26,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusforge.operators.plan_utils import materialize
+
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/><]*)((?:[^><"']|"[^"<]*"|'[^'<]*')*|[^><]*)>""", re.S)
 ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 SPACE = re.compile(r"\s+")
@@ -186,16 +190,18 @@ class Page:
         return max(there, key=lambda k: (self.chars[k], -k)) if there else self.best()
 
 
-def best_path(page: Column) -> Column:
-    """The generalised path of a page's best container; null for a page without text."""
+def own_extract(page: Column) -> Column:
+    """Struct of the generalised path of a page's best container (null without text) and the text there."""
 
-    @F.arrow_udf("string")
+    @F.arrow_udf("path string, text string")
     def run(pages: pa.Array) -> pa.Array:
-        out = []
+        paths, texts = [], []
         for source in pages.to_pylist():
             p = Page(source or "")
-            out.append(p.path[p.best()] if p.blocks else None)
-        return pa.array(out, pa.string())
+            path = p.path[p.best()] if p.blocks else None
+            paths.append(path)
+            texts.append(p.text(p.at(path)))
+        return pa.StructArray.from_arrays([pa.array(paths, pa.string()), pa.array(texts, pa.string())], names=["path", "text"])
 
     return run(page)
 
@@ -219,18 +225,22 @@ def host(url: Column) -> Column:
     return F.nullif(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-def winning_paths(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """``host, path``: the path that most pages of each host voted for."""
-    votes = pages.select(host(pages[url]).alias("host"), best_path(pages[html]).alias("path"))
-    votes = votes.groupBy("host", "path").agg(F.count("*").alias("n")).filter("host IS NOT NULL AND path IS NOT NULL")
+def winning_paths(votes: DataFrame) -> DataFrame:
+    """``host, winner``: the path that most rows of each ``host`` voted for."""
+    counts = votes.filter("host IS NOT NULL AND path IS NOT NULL").groupBy("host", "path").agg(F.count("*").alias("n"))
     # the most votes, then the smaller path
-    top = votes.groupBy("host").agg(F.min(F.struct((-F.col("n")).alias("n"), "path")).alias("top"))
-    return top.select("host", F.col("top.path").alias("path"))
+    top = counts.groupBy("host").agg(F.min(F.struct((-F.col("n")).alias("n"), "path")).alias("top"))
+    return top.select("host", F.col("top.path").alias("winner"))
 
 
 def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """One row per page: ``page_id, url, text, n_chars``."""
-    rows = pages.select(pages[page_id].alias("page_id"), pages[url].alias("url"), pages[html].alias("html"), host(pages[url]).alias("h"))
-    paths = winning_paths(pages, url, html)
-    out = rows.join(paths, rows.h == paths.host, "left").select("page_id", "url", extract(F.col("html"), F.col("path")).alias("text"))
-    return out.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+    rows = pages.select(pages[page_id].alias("page_id"), pages[url].alias("url"), host(pages[url]).alias("host"), pages[html].alias("html"))
+    own = materialize(rows.select("page_id", "url", "host", own_extract(F.col("html")).alias("x")).select("page_id", "url", "host", "x.*"), "own-text")
+    votes = own.select("page_id", "host", "path")
+    away = votes.join(winning_paths(votes), "host").filter("NOT path <=> winner")
+    away = materialize(away.select(F.col("page_id").alias("id"), F.col("host").alias("h"), "winner").distinct(), "away")
+    there = lambda df: df["page_id"].eqNullSafe(away["id"]) & (df["host"] == away["h"])
+    stands = own.join(away, there(own), "left_anti").select("page_id", "url", "text")
+    again = rows.join(away, there(rows)).select("page_id", "url", extract(F.col("html"), F.col("winner")).alias("text"))
+    return stands.unionByName(again).select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
