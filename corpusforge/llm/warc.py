@@ -181,10 +181,11 @@ def _writer(root: str):
     return run
 
 
-def write_archives(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", min_revisit: int = MIN_REVISIT) -> str:
-    """Writes one record per page; returns the folder of the archives."""
+def write_archives(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", min_revisit: int = MIN_REVISIT,
+                   root: str | None = None) -> str:
+    """Writes one record per page; returns the folder of the archives (``root``, or a new one under the checkpoint folder)."""
     spark = pages.sparkSession
-    root = scratch_path(spark, f"warc-{uuid.uuid4().hex[:12]}")
+    root = root or scratch_path(spark, f"warc-{uuid.uuid4().hex[:12]}")
     root = "/" + root.removeprefix("file:").lstrip("/") if root.startswith("file:") else root
     fs, folder = pafs.FileSystem.from_uri(root) if "://" in root else (pafs.LocalFileSystem(), root)
     fs.create_dir(folder, recursive=True)
