@@ -75,15 +75,19 @@ def turns_of(formatted: str) -> list[tuple[str, str]]:
     return found
 
 
-SEQUENCE = ("tree string, input_ids array<int>, position_ids array<int>, "
-            "nodes array<struct<parent: int, start: int, end: int, loss_start: int, loss_end: int, attends: array<struct<start: int, end: int>>>>, "
-            "conversations array<struct<conv_id: bigint, n_turns: int, leaf: int>>")
+#: A sequence: its tokens and their position ids; per node (turn) its parent's number, place and loss span, and the range of its
+#: attention intervals in ``attend_start`` and ``attend_end``; per conversation its id, number of turns and last node.
+SEQUENCE = ("tree string, input_ids array<int>, position_ids array<int>, parent array<int>, start array<int>, end array<int>, "
+            "loss_start array<int>, loss_end array<int>, attend_from array<int>, attend_to array<int>, attend_start array<int>, attend_end array<int>, "
+            "conv_id array<string>, n_turns array<int>, leaf array<int>")
+NAMES = [x.split()[0] for x in SEQUENCE.split(", ")]
+BATCH = 64  # sequences handed to Spark at once
 
 
 class Tree:
     """Turns as nodes in depth-first order with their place in the sequence."""
 
-    def __init__(self, conversations: list[tuple[int | None, list[tuple[str, str]]]], path: str):
+    def __init__(self, conversations: list[tuple[str | None, list[tuple[str, str]]]], path: str):
         children: list[dict[tuple[str, str], int]] = [{}]
         label: list[tuple[str, str]] = [("", "")]
         leaf: list[int] = []
@@ -98,47 +102,53 @@ class Tree:
             leaf.append(at)
         self.ids: list[np.ndarray] = []
         self.positions: list[np.ndarray] = []
-        self.nodes: list[tuple] = []
+        nodes: list[tuple] = []  # in the order of SEQUENCE, from parent to attend_to
+        spans: list[tuple[int, int]] = []
         number, size = {}, 0
         stack = [(k, -1, 0, []) for k in reversed(children[0].values())]
         while stack:
             k, parent, position, attends = stack.pop()
             parts = [encode.encode(path, x) for x in render(*label[k])]
-            n = sum(map(len, parts))
-            learned = label[k][0] == LEARNED_ROLE
-            loss = (size + len(parts[0]), size + len(parts[0]) + len(parts[1])) if learned else (size, size)
+            lengths = [len(x) for x in parts]
+            n, at = sum(lengths), size + lengths[0]
+            loss = (at, at + lengths[1]) if label[k][0] == LEARNED_ROLE else (size, size)
             # the parent's intervals and its own, joined where one goes on from the other
             attends = [*attends[:-1], (attends[-1][0], size + n)] if attends and attends[-1][1] == size else [*attends, (size, size + n)]
-            number[k] = len(self.nodes)
-            self.nodes.append((parent, size, size + n, *loss, attends))
+            number[k] = len(nodes)
+            nodes.append((parent, size, size + n, *loss, len(spans), len(spans) + len(attends)))
+            spans += attends
             self.ids += parts
             self.positions.append(np.arange(position, position + n, dtype=np.int32))
             stack += [(c, number[k], position + n, attends) for c in reversed(children[k].values())]
             size += n
-        self.members = [(c, len(turns), number.get(x, -1)) for (c, turns), x in zip(conversations, leaf, strict=True)]
+        self.columns = [*np.array(nodes, np.int32).reshape(-1, 7).T, *np.array(spans, np.int32).reshape(-1, 2).T]
+        self.members = [[c for c, _ in conversations], [len(t) for _, t in conversations], [number.get(x, -1) for x in leaf]]
 
     def row(self, tree: str) -> tuple:
-        nodes = [dict(zip(("parent", "start", "end", "loss_start", "loss_end"), n, strict=False)) | {"attends": [{"start": a, "end": b} for a, b in n[5]]}
-                 for n in self.nodes]
-        members = [dict(zip(("conv_id", "n_turns", "leaf"), m, strict=True)) for m in self.members]
-        join = lambda x: np.concatenate(x) if x else np.empty(0, np.int32)
-        return tree, join(self.ids).astype(np.int32), join(self.positions), nodes, members
+        return tree, np.concatenate(self.ids).astype(np.int32), np.concatenate(self.positions), *self.columns, *self.members
+
+
+def attention_intervals(row, node: int) -> list[tuple[int, int]]:
+    """The stretches of a sequence that a node's tokens may attend to (its ancestors and, causally, itself)."""
+    at = range(row.attend_from[node], row.attend_to[node])
+    return [(row.attend_start[k], row.attend_end[k]) for k in at]
 
 
 def _builder(path: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Over a partition sorted by tree."""
-        key, held = None, []
+        key, held, out = None, [], []
         rows = chain.from_iterable(pdf.itertuples(index=False) for pdf in batches)
         for r in chain(rows, [None]):
-            if r is None or r.tree != key:
-                if held:
-                    yield pd.DataFrame([Tree(held, path).row(key)], columns=["tree", "input_ids", "position_ids", "nodes", "conversations"])
-                if r is None:
-                    return
-                key, held = r.tree, []
-            conv = None if pd.isna(r.conv) else int(r.conv)
-            held.append((conv, [(t["role"], t["text"]) for t in r.turns]))
+            if held and (r is None or r.tree != key):
+                out.append(Tree(held, path).row(key))
+                held = []
+            if len(out) == BATCH or r is None:
+                yield pd.DataFrame(out, columns=NAMES)
+                out = []
+            if r is not None:
+                key = r.tree
+                held.append((r.conv, [(t["role"], t["text"]) for t in r.turns]))
 
     return run
 
@@ -160,35 +170,34 @@ def prefix_trees(turns: DataFrame, path: str | None = None, tree: int = TREE) ->
     return dealt.mapInPandas(_builder(path or encode.vocabulary_path()), SEQUENCE)
 
 
-def _reader(path: str):
-    schema = "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
+READ = "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
 
+
+def _reader(path: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
+            out = []
             for r in pdf.itertuples(index=False):
-                out = []
-                for c in r.conversations:
-                    way, k = [], c["leaf"]
-                    spans = [(a["start"], a["end"]) for a in r.nodes[k]["attends"]]
-                    formatted = encode.decode(path, np.concatenate([r.input_ids[a:b] for a, b in spans]))
+                for conv, k in zip(r.conv_id, r.leaf, strict=True):
+                    formatted = encode.decode(path, np.concatenate([r.input_ids[a:b] for a, b in attention_intervals(r, k)]))
+                    learned = []
                     while k >= 0:
-                        way.append(r.nodes[k])
-                        k = r.nodes[k]["parent"]
-                    learned = [unescape(encode.decode(path, r.input_ids[n["loss_start"]:n["loss_end"]])) for n in reversed(way)]
-                    found = turns_of(formatted)
+                        if r.loss_end[k] > r.loss_start[k]:
+                            learned.append(unescape(encode.decode(path, r.input_ids[r.loss_start[k]:r.loss_end[k]])))
+                        k = r.parent[k]
+                    found, loss = turns_of(formatted), "".join(reversed(learned))
                     digest = hashlib.sha256("".join(f"{role}\n{text}\n" for role, text in found).encode()).hexdigest()
-                    loss = "".join(learned)
-                    out.append((c["conv_id"], len(found), digest, len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(formatted)))
-                frame = pd.DataFrame(out, columns=[x.split()[0] for x in schema.split(", ")])
-                yield frame.astype({"conv_id": "Int64"})
+                    id_ = None if conv is None else int(conv)
+                    out.append((id_, len(found), digest, len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(formatted)))
+            frame = pd.DataFrame(out, columns=[x.split()[0] for x in READ.split(", ")])
+            yield frame.astype({"conv_id": "Int64"})
 
-    return run, schema
+    return run
 
 
 def read_back(sequences: DataFrame, path: str | None = None) -> DataFrame:
     """One row per conversation, decoded from the sequences' tokens, intervals and loss spans."""
-    run, schema = _reader(path or encode.vocabulary_path())
-    return sequences.mapInPandas(run, schema)
+    return sequences.mapInPandas(_reader(path or encode.vocabulary_path()), READ)
 
 
 def probe(turns: DataFrame) -> DataFrame:

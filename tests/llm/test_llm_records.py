@@ -160,21 +160,20 @@ def test_prefix_trees(spark, tree):
     rows = chat.prefix_trees(turns.unionByName(copies), tree=tree).collect()
     seen, path = set(), encode.vocabulary_path()
     for r in rows:
-        texts = set()
-        assert len(r.input_ids) == len(r.position_ids) == max((n.end for n in r.nodes), default=0)
-        for k, n in enumerate(r.nodes):
-            own = (n.parent, encode.decode(path, np.array(r.input_ids[n.start:n.end])))
-            assert own not in texts and n.parent < k  # once each, parents first
+        texts, positions = set(), r.position_ids
+        assert len(r.input_ids) == len(positions) == max(r.end)
+        for k, parent in enumerate(r.parent):
+            own = (parent, encode.decode(path, np.array(r.input_ids[r.start[k]:r.end[k]])))
+            assert own not in texts and parent < k  # once each, parents first
             texts.add(own)
             way, at = [], k
             while at >= 0:
-                way.append((r.nodes[at].start, r.nodes[at].end))
-                at = r.nodes[at].parent
+                way.append((r.start[at], r.end[at]))
+                at = r.parent[at]
             want = [x for a, b in reversed(way) for x in range(a, b)]
-            assert [x for a in n.attends for x in range(a.start, a.end)] == want
-            assert [r.position_ids[x] for x in want] == list(range(len(want)))
-        for c in r.conversations:
-            seen.add(c.conv_id)
+            assert [x for a, b in chat.attention_intervals(r, k) for x in range(a, b)] == want
+            assert [positions[x] for x in want] == list(range(len(want)))
+        seen |= set(r.conv_id)
     convs = turns.select("conv_id").distinct().count()
     assert len(seen) == 3 * convs and (tree == 2 or len(rows) <= convs)
 
