@@ -14,19 +14,28 @@ from pyspark.sql import functions as F
 from corpusforge.operators.plan_utils import materialize
 
 
+def _least(links: DataFrame) -> DataFrame:
+    """``u, m``: the smallest v of every u.
+
+    Written, so that the join with it reads both sides by plain shuffles:
+    Spark can then split the links of a node that a third of all have, or
+    broadcast this side if it is small.
+    """
+    return materialize(links.groupBy("u").agg(F.min("v").alias("m")), "least")
+
+
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     # v > u: v moves from u to the smallest of u's neighbourhood
-    return both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    moved = both.filter("v > u").join(_least(both), "u")
+    return moved.select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     # every link points from the larger to the smaller node
-    low = links.groupBy("u").agg(F.min("v").alias("m"))
-    moved = links.join(low, "u")
-    return (moved.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+    low = _least(links)
+    moved = links.join(low, "u").filter("v <> m")
+    return moved.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct()
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -43,6 +52,6 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if state[0] == 0 or state == seen:
             break
         seen = state
-        links = materialize(_small_star(_large_star(links)), "links")
+        links = materialize(_small_star(materialize(_large_star(links), "links")), "links")
     leaves = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return leaves.unionByName(leaves.select(F.col("component").alias("node"), "component").distinct())

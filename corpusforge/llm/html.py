@@ -47,7 +47,7 @@ DROPPED_WORDS = frozenset((
     "consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login share sharing social breadcrumb "
     "breadcrumbs pagination pager comment comments disqus reply replies discussion form search widget widgets toolbar skip").split())
 WEAK_WORDS = frozenset("header masthead banner related recommended recommendations side tags meta teaser".split())
-TEXT_WORDS = frozenset("article content main post entry story body text page".split())
+TEXT_WORDS = frozenset("article content main post entry story body text".split())
 KEPT_TAGS = frozenset("html body main article".split())
 
 SHARE = 0.75  # of its parent's text, weighted, that a container must hold to be preferred
@@ -238,7 +238,9 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
     rows = pages.select(pages[page_id].alias("page_id"), pages[url].alias("url"), host(pages[url]).alias("host"), pages[html].alias("html"))
     own = materialize(rows.select("page_id", "url", "host", own_extract(F.col("html")).alias("x")).select("page_id", "url", "host", "x.*"), "own-text")
     votes = own.select("page_id", "host", "path")
-    away = votes.join(winning_paths(votes), "host").filter("NOT path <=> winner")
+    # written, so that Spark can split a host with a third of all pages, or broadcast the winners if they are few
+    winners = materialize(winning_paths(votes), "winners")
+    away = votes.join(winners, "host").filter("NOT path <=> winner")
     away = materialize(away.select(F.col("page_id").alias("id"), F.col("host").alias("h"), "winner").distinct(), "away")
     there = lambda df: df["page_id"].eqNullSafe(away["id"]) & (df["host"] == away["h"])
     stands = own.join(away, there(own), "left_anti").select("page_id", "url", "text")
