@@ -16,7 +16,7 @@ BODY = 'He said "so, then", and left; ' + " ".join(f"word{i}" for i in range(60)
 
 def _article(k, **change):
     a = {"url": f"https://a.vn/{k}.htm", "title": f"Title, {k} \"q\"", "summary": f"Sum, \"{k}\"\nline", "content": f"{BODY} end {k}.",
-         "source": "vtv" if k % 3 else "eco", "category": f"c{k % 2}", "scraped_at": f"2025-05-07 10:{k:02d}:00"} | change
+         "source": "one" if k % 3 else "two", "category": f"c{k % 2}", "scraped_at": f"2025-05-07 10:{k:02d}:00"} | change
     return {key: v for key, v in a.items() if v != "MISSING"}
 
 
@@ -107,7 +107,7 @@ def test_stream_dedupe_and_counts(spark, raw_dir):
     assert len(urls) == len(set(urls)) == 26 and None not in urls
     STR.run_counts(raw, f"{d}/cnt", f"{d}/ck2")
     counts = {(r.source, r.category): r.n for r in spark.read.parquet(f"{d}/cnt").collect()}
-    assert [counts[k] for k in (("vtv", "c0"), ("vtv", "c1"), ("eco", "c0"), ("eco", "c1"))] == [10, 9, 5, 5]
+    assert [counts[k] for k in (("one", "c0"), ("one", "c1"), ("two", "c0"), ("two", "c1"))] == [10, 9, 5, 5]
 
 
 def test_event_time_is_zone_safe_and_lenient(spark):
