@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -43,7 +44,7 @@ THRESHOLD = 0.8
 ELEMENTS = 20
 MINIMA = 3
 IN_COMMON = 2
-BLOCK = 1000
+BLOCK = 400  # texts in a block: two blocks of very long texts still fit a worker
 SEED = 1
 
 _rng = np.random.default_rng(SEED)
@@ -120,7 +121,7 @@ class Sequence:
     def __init__(self, raw: bytes):
         values = np.frombuffer(raw, "<u4")
         self.n = len(values)
-        self.at = np.argsort(values, kind="stable")
+        self.at = np.argsort(values, kind="stable").astype(np.int32)
         self.sorted = values[self.at]
 
 
@@ -195,20 +196,18 @@ def _group_links(rows: list, bucket: int, cross: bool) -> list[tuple]:
 
 def _links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Over a partition sorted by group: the links of every group."""
-    key, rows = None, []
-
-    def done() -> pd.DataFrame:
-        found = _group_links(rows, key[0], key[1] != key[2]) if len(rows) > 1 else []
-        return pd.DataFrame(found, columns=["a", "b", "similarity"])
-
-    for pdf in batches:
-        for r in pdf.itertuples(index=False):
-            if (now := (r.bucket, r.bi, r.bj)) != key:
-                if len(rows) > 1:
-                    yield done()
-                key, rows = now, []
-            rows.append(r)
-    yield done()
+    key, held, out = None, [], []
+    rows = chain.from_iterable(pdf.itertuples(index=False) for pdf in batches)
+    for r in chain(rows, [None]):
+        now = r and (r.bucket, r.bi, r.bj)
+        if now != key:
+            if len(held) > 1:
+                out += _group_links(held, key[0], key[1] != key[2])
+            key, held = now, []
+        if len(out) > 10_000 or r is None:
+            yield pd.DataFrame(out, columns=["a", "b", "similarity"])
+            out = []
+        held.append(r)
 
 
 def near_links(texts: DataFrame, rows: DataFrame, block: int = BLOCK) -> DataFrame:
