@@ -3,8 +3,8 @@
 The store holds runs: tables of 128-bit line keys, bucketed and sorted by key.
 A batch reduces its own keys first (one row per key, combined before the
 shuffle, so a line that a third of all documents share is one row), then
-merge-anti-joins the runs: keys that a run holds belong to an earlier batch,
-the rest are new and become a run of level 0.  When a level has ``fanout``
+merge-joins the runs: keys that a run holds belong to an earlier batch, the
+rest, those in no run, are new and become a run of level 0.  When a level has ``fanout``
 runs they are merged into one run of the next level, so a batch meets few
 runs.  Only the batch is shuffled; the runs lie bucketed on disk.
 
@@ -120,16 +120,12 @@ class LineRuns:
         A key goes from every id of the batch when an earlier batch held it,
         and otherwise from all but the smallest id that holds it.
         """
-        own = keys.groupBy("k1", "k2").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-        held = None
+        own = keys.groupBy("k1", "k2").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).withColumn("held", F.lit(False))
+        # one merge join per run marks what it holds; the batch, once shuffled and sorted, stays so
         for table in (t for level in self.levels for t in level):
-            run = self.spark.table(table).filter("owner IS NOT NULL").select("k1", "k2")
-            part = own.join(run, ["k1", "k2"], "left_semi")
-            held = part if held is None else held.unionByName(part)
-            own = own.join(run, ["k1", "k2"], "left_anti")
-        new = own.select("k1", "k2", F.col("lo").alias("owner"), (F.col("lo") < F.col("hi")).alias("shared"))
-        if held is not None:
-            new = new.unionByName(held.select("k1", "k2", F.lit(None).cast("bigint").alias("owner"), F.lit(True).alias("shared")))
+            run = self.spark.table(table).filter("owner IS NOT NULL").select("k1", "k2", F.lit(True).alias("here"))
+            own = own.join(run, ["k1", "k2"], "left").select("k1", "k2", "lo", "hi", F.expr("held OR here IS NOT NULL").alias("held"))
+        new = own.select("k1", "k2", F.expr("if(held, NULL, lo)").alias("owner"), F.expr("held OR lo < hi").alias("shared"))
         self.levels[0].append(self._write(new))
         # read by path, without the buckets: both sides are shuffled, so Spark can split a key that many documents hold
         shared = self.spark.read.schema(RUN).parquet(f"{self.root}/{self.made}").filter("shared").select(F.col("k1").alias("s1"), F.col("k2").alias("s2"), "owner")
