@@ -236,3 +236,18 @@ def test_vector_cases(spark):
     same = spark.createDataFrame([(1, [1.0, 2.0], 0), (1, [1.0, 2.0], 0), (2, [2.0, 4.0], 0), (None, [1.0, 2.0], 0)], schema)
     got = sorted(((r.vec_id or 0), r.n_links, r.kept) for r in vectors.vector_classes(same).collect())
     assert got == [(0, 0, True), (1, 1, True), (1, 1, True), (2, 1, False)]
+
+
+def test_copies_collapse_before_they_meet(spark, monkeypatch):
+    """Copies count as partners, but one vector of each kind enters the buckets."""
+    met, whole = [], vectors.vector_links
+    monkeypatch.setattr(vectors, "vector_links", lambda rows: met.append(rows.count()) or whole(rows, 5))
+    rng = np.random.default_rng(3)
+    a, other = rng.normal(size=(2, 32))
+    b = a + rng.normal(size=32) * 0.05
+    kinds = [(a, 0)] * 30 + [(b, 0)] * 20 + [(a, 1)] * 3 + [(other, 0), (np.zeros(32), 0), (np.zeros(32), 0)]
+    rows = [(100 - i, v.tolist(), label) for i, (v, label) in enumerate(kinds)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.vector_classes(df).collect()}
+    assert got == brute_links(rows) and got[100] == (49, 51, False)
+    assert met == [4]
