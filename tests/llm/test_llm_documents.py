@@ -137,6 +137,53 @@ def test_banded_alignment_equals_the_full_one(words, changes):
     assert got == (pytest.approx(want) if want >= near.THRESHOLD else 0)
 
 
+def full_similarity(a, b):
+    """By a full longest common subsequence of unlabelled windows."""
+    a, b = ([g for g, _ in windows(" ".join(x))] for x in (a, b))
+    row = [0] * (len(b) + 1)
+    for x in a:
+        above, row = row, [0]
+        for k, y in enumerate(b):
+            row.append(above[k] + 1 if x == y else max(row[k], above[k + 1]))
+    return row[-1] / (len(a) + len(b) - row[-1])
+
+
+def unlabelled(words):
+    return near.Sequence((near.windows(np.frombuffer(" ".join(words).encode(), np.uint8)) >> np.uint64(32)).astype("<u4").tobytes())
+
+
+REPEATED = [f"w{i}" for i in range(100)] * 10
+VERSES = [[f"v{k}x{i}" for i in range(30)] + [f"r{i}" for i in range(30)] for k in range(10)]
+
+
+def with_changes(words, changes):
+    out = list(words)
+    for at, new in changes:
+        out[at % len(out)] = new
+    return [w for w in out if w]
+
+
+@settings(deadline=None, max_examples=150)
+@given(st.lists(st.sampled_from("abcd"), min_size=1, max_size=40), st.integers(1, 6), st.lists(st.tuples(st.integers(0, 239), st.sampled_from(["", "a", "x"])), max_size=6))
+def test_repeated_passages_align_as_in_the_full_alignment(words, times, changes):
+    words = words * times
+    other = with_changes(words, changes) or ["y"]
+    want = full_similarity(words, other)
+    assert near.similarity(unlabelled(words), unlabelled(other)) == (pytest.approx(want) if want >= near.THRESHOLD else 0)
+
+
+@pytest.mark.parametrize("words,other", [
+    (REPEATED, with_changes(REPEATED, [(k, "new") for k in (10, 30, 50, 70)])),
+    (sum(VERSES, []), sum([VERSES[0][:30], *VERSES[1:]], [])),
+    (REPEATED, REPEATED[:20] + REPEATED[60:]),
+])
+def test_near_copies_with_repeated_passages_are_linked(spark, words, other):
+    assert near.similarity(unlabelled(words), unlabelled(other)) == pytest.approx(full_similarity(words, other))
+    rows = [(1, " ".join(words), "a"), (2, " ".join(other), "a")]
+    got = {r.doc_id: r.class_id for r in near.near_classes(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()}
+    assert got == {1: 1, 2: 1}
+
+
 def brute_classes(rows):
     """doc_id -> class over rows of distinct doc_id."""
     win = {i: windows(t) for i, t in rows}
