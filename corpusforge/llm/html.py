@@ -2,7 +2,7 @@
 
 Every page is parsed to score its containers; its best one votes, by its
 generalised path of tags and classes (digits removed), for the layout of its
-host.  Spark counts the votes.  Pages whose best container does not lie at
+host.  Sibling containers at that path are taken together.  Spark counts the votes.  Pages whose best container does not lie at
 their host's winning path are extracted again, from the container there, or
 from their own where the page has none there; the others' text stands.
 
@@ -50,7 +50,7 @@ WEAK_WORDS = frozenset("header masthead banner related recommended recommendatio
 TEXT_WORDS = frozenset("article content main post entry story body text".split())
 KEPT_TAGS = frozenset("html body main article".split())
 
-SHARE = 0.75  # of its parent's text, weighted, that a container must hold to be preferred
+SHARE = 0.75  # of its parent's text that a container must hold to be preferred
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 
@@ -161,8 +161,8 @@ class Page:
             if stack[k][1] >= 0:
                 return
 
-    def best(self) -> int:
-        """The container that holds the article, going down while one child holds most of the text."""
+    def best(self) -> list[int]:
+        """The containers that hold the article, going down while one child, or siblings named like article text, hold most of the text."""
         children: dict[int, list[int]] = {}
         for k in range(1, len(self.tag)):
             if self.chars[k]:
@@ -173,21 +173,35 @@ class Page:
                     children.setdefault(up, []).append(k)
         at = 0
         while True:
-            weight = {k: self.chars[k] * (4 if self.tag[k] in ("article", "main") else 2 if self.good[k] else 1) for k in children.get(at, ())}
+            weight = {k: self.chars[k] * self._rank(k) for k in children.get(at, ())}
             next_ = max(weight, key=lambda k: (weight[k], -k), default=None)
-            if next_ is None or weight[next_] < SHARE * self.chars[at] or self.tag[at] == "article":
-                return at
+            if next_ is None or self.tag[at] == "article":
+                return [at]
             if (self.tag[at] == "main" or self.good[at]) and self.tag[next_] not in ("article", "main"):
-                return at
-            at = next_
-
-    def text(self, node: int) -> str:
-        return "\n".join(t for n, t in self.blocks if node <= n <= self.last[node])
-
-    def at(self, path: str | None) -> int:
-        """The fullest container at a path, or the page's own best."""
+                return [at]
+            if self.chars[next_] < SHARE * self.chars[at]:
+                next_ = max(weight, key=lambda k: (self.chars[k], -k))
+            if self.chars[next_] >= SHARE * self.chars[at]:
+                at = next_
+                continue
+            # no child holds the text: those named like article text at one path may, together
+            named: dict[str, list[int]] = {}
+            for k in weight:
+                if self._rank(k) > 1:
+                    named.setdefault(self.path[k], []).append(k)
+            held = max(named.values(), key=lambda ks: (sum(weight[k] for k in ks), -ks[0]), default=[])
+            return held if sum(self.chars[k] for k in held) >= SHARE * self.chars[at] else [at]
+
+    def _rank(self, node: int) -> int:
+        return 4 if self.tag[node] in ("article", "main") else 2 if self.good[node] else 1
+
+    def text(self, nodes: list[int]) -> str:
+        return "\n".join(t for n, t in self.blocks if any(k <= n <= self.last[k] for k in nodes))
+
+    def at(self, path: str | None) -> list[int]:
+        """All containers at a path, or the page's own best ones."""
         there = [k for k, p in enumerate(self.path) if p == path and self.chars[k]] if path else []
-        return max(there, key=lambda k: (self.chars[k], -k)) if there else self.best()
+        return there or self.best()
 
 
 def own_extract(page: Column) -> Column:
@@ -198,7 +212,7 @@ def own_extract(page: Column) -> Column:
         paths, texts = [], []
         for source in pages.to_pylist():
             p = Page(source or "")
-            path = p.path[p.best()] if p.blocks else None
+            path = p.path[p.best()[0]] if p.blocks else None
             paths.append(path)
             texts.append(p.text(p.at(path)))
         return pa.StructArray.from_arrays([pa.array(paths, pa.string()), pa.array(texts, pa.string())], names=["path", "text"])

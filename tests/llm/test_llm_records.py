@@ -59,6 +59,20 @@ def test_broken_pages(source):
     p.text(p.best())
 
 
+@pytest.mark.parametrize("inner,want", [
+    ("<article><p>first half</p></article><article><p>other half</p></article>", "first half\nother half"),
+    ("<main><article><p>first half</p></article><article><p>other half</p></article></main>", "first half\nother half"),
+    ("<div class='article-text a1'><p>first half</p></div><div class='advert'><p>buy this now</p></div><div class='article-text a2'><p>other half</p></div>", "first half\nother half"),
+    ("<article><p>teaser</p></article><div><p>the text of the whole page</p></div>", "the text of the whole page"),
+    ("<article><p>one half here</p></article><div><p>unnamed half</p></div>", "one half here\nunnamed half"),
+])
+def test_split_articles_stay_whole(spark, inner, want):
+    page = SHELL % inner
+    p = Page(page)
+    assert p.text(p.best()) == want
+    assert main_text(pages(spark, [(1, "http://a/", page)])).collect()[0].text == want
+
+
 def test_host_consensus(spark):
     """A page whose own best container is an advert-like box is read at its host's usual place."""
     usual = "<body><div class='x1'><p>%s</p></div><div class='y2'><p>%s</p></div></body>"
