@@ -8,7 +8,9 @@ from their own where the page has none there; the others' text stands.
 
 Containers that are not article text by their tag, role or class (menus,
 headers, footers, sidebars, notices, adverts, forms, comments) count for
-nothing and are left out.  Votes are partial aggregates, so a host with a
+nothing and are left out.  Only container-like elements are judged by their
+class or id, and inside an article, or named like one too, they stay if their
+text looks like prose.  Votes are partial aggregates, so a host with a
 third of all pages is a few rows.  Pages are never shuffled by host: those to
 extract again are found among small rows and looked up by page_id, and their
 list is broadcast only if its written size is small.
@@ -48,6 +50,9 @@ DROPPED_WORDS = frozenset((
     "breadcrumbs pagination pager comment comments disqus reply replies discussion form search widget widgets toolbar skip").split())
 WEAK_WORDS = frozenset("header masthead banner related recommended recommendations side tags meta teaser".split())
 TEXT_WORDS = frozenset("article content main post entry story body text".split())
+#: Elements judged by the words; tables and their cells outside an article only.
+NAMED_TAGS = frozenset("div section ul ol dl aside table td".split())
+PROSE_BLOCK = 80  # characters of a long block: prose has half of its text in those, and a quarter of it in links at most
 KEPT_TAGS = frozenset("html body main article".split())
 
 SHARE = 0.75  # of its parent's text that a container must hold to be preferred
@@ -64,7 +69,10 @@ class Page:
     def __init__(self, source: str):
         self.parent, self.tag, self.path, self.last, self.good, self.chars = [-1], ["html"], ["html"], [0], [False], [0]
         self.blocks: list[tuple[int, str]] = []
+        self.doubtful: list[int] = []  # elements named like no article text, inside an article
+        self.linked: dict[int, int] = {}  # characters in links, by element
         self._parse(source)
+        self._drop_doubtful()
         for node, text in self.blocks:
             while node >= 0:
                 self.chars[node] += len(text)
@@ -77,16 +85,28 @@ class Page:
                 self.blocks.append((node, block))
             text.clear()
 
-    def _judge(self, tag: str, attributes: str, above: int) -> tuple[str, bool, bool]:
-        """The element's classes without digits, whether it is named like article text, and whether its text is dropped."""
+    def _drop_doubtful(self) -> None:
+        """Leaves out the doubtful elements whose text does not look like prose, inner ones first."""
+        for k in reversed(self.doubtful):
+            inside = [len(t) for n, t in self.blocks if k <= n <= self.last[k]]
+            links = sum(c for n, c in self.linked.items() if k <= n <= self.last[k])
+            if 2 * sum(c for c in inside if c >= PROSE_BLOCK) < sum(inside) or 4 * links > sum(inside):
+                self.blocks = [(n, t) for n, t in self.blocks if not k <= n <= self.last[k]]
+                self.linked = {n: c for n, c in self.linked.items() if not k <= n <= self.last[k]}
+
+    def _judge(self, tag: str, attributes: str, above: int) -> tuple[str, bool, bool, bool]:
+        """The element's classes without digits, whether it is named like article text, whether its text is dropped, and whether that is in doubt."""
         found = {m[1].lower(): next(x for x in (*m.groups()[1:], "") if x is not None) for m in ATTRIBUTE.finditer(attributes)} if attributes else {}
         names = _words(f"{found.get('class', '')} {found.get('id', '')}")
         good = not TEXT_WORDS.isdisjoint(names)
         dropped = tag in DROPPED_TAGS or found.get("role", "").lower() in DROPPED_ROLES
         dropped |= tag == "header" and not any(self.tag[x] in ("article", "main") for x in self._up(above))
-        if tag not in KEPT_TAGS and names:
-            dropped |= not DROPPED_WORDS.isdisjoint(names) or (not good and not WEAK_WORDS.isdisjoint(names))
-        return "".join(sorted("." + re.sub(r"\d+", "", c) for c in found.get("class", "").split())), good, dropped
+        doubtful = False
+        if tag in NAMED_TAGS and (not DROPPED_WORDS.isdisjoint(names) or (not good and not WEAK_WORDS.isdisjoint(names))):
+            inside = any(self.tag[x] in ("article", "main") or (self.good[x] and self.tag[x] != "body") for x in self._up(above))
+            doubtful = not dropped and (inside or good) and not (inside and tag in ("table", "td"))
+            dropped |= not inside and not good
+        return "".join(sorted("." + re.sub(r"\d+", "", c) for c in found.get("class", "").split())), good, dropped, doubtful
 
     def _open(self, tag: str, classes: str, good: bool, above: int) -> int:
         self.parent.append(above)
@@ -112,6 +132,8 @@ class Page:
             stop = m.start() if m else end
             if stop > at and not off:
                 text.append(entities.unescape(source[at:stop]))
+                if self.doubtful and any(x[0] == "a" for x in stack):
+                    self.linked[node] = self.linked.get(node, 0) + len(SPACE.sub(" ", text[-1]).strip())
             if not m:
                 break
             at, tag = m.end(), (m[2] or "").lower()
@@ -120,6 +142,8 @@ class Page:
                 if any(x[1] >= 0 for x in stack[k:]):
                     self._flush(node, text)
                 del stack[k:]
+            elif tag in ("svg", "math") and m[3].endswith("/"):
+                continue
             elif tag in RAW:
                 close = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
                 at = close.end() if close else end
@@ -132,8 +156,10 @@ class Page:
                     self._flush(node, text)
                     self._imply(stack, tag)
                 above = next(x[1] for x in reversed(stack) if x[1] >= 0)
-                classes, good, dropped = self._judge(tag, m[3], above)
+                classes, good, dropped, doubtful = self._judge(tag, m[3], above)
                 number = self._open(tag, classes, good, above) if tag in BLOCK else -1
+                if doubtful:
+                    self.doubtful.append(number)
                 stack.append((tag, number, dropped or stack[-1][2]))
             node, off = next(x[1] for x in reversed(stack) if x[1] >= 0), stack[-1][2]
         self._flush(node, text)

@@ -73,6 +73,23 @@ def test_split_articles_stay_whole(spark, inner, want):
     assert main_text(pages(spark, [(1, "http://a/", page)])).collect()[0].text == want
 
 
+PROSE = "A long paragraph of running text that belongs to the article and goes on well beyond one line of it."
+
+
+@pytest.mark.parametrize("inner,want", [
+    (f"<section id=discussion><h2 id=navigation>Navigation</h2><p>{PROSE}</p></section>", f"Navigation\n{PROSE}"),
+    ("<h2 id='social-impact' class='section-header'>Impact</h2><p>a <span class='hljs-comment'># note</span> b</p>", "Impact\na # note b"),
+    ("<table class='side-by-side'><tr><td class='side'>x<td>y</table>", "x\ny"),
+    ("<p>before <svg class=i /> after</p><p>end</p>", "before after\nend"),
+    (f"<p>kept</p><div class='related'><p><a href=x>{PROSE}</a></p></div><div class='comments'><p>short</p></div>", "kept"),
+    (f"<p>kept</p><div class='promo entry-text'><p>{PROSE}</p></div>", f"kept\n{PROSE}"),
+])
+def test_article_parts_named_like_others_stay(inner, want):
+    for article in ("<article>%s</article>", "<div class='post'>%s</div>"):
+        p = Page(SHELL % (article % inner))
+        assert p.text(p.best()) == want
+
+
 def test_host_consensus(spark):
     """A page whose own best container is an advert-like box is read at its host's usual place."""
     usual = "<body><div class='x1'><p>%s</p></div><div class='y2'><p>%s</p></div></body>"
