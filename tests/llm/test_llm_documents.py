@@ -271,6 +271,17 @@ def test_ids_are_those_of_tokenizers(table):
         assert encode.decode(path, ids) == t
 
 
+def test_ids_against_an_unchanged_tokenizer():
+    """Equal, but for the literal that the library takes for its special token (see README)."""
+    path = encode.vocabulary_path()
+    reference = Tokenizer.from_file(path)
+    for t in ["", "a  b", "漢字 😀 don't 123 ½", "<|endoftext", "a <|endoftext |> b"]:
+        assert encode.encode(path, t).tolist() == reference.encode(t, add_special_tokens=False).ids
+    text = "a <|endoftext|> b"
+    assert 50256 in reference.encode(text, add_special_tokens=False).ids
+    assert 50256 not in encode.encode(path, text) and encode.decode(path, encode.encode(path, text)) == text
+
+
 def test_cut():
     assert packing.cut(5, 8) == [(0, 5)] and packing.cut(8, 8) == [(0, 8)] and packing.cut(16, 8) == [(0, 8), (8, 8)]
     assert packing.cut(19, 8) == [(0, 3), (3, 8), (11, 8)]
