@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusforge.llm import chat, html, lines, mixing, near, packing, quality, sql, tokens, vectors, warc
+from corpusforge.llm import chat, html, idstore, lines, middle, mixing, near, packing, quality, resampling, sql, tokens, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"pipeline": corpus_pipeline.run}
 SQL: dict[str, str] = dict(sql.ORACLES)
@@ -71,3 +71,21 @@ def op9_quality_rules(documents: DataFrame) -> DataFrame:
 @register("pages")
 def op10_warc_zstd(pages: DataFrame) -> DataFrame:
     return warc.archive_table(pages)
+
+
+def op11_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in ("documents", "benchmark"))
+    return resampling.resample(documents, benchmark)
+
+
+QUERIES["op11_importance_resample"] = op11_importance_resample
+
+
+@register("documents")
+def op12_fill_in_middle(documents: DataFrame) -> DataFrame:
+    return middle.middle_table(documents)
+
+
+@register("documents")
+def op13_token_ids(documents: DataFrame) -> DataFrame:
+    return idstore.id_table(documents)

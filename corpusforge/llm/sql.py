@@ -135,5 +135,56 @@ SELECT e.vec_id, (SELECT count(*) FROM links WHERE a = e.vec_id) AS n_links, com
 FROM embeddings e JOIN least ON node = e.vec_id
 """
 
+#: CRC-32 of the bytes of a text: a register over its hexadecimal digits, two by two, with the table made by rule.
+CRC_TABLE = "list_transform(range(256), lambda b: list_reduce(range(8), lambda r, k: CASE WHEN r % 2 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END, b))"
+CRC32 = """xor(4294967295, list_reduce(list_transform(range(1, strlen({x}) + 1), lambda i: ('0x' || substr(hex(encode({x})), 2 * i - 1, 2))::BIGINT),
+  lambda r, byte: xor(r >> 8, crc[xor(r, byte) % 256 + 1]), 4294967295))"""
+
+OP11 = rf"""
+WITH crc_table AS MATERIALIZED (SELECT {CRC_TABLE} AS crc),
+texts AS (
+  SELECT 'd' AS corpus, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark
+), split AS (
+  SELECT row_number() OVER () AS row, corpus, id, regexp_extract_all({LOWER.format(x="coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts
+), features AS (
+  SELECT row, corpus, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM split
+), held AS (
+  SELECT row, corpus, f, count(*) AS n FROM features GROUP BY ALL
+), bucket_of AS (
+  SELECT f, {CRC32.format(x="f")} % 10000 AS bucket FROM (SELECT DISTINCT f FROM held), crc_table
+), buckets AS (
+  SELECT bucket, coalesce(sum(n) FILTER (corpus = 'd'), 0)::BIGINT AS s, coalesce(sum(n) FILTER (corpus = 'b'), 0)::BIGINT AS t FROM held JOIN bucket_of USING (f) GROUP BY bucket
+), total AS (SELECT coalesce(sum(s), 0)::BIGINT AS s, coalesce(sum(t), 0)::BIGINT AS t FROM buckets),
+gain AS (
+  SELECT bucket, floor(1000 * ln(((b.t + 1) * (total.s + 10000))::DOUBLE / ((b.s + 1) * (total.t + 10000))::DOUBLE))::BIGINT AS g FROM buckets b, total
+), scores AS (
+  SELECT row, sum(n)::BIGINT AS n_features, floor(sum(n * g)::DOUBLE / sum(n)::DOUBLE)::BIGINT AS weight FROM held JOIN bucket_of USING (f) JOIN gain USING (bucket) WHERE corpus = 'd' GROUP BY row
+), scored AS (
+  SELECT id AS doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, len(w) >= 20 AS asked,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || id::VARCHAR), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM split LEFT JOIN scores USING (row) WHERE corpus = 'd'
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY asked ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY asked) AS n FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN asked AND place <= 25 * n // 100 THEN place END AS rank FROM placed
+"""
+
+OP12 = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256('1:' || doc_id::VARCHAR) AS h FROM documents
+), k AS (
+  SELECT *, ('0x' || substr(h, 1, 8))::BIGINT % (n + 1) AS a, ('0x' || substr(h, 9, 8))::BIGINT % (n + 1) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 90 THEN 'plain'
+              WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM d
+), parts AS (
+  SELECT *, substr(text, 1, least(a, b)) AS prefix, substr(text, least(a, b) + 1, abs(a - b)) AS middle, substr(text, greatest(a, b) + 1) AS suffix FROM k
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
 ORACLES = {"op2_mix_sources": OP2, "op4_chat_prefix_trees": OP4, "op5_embedding_dedup": OP5, "op6_line_dedup": OP6, "op9_quality_rules": _op9(),
-           "op10_warc_zstd": OP10}
+           "op10_warc_zstd": OP10, "op11_importance_resample": OP11, "op12_fill_in_middle": OP12}

@@ -49,6 +49,21 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(33))
 
 
+def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of a whole string column, one text after the other, and where each starts (and the last ends); a null is empty."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    if column.null_count:
+        column = pc.fill_null(column, "")
+    _, offsets, data = column.buffers()
+    if not len(column):
+        return np.empty(0, np.uint8), np.zeros(1, np.int64)
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    ends = np.frombuffer(offsets, kind)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
+    return raw[ends[0]:ends[-1]], ends - ends[0]
+
+
 def texts(column: pa.Array) -> Iterator[np.ndarray]:
     """The UTF-8 bytes of every value; a null counts as the empty text."""
     if isinstance(column, pa.ChunkedArray):

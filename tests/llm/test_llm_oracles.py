@@ -7,7 +7,7 @@ import pytest
 from corpusforge.llm import queries, sql
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("documents", "pages", "conversations", "embeddings")
+TABLES = ("documents", "pages", "conversations", "embeddings", "benchmark")
 
 
 def norm(df: pd.DataFrame) -> list:
@@ -32,5 +32,5 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_every_operator_has_a_query():
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in queries.QUERIES if q.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in queries.QUERIES if q.startswith("op")}
     assert "pipeline" in queries.QUERIES
