@@ -2,15 +2,20 @@
 
 Every page is parsed to score its containers; its best one votes, by its
 generalised path of tags and classes (digits removed), for the layout of its
-host.  Sibling containers at that path are taken together.  Spark counts the votes.  Pages whose best container does not lie at
-their host's winning path are extracted again, from the container there, or
-from their own where the page has none there; the others' text stands.
-
-Containers that are not article text by their tag, role or class (menus,
-headers, footers, sidebars, notices, adverts, forms, comments) count for
-nothing and are left out.  Only container-like elements are judged by their
-class or id, and inside an article, or named like one too, they stay if their
-text looks like prose.  Votes are partial aggregates, so a host with a
+host.  Sibling containers at that path are taken together.  Spark counts the
+votes.  Pages whose best container does not lie at their host's winning path
+are extracted again, from the container there, or from their own where the page
+has none there; the others' text stands.
+
+Elements that are not article text by their tag, role or class (menus,
+headers, footers, sidebars, notices, adverts, forms, reader comments) count for
+nothing and are left out, inside an article too.  Containers are judged by the
+words of their class or id: a word such as comments, cookie or advert always
+drops one (but a container around the page's h1 or main element), words that
+article parts also have, such as discussion or related, only if its text does
+not look like prose or it stands outside the article.  Paragraphs, figures, list
+items and inline elements go if such a word is a whole class of theirs
+(not inside code), headings never.  Votes are partial aggregates, so a host with a
 third of all pages is a few rows.  Pages are never shuffled by host: those to
 extract again are found among small rows and looked up by page_id, and their
 list is broadcast only if its written size is small.
@@ -33,8 +38,9 @@ from pyspark.sql import functions as F
 from corpusforge.operators.plan_utils import materialize
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/><]*)((?:[^><"']|"[^"<]*"|'[^'<]*')*|[^><]*)>""", re.S)
-ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+ATTRIBUTE = re.compile(r"""(?<![^\s"'/])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 SPACE = re.compile(r"\s+")
+WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math".split())
@@ -43,160 +49,215 @@ BLOCK = frozenset(("address article aside blockquote body caption center dd deta
 CONTAINER = frozenset("article body div main section td".split())
 DROPPED_TAGS = frozenset("head nav footer aside form button select option menu dialog fieldset object canvas audio video map".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-#: Words in a class or id that tell what a container is.
-DROPPED_WORDS = frozenset((
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion nav navbar navigation menu sidebar aside footer cookie cookies "
-    "consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login share sharing social breadcrumb "
-    "breadcrumbs pagination pager comment comments disqus reply replies discussion form search widget widgets toolbar skip").split())
+#: Words in a class or id that tell what a container is, wherever it stands.
+STRONG_WORDS = frozenset((
+    "ad ads adv advert adverts advertisement advertisements advertising sponsor sponsors sponsored cookie cookies consent gdpr notice notices newsletter "
+    "newsletters subscribe subscription signup sidebar sidebars nav navbar navigation menu share sharing breadcrumb breadcrumbs pagination pager comment "
+    "comments disqus popup modal").split())
+#: Words that an article's own parts may have as well.
+DOUBTFUL_WORDS = frozenset(("promo promotion aside footer notification alert overlay login social reply replies discussion form search widget widgets "
+                            "toolbar skip").split())
 WEAK_WORDS = frozenset("header masthead banner related recommended recommendations side tags meta teaser".split())
 TEXT_WORDS = frozenset("article content main post entry story body text".split())
+#: A class that begins so tells about what is around or inside the element, or what an article is about.
+ABOUT = frozenset("has with without no is category tag type status format".split())
 #: Elements judged by the words; tables and their cells outside an article only.
 NAMED_TAGS = frozenset("div section ul ol dl aside table td".split())
+#: Elements judged by strong words that are a whole class; an article only by those that it can be one of many of.
+WHOLE_TAGS = frozenset("p figure li span a article".split())
+ARTICLE_WORDS = frozenset("ad advert comment comments".split())
 PROSE_BLOCK = 80  # characters of a long block: prose has half of its text in those, and a quarter of it in links at most
-KEPT_TAGS = frozenset("html body main article".split())
 
 SHARE = 0.75  # of its parent's text that a container must hold to be preferred
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+KEEP, DOUBT, DROP = range(3)
 
 
-def _words(value: str) -> list[str]:
-    return [w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower()) if w]
+def _words(value: str) -> set[str]:
+    """Words of the classes, but of those that tell about something else."""
+    out: set[str] = set()
+    for name in value.split():
+        found = [w.lower() for w in WORD.findall(name)]
+        if found and found[0] not in ABOUT:
+            out.update(found)
+    return out
 
 
 class Page:
-    """The elements of a page in order, and its blocks of text with the element each is in."""
+    """The elements of a page in order, and its blocks of text with the element each is in.
+
+    One pass over the tokens and a few over the elements; nothing looks back
+    over open elements, so a page of any shape takes time by its length.
+    """
 
     def __init__(self, source: str):
-        self.parent, self.tag, self.path, self.last, self.good, self.chars = [-1], ["html"], ["html"], [0], [False], [0]
-        self.blocks: list[tuple[int, str]] = []
-        self.doubtful: list[int] = []  # elements named like no article text, inside an article
-        self.linked: dict[int, int] = {}  # characters in links, by element
+        # by element number: parent, tag, tag with classes, last element inside, named like article text, verdict, and the nearest container above;
+        # whether it lies in article or main, and in those or a container named like article text
+        self.parent, self.tag, self.label, self.good, self.verdict, self.above = [-1], ["html"], ["html"], [False], [KEEP], [0]
+        self.in_main, self.in_text = [False], [False]
+        self.blocks: list[tuple[int, str, int]] = []  # element, text, characters in links
         self._parse(source)
-        self._drop_doubtful()
-        for node, text in self.blocks:
-            while node >= 0:
-                self.chars[node] += len(text)
-                node = self.parent[node]
-
-    def _flush(self, node: int, text: list[str]) -> None:
-        if text:
-            block = SPACE.sub(" ", "".join(text)).strip()
-            if block:
-                self.blocks.append((node, block))
-            text.clear()
-
-    def _drop_doubtful(self) -> None:
-        """Leaves out the doubtful elements whose text does not look like prose, inner ones first."""
-        for k in reversed(self.doubtful):
-            inside = [len(t) for n, t in self.blocks if k <= n <= self.last[k]]
-            links = sum(c for n, c in self.linked.items() if k <= n <= self.last[k])
-            if 2 * sum(c for c in inside if c >= PROSE_BLOCK) < sum(inside) or 4 * links > sum(inside):
-                self.blocks = [(n, t) for n, t in self.blocks if not k <= n <= self.last[k]]
-                self.linked = {n: c for n, c in self.linked.items() if not k <= n <= self.last[k]}
-
-    def _judge(self, tag: str, attributes: str, above: int) -> tuple[str, bool, bool, bool]:
-        """The element's classes without digits, whether it is named like article text, whether its text is dropped, and whether that is in doubt."""
-        found = {m[1].lower(): next(x for x in (*m.groups()[1:], "") if x is not None) for m in ATTRIBUTE.finditer(attributes)} if attributes else {}
-        names = _words(f"{found.get('class', '')} {found.get('id', '')}")
-        good = not TEXT_WORDS.isdisjoint(names)
-        dropped = tag in DROPPED_TAGS or found.get("role", "").lower() in DROPPED_ROLES
-        dropped |= tag == "header" and not any(self.tag[x] in ("article", "main") for x in self._up(above))
-        doubtful = False
-        if tag in NAMED_TAGS and (not DROPPED_WORDS.isdisjoint(names) or (not good and not WEAK_WORDS.isdisjoint(names))):
-            inside = any(self.tag[x] in ("article", "main") or (self.good[x] and self.tag[x] != "body") for x in self._up(above))
-            doubtful = not dropped and (inside or good) and not (inside and tag in ("table", "td"))
-            dropped |= not inside and not good
-        return "".join(sorted("." + re.sub(r"\d+", "", c) for c in found.get("class", "").split())), good, dropped, doubtful
-
-    def _open(self, tag: str, classes: str, good: bool, above: int) -> int:
+        # what holds the page's main part is not dropped for its name; a page without other text may be one article so wrapped
+        self.chars = self._drop({"main", "h1"}) or self._drop({"main", "h1", "article"}) or [0] * len(self.tag)
+        self.blocks = [b for b in self.blocks if self.chars[b[0]]]
+
+    # -- parsing ------------------------------------------------------------
+    def _judge(self, tag: str, attributes: str, above: int, in_code: bool) -> tuple[str, bool, int]:
+        """The element's classes without digits, whether it is named like article text, and what becomes of its text."""
+        found: dict[str, str] = {}
+        for m in ATTRIBUTE.finditer(attributes) if attributes else ():
+            found.setdefault(m[1].lower(), next((x for x in m.groups()[1:] if x is not None), ""))
+        classes = found.get("class", "").replace(">", "")
+        label = tag + "".join(sorted("." + re.sub(r"\d+", "", c) for c in classes.split()))
+        if tag in DROPPED_TAGS or found.get("role", "").lower() in DROPPED_ROLES or (tag == "header" and not self.in_main[above]):
+            return label, False, DROP
+        if tag in WHOLE_TAGS:
+            whole = set(classes.lower().split())
+            strong = ARTICLE_WORDS if tag == "article" else STRONG_WORDS
+            return label, tag == "article", KEEP if in_code or whole.isdisjoint(strong) else DROP
+        names = _words(f"{classes} {found.get('id', '')}")
+        good, inside = not TEXT_WORDS.isdisjoint(names), self.in_text[above]
+        if tag not in NAMED_TAGS or (inside and tag in ("table", "td")):
+            return label, good, KEEP
+        if not STRONG_WORDS.isdisjoint(names):
+            return label, good, DROP
+        if not DOUBTFUL_WORDS.isdisjoint(names) or (not good and not WEAK_WORDS.isdisjoint(names)):
+            return label, good, DOUBT if inside or good else DROP
+        return label, good, KEEP
+
+    def _open(self, tag: str, label: str, good: bool, verdict: int, above: int) -> int:
         self.parent.append(above)
         self.tag.append(tag)
-        self.path.append(f"{self.path[above]}>{tag}{classes}")
-        self.good.append(good and tag in CONTAINER)
-        self.chars.append(0)
-        self.last.append(len(self.tag) - 1)
+        self.label.append(label)
+        good &= tag in CONTAINER
+        self.good.append(good)
+        self.verdict.append(verdict)
+        self.above.append(above if self.tag[above] in CONTAINER else self.above[above])
+        self.in_main.append(self.in_main[above] or tag in ("article", "main"))
+        self.in_text.append(self.in_text[above] or tag in ("article", "main") or (good and tag != "body"))
         return len(self.tag) - 1
 
-    def _up(self, node: int):
-        while node >= 0:
-            yield node
-            node = self.parent[node]
-
     def _parse(self, source: str) -> None:
-        # open elements: tag, number (-1 for inline ones, which hold no blocks), and whether text is dropped from here on
-        stack: list[tuple[str, int, bool]] = [("html", 0, False)]
+        # open elements: tag, number of the innermost block, whether in a link, whether in code, whether text is dropped for sure
+        stack: list[tuple[str, int, bool, bool, bool]] = [("html", 0, False, False, False)]
+        places: dict[str, list[int]] = {}  # where on the stack a tag is open
+        walls: list[int] = []  # and containers
         text: list[str] = []
-        node, off, at, end = 0, False, 0, len(source)
+        linked = at = 0
+        end = len(source)
+        last = source.rfind(">") + 1  # no tag ends behind it
+
+        def flush(node: int) -> None:
+            nonlocal linked
+            if text:
+                block = SPACE.sub(" ", "".join(text)).strip()
+                if block:
+                    self.blocks.append((node, block, linked))
+                text.clear()
+            linked = 0
+
+        def cut(k: int) -> None:
+            while len(stack) > k:
+                tag = stack.pop()[0]
+                places[tag].pop()
+                if tag in CONTAINER:
+                    walls.pop()
+
         while at < end:
-            m = TOKEN.search(source, at)
+            m = TOKEN.search(source, at, last) if at < last else None
             stop = m.start() if m else end
+            _, node, in_link, in_code, off = stack[-1]
             if stop > at and not off:
                 text.append(entities.unescape(source[at:stop]))
-                if self.doubtful and any(x[0] == "a" for x in stack):
-                    self.linked[node] = self.linked.get(node, 0) + len(SPACE.sub(" ", text[-1]).strip())
+                if in_link:
+                    linked += len(SPACE.sub(" ", text[-1]).strip())
             if not m:
                 break
             at, tag = m.end(), (m[2] or "").lower()
             if m[1]:
-                k = self._closed(stack, tag)
-                if any(x[1] >= 0 for x in stack[k:]):
-                    self._flush(node, text)
-                del stack[k:]
+                k = places[tag][-1] if places.get(tag) else 0
+                # small elements are not sought outside their container
+                if k and (tag in BLOCK and tag not in ("p", "li") or not walls or k >= walls[-1]):
+                    if stack[k - 1][1] != node:
+                        flush(node)
+                    cut(k)
             elif tag in ("svg", "math") and m[3].endswith("/"):
                 continue
             elif tag in RAW:
                 close = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
                 at = close.end() if close else end
             elif tag in ("br", "hr"):
-                self._flush(node, text)
+                flush(node)
             elif not tag or tag in VOID or tag == "html":
                 continue
-            else:
-                if tag in BLOCK:
-                    self._flush(node, text)
-                    self._imply(stack, tag)
-                above = next(x[1] for x in reversed(stack) if x[1] >= 0)
-                classes, good, dropped, doubtful = self._judge(tag, m[3], above)
-                number = self._open(tag, classes, good, above) if tag in BLOCK else -1
-                if doubtful:
-                    self.doubtful.append(number)
-                stack.append((tag, number, dropped or stack[-1][2]))
-            node, off = next(x[1] for x in reversed(stack) if x[1] >= 0), stack[-1][2]
-        self._flush(node, text)
-        for k in range(len(self.tag) - 1, 0, -1):
-            self.last[self.parent[k]] = max(self.last[self.parent[k]], self.last[k])
+            elif tag in BLOCK:
+                flush(node)
+                self._imply(stack, tag, cut)
+                _, above, in_link, in_code, off = stack[-1]
+                label, good, verdict = self._judge(tag, m[3], above, in_code)
+                places.setdefault(tag, []).append(len(stack))
+                if tag in CONTAINER:
+                    walls.append(len(stack))
+                # what holds the page's heading or main part is decided at the end
+                sure = off or (verdict == DROP and (tag in DROPPED_TAGS or tag not in CONTAINER))
+                stack.append((tag, self._open(tag, label, good, verdict, above), in_link, in_code or tag == "pre", sure))
+            elif tag in ("a", "code", "span") or tag in DROPPED_TAGS or "role" in m[3]:
+                # other inline elements change nothing for their text
+                if tag == "a" and in_link and places.get("a") and (not walls or places["a"][-1] >= walls[-1]):
+                    cut(places["a"][-1])
+                    _, node, in_link, in_code, off = stack[-1]
+                verdict = self._judge(tag, m[3], node, in_code)[2]
+                if tag != "span" or verdict == DROP:
+                    places.setdefault(tag, []).append(len(stack))
+                    stack.append((tag, node, in_link or tag == "a", in_code or tag == "code", off or verdict == DROP))
+                else:
+                    places.setdefault(tag, []).append(len(stack))
+                    stack.append((tag, node, in_link, in_code, off))
+        flush(stack[-1][1])
 
     @staticmethod
-    def _closed(stack: list, tag: str) -> int:
-        """Where the element begins that an end tag closes; small elements are not sought outside their container."""
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] == tag:
-                return k
-            if stack[k][0] in CONTAINER and tag not in BLOCK - {"p", "li"}:
-                break
-        return len(stack)
-
-    @staticmethod
-    def _imply(stack: list, tag: str) -> None:
+    def _imply(stack: list, tag: str, cut) -> None:
         """A block ends an open paragraph, and some end one of their own kind."""
         ends = CLOSES.get(tag, frozenset()) | {"p"} | ({"head"} if tag == "body" else set())
         for k in range(len(stack) - 1, 0, -1):
             if stack[k][0] in ends:
-                del stack[k:]
+                cut(k)
                 return
-            if stack[k][1] >= 0:
+            if stack[k][0] in BLOCK:
                 return
 
+    def _drop(self, heads: set[str]) -> list[int]:
+        """Characters by element, without dropped ones, and doubtful ones whose text does not look like prose (inner ones first); empty if none are left."""
+        n = len(self.tag)
+        chars, long, links = [0] * n, [0] * n, [0] * n
+        head = [t in heads and v == KEEP for t, v in zip(self.tag, self.verdict, strict=True)]
+        for node, text, linked in self.blocks:
+            chars[node] += len(text)
+            long[node] += len(text) if len(text) >= PROSE_BLOCK else 0
+            links[node] += linked
+        gone = [False] * n
+        for k in range(n - 1, 0, -1):
+            up = self.parent[k]
+            head[up] |= head[k]
+            if self.verdict[k] == DROP:
+                gone[k] = not head[k] or self.tag[k] in DROPPED_TAGS
+            elif self.verdict[k] == DOUBT:
+                gone[k] = 2 * long[k] < chars[k] or 4 * links[k] > chars[k]
+            if not gone[k]:
+                chars[up] += chars[k]
+                long[up] += long[k]
+                links[up] += links[k]
+        for k in range(1, n):
+            gone[k] |= gone[self.parent[k]]
+        return [0 if g else c for g, c in zip(gone, chars, strict=True)] if chars[0] else []
+
+    # -- choosing -----------------------------------------------------------
     def best(self) -> list[int]:
         """The containers that hold the article, going down while one child, or siblings named like article text, hold most of the text."""
         children: dict[int, list[int]] = {}
         for k in range(1, len(self.tag)):
-            if self.chars[k]:
-                up = self.parent[k]
-                while self.tag[up] not in CONTAINER and up:
-                    up = self.parent[up]
-                if self.tag[k] in CONTAINER:
-                    children.setdefault(up, []).append(k)
+            if self.chars[k] and self.tag[k] in CONTAINER:
+                children.setdefault(self.above[k], []).append(k)
         at = 0
         while True:
             weight = {k: self.chars[k] * self._rank(k) for k in children.get(at, ())}
@@ -211,22 +272,41 @@ class Page:
                 at = next_
                 continue
             # no child holds the text: those named like article text at one path may, together
-            named: dict[str, list[int]] = {}
+            named: dict[tuple[int, str], list[int]] = {}
             for k in weight:
                 if self._rank(k) > 1:
-                    named.setdefault(self.path[k], []).append(k)
+                    named.setdefault((self.parent[k], self.label[k]), []).append(k)
             held = max(named.values(), key=lambda ks: (sum(weight[k] for k in ks), -ks[0]), default=[])
             return held if sum(self.chars[k] for k in held) >= SHARE * self.chars[at] else [at]
 
     def _rank(self, node: int) -> int:
         return 4 if self.tag[node] in ("article", "main") else 2 if self.good[node] else 1
 
+    def path(self, node: int) -> str:
+        """The generalised path of an element, from the root."""
+        out = []
+        while node >= 0:
+            out.append(self.label[node])
+            node = self.parent[node]
+        return ">".join(reversed(out))
+
     def text(self, nodes: list[int]) -> str:
-        return "\n".join(t for n, t in self.blocks if any(k <= n <= self.last[k] for k in nodes))
+        inside = [False] * len(self.tag)
+        for k in nodes:
+            inside[k] = True
+        for k in range(1, len(inside)):
+            inside[k] |= inside[self.parent[k]]
+        return "\n".join(t for n, t, _ in self.blocks if inside[n])
 
     def at(self, path: str | None) -> list[int]:
         """All containers at a path, or the page's own best ones."""
-        there = [k for k, p in enumerate(self.path) if p == path and self.chars[k]] if path else []
+        steps = path.split(">") if path else []
+        depth = [0] * len(self.tag)  # steps of the path that lead to an element; 0 if it lies elsewhere
+        for k, label in enumerate(self.label):
+            up = depth[self.parent[k]] if k else 0
+            if (up or not k) and up < len(steps) and steps[up] == label:
+                depth[k] = up + 1
+        there = [k for k, d in enumerate(depth) if d and d == len(steps) and self.chars[k]]
         return there or self.best()
 
 
@@ -238,7 +318,7 @@ def own_extract(page: Column) -> Column:
         paths, texts = [], []
         for source in pages.to_pylist():
             p = Page(source or "")
-            path = p.path[p.best()[0]] if p.blocks else None
+            path = p.path(p.best()[0]) if p.blocks else None
             paths.append(path)
             texts.append(p.text(p.at(path)))
         return pa.StructArray.from_arrays([pa.array(paths, pa.string()), pa.array(texts, pa.string())], names=["path", "text"])

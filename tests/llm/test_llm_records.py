@@ -3,6 +3,7 @@
 import hashlib
 import html as entities
 import re
+import time
 
 import numpy as np
 import pytest
@@ -90,6 +91,42 @@ def test_article_parts_named_like_others_stay(inner, want):
         assert p.text(p.best()) == want
 
 
+NAMED_PROSE = "A reader wrote this long remark, which reads like any paragraph of running text and goes on for more than a line of it."
+
+
+@pytest.mark.parametrize("part", [
+    f"<section class='comments'><p>{NAMED_PROSE}</p></section>", f"<div id='comments'><p>{NAMED_PROSE}</p></div>", f"<div class='cookie-notice'><p>{NAMED_PROSE}</p></div>",
+    f"<div class='advert sponsored'><p>{NAMED_PROSE}</p></div>", f"<div class='post-comments'><p>{NAMED_PROSE}</p></div>", f"<div class='sidebar-content'><p>{NAMED_PROSE}</p></div>",
+    f"<p class='advert'>{NAMED_PROSE}</p>", f"<figure class='ad'><p>{NAMED_PROSE}</p></figure>", f"<ol class='comment-list'><li><article class='comment'><p>{NAMED_PROSE}</p></article></ol>",
+    f"<div class='newsletterSignup entry'><p>{NAMED_PROSE}</p></div>", f"<article class='comment'><p>{NAMED_PROSE}</p></article>", f"<span class='share'>{NAMED_PROSE}</span>",
+    f"<div role=dialog class=text><p>{NAMED_PROSE}</p></div>"])
+def test_comments_notices_and_adverts_go(part):
+    text = f"<p>{PROSE}</p>"
+    for page in (f"<article>{text}{part}{text}</article>", f"<main>{text}{part}{text}</main>", f"<div class='post content'>{text}{text}</div>{part}", f"<article>{text}{text}</article>{part}"):
+        p = Page(SHELL % page)
+        assert p.text(p.best()) == f"{PROSE}\n{PROSE}"
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<div class='layout-sidebar'><h1>T</h1><article><p>x y</p></article></div>", "x y"),
+    ("<div class='content has-sidebar no-comments'><p>x y</p></div>", "x y"), ("<div class='ads-wrap'><article><p>x y</p></article></div>", "x y"),
+    ("<article class='post comments-open tag-cookies'><p>x y</p></article>", "x y"), ("<div class='post category-newsletter'><p>x y</p></div>", "x y"),
+    ("<article><pre><code><span class='token comment'># x</span> y</code></pre></article>", "# x y"), ("<article><p data-id='comments' aria-role=menu>x y</p></article>", "x y"),
+])
+def test_names_that_tell_about_something_else(page, want):
+    p = Page(f"<html><body>{page}</body></html>")
+    assert p.text(p.best()) == want
+
+
+@pytest.mark.parametrize("source", ["<b>" * 80_000 + "</i>" * 80_000, "<!" * 250_000, "<div>" * 100_000 + "x", "<a href=x>t" * 50_000, "<button>" * 60_000 + "<p>" * 60_000,
+                                    "<article>" + "<div class=related><p>x</p>" * 20_000, "<a " + '"' * 500_000, "<span>" * 80_000 + "</a>", "<!--" * 125_000])
+def test_odd_pages_take_time_by_their_length(source):
+    start = time.process_time()
+    p = Page(source)
+    p.text(p.at(p.path(p.best()[0])))
+    assert time.process_time() - start < 5
+
+
 def test_host_consensus(spark):
     """A page whose own best container is an advert-like box is read at its host's usual place."""
     usual = "<body><div class='x1'><p>%s</p></div><div class='y2'><p>%s</p></div></body>"
