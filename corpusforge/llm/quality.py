@@ -23,8 +23,6 @@ from corpusforge.llm import words as W
 NGRAM_LIMITS = {5: 20, 6: 20, 7: 18, 8: 18, 9: 16, 10: 16}
 #: Share of word characters, in percent, in lines equal to an earlier line.
 LINE_LIMIT = 30
-#: Symbols per 100 words.
-SYMBOL_LIMIT = 10
 MIN_WORDS = 10
 MAX_REPEAT = 20
 
@@ -75,7 +73,7 @@ def measure(b: np.ndarray) -> tuple:
         before = np.r_[0, np.cumsum(points)]
         dup_line_chars = int((before[last_word[with_word][again]] - before[first_word[with_word][again]]).sum())
 
-    repeat, verdict = 0, 100 * dup_line_chars <= LINE_LIMIT * chars and 100 * symbols <= SYMBOL_LIMIT * n
+    repeat, verdict = 0, 100 * dup_line_chars <= LINE_LIMIT * chars
     grams = W.shingles(words, 5) if n >= 5 else words[:0]
     for k, limit in NGRAM_LIMITS.items():
         if n < k:

@@ -86,7 +86,7 @@ base AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
        NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
-         AND 100 * dup_chars <= 30 * word_chars AND 100 * n_symbols <= 10 * n_words AND {verdict} AS kept
+         AND 100 * dup_chars <= 30 * word_chars AND {verdict} AS kept
 FROM base
 """
 
