@@ -50,7 +50,7 @@ def pieces(text: Column, path: str, capacity: int = CAPACITY, end_id: int = END_
     def run(column: pa.Array) -> pa.Array:
         out, ends = [], [0]
         for t in column.to_pylist():
-            ids = np.append(encode.encode(path, t or ""), np.uint32(end_id)).astype("<u4", copy=False)
+            ids = np.append(encode.encode(path, t or "", added=True), np.uint32(end_id)).astype("<u4", copy=False)
             out += [(i, a, n, zlib.crc32(ids[a:a + n])) for i, (a, n) in enumerate(cut(len(ids), capacity))]
             ends.append(len(out))
         cols = list(zip(*out, strict=True)) or [()] * 4

@@ -18,13 +18,16 @@ Defined results: a null payload is empty; a null URL has no URL header; page_id
 null cannot be referred to, so such a page is a revisit of another page's equal
 payload, or a response; rows that repeat the smallest page_id are all
 responses; extra columns are not read; no pages give no archive and an empty
-table.  A record that fails a check comes back with ``error`` set.
+table.  A record that fails a check comes back with ``error`` set, and so does
+one row for every stretch of an archive that is no readable frame (a damaged or
+cut off one); the frames behind it are read.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 from collections.abc import Iterator
 from urllib.parse import quote
@@ -52,6 +55,7 @@ REQUIRED = ("WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length")
 IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 CHUNK = 1 << 14
+NUMBER = re.compile("-?[0-9]{1,19}", re.ASCII)
 
 RECORD = ("page_id bigint, url string, record_type string, payload_bytes bigint, payload_digest string, "
           "refers_to bigint, payload binary, error string")
@@ -97,51 +101,79 @@ def archive(records: list[bytes]) -> bytes:
     return b"".join(out + [packer.compress(r) for r in records])
 
 
-def frames(content: bytes) -> Iterator[bytes]:
-    """The decoded frames of an archive, one after the other."""
-    view, at, reader = memoryview(content), 0, zstandard.ZstdDecompressor()
+def frames(content: bytes) -> Iterator[bytes | None]:
+    """The decoded frames of an archive, one after the other; None stands for a stretch that is no readable frame.
+
+    Behind such a stretch, reading goes on at the next frame that can be read.
+    """
+    view, at, reader, damaged = memoryview(content), 0, zstandard.ZstdDecompressor(), False
     while at < len(view):
         magic, size = (int.from_bytes(view[at + k:at + k + 4], "little") for k in (0, 4))
-        if magic in SKIPPABLE:
-            if at == 0 and magic == DICTIONARY_MAGIC:
-                raw = bytes(view[8:8 + size])
-                if raw[:4] == zstandard.FRAME_HEADER:  # the dictionary may itself be compressed
-                    raw = zstandard.ZstdDecompressor().decompress(raw)
-                reader = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(raw))
-            at += 8 + size
+        try:
+            if magic in SKIPPABLE and at + 8 + size <= len(view):
+                if at == 0 and magic == DICTIONARY_MAGIC:
+                    raw = bytes(view[8:8 + size])
+                    if raw[:4] == zstandard.FRAME_HEADER:  # the dictionary may itself be compressed
+                        raw = zstandard.ZstdDecompressor().decompress(raw)
+                    reader = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(raw))
+                at, damaged = at + 8 + size, False
+                continue
+            record, end = _frame_at(view, at, reader)
+        except (zstandard.ZstdError, EOFError):
+            if not damaged:
+                yield None
+            at = content.find(zstandard.FRAME_HEADER, at + 1)
+            if at < 0:
+                return
+            damaged = True
             continue
-        frame, parts = reader.decompressobj(), []
-        while not frame.eof:
-            part = view[at:at + CHUNK]
-            if not len(part):
-                raise ValueError("the archive ends inside a frame")
-            parts.append(frame.decompress(part))
-            at += len(part)
-        at -= len(frame.unused_data)
-        yield b"".join(parts)
-
-
-def parse(raw: bytes) -> tuple:
-    """A record as a row of :data:`RECORD`; ``error`` names the first check that fails."""
+        yield record
+        at, damaged = end, False
+
+
+def _frame_at(view: memoryview, at: int, reader: zstandard.ZstdDecompressor) -> tuple[bytes, int]:
+    """The decoded frame that starts at a place, and where it ends."""
+    frame, parts = reader.decompressobj(), []
+    while not frame.eof:
+        part = view[at:at + CHUNK]
+        if not len(part):
+            raise EOFError("the archive ends inside a frame")
+        parts.append(frame.decompress(part))
+        at += len(part)
+    return b"".join(parts), at - len(frame.unused_data)
+
+
+def _number(text: str | None) -> int | None:
+    """A whole number of a header, null if it is none or beyond 64 bits."""
+    return int(text) if text and NUMBER.fullmatch(text) and abs(int(text)) < 1 << 63 else None
+
+
+def parse(raw: bytes | None) -> tuple:
+    """A record (None: a frame that cannot be read) as a row of :data:`RECORD`; ``error`` names the first check that fails."""
+    if raw is None:
+        return None, None, None, None, None, None, None, "frame"
     head, _, rest = raw.partition(b"\r\n\r\n")
     version, *lines = head.split(b"\r\n")
-    fields = {k.decode(): v.decode() for k, _, v in (x.partition(b": ") for x in lines)}
-    number = {k: int(fields[k]) if fields.get(k, "").lstrip("-").isdigit() else None for k in ("Content-Length", "X-Page-Id", "X-Refers-To-Page")}
-    kind, digest = fields.get("WARC-Type"), fields.get("WARC-Payload-Digest", "")[5:]
+    try:  # names in any case
+        fields = {k.decode().strip().lower(): v.decode().strip() for k, _, v in (x.partition(b":") for x in lines)}
+    except UnicodeDecodeError:
+        return None, None, None, None, None, None, None, "header encoding"
+    number = {k: _number(fields.get(k.lower())) for k in ("Content-Length", "X-Page-Id", "X-Refers-To-Page")}
+    kind, digest = fields.get("warc-type"), fields.get("warc-payload-digest", "")[5:]
     block, end = rest[:-4], rest[-4:]
     http, _, payload = block.partition(b"\r\n\r\n")
     length = next((x.split(b":")[1].strip() for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")), b"")
-    size = int(length) if length.isdigit() else None
+    size = _number(length.decode("latin-1"))
     checks = {
         "version": version == VERSION,
-        "required fields": all(k in fields for k in REQUIRED),
+        "required fields": all(k.lower() in fields for k in REQUIRED),
         "record length": number["Content-Length"] == len(block) and end == b"\r\n\r\n",
         "type": kind in ("response", "revisit"),
         "payload length": size is not None and (kind == "revisit" and not payload or size == len(payload)),
         "payload digest": kind == "revisit" or digest == base32_sha1(payload),
     }
     error = next((k for k, ok in checks.items() if not ok), None)
-    return number["X-Page-Id"], fields.get("WARC-Target-URI"), kind, size, digest, number["X-Refers-To-Page"], payload, error
+    return number["X-Page-Id"], fields.get("warc-target-uri"), kind, size, digest, number["X-Refers-To-Page"], payload, error
 
 
 def planned(pages: DataFrame, page_id: str, url: str, html: str, min_revisit: int) -> DataFrame:

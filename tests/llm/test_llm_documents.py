@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from bisect import bisect_left
 from collections import Counter
 
@@ -272,11 +273,13 @@ def test_ids_are_those_of_tokenizers(table):
 
 
 def test_ids_against_an_unchanged_tokenizer():
-    """Equal, but for the literal that the library takes for its special token (see README)."""
+    """Equal; without ``added``, as op4 and op7 encode, the string of the file's own token is ordinary text."""
     path = encode.vocabulary_path()
     reference = Tokenizer.from_file(path)
     for t in ["", "a  b", "漢字 😀 don't 123 ½", "<|endoftext", "a <|endoftext |> b"]:
         assert encode.encode(path, t).tolist() == reference.encode(t, add_special_tokens=False).ids
+    for t in ["<|endoftext|>", "a <|endoftext|> b", "a  <|endoftext|>\n\n<|endoftext|><|endoftext|> x", "<|endoftext|" + "<|endoftext|>", " " * 5000 + "<|endoftext|> "]:
+        assert encode.encode(path, t, added=True).tolist() == reference.encode(t, add_special_tokens=False).ids
     text = "a <|endoftext|> b"
     assert 50256 in reference.encode(text, add_special_tokens=False).ids
     assert 50256 not in encode.encode(path, text) and encode.decode(path, encode.encode(path, text)) == text
@@ -287,6 +290,14 @@ def test_cut():
     assert packing.cut(19, 8) == [(0, 3), (3, 8), (11, 8)]
 
 
+def test_pack_takes_the_named_call(spark):
+    """A text with the string of the file's own token is packed as an unchanged ``Tokenizer.from_file`` encodes it."""
+    text = "one <|endoftext|> two"
+    ids = [*Tokenizer.from_file(encode.vocabulary_path()).encode(text, add_special_tokens=False).ids, 0]
+    row = packing.pack(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    assert (row.length, row.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
 def check_packing(rows, capacity):
     by = {}
     for r in rows:

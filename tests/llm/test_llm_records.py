@@ -2,6 +2,7 @@
 
 import hashlib
 import html as entities
+import os
 import re
 import time
 
@@ -177,14 +178,35 @@ def test_dictionary_leads_the_archive_and_frames_are_single():
     raw = content[8:8 + int.from_bytes(content[4:8], "little")]
     packed = zstandard.compress(raw)
     assert list(warc.frames(content[:4] + len(packed).to_bytes(4, "little") + packed + content[8 + len(raw):])) == records
-    with pytest.raises(ValueError):
-        list(warc.frames(content[:-3]))
+    assert list(warc.frames(content[:-3])) == [*records[:-1], None]  # cut off
+    sizes = [len(x) for x in (content, warc.archive(records[:1]))]
+    first = 8 + int.from_bytes(content[4:8], "little")
+    broken = bytearray(content)
+    broken[first + 40] ^= 0xFF
+    assert list(warc.frames(bytes(broken))) == [None, *records[1:]] and sizes
+    assert list(warc.frames(content[:first] + b"no frame at all" + content[first:])) == [None, *records]
+    assert list(warc.frames(b"junk")) == [None] and list(warc.frames(b"")) == []
+
+
+def test_damaged_archives_give_error_rows(spark):
+    table = spark.read.parquet(f"{SF}/pages.parquet")
+    root = warc.write_archives(table).removeprefix("file:")
+    for name in sorted(x for x in os.listdir(root) if x.endswith(".warc.zst")):
+        with open(f"{root}/{name}", "r+b") as f:
+            content = f.read()
+            f.seek(0)
+            f.write(content[:-40])
+            f.truncate()
+    rows = warc.read_archives(spark, root).collect()
+    assert {r.error for r in rows} == {None, "frame"} and sum(r.error is None for r in rows) > 200
 
 
 @pytest.mark.parametrize("change,error", [
     (lambda r: b"X" + r, "version"), (lambda r: r.replace(b"WARC-Date", b"WARC-Dote"), "required fields"), (lambda r: r[:-5] + r[-4:], "record length"),
     (lambda r: r[:-4], "record length"), (lambda r: r.replace(b"body", b"bodi"), "payload digest"), (lambda r: r.replace(b"-Type: response", b"-Type: metadata"), "type"),
-    (lambda r: r, None)])
+    (lambda r: r.replace(b"WARC-Date", b"warc-date").replace(b"Content-Length", b"content-length"), None), (lambda r: r.replace(b"http://x", b"http://\xff"), "header encoding"),
+    (lambda r: r.replace(b"Content-Length: ", b"Content-Length: 9" + b"9" * 30), "record length"), (lambda r: r.replace(b"X-Page-Id: 1", "X-Page-Id: ²".encode()), None),
+    (lambda r: b"", "version"), (lambda r: r, None)])
 def test_reader_checks(change, error):
     body = b"<body>x</body>"
     assert warc.parse(change(warc.record(1, "http://x", body, warc.base32_sha1(body), None)))[-1] == error
