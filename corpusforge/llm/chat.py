@@ -13,11 +13,16 @@ is one, and unescaping gives the text back.  Only assistant texts are under the
 loss mask.  Tokens are those of a byte-level BPE; role, text and end mark are
 encoded apart, so equal turns have equal tokens whatever stands around them.
 
-Scale: conversations are dealt by their first turn; a first turn with more than
-``TREE`` conversations is dealt to several sequences, each of which holds the
-shared turns once, so neither a task nor a sequence is unbounded.  Sequences
-are built while a sorted partition streams by.  The unit that is held whole is
-a conversation, and a tree of at most about ``TREE`` of them.
+Scale: a sequence holds the conversations of a first turn.  Where more than
+``TREE`` conversations share a path of turns, they part at the next turn:
+conversations that share that one too stay together, and as many of these groups as
+make up about ``TREE`` conversations become a sequence, which holds the turns
+above them once.  Only conversations equal in all turns are dealt by
+their id.  So neither a task nor a sequence is unbounded, and a turn is emitted
+again at most once for every ``TREE`` conversations that share it.  Paths are
+counted by hashes, made before anything is shuffled; sequences are built while a sorted
+partition streams by.  The unit that is held whole is a conversation, and a
+tree of about ``TREE`` of them.
 
 Defined results: turns go by ``turn`` (null first), then role and text, and
 equal rows are turns of their own; a null text or role is empty; rows without
@@ -136,38 +141,59 @@ def attention_intervals(row, node: int) -> list[tuple[int, int]]:
 
 def _builder(path: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Over a partition sorted by tree."""
+        """Over a partition sorted by tree, conversation and turn."""
         key, held, out = None, [], []
         rows = chain.from_iterable(pdf.itertuples(index=False) for pdf in batches)
         for r in chain(rows, [None]):
             if held and (r is None or r.tree != key):
-                out.append(Tree(held, path).row(key))
+                out.append(Tree([(c[1:] if c[0] == ID else None, turns) for c, turns in held], path).row(key))
                 held = []
             if len(out) == BATCH or r is None:
                 yield pd.DataFrame(out, columns=NAMES)
                 out = []
             if r is not None:
                 key = r.tree
-                held.append((r.conv, [(t["role"], t["text"]) for t in r.turns]))
+                if not held or held[-1][0] != r.conv:
+                    held.append((r.conv, []))
+                held[-1][1].append((r.role, r.text))
 
     return run
 
 
-def conversations(turns: DataFrame) -> DataFrame:
-    """``conv`` (its id as text) and its ``turns`` in order."""
-    t = turns.select(F.col("conv_id").cast("string").alias("conv"), "turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
-                     F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return t.groupBy("conv").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+ID, NO_ID = "c", "n"  # what a conversation's key begins with: its id follows, or it has none
+
+
+def keyed_turns(turns: DataFrame) -> DataFrame:
+    """``conv`` (a key without nulls), ``turn, role, text``."""
+    conv = F.coalesce(F.concat(F.lit(ID), turns["conv_id"].cast("string")), F.lit(NO_ID))
+    text = lambda c: F.coalesce(turns[c].cast("string"), F.lit("")).alias(c)
+    return turns.select(conv.alias("conv"), turns["turn"].alias("turn"), text("role"), text("text"))
+
+
+def deal(turns: DataFrame, tree: int = TREE) -> DataFrame:
+    """``conv, tree``: the sequence that each conversation goes to.  Reads hashes of the turns only."""
+    hashed = turns.select("conv", "turn", F.xxhash64("role", "text").alias("h"))
+    convs = hashed.groupBy("conv").agg(F.sort_array(F.collect_list(F.struct("turn", "h"))).alias("turns"))
+    step = lambda path, t: F.concat(path, F.array(F.xxhash64(F.coalesce(F.get(path, F.size(path) - 1), F.lit(0)), t["h"])))
+    convs = materialize(convs.select("conv", F.aggregate("turns", F.array().cast("array<bigint>"), step).alias("paths")), "paths")
+    each = convs.select("conv", F.posexplode("paths").alias("depth", "path"))
+    # written, so that Spark knows the size of the side with few rows
+    hot = materialize(each.groupBy("path").agg(F.count("*").alias("n")).filter(F.col("n") > tree).select("path"), "hot-paths")
+    deepest = each.join(hot, "path").groupBy("conv").agg(F.max("depth").alias("depth"), F.max_by("path", "depth").alias("hot"))
+    found = convs.join(deepest, "conv", "left")
+    # together with the conversations that share the next turn too
+    found = found.select("conv", F.get("paths", F.lit(0)).alias("first"), "hot", F.coalesce(F.get("paths", F.col("depth") + 1), F.xxhash64("conv")).alias("next"))
+    found = materialize(found, "deepest-paths")
+    parts = materialize(found.filter("hot IS NOT NULL").groupBy("hot").agg(F.ceil(F.count("*") / tree).alias("parts")), "parts").withColumnRenamed("hot", "h")
+    part = F.pmod(F.xxhash64("next"), F.col("parts"))
+    return found.join(parts, F.col("hot") == F.col("h"), "left").select("conv", F.when(F.col("h").isNotNull(), F.concat_ws("-", F.lit("hot"), F.col("h"), part)).otherwise(F.col("first").cast("string")).alias("tree"))
 
 
 def prefix_trees(turns: DataFrame, path: str | None = None, tree: int = TREE) -> DataFrame:
     """One row per sequence, see :data:`SEQUENCE`."""
-    convs = materialize(conversations(turns).withColumn("first", F.md5(F.to_json(F.struct(F.col("turns")[0]["role"], F.col("turns")[0]["text"])))), "conversations")
-    hot = convs.groupBy("first").agg(F.ceil(F.count("*") / tree).alias("parts")).filter("parts > 1").withColumnRenamed("first", "f")
-    part = F.coalesce(F.pmod(F.xxhash64("conv"), F.col("parts")), F.lit(0))
-    dealt = convs.join(hot, F.col("first") == F.col("f"), "left").select("conv", "turns", F.concat_ws("-", "first", part).alias("tree"))
-    dealt = dealt.repartition("tree").sortWithinPartitions("tree", "conv")
-    return dealt.mapInPandas(_builder(path or encode.vocabulary_path()), SEQUENCE)
+    turns = keyed_turns(turns)
+    rows = turns.join(deal(turns, tree), "conv").repartition("tree").sortWithinPartitions("tree", "conv", "turn", "role", "text")
+    return rows.select("tree", "conv", "role", "text").mapInPandas(_builder(path or encode.vocabulary_path()), SEQUENCE)
 
 
 READ = "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"

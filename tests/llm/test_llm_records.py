@@ -11,6 +11,7 @@ import pytest
 import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from corpusforge.llm import chat, encode, vectors, warc
 from corpusforge.llm.html import Page, main_text
@@ -268,6 +269,28 @@ def test_prefix_trees(spark, tree):
     assert len(seen) == 3 * convs and (tree == 2 or len(rows) <= convs)
 
 
+def emitted(turns, tree):
+    rows = chat.prefix_trees(turns, tree=tree).collect()
+    return rows, sum(len(r.input_ids) for r in rows)
+
+
+def test_a_hot_first_turn_parts_at_the_next_one(spark):
+    """600 conversations with one system prompt, pairs of which share two more turns, and 200 equal ones."""
+    said = "concat('words of turn ', {}, ' that go on for a little while so that they weigh something')"
+    base = spark.range(600).select(F.col("id").alias("conv_id"), F.explode(F.expr("sequence(0, 3)")).alias("turn")).withColumn("role", F.expr("if(turn % 2 = 0, 'user', 'assistant')"))
+    base = base.withColumn("text", F.expr(f"CASE WHEN turn = 0 THEN 'one prompt for all' WHEN turn < 3 THEN {said.format('conv_id div 2 * 10 + turn')} ELSE {said.format('conv_id * 7919')} END"))
+    equal = spark.range(600, 800).selectExpr("id AS conv_id", "explode(sequence(0, 1)) AS turn").selectExpr("conv_id", "turn", "'user' AS role", "if(turn = 0, 'one prompt for all', 'the same') AS text")
+    turns = base.unionByName(equal)
+    rows, n = emitted(turns, 64)
+    at = {c: i for i, r in enumerate(rows) for c in r.conv_id}
+    assert len(at) == 800 and 12 <= len(rows) <= 30 and max(len(r.conv_id) for r in rows) <= 160
+    assert all(at[str(2 * k)] == at[str(2 * k + 1)] for k in range(300))  # pairs share a sequence
+    assert len({at[str(c)] for c in range(600, 800)}) <= 5
+    one, least = emitted(turns, 10_000)
+    assert len(one) == 1 and n < 1.05 * least
+    assert sorted(map(tuple, chat.read_back(chat.prefix_trees(turns, tree=64)).collect())) == sorted(map(tuple, chat.read_back(chat.prefix_trees(turns)).collect()))
+
+
 # --- 5: embeddings ----------------------------------------------------------
 
 def brute_links(rows):
