@@ -1,14 +1,14 @@
-"""Extraction from tables of HTML pages (X1-X16), all in JVM built-ins.
+"""Extraction from tables of HTML pages.
 
-Noise goes first (script, style, comments), then elements are cut out, then
-tags and entities go.  :func:`regions` cuts out every outermost element of a
-tag and class: the page is split at that tag's open and close tags and a fold
-counts the depth, so elements that nest in themselves (``div``) close where
-they should.  A selector is a path of ``tag.class`` steps, outermost first; a
-priority list of selectors takes the first that matches.
+Every page is read once, into a column of numbered elements
+(:func:`corpusforge.functions.elements.page_tree`); all selectors of all fields are
+expressions over that column.  An element lies inside another if its number lies in the
+other's range, so a step of a selector is a filter by tag and classes and a
+comparison of numbers, in document order.  A page's list of marks rules out
+selectors whose tags or classes it does not have at all.
 
 Pages are independent, so extraction is narrow (no shuffle); only link dedupe
-(X6) and the link->page join (X16) shuffle.
+(X6) and the link->page join (X16) shuffle, and neither moves HTML.
 """
 
 from __future__ import annotations
@@ -17,10 +17,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusforge.functions import text as T
-from corpusforge.operators.plan_utils import explode_computed, filter_computed
+from corpusforge.functions.elements import page_tree
+from corpusforge.operators.plan_utils import explode_computed, filter_computed, materialize
 
 # ---------------------------------------------------------------------------
-# Selector lists and entity table of the original extractors.
+# Selector lists of the original extractors.
 # ---------------------------------------------------------------------------
 CARD_SELECTORS = (
     "article.item-news", ".box-subcate-style4 .item", ".box-subcate-style3 .item", ".box-subcate-style2 .item",
@@ -56,141 +57,115 @@ REGION_TIMELINE = ("div", "list_news timeline")
 LINK_SUFFIX = ".htm"
 MIN_TITLE_CHARS = 10
 MIN_BODY_WORDS = 30
-# named entities decoded by the regex tier; &amp; is decoded last
-ENTITIES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", "\u00a0"),
-    ("&copy;", "©"), ("&middot;", "·"), ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"),
-    ("&amp;", "&"),
-)
 # ---------------------------------------------------------------------------
 
-NOISE = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
-ANY_TAG = r"(?s)<[^>]*>"
-HREF = r"""(?is)<a\b[^>]*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 BASE = r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)"
+LINKED_PAGES = 5_000_000  # X16: links whose keys are sent to all tasks, at most (about 500 MB)
 
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def _step(text: str) -> tuple:
-    """``h1.title``, ``.title`` or ``h1`` as ``(tag, class)``; ``tag[name="value"]`` has the attribute for its class."""
-    if "[" in text:
-        return text[:text.index("[")], text[text.index("[") + 1:-1]
-    tag, _, cls = text.partition(".")
-    return tag or None, cls or None
+# ---------------------------------------------------------------------------
+# selectors over the element column
+# ---------------------------------------------------------------------------
+def marks(step: str) -> tuple[list[str], list[str]]:
+    """The marks that ``h1.title``, ``.a.b``, ``a[name="value"]`` or ``p:not(.author)`` asks for, and those it refuses."""
+    wanted: list[str] = []
+    step, *refused = step.split(":not(")
+    if "[" in step:
+        step, _, attribute = step.partition("[")
+        wanted.append(attribute.rstrip("]"))
+    tag, *classes = step.split(".")
+    return [*([tag] if tag else []), *(f".{c}" for c in classes), *wanted], [x.rstrip(")") for x in refused]
 
 
-def path(selector) -> tuple:
-    """A selector's steps, outermost first; a path is returned as it is."""
-    return tuple(_step(x) for x in selector.split() if x != ">") if isinstance(selector, str) else selector
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, though ``use`` reads it several times."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-# ---------------------------------------------------------------------------
-# regex tier building blocks
-# ---------------------------------------------------------------------------
-def drop_noise(html) -> Column:
-    """Remove script/style elements and comments (they may contain ``</p>``)."""
-    return F.regexp_replace(T.null_to_empty(html), NOISE, "")
+def having(tree: Column, wanted: list[str], refused=()) -> Column:
+    """The elements that have all wanted marks and no refused one, in document order."""
+    on_page = F.lit(True)
+    for m in wanted:
+        on_page = on_page & F.array_contains(tree["names"], m)
 
+    def fits(e: Column) -> Column:
+        out = F.lit(True)
+        for m in wanted:
+            out = out & F.array_contains(e["marks"], m)
+        for m in refused:
+            out = out & ~F.array_contains(e["marks"], m)
+        return out
 
-def decode_entities(col) -> Column:
-    c = _c(col)
-    for ent, ch in ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+    return F.when(on_page, F.filter(tree["elements"], fits)).otherwise(F.slice(tree["elements"], 1, 0))
 
 
-def inner_text(fragment) -> Column:
-    """Text of an HTML fragment: tags removed, entities decoded (no separator)."""
-    return decode_entities(F.regexp_replace(_c(fragment), ANY_TAG, ""))
+def inside(e: Column, outer: Column) -> Column:
+    return (e["number"] > outer["number"]) & (e["number"] <= outer["last"])
 
 
-ANY = 1 << 30
+def child_of(e: Column, outer: Column) -> Column:
+    return e["parent"] == outer["number"]
 
 
-def _has_class(cls: str) -> str:
-    """Pattern of an open tag, from its ``<``, that has every class of ``cls`` (or the given attribute)."""
-    if "=" in cls:
-        return r"(?is)^<[^>]*?\s" + cls.replace('"', "[\"']")
-    one = r"""(?=<[^>]*?\sclass\s*=\s*(?:"(?:[^"]*\s)?{c}(?:\s[^"]*)?"|'(?:[^']*\s)?{c}(?:\s[^']*)?'|{c}[\s>]))"""
-    return "(?is)^" + "".join(one.replace("{c}", c) for c in cls.split())
+def select(tree, selector: str) -> Column:
+    """The elements that a selector (descendants ``a b``, children ``a > b``) matches, in document order."""
+    tree, steps, child = _c(tree), selector.split(), False
+    found = having(tree, *marks(steps[0]))
+    for step in steps[1:]:
+        if step == ">":
+            child = True
+            continue
+        found, child = _under(found, having(tree, *marks(step)), child_of if child else inside), False
+    return found
 
 
-def _regions_of(html: Column, tag: Column, cls: str | None) -> Column:
-    """Inner HTML of every outermost ``<tag class~=cls>`` element; an unclosed one runs to the end."""
-    marked = F.regexp_replace(F.translate(html, "\u0001\u0002", ""), F.concat(F.lit("(?i)<(/?"), tag, F.lit("(?=[\\s/>])[^>]*)>")), F.lit("\u0001<$1>\u0002"))
-    pieces = F.slice(F.split(marked, "\u0001"), 2, ANY)
-    matches = (lambda x: F.lit(True)) if cls is None else (lambda x: x.rlike(_has_class(cls)))
+def _under(outer: Column, inner: Column, relation) -> Column:
+    """The ``inner`` elements that stand in a relation to any of the ``outer`` ones."""
+    def under(scope: Column) -> Column:
+        return F.when(F.size(scope) > 0, F.filter(inner, lambda e: F.exists(scope, lambda s: relation(e, s)))).otherwise(F.slice(scope, 1, 0))
 
-    def step(acc: Column, piece: Column) -> Column:
-        opens, depth = ~F.startswith(piece, F.lit("</")), acc["depth"]
-        starts, ends = (depth == 0) & opens & matches(piece), (depth == 1) & ~opens
-        return F.struct(
-            F.when(starts, 1).when(depth == 0, 0).when(opens, depth + 1).otherwise(depth - 1).alias("depth"),
-            F.when(starts, F.substring_index(piece, "\u0002", -1)).when((depth == 0) | ends, F.lit(""))
-            .otherwise(F.concat(acc["cur"], F.translate(piece, "\u0002", ""))).alias("cur"),
-            F.when(ends, F.concat(acc["out"], F.array(acc["cur"]))).otherwise(acc["out"]).alias("out"),
-        )
+    return let(outer, under)
 
-    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("cur"), F.array().cast("array<string>").alias("out"))
-    return F.aggregate(pieces, start, step, lambda acc: F.when(acc["depth"] > 0, F.concat(acc["out"], F.array(acc["cur"]))).otherwise(acc["out"]))
 
+def region_step(tag: str | None, cls: str | None) -> str:
+    """The selector step of a tag and its classes."""
+    return (tag or "") + "".join(f".{c}" for c in (cls or "").split())
 
-def regions(html, tag: str | None, cls: str | None = None) -> Column:
-    """Inner HTML of every outermost element with this tag and class, in order.
 
-    With ``tag=None`` the class alone counts: the elements of each tag that
-    has it, tag by tag.  Pages without the class or tag skip the fold.
-    """
-    h = _c(html)
-    none = F.array().cast("array<string>")
-    if tag is not None:
-        word = cls.split()[0] if cls else "<" + tag
-        return F.when(F.instr(F.lower(h) if cls is None else h, word) > 0, _regions_of(h, F.lit(tag), cls)).otherwise(none)
-    open_tag = r"(?is)<([a-z][a-z0-9]*)(?=[\s/>])" + _has_class(cls)[6:].replace("<[^>]*?", "[^>]*?")
-    tags = F.array_distinct(F.transform(F.regexp_extract_all(h, F.lit(open_tag), 1), F.lower))
-    return F.when(F.instr(h, cls.split()[0]) > 0, F.flatten(F.transform(tags, lambda t: _regions_of(h, t, cls)))).otherwise(none)
-
-
-def select(html, selector) -> Column:
-    """Inner HTML of the elements that a selector matches."""
-    (tag, cls), *rest = path(selector)
-    out = regions(html, tag, cls)
-    for tag, cls in rest:
-        out = regions(F.array_join(out, ""), tag, cls)
-    return out
-
-
-def select_text(html, selector) -> Column:
-    """Text of the first element that a selector matches, null if none, with its white space."""
-    return inner_text(F.get(select(html, selector), F.lit(0)))
+def regions(html, tag: str | None, cls: str | None = None) -> Column:
+    """Inner HTML of every outermost element with this tag and class, in order."""
+    h = F.coalesce(_c(html), F.lit(""))
+    found = having(page_tree(h), *marks(region_step(tag, cls)))
+    outermost = let(found, lambda scope: F.filter(scope, lambda e: ~F.exists(scope, lambda s: inside(e, s))))
+    return F.transform(outermost, lambda e: F.substring(h, e["source_from"] + 1, e["source_to"] - e["source_from"]))
 
 
-def first_text(html, selectors) -> Column:
-    """Stripped text of the first element of the first selector that matches; null if none does."""
-    return F.coalesce(*[T.py_strip(select_text(html, s)) for s in selectors])
+def text_of(tree: Column, e: Column) -> Column:
+    """All text of an element, with its white space."""
+    return F.substring(tree["text"], e["text_from"] + 1, e["text_to"] - e["text_from"])
 
 
-def region(html, tag: str = "nav", cls: str | None = None, every: bool = False) -> Column:
-    """X1 region: inner HTML of the first listing region, or of all of them (noise removed)."""
-    found = regions(drop_noise(html), tag, cls)
-    return F.array_join(found, "") if every else F.coalesce(F.get(found, F.lit(0)), F.lit(""))
+def select_text(tree, selector: str) -> Column:
+    """Text of the first element that a selector matches, null if none, with its white space."""
+    tree = _c(tree)
+    return F.get(F.transform(F.slice(select(tree, selector), 1, 1), lambda e: text_of(tree, e)), F.lit(0))
 
 
-def hrefs(fragment) -> Column:
-    """``href`` values of every ``<a>`` in a fragment, in order (entities decoded)."""
-    raw = F.regexp_extract_all(_c(fragment), F.lit(HREF), 1)
-    return F.transform(raw, lambda h: decode_entities(F.regexp_replace(h, r"""^["']|["']$""", "")))
+def first_text(tree, selectors) -> Column:
+    """Stripped text of the first element of the first selector that matches; null if none does."""
+    return F.coalesce(*[T.py_strip(select_text(tree, s)) for s in selectors])
 
 
-def paragraph_texts(fragment) -> Column:
-    """Each ``<p>`` runs to the next ``<p`` or ``</p>``; stripped texts, empties dropped."""
-    segs = F.split(_c(fragment), r"(?i)<p\b[^>]*>")
-    body = F.transform(F.slice(segs, 2, 1 << 30), lambda s: F.regexp_replace(s, r"(?is)</p\s*>.*", ""))
-    texts = F.transform(body, lambda s: T.py_strip(inner_text(s)))
-    return F.filter(texts, lambda s: s != "")
+def links_in(tree, region_tag: str = "nav", region_class: str | None = None, every: bool = False) -> Column:
+    """``href`` of every ``<a>`` that has one inside the first listing region, or inside any of them."""
+    tree = _c(tree)
+    found = having(tree, *marks(region_step(region_tag, region_class)))
+    anchors = F.filter(having(tree, ["a"]), lambda e: e["href"].isNotNull())
+    return F.transform(_under(found if every else F.slice(found, 1, 1), anchors, inside), lambda e: e["href"])
 
 
 def page_base(url) -> Column:
@@ -224,7 +199,7 @@ def page_category(url) -> Column:
 # ---------------------------------------------------------------------------
 def extract_links(pages: DataFrame, region_tag: str = "nav", region_class: str | None = None, every: bool = False) -> DataFrame:
     """Every ``<a href>`` inside the first listing region (or ``every`` one) -> ``page_id, url, pos, href``."""
-    return explode_computed(pages, hrefs(region("html", region_tag, region_class, every)), ["page_id", "url"], "pos", "href")
+    return explode_computed(with_tree(pages), links_in("_tree", region_tag, region_class, every), ["page_id", "url"], "pos", "href")
 
 
 def filter_link_suffix(links: DataFrame, suffix: str = LINK_SUFFIX, col: str = "href") -> DataFrame:
@@ -239,8 +214,8 @@ def absolutize_links(links: DataFrame) -> DataFrame:
 
 def distinct_links_per_page(pages: DataFrame, region_tag: str = "nav", region_class: str | None = None) -> DataFrame:
     """Distinct hrefs per page (``array_distinct`` before explode, no shuffle)."""
-    links = F.array_distinct(hrefs(region("html", region_tag, region_class)))
-    return explode_computed(pages, links, ["page_id"], None, "href")
+    links = F.array_distinct(links_in("_tree", region_tag, region_class))
+    return explode_computed(with_tree(pages), links, ["page_id"], None, "href")
 
 
 def dedupe_links_first(links: DataFrame, url_col: str = "link") -> DataFrame:
@@ -275,98 +250,72 @@ def page_links(pages: DataFrame, region_tag: str = "nav", region_class: str | No
 # ---------------------------------------------------------------------------
 # Card links
 # ---------------------------------------------------------------------------
-A_TAG = r"<a(?=[\s>])[^>]*>"
-# elements without inner tags that may stand before a direct child
-FLAT = r"[^<]*(?:<(\w+)\b[^>]*>[^<]*</\1\s*>[^<]*)*"
-
+def card_links(tree, cards=CARD_SELECTORS, links=CARD_LINK_SELECTORS) -> Column:
+    """One link per card, over all card selectors; in a card the first link selector whose first anchor there has an href."""
+    tree = _c(tree)
+    sets = F.struct(*[select(tree, x).alias(f"s{i}") for i, x in enumerate(links)])
 
-def _card_href(card: Column, selector: str) -> Column:
-    """href of the first anchor that a link selector matches in a card; null without one or without an href."""
-    *outer, (_, cls) = path(selector)
-    if not outer:
-        tags = F.regexp_extract_all(card, F.lit("(?is)(" + A_TAG + ")"), 1)
-        tag = F.get(tags if cls is None else F.filter(tags, lambda t: t.rlike(_has_class(cls))), F.lit(0))
-    else:
-        inner = select(card, tuple(outer))
-        if ">" in selector:
-            tag = F.get(F.filter(F.transform(inner, lambda x: F.regexp_extract(x, "(?is)^" + FLAT + "(" + A_TAG + ")", 2)), lambda t: t != ""), F.lit(0))
-        else:
-            tag = F.nullif(F.regexp_extract(F.array_join(inner, ""), "(?is)" + A_TAG, 0), F.lit(""))
-    return F.get(hrefs(F.concat(tag, F.lit(" "))), F.lit(0))
+    def href(found: Column, card: Column) -> Column:
+        first = F.slice(F.filter(found, lambda e: inside(e, card)), 1, 1)
+        return F.get(F.transform(first, lambda e: e["href"]), F.lit(0))
 
-
-def card_links(html, cards=CARD_SELECTORS, links=CARD_LINK_SELECTORS) -> Column:
-    """One link per card, over all card selectors; in a card the first link selector whose anchor has an href."""
-    found = F.flatten(F.array(*[select(html, c) for c in cards]))
-    hs = F.transform(found, lambda card: F.coalesce(*[_card_href(card, x) for x in links]))
-    return F.array_distinct(F.filter(hs, lambda h: h.isNotNull()))
+    found = F.flatten(F.array(*[select(tree, c) for c in cards]))
+    of_cards = F.when(F.size(found) > 0, let(sets, lambda s: F.transform(found, lambda card: F.coalesce(*[href(s[f"s{i}"], card) for i in range(len(links))]))))
+    return F.array_distinct(F.filter(F.coalesce(of_cards, F.array().cast("array<string>")), lambda h: h.isNotNull()))
 
 
 def extract_card_links(pages: DataFrame, cards=CARD_SELECTORS, links=CARD_LINK_SELECTORS) -> DataFrame:
     """X2 as rows ``page_id, url, pos, href``."""
-    return explode_computed(with_clean_html(pages), card_links("_clean", cards, links), ["page_id", "url"], "pos", "href")
+    return explode_computed(with_tree(pages), card_links("_tree", cards, links), ["page_id", "url"], "pos", "href")
 
 
 # ---------------------------------------------------------------------------
 # Article fields
 # ---------------------------------------------------------------------------
-def title_text(html, selectors=TITLE_SELECTORS) -> Column:
+def title_text(tree, selectors=TITLE_SELECTORS) -> Column:
     """The first title that the selectors match; null if none."""
-    return first_text(html, selectors)
+    return first_text(tree, selectors)
 
 
-def summary_text(html, selectors=SUMMARY_SELECTORS) -> Column:
+def summary_text(tree, selectors=SUMMARY_SELECTORS) -> Column:
     """The first summary that the selectors match, else ''."""
-    return F.coalesce(first_text(html, selectors), F.lit(""))
+    return F.coalesce(first_text(tree, selectors), F.lit(""))
 
 
-def time_text(html, selectors=TIME_SELECTORS) -> Column:
+def time_text(tree, selectors=TIME_SELECTORS) -> Column:
     """The first publish time that the selectors match, else ''."""
-    return F.coalesce(first_text(html, selectors), F.lit(""))
-
+    return F.coalesce(first_text(tree, selectors), F.lit(""))
 
-def _without_paragraphs(scope: Column, cls: str) -> Column:
-    """A fragment without its paragraphs of one class."""
-    return F.array_join(F.filter(F.split(scope, r"(?i)(?=<p\b)"), lambda x: ~x.rlike(_has_class(cls))), "")
 
+def body_text(tree, selectors=BODY_SELECTORS) -> Column:
+    """X11: the paragraphs of the first selector that has any, stripped, empty ones left out, joined with newlines; else ''."""
+    tree = _c(tree)
 
-def body_text(html, selectors=BODY_SELECTORS) -> Column:
-    """X11: the paragraphs of the first selector (``scope p``) whose scope has any, joined with newlines, else ''."""
-    found = []
-    for s in selectors:
-        outer, _, last = s.rpartition(" ")
-        scope = F.array_join(select(html, outer), "")
-        if ":not(." in last:
-            scope = _without_paragraphs(scope, last[last.index("(.") + 2:-1])
-        found.append(F.when(scope.rlike(r"(?i)<p\b"), F.array_join(paragraph_texts(scope), "\n")))
-    return F.coalesce(*found, F.lit(""))
+    def joined(found: Column) -> Column:
+        texts = F.filter(F.transform(found, lambda e: T.py_strip(text_of(tree, e))), lambda x: x != "")
+        return F.when(F.size(found) > 0, F.array_join(texts, "\n"))
 
+    return F.coalesce(*[let(select(tree, s), joined) for s in selectors], F.lit(""))
 
-def with_clean_html(pages: DataFrame) -> DataFrame:
-    """Project the noise-free HTML once as ``_clean``.
 
-    Several fields read it, most of them inside interpreted higher-order
-    functions, where no common-subexpression elimination applies; without the
-    column the noise regex would run once per use.  The partition id keeps
-    Catalyst from inlining the projection again.
-    """
-    out = pages.withColumns({"_clean": drop_noise("html"), "_pin": F.spark_partition_id()})
-    return out.withColumn("_clean", F.when(F.col("_pin") >= 0, F.col("_clean"))).drop("_pin")
+def with_tree(pages: DataFrame) -> DataFrame:
+    """Adds ``_tree``, the page's elements: all that the fields read."""
+    return pages.withColumn("_tree", page_tree("html"))
 
 
 def extract_field(pages: DataFrame, field, name: str, selectors=None) -> DataFrame:
     """``page_id`` and one text field (:func:`title_text`, :func:`summary_text`, :func:`time_text` or :func:`body_text`)."""
-    value = field("_clean", selectors) if selectors is not None else field("_clean")
-    return with_clean_html(pages).select("page_id", value.alias(name))
+    value = field("_tree", selectors) if selectors is not None else field("_tree")
+    return with_tree(pages).select("page_id", value.alias(name))
 
 
 def extract_strict(pages: DataFrame, pair=STRICT_PAIR, strip: bool = False) -> DataFrame:
     """Both elements required, else the page is dropped; X13 is the same
     with selectors inside a scope (``STRICT_NESTED``) and stripped text."""
-    summary, content = (select_text("_clean", p) for p in pair)
+    summary, content = (select_text("_tree", p) for p in pair)
     if strip:
         summary, content = T.py_strip(summary), T.py_strip(content)
-    f = with_clean_html(pages).select("page_id", "url", summary.alias("summary"), content.alias("content"))
+    f = with_tree(pages).select("page_id", "url", summary.alias("summary"), content.alias("content"))
     return filter_computed(f, F.col("summary").isNotNull() & F.col("content").isNotNull())
 
 
@@ -375,6 +324,9 @@ def gate(title: Column, body: Column) -> Column:
     return title.isNotNull() & (F.char_length(title) >= MIN_TITLE_CHARS) & (T.word_count(body) >= MIN_BODY_WORDS)
 
 
+ARTICLE = ("page_id", "title", "summary", "content", "pub_date", "category", "url", "source", "scraped_at")
+
+
 class Fields:
     """The selector lists of a site, by field."""
 
@@ -385,7 +337,7 @@ class Fields:
 def gate_pages(pages: DataFrame, fields: Fields | None = None) -> DataFrame:
     """``page_id, url, title, content`` of the pages that pass the gate."""
     f = fields or Fields()
-    p = with_clean_html(pages).select("page_id", "url", title_text("_clean", f.title).alias("title"), body_text("_clean", f.content).alias("content"))
+    p = with_tree(pages).select("page_id", "url", title_text("_tree", f.title).alias("title"), body_text("_tree", f.content).alias("content"))
     return filter_computed(p, gate(F.col("title"), F.col("content")))
 
 
@@ -400,12 +352,12 @@ def pages_to_articles(pages: DataFrame, scraped_at: str = "1970-01-01 07:00:00",
     """
     f = fields or Fields()
     linked = {"source", "category"} <= set(pages.columns)
-    p = with_clean_html(pages).select(
+    p = with_tree(pages).select(
         "page_id",
-        title_text("_clean", f.title).alias("title"),
-        summary_text("_clean", f.summary).alias("summary"),
-        body_text("_clean", f.content).alias("content"),
-        time_text("_clean", f.pub_date).alias("pub_date"),
+        title_text("_tree", f.title).alias("title"),
+        summary_text("_tree", f.summary).alias("summary"),
+        body_text("_tree", f.content).alias("content"),
+        time_text("_tree", f.pub_date).alias("pub_date"),
         (F.col("category") if linked else page_category("url")).alias("category"),
         "url",
         (F.col("source") if linked else page_source("url")).alias("source"),
@@ -428,8 +380,15 @@ def join_links_pages(links: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def links_to_articles(listing: DataFrame, fetched: DataFrame, fields: Fields | None = None, region_tag: str = "nav",
-                      region_class: str | None = None, suffix: str | None = None) -> DataFrame:
+                      region_class: str | None = None, suffix: str | None = None, linked_pages: int = LINKED_PAGES) -> DataFrame:
     """X1 -> X3 -> X4 -> X6 -> X16 -> X15: the links of listing pages, each once
-    and by its first sighting, looked up among the fetched pages and extracted."""
-    links = dedupe_links_first(page_links(listing, region_tag, region_class, suffix))
-    return pages_to_articles(join_links_pages(links, fetched), fields=fields)
+    and by its first sighting, looked up among the fetched pages and extracted.
+
+    Pages are extracted where they lie and only the articles meet the links, so no
+    HTML is shuffled.  Up to ``linked_pages`` links, their URLs first go to all
+    tasks, and pages that no link leads to are not extracted at all.
+    """
+    links = materialize(dedupe_links_first(page_links(listing, region_tag, region_class, suffix)), "links")
+    if links.count() <= linked_pages:
+        fetched = fetched.join(F.broadcast(links.select("url")), "url", "left_semi")
+    return join_links_pages(links, pages_to_articles(fetched, fields=fields)).select(*ARTICLE)

@@ -586,8 +586,8 @@ _FETCHED_SQL = f"SELECT page_id, max_by(link, pos) AS url FROM ({_ABS_SQL}) GROU
 
 
 def _fetched(pages: DataFrame) -> DataFrame:
-    menu = X.hrefs(X.region("html"))
-    return pages.select("page_id", X.absolutize(F.element_at(menu, -1), X.page_base("url")).alias("url"), "html")
+    menu = X.with_tree(pages).select("page_id", "url", "html", X.links_in("_tree").alias("_menu"))
+    return menu.select("page_id", X.absolutize(F.get("_menu", F.size("_menu") - 1), X.page_base("url")).alias("url"), "html")
 
 
 @register(
