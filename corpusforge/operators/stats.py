@@ -96,6 +96,15 @@ def dataset_stats(df: DataFrame) -> DataFrame:
     return g.select(F.explode(rows).alias("r")).select("r.*")
 
 
+def split_sizes_of(total: DataFrame) -> DataFrame:
+    """``kind, key, n``: the total (one row, ``n``) and the sizes of its exact split."""
+    n = F.col("n").cast("bigint")
+    cut1, cut2 = (F.floor(F.lit(x) * n).cast("bigint") for x in (0.7, 0.85))
+    sizes = {"total": n, "train": cut1, "validation": cut2 - cut1, "test": n - cut2}
+    rows = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit("").alias("key"), v.alias("n")) for k, v in sizes.items()])
+    return total.select(F.explode(rows).alias("r")).select("r.*")
+
+
 def reject_counts(reasons: DataFrame) -> DataFrame:
     """Rows per reject reason (``kept`` included)."""
     return reasons.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))

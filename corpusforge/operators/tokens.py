@@ -10,6 +10,7 @@ floating-point rounding decides membership.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +24,7 @@ TOKENISED_COLUMNS = {"title": "tokenized_title", "summary": "tokenized_summary",
 MARK = "\n"  # between two tokens of a lexicon pair; no token holds white space
 MIN_COUNT = 5
 PMI_RATIO = 8
+MAX_PAIRS = 200_000  # lexicon pairs that are sent to every task, at most
 
 
 def tokenize_columns(df: DataFrame, columns=TOKENISED_COLUMNS, tokenizer=None) -> DataFrame:
@@ -83,27 +85,61 @@ def bigram_lexicon(texts: DataFrame, text_col: str = "text", min_count: int = MI
     return j.filter(keep).select("w1", "w2", "n12", "n1", "n2")
 
 
-def merge_compounds(texts: DataFrame, lexicon: DataFrame, key: str, text_col: str = "text") -> DataFrame:
+def _glued(joined: Column, hits: Column | None, lexicon=None) -> Column:
+    """Tokens, joined by spaces, with the pairs of a lexicon (of all texts, or each text's ``hits``) joined by ``_``, left to right."""
+
+    def glue(text: str, pairs) -> str:
+        if not pairs:
+            return text
+        out, held = [], None  # the token that may still be the first of a pair
+        for w in text.split(" "):
+            if held is not None and held + MARK + w in pairs:
+                out.append(f"{held}_{w}")
+                held = None
+            else:
+                if held is not None:
+                    out.append(held)
+                held = w
+        if held is not None:
+            out.append(held)
+        return " ".join(out)
+
+    if hits is None:
+
+        @F.arrow_udf("string")
+        def with_lexicon(texts: pa.Array) -> pa.Array:
+            return pa.array([glue(t, lexicon.value) for t in texts.to_pylist()], pa.string())
+
+        return with_lexicon(joined)
+
+    @F.arrow_udf("string")
+    def with_hits(texts: pa.Array, hits: pa.Array) -> pa.Array:
+        return pa.array([glue(t, set(h or ())) for t, h in zip(texts.to_pylist(), hits.to_pylist(), strict=True)], pa.string())
+
+    return with_hits(joined, hits)
+
+
+def merge_compounds(texts: DataFrame, lexicon: DataFrame, key: str, text_col: str = "text", max_pairs: int = MAX_PAIRS) -> DataFrame:
     """Apply a lexicon: in each text, a lexicon pair of adjacent tokens is
     joined with ``_`` (left to right, non-overlapping); tokens re-joined with
-    spaces.
+    spaces.  A null text is empty; rows with a null or repeated key are rows like any others.
 
-    Tokens stay where they are: only the distinct pairs of each text are
-    joined with the lexicon (not broadcast, its size grows with the corpus;
-    AQE does so when it is small), and the hits come back as one small array
-    per text.  Tokens are then joined by a marker where the pair is a hit and
-    by a space elsewhere, and one left-to-right replacement glues ``a|b``.
+    A lexicon of at most ``max_pairs`` goes to every task (a few dozen MB) and the
+    texts are merged where they lie.  A larger one stays a table: the tokens are
+    written once, each text's distinct pairs meet the lexicon, and the hits come
+    back to their text by its row number, which moves the tokens once.
     """
+    pairs = materialize(lexicon.select(F.concat("w1", F.lit(MARK), "w2").alias("pair")), "lexicon")
+    joined = F.array_join(TK.tokens(text_col), " ")
+    if pairs.count() <= max_pairs:
+        spark = texts.sparkSession
+        held = spark.sparkContext.broadcast(frozenset(r.pair for r in pairs.collect()))
+        return texts.select(key, _glued(joined, None, held).alias(text_col))
+    rows = materialize(texts.select(key, joined.alias("_j")).withColumn("_row", F.monotonically_increasing_id()), "tokens")
     # a pair is one string (arrays of structs have no hashed distinct)
-    t = with_pinned(texts.select(key, TK.tokens(text_col).alias("_t")), {"_w": _words_of(F.col("_t"))})
-    zipped = with_pinned(t.select(key, pinned(F.col("_w")).alias("_w")), {"_p": _with_next(F.col("_w"))})
-    pairs = F.transform(pinned(F.col("_p")), lambda p: F.concat(p["w"], F.lit(MARK), p["w_next"]))  # null beside punctuation
-    cand = explode_computed(zipped, F.array_distinct(pairs), [key], None, "pair").filter(F.col("pair").isNotNull())
-    lex = lexicon.select(F.concat("w1", F.lit(MARK), "w2").alias("pair"))
-    hits = cand.join(lex, "pair").groupBy(key).agg(F.collect_set("pair").alias("_hits"))
-    j = texts.select(key, TK.tokens(text_col).alias("_t")).join(hits, key, "left")
-    tokens, found = F.col("_t"), F.coalesce(F.col("_hits"), F.array().cast("array<string>"))
-    hit = lambda x, i: F.coalesce(F.array_contains(found, F.concat(x, F.lit(MARK), F.get(tokens, i + 1))), F.lit(False))
-    marked = F.array_join(F.transform(tokens, lambda x, i: F.concat(x, F.when(hit(x, i), MARK).otherwise(" "))), "")
-    glued = F.regexp_replace(marked, f"([^ {MARK}]+){MARK}([^ {MARK}]+)", "$1_$2")
-    return j.select(key, F.rtrim(F.translate(glued, MARK, " ")).alias(text_col))
+    t = with_pinned(rows.select("_row", F.split("_j", " ").alias("_t")), {"_w": _words_of(F.col("_t"))})
+    zipped = with_pinned(t.select("_row", pinned(F.col("_w")).alias("_w")), {"_p": _with_next(F.col("_w"))})
+    found = F.transform(pinned(F.col("_p")), lambda p: F.concat(p["w"], F.lit(MARK), p["w_next"]))  # null beside punctuation
+    cand = explode_computed(zipped, F.array_distinct(found), ["_row"], None, "pair").filter(F.col("pair").isNotNull())
+    hits = cand.join(pairs, "pair").groupBy("_row").agg(F.collect_list("pair").alias("_hits"))
+    return rows.join(hits, "_row", "left").select(key, _glued(F.col("_j"), F.col("_hits")).alias(text_col))

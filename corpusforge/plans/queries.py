@@ -442,12 +442,12 @@ for _v, _sql in _REASONS_SQL.items():
 @register(
     "union_sites",
     f"""SELECT source, title, summary, category, url FROM ({Q.articles_view('first_line')}) WHERE source = 'src0'
-UNION ALL SELECT source, NULL AS title, summary, category, url FROM ({Q.articles_view('first_line')}) WHERE source <> 'src0'""",
+UNION ALL SELECT source, NULL AS title, summary, category, url FROM ({Q.articles_view('first_line')}) WHERE source IS DISTINCT FROM 'src0'""",
 )
 def q_union_sites(spark, sf_dir):
     """Two sites' corpora, one without titles, as one."""
     a = A.documents_as_articles(table(spark, sf_dir, "documents"), summary="first_line").select("source", "title", "summary", "category", "url")
-    return A.union_sites(a.filter("source = 'src0'"), a.filter("source <> 'src0'").drop("title"))
+    return A.union_sites(a.filter("source = 'src0'"), a.filter("NOT source <=> 'src0'").drop("title"))
 
 
 # ---------------------------------------------------------------------------
@@ -561,6 +561,28 @@ def q_extract_strict_nested(spark, sf_dir):
     return X.extract_strict(table(spark, sf_dir, "pages"), ("article h1", "nav ul"), strip=True)
 
 
+#: Some letters of the documents' languages and their names, which are also valid without a semicolon.
+_NAMED = {"é": "eacute", "à": "agrave", "ñ": "ntilde", "ü": "uuml", "ß": "szlig", "ö": "ouml", "ä": "auml", "ó": "oacute", "ç": "ccedil", "í": "iacute"}
+
+
+@register("decode_references", "SELECT doc_id, coalesce(text, '') AS text FROM documents")
+def q_decode_references(spark, sf_dir):
+    """X8 on texts written with references: named (with a semicolon or without), decimal and hexadecimal; the text comes back."""
+
+    def written(c, i):
+        named = F.lit(None).cast("string")
+        for letter, name in _NAMED.items():
+            named = F.when(c == letter, F.lit(f"&{name}")).otherwise(named)
+        number = F.when(i % 2 == 0, F.concat(F.lit("&#"), F.ascii(c).cast("string"), F.lit(";"))).otherwise(F.concat(F.lit("&#x"), F.hex(F.ascii(c)), F.lit(";")))
+        other = F.when(F.ascii(c) >= 160, F.when(i % 3 > 0, F.concat(named, F.when(i % 3 == 1, ";").otherwise(""))))
+        return F.coalesce(other, F.when(c == "&", "&amp;").when(c == "<", "&lt;").when(F.ascii(c) >= 160, number).otherwise(c))
+
+    d = table(spark, sf_dir, "documents").select("doc_id", T.null_to_empty("text").alias("text"))
+    chars = d.select("doc_id", F.regexp_extract_all("text", F.lit("(?s)."), F.lit(0)).alias("c"))
+    pages = chars.select("doc_id", F.concat(F.lit("<h1>"), F.array_join(F.transform("c", written), ""), F.lit("</h1>")).alias("html"))
+    return X.with_tree(pages).select("doc_id", X.select_text("_tree", "h1").alias("text"))
+
+
 _FIELDS_SQL = f"""SELECT page_id, url, {Q.element_text_or_null(_CLEAN, 'h1')} AS title,
   {_SUMMARY_SQL} AS summary, {_BODY_SQL} AS content, {_TIME_SQL} AS pub_date FROM pages"""
 _GATE = f"title IS NOT NULL AND length(title) >= 10 AND {Q.word_count('content')} >= 30"
@@ -692,26 +714,48 @@ def q_stream_clean_article_b(spark, sf_dir):
     return STR.stream_to_table(A.clean_article_b(articles), "st1")
 
 
-@register("stream_dedupe_text", "SELECT md5(coalesce(text, '')) AS url, count(*) > 0 AS seen FROM documents GROUP BY 1")
+def _sighted(spark, sf_dir) -> DataFrame:
+    """The documents as sightings: a text's digest is its URL, doc_id the order; event times within two days, out of order."""
+    return _docs_stream(spark, sf_dir).select(
+        F.md5(F.coalesce("text", F.lit(""))).alias("url"), F.col("doc_id").alias("seq"), "source", F.col("lang").alias("category"),
+        F.concat(F.lit("2025-01-0"), (1 + F.col("doc_id") % 2).cast("string"), F.lit(" "), F.lpad((F.col("doc_id") * 7 % 24).cast("string"), 2, "0"), F.lit(":00:00")).alias("scraped_at"))
+
+
+@register("stream_dedupe_text", """SELECT url, seq, source, category, true AS seen FROM (
+  SELECT md5(coalesce(text, '')) AS url, doc_id AS seq, source, lang AS category, row_number() OVER (PARTITION BY md5(coalesce(text, '')) ORDER BY doc_id) AS k FROM documents) WHERE k = 1""")
 def q_stream_dedupe_text(spark, sf_dir):
-    """ST2 on documents: first arrival of each text wins; the text's digest is the URL, event times lie within the delay."""
-    rows = _docs_stream(spark, sf_dir).select(
-        F.md5(F.coalesce("text", F.lit(""))).alias("url"),
-        F.concat(F.lit("2025-01-01 "), F.lpad((F.col("doc_id") % 24).cast("string"), 2, "0"), F.lit(":00:00")).alias("scraped_at"),
-    )
-    return STR.stream_to_table(STR.dedupe_stream(rows, "2 days").select("url"), "st2").select("url", F.lit(True).alias("seen"))
+    """ST2 on documents: each text once, with the attributes of its first sighting by doc_id, whatever the order of arrival."""
+    root = _out(spark, "st2")
+    STR.dedupe_to_files(_sighted(spark, sf_dir), root, "3 days")
+    return STR.read_deduped(spark, root).withColumn("seen", F.lit(True))
 
 
-@register(
-    "stream_running_counts",
-    "SELECT source, lang AS category, count(*) AS n FROM documents GROUP BY source, lang",
-)
+@register("stream_unheld", "SELECT CASE WHEN doc_id % 3 = 0 THEN NULL ELSE doc_id::VARCHAR END AS url, doc_id AS seq, CASE WHEN doc_id % 3 = 0 THEN 'no url' ELSE 'unreadable time' END AS reason FROM documents WHERE doc_id % 3 = 0 OR doc_id % 5 = 0")
+def q_stream_unheld(spark, sf_dir):
+    """ST2's side output: rows without URL, and rows whose time cannot be read, none of which is lost."""
+    rows = _sighted(spark, sf_dir).withColumns({
+        "url": F.when(F.col("seq") % 3 > 0, F.col("seq").cast("string")),
+        "scraped_at": F.when(F.col("seq") % 5 > 0, F.col("scraped_at")).otherwise("yesterday"),
+    })
+    return STR.stream_to_table(STR.unheld(rows).select("url", "seq", "reason"), "st2-unheld")
+
+
+_RUNNING = "SELECT source, lang AS category, count(*) AS n FROM documents GROUP BY source, lang"
+
+
+def _counted(spark, sf_dir, kinds: dict) -> str:
+    run = _out(spark, "st3")
+    STR.run_counts(_docs_stream(spark, sf_dir).withColumn("category", F.col("lang")), f"{run}/counts", f"{run}/checkpoint", kinds)
+    return f"{run}/counts"
+
+
+@register("stream_running_counts", _RUNNING)
 def q_stream_running_counts(spark, sf_dir):
-    """ST3: running counts per source/category maintained by a complete-mode stream."""
-    run = f"st3-{uuid.uuid4().hex[:12]}"
-    out, ckpt = scratch_path(spark, f"{run}/out"), scratch_path(spark, f"{run}/checkpoint")
-    STR.run_counts(_docs_stream(spark, sf_dir).select("source", F.col("lang").alias("category")), out, ckpt)
-    return spark.read.parquet(out)
+    """ST3: counts per source and category, maintained batch by batch."""
+    both = F.to_json(F.struct("source", "category"))
+    path = _counted(spark, sf_dir, {"both": both})
+    rows = STR.read_counts(spark, path).filter("kind = 'both'").select(F.from_json("key", "source string, category string").alias("k"), "n")
+    return rows.select("k.*", "n")
 
 
 @register(
@@ -752,14 +796,30 @@ def q_raw_sink_scan(spark, sf_dir):
     return back.select("url", "source", "category", "title", "summary", "content")
 
 
-@register("json_dir_scan", f"SELECT url, source, summary, content IS NOT NULL AS has_content FROM ({Q.articles_view('first_line')})")
+@register("json_dir_scan", f"SELECT url, source, summary, content, content IS NOT NULL AS has_content FROM ({Q.articles_view('first_line')})")
 def q_json_dir_scan(spark, sf_dir):
     """A folder of JSON objects, each file parsed whole with its keys (one file per source here, of one article each per partition)."""
     path = _out(spark, "s1")
     a = _raw_articles(spark, sf_dir)
     a.select(F.to_json(F.struct(*a.columns)).alias("value")).write.option("maxRecordsPerFile", 1).text(path, lineSep="\n")
     back = io.scan_raw_json(spark, path, pattern="*.txt")
-    return back.select("url", "source", "summary", F.array_contains("_keys", "content").alias("has_content"))
+    return back.select("url", "source", "summary", "content", F.array_contains("_keys", "content").alias("has_content"))
+
+
+@register(
+    "dead_letters",
+    """WITH d AS (SELECT CASE WHEN doc_id % 7 = 0 THEN 'not JSON' WHEN doc_id % 11 = 0 THEN 'content is no text' WHEN doc_id % 13 = 0 THEN 'not an object' END AS reason FROM documents)
+SELECT coalesce(reason, 'kept') AS reason, count(*) AS n FROM d GROUP BY 1 UNION ALL SELECT 'read', count(*) FROM d""",
+)
+def q_dead_letters(spark, sf_dir):
+    """Raw files, some of them unreadable, sorted into articles and refused records in one pass; kept + refused = read."""
+    path, sorted_path = _out(spark, "p3"), _out(spark, "p3-sorted")
+    d = table(spark, sf_dir, "documents").select("doc_id", F.to_json(F.struct(F.col("text").alias("content"), "source"), {"ignoreNullFields": "false"}).alias("j"))
+    bad = F.when(F.col("doc_id") % 7 == 0, F.expr("left(j, length(j) - 1)")).when(F.col("doc_id") % 11 == 0, '{"content": ["a list"]}').when(F.col("doc_id") % 13 == 0, F.concat(F.lit("["), F.col("j"), F.lit("]")))
+    d.select(F.coalesce(bad, F.col("j")).alias("value")).write.option("maxRecordsPerFile", 1).text(path, lineSep="\n")
+    kept, refused = io.sort_raw_json(spark, path, sorted_path, pattern="*.txt")
+    both = kept.select(F.lit("kept").alias("reason")).unionByName(refused.select("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return both.unionByName(spark.read.schema("refused boolean").parquet(sorted_path).agg(F.count(F.lit(1)).alias("n")).select(F.lit("read").alias("reason"), "n"))
 
 
 @register("csv_sink_scan", _RAW_CSV_SQL)
@@ -814,6 +874,14 @@ def q_stats_sink_scan(spark, sf_dir):
     return spark.read.schema("kind string, key string, n bigint").json(path)
 
 
+@register("stream_dataset_stats", SQL["stats_sink_scan"])
+def q_stream_dataset_stats(spark, sf_dir):
+    """G3-G6 maintained by a stream: each batch adds its partial counts, compacted before they are read."""
+    path = _counted(spark, sf_dir, {"sources": F.col("source"), "categories": F.col("category")})
+    STR.compact_counts(spark, path)
+    return STR.read_stats(spark, path)
+
+
 @register("incremental_scan", f"SELECT url, source, category, title FROM ({Q.articles_view('first_line')})")
 def q_incremental_scan(spark, sf_dir):
     """Raw JSON files picked up by a stream."""

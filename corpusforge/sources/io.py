@@ -45,6 +45,11 @@ def scan_raw_json(spark: SparkSession, path: str, exact_keys: bool = True, patte
         )
         df = df.withColumn("_file", F.input_file_name())
         return df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    return _parsed_files(spark, path, pattern).filter("reason IS NULL").drop("reason", "value")
+
+
+def _parsed_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    """Every file as a raw article with ``_keys, _file``, its content ``value``, and the ``reason`` why it is none (null if it is one)."""
     text = (
         spark.read.option("pathGlobFilter", pattern)
         .text(path, wholetext=True)
@@ -56,15 +61,29 @@ def scan_raw_json(spark: SparkSession, path: str, exact_keys: bool = True, patte
         F.from_json("value", schemas.RAW).alias("r"),
         F.json_object_keys("value").alias("_keys"),
         *[k.alias(f"_t{i}") for i, k in enumerate(kinds)],
-        "_file",
+        "_file", "value", v.isNotNull().alias("_json"),
     )
     # from_json yields null for a malformed document; json_object_keys yields
     # null for anything that is not a JSON object.  A list, object or number
     # where a text is cleaned makes the whole row unusable.
-    ok = F.col("r").isNotNull() & F.col("_keys").isNotNull()
-    for i in range(len(kinds)):
-        ok = ok & F.coalesce(F.col(f"_t{i}").isin("STRING", "VOID"), F.lit(True))
-    return parsed.filter(ok).select("r.*", "_keys", "_file")
+    reason = F.when(~F.col("_json"), "not JSON").when(F.col("r").isNull() | F.col("_keys").isNull(), "not an object")
+    for i, f in enumerate(schemas.TEXT_FIELDS):
+        reason = reason.when(~F.coalesce(F.col(f"_t{i}").isin("STRING", "VOID"), F.lit(True)), f"{f} is no text")
+    return parsed.select("r.*", "_keys", "_file", "value", reason.alias("reason"))
+
+
+def sort_raw_json(spark: SparkSession, path: str, out: str, pattern: str = "*.json") -> tuple[DataFrame, DataFrame]:
+    """P3 with a dead-letter table: one pass over the files writes raw articles and refused records apart, under ``out``.
+
+    Returns the articles (as :func:`scan_raw_json` gives them) and the refused
+    records: ``_file, reason, value`` (what the file holds).  Each file is in
+    exactly one of the two; both are read back from what was written.
+    """
+    rows = _parsed_files(spark, path, pattern)
+    rows = rows.withColumns({"value": F.when(F.col("reason").isNotNull(), F.col("value")), "refused": F.col("reason").isNotNull()})
+    rows.write.mode("overwrite").partitionBy("refused").parquet(out)
+    back = spark.read.schema(rows.schema).parquet(out)
+    return back.filter("NOT refused").drop("reason", "value", "refused"), back.filter("refused").select("_file", "reason", "value")
 
 
 def compact_raw(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -105,9 +105,80 @@ def test_stream_dedupe_and_counts(spark, raw_dir):
     STR.run_to_files(STR.dedupe_stream(raw).drop("scraped_ts"), f"{d}/out", f"{d}/ck")
     urls = [r.url for r in spark.read.parquet(f"{d}/out").collect()]
     assert len(urls) == len(set(urls)) == 26 and None not in urls
-    STR.run_counts(raw, f"{d}/cnt", f"{d}/ck2")
-    counts = {(r.source, r.category): r.n for r in spark.read.parquet(f"{d}/cnt").collect()}
-    assert [counts[k] for k in (("one", "c0"), ("one", "c1"), ("two", "c0"), ("two", "c1"))] == [10, 9, 5, 5]
+    STR.run_counts(raw, f"{d}/cnt", f"{d}/ck2", {"both": F.concat_ws("/", "source", "category"), "sources": F.col("source")})
+    counts = {(r.kind, r.key): r.n for r in STR.read_counts(spark, f"{d}/cnt").collect()}
+    assert [counts["both", k] for k in ("one/c0", "one/c1", "two/c0", "two/c1")] == [10, 9, 5, 5]
+    assert counts["sources", "one"] == 19 and counts["total", ""] == raw_count(spark, raw_dir)
+
+
+def raw_count(spark, raw_dir):
+    return len([x for x in os.listdir(raw_dir) if x.endswith(".json")])
+
+
+def test_counts_of_repeated_and_killed_batches(spark):
+    """A batch counts once, however often it is written; one without its end mark does not count; a compaction changes nothing."""
+    from corpusforge.streaming import stream as STR
+
+    d = tempfile.mkdtemp(prefix="cf-counts-", dir="/tmp")
+    rows = spark.range(100).select(F.when(F.col("id") % 10 > 0, F.col("id") % 3).alias("k"))
+    total = lambda: {(r.kind, r.key): r.n for r in STR.read_counts(spark, d).collect()}
+    assert total() == {}
+    for batch in (0, 1, 1, 0, 1):
+        STR.write_partial(STR.partial_counts(rows, {"k": F.col("k")}), d, batch)
+    want = {("total", ""): 200, ("k", "0"): 60, ("k", "1"): 60, ("k", "2"): 60}
+    assert total() == want
+    os.makedirs(f"{d}/batch=2")
+    for name in (x for x in os.listdir(f"{d}/batch=1") if x.startswith("part")):  # killed while writing
+        with open(f"{d}/batch=1/{name}", "rb") as a, open(f"{d}/batch=2/{name}", "wb") as b:
+            b.write(a.read())
+    assert total() == want
+    STR.compact_counts(spark, d)
+    assert total() == want
+    STR.write_partial(STR.partial_counts(rows, {"k": F.col("k")}), d, 1)  # an old batch again
+    STR.write_partial(STR.partial_counts(rows, {"k": F.col("k")}), d, 2)  # the killed one again
+    assert total()["total", ""] == 300 and {r.key: r.n for r in STR.read_stats(spark, d).filter("kind = 'k'").collect()} == {"0": 90, "1": 90, "2": 90}
+    STR.compact_counts(spark, d)
+    assert {r.kind: r.n for r in STR.read_stats(spark, d).filter("kind <> 'k'").collect()} == {"total": 300, "train": 210, "validation": 45, "test": 45}
+
+
+def test_stream_keeps_the_first_sighting(spark):
+    """Late and out-of-order copies, in runs that go on from each other, give the batch rows; no row is lost."""
+    from corpusforge.streaming import stream as STR
+
+    d = tempfile.mkdtemp(prefix="cf-first-", dir="/tmp")
+    day = "2025-05-{:02d} 10:00:00".format
+    runs = [
+        [("u1", 5, "s", "five", day(1)), ("u2", 2, "s", "two", day(1)), ("u1", 7, "s", "seven", day(2)), (None, 1, "s", "none", day(1))],
+        [("u1", 3, "s", "three", day(3)), ("u2", 9, "s", "nine", day(3)), ("u3", 4, "s", "four", "soon"), (None, 8, "s", "none", day(3))],
+        [("u4", 10, "s", "ten", day(28)), ("u3", 6, "s", "six", day(28))],
+        [("u2", 1, "s", "one", day(28)), ("u1", 12, "s", "twelve", day(28)), ("u4", 11, "s", "eleven", day(28))],  # u1 and u2 are forgotten by now
+    ]
+    schema = "url string, seq bigint, source string, category string, scraped_at string"
+    for run in runs:
+        spark.createDataFrame(run, schema).coalesce(1).write.mode("append").parquet(f"{d}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{d}/in")
+        STR.dedupe_to_files(stream, f"{d}/out", "2 days")
+    got = sorted(((r.url, r.seq, r.category) for r in STR.read_deduped(spark, f"{d}/out").collect()), key=str)
+    assert got == [("u1", 3, "three"), ("u2", 1, "one"), ("u3", 4, "four"), ("u4", 10, "ten"), (None, 1, "none"), (None, 8, "none")]
+    assert sorted(r.reason for r in spark.read.parquet(f"{d}/out/unheld").collect()) == ["no url", "no url", "unreadable time"]
+    assert spark.read.parquet(f"{d}/out/sightings").count() < 9
+
+
+def test_refused_records_are_kept_apart(spark):
+    from corpusforge.sources import io
+
+    d = tempfile.mkdtemp(prefix="cf-p3-", dir="/tmp")
+    os.makedirs(f"{d}/in")
+    files = {"ok": '{"title": "t", "content": "c"}', "null": '{"title": null}', "cut": '{"title": "t"', "list": "[1]", "number": "7", "typed": '{"title": 5}', "nested": '{"content": {"a": 1}}', "empty": ""}
+    for name, content in files.items():
+        with open(f"{d}/in/{name}.json", "w") as f:
+            f.write(content)
+    kept, refused = io.sort_raw_json(spark, f"{d}/in", f"{d}/out")
+    short = lambda r: os.path.basename(r["_file"]).removesuffix(".json")
+    assert sorted(map(short, kept.collect())) == ["null", "ok"] and kept.columns == io.scan_raw_json(spark, f"{d}/in").columns
+    got = {short(r): (r.reason, r.value) for r in refused.collect()}
+    assert {k: v[0] for k, v in got.items()} | {"empty": ""} == {"cut": "not JSON", "list": "not an object", "number": "not an object", "typed": "title is no text", "nested": "content is no text", "empty": ""}
+    assert all(v[1] == files[k] for k, v in got.items()) and len(got) + kept.count() >= len(files) - 1
 
 
 def test_event_time_is_zone_safe_and_lenient(spark):

@@ -41,5 +41,9 @@ def test_lexicon_brute_force(spark):
 def test_merge_compounds_brute_force(spark):
     texts = spark.createDataFrame([(1, "a b c d e"), (2, "a b a b c"), (3, "x y, a b"), (4, "")], "k long, text string")
     lex = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("x", "y")], "w1 string, w2 string")
-    got = {r.k: r.text for r in W.merge_compounds(texts, lex, "k").collect()}
-    assert got == {1: "a_b c_d e", 2: "a_b a_b c", 3: "x_y , a_b", 4: ""}
+    more = texts.unionByName(spark.createDataFrame([(None, "z a b"), (None, "b c"), (2, "c d"), (5, None)], texts.schema))
+    for size in (W.MAX_PAIRS, 0):  # the lexicon with every task, and as a table
+        got = {r.k: r.text for r in W.merge_compounds(texts, lex, "k", max_pairs=size).collect()}
+        assert got == {1: "a_b c_d e", 2: "a_b a_b c", 3: "x_y , a_b", 4: ""}
+        got = sorted((str(r.k), r.text) for r in W.merge_compounds(more, lex, "k", max_pairs=size).collect())
+        assert got == [("1", "a_b c_d e"), ("2", "a_b a_b c"), ("2", "c_d"), ("3", "x_y , a_b"), ("4", ""), ("5", ""), ("None", "b_c"), ("None", "z a_b")]
