@@ -20,6 +20,7 @@ pass through whatever their names; an empty table gives an empty table.
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
 
 import numpy as np
@@ -27,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusforge.llm.files import folder, whole_file
 from corpusforge.operators.plan_utils import materialize
 from corpusforge.session import scratch_path
 
@@ -83,36 +85,74 @@ def drop_lines(text: Column, gone: Column, min_chars: int) -> Column:
 
 
 class LineRuns:
-    """The levelled store of line keys seen so far."""
+    """The levelled store of line keys seen so far, in a folder that a later job can :meth:`open` again.
 
-    def __init__(self, spark: SparkSession, fanout: int = 3, buckets: int | None = None):
+    Spark knows a run's buckets by a table in its catalog; :meth:`close` drops these
+    entries (not the files), and opening the folder makes them anew.
+    """
+
+    def __init__(self, spark: SparkSession, fanout: int = 3, buckets: int | None = None, root: str | None = None):
         self.spark, self.fanout = spark, fanout
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.name = f"line_runs_{uuid.uuid4().hex[:12]}"
-        self.root = scratch_path(spark, self.name)
-        self.levels: list[list[str]] = [[]]
+        self.root = root or scratch_path(spark, self.name)
+        self.levels: list[list[int]] = [[]]
         self.made = 0  # runs written so far; run n lies in <root>/<n>
-
-    def _write(self, run: DataFrame) -> str:
+        self.known: set[int] = set()  # runs in the catalog
+
+    @classmethod
+    def open(cls, spark: SparkSession, root: str) -> LineRuns:
+        """The store in a folder, as the last finished batch left it."""
+        fs, where = folder(root)
+        with fs.open_input_file(f"{where}/runs.json") as f:
+            state = json.loads(f.read())
+        out = cls(spark, state["fanout"], state["buckets"], root)
+        out.levels, out.made = state["levels"], state["made"]
+        return out
+
+    def __enter__(self) -> LineRuns:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+    def close(self) -> None:
+        for run in self.known:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name}_{run}")
+        self.known = set()
+
+    def _save(self) -> None:
+        fs, where = folder(self.root)
+        with whole_file(fs, f"{where}/runs.json") as out:
+            out.write(json.dumps({"fanout": self.fanout, "buckets": self.buckets, "levels": self.levels, "made": self.made}).encode())
+
+    def _table(self, run: int) -> DataFrame:
+        if run not in self.known:
+            self.spark.sql(f"CREATE TABLE {self.name}_{run} ({RUN}) USING parquet CLUSTERED BY (k1, k2) SORTED BY (k1, k2) INTO {self.buckets} BUCKETS "
+                           f"LOCATION '{self.root}/{run}'")
+            self.known.add(run)
+        return self.spark.table(f"{self.name}_{run}")
+
+    def _write(self, run: DataFrame) -> int:
         self.made += 1
-        table = f"{self.name}_{self.made}"
-        (run.repartition(self.buckets, "k1", "k2").write.option("path", f"{self.root}/{self.made}")
-         .bucketBy(self.buckets, "k1", "k2").sortBy("k1", "k2").saveAsTable(table))
-        return table
+        (run.repartition(self.buckets, "k1", "k2").write.mode("overwrite").option("path", f"{self.root}/{self.made}")
+         .bucketBy(self.buckets, "k1", "k2").sortBy("k1", "k2").saveAsTable(f"{self.name}_{self.made}"))
+        self.known.add(self.made)
+        return self.made
 
     def _compact(self) -> None:
         for level, runs in enumerate(self.levels):
             if len(runs) >= self.fanout:
                 # a key is owned by one run only, so runs merge without comparing rows
-                parts = [self.spark.table(r).filter("owner IS NOT NULL") for r in runs]
+                parts = [self._table(r).filter("owner IS NOT NULL") for r in runs]
                 merged = parts[0]
                 for p in parts[1:]:
                     merged = merged.unionByName(p)
-                table = self._write(merged)
+                run = self._write(merged)
                 if level + 1 == len(self.levels):
                     self.levels.append([])
                 self.levels[level] = []
-                self.levels[level + 1].append(table)
+                self.levels[level + 1].append(run)
 
     def add(self, keys: DataFrame) -> DataFrame:
         """Take a batch (``id, k1, k2``); return the ``id, k1, k2`` whose lines must go.
@@ -122,14 +162,15 @@ class LineRuns:
         """
         own = keys.groupBy("k1", "k2").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).withColumn("held", F.lit(False))
         # one merge join per run marks what it holds; the batch, once shuffled and sorted, stays so
-        for table in (t for level in self.levels for t in level):
-            run = self.spark.table(table).filter("owner IS NOT NULL").select("k1", "k2", F.lit(True).alias("here"))
+        for number in (n for level in self.levels for n in level):
+            run = self._table(number).filter("owner IS NOT NULL").select("k1", "k2", F.lit(True).alias("here"))
             own = own.join(run, ["k1", "k2"], "left").select("k1", "k2", "lo", "hi", F.expr("held OR here IS NOT NULL").alias("held"))
         new = own.select("k1", "k2", F.expr("if(held, NULL, lo)").alias("owner"), F.expr("held OR lo < hi").alias("shared"))
         self.levels[0].append(self._write(new))
         # read by path, without the buckets: both sides are shuffled, so Spark can split a key that many documents hold
         shared = self.spark.read.schema(RUN).parquet(f"{self.root}/{self.made}").filter("shared").select(F.col("k1").alias("s1"), F.col("k2").alias("s2"), "owner")
         self._compact()
+        self._save()
         return (keys.join(shared, (F.col("k1") == F.col("s1")) & (F.col("k2") == F.col("s2")))
                 .filter("owner IS NULL OR id <> owner").select("id", "k1", "k2"))
 
@@ -148,10 +189,11 @@ def dropped_keys(docs: DataFrame, doc_id: str, text: str, batches: int, fanout:
     keys = materialize(keys, "line-keys")
     ranges = _ranges(keys, batches)
     flat = keys.select("id", F.explode("keys").alias("k")).select("id", "k.k1", "k.k2")
-    runs, gone = LineRuns(spark, fanout), None
-    for lo, hi in ranges:
-        part = runs.add(flat.filter(F.col("id").between(lo, hi)))
-        gone = part if gone is None else gone.unionByName(part)
+    gone = None
+    with LineRuns(spark, fanout) as runs:
+        for lo, hi in ranges:
+            part = runs.add(flat.filter(F.col("id").between(lo, hi)))
+            gone = part if gone is None else gone.unionByName(part)
     return gone.groupBy("id").agg(F.collect_set(F.struct("k1", "k2")).alias("gone"))
 
 

@@ -21,7 +21,7 @@ are not read; an empty table gives an empty table.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -32,11 +32,12 @@ from corpusforge.llm import encode
 LEAF = 512
 SURE = re.compile(r"(?<=\S) (?=\S)")
 
-#: What the query edits: pattern and replacement.
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+#: What the query edits: pattern and replacement.  A mail address is sought from its ``@``, so that a long run of letters is read once.
+MAIL_NAME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+MAIL_HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 PHONE = re.compile(r"(?<![\w+])\+?\d[\d ()/.-]{7,}\d(?!\w)")
 SECRET = re.compile(r"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{32,}={0,2}")
-REDACTIONS = ((EMAIL, "[email]"), (PHONE, "[phone]"), (SECRET, "[secret]"))
+REDACTIONS = ((PHONE, "[phone]"), (SECRET, "[secret]"))
 
 
 def leaf_cuts(text: str, size: int = LEAF) -> list[str]:
@@ -149,12 +150,25 @@ def _seam(left: str, right: str) -> bool:
     return bool(SURE.match(left[-1:] + right[:2], 1))
 
 
+def mail_addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of a name, ``@`` and a host with a dot, from left to right."""
+    at, last = text.find("@"), 0
+    while at >= 0:
+        start = at
+        while start > last and text[start - 1] in MAIL_NAME:
+            start -= 1
+        host = MAIL_HOST.match(text, at + 1) if start < at else None
+        if host:
+            last = host.end()
+            yield start, last
+        at = text.find("@", max(at + 1, last))
+
+
 def redactions(text: str) -> list[tuple[int, int, str]]:
     """Spans of personal data and secrets, and what stands in for them."""
-    found: list[tuple[int, int, str]] = []
+    found = [(a, b, "[email]") for a, b in mail_addresses(text)]
     for pattern, new in REDACTIONS:
-        if pattern is not EMAIL or "@" in text:
-            found += [(m.start(), m.end(), new) for m in pattern.finditer(text)]
+        found += [(m.start(), m.end(), new) for m in pattern.finditer(text)]
     out: list[tuple[int, int, str]] = []
     for span in sorted(found):  # of overlapping spans the first stays
         if not out or span[0] >= out[-1][1]:

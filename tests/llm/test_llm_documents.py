@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from bisect import bisect_left
 from collections import Counter
@@ -99,6 +100,20 @@ def test_lines_on_the_whole_table_in_many_batches(spark, table):
     assert Counter(map(tuple, out.collect())) == brute_lines(rows)
 
 
+def test_line_store_is_reopened_and_leaves_no_tables(spark):
+    """Batches by three jobs, each of which opens the folder that the one before left, drop what one job's batches do."""
+    batches = [[(1, 10, 0), (1, 11, 0), (2, 10, 0)], [(3, 11, 0), (3, 12, 0)], [(4, 12, 0), (5, 13, 0)], [(6, 10, 0), (6, 13, 0), (7, 14, 0)]]
+    frames = [spark.createDataFrame(b, "id bigint, k1 bigint, k2 bigint") for b in batches]
+    store, got = lines.LineRuns(spark, fanout=2, buckets=4), []
+    for frame in frames:
+        with lines.LineRuns.open(spark, store.root) if got else store as runs:
+            got.append(runs.add(frame))
+        got[-1] = sorted(map(tuple, got[-1].collect()))  # read after the tables are dropped
+    assert got == [[(2, 10, 0)], [(3, 11, 0)], [(4, 12, 0)], [(6, 10, 0), (6, 13, 0)]]
+    assert lines.LineRuns.open(spark, store.root).made > 4  # compacted on the way
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("line_runs_")]
+
+
 def test_lines_empty_table(spark):
     assert lines.line_digest(empty(spark)).count() == 0
 
@@ -380,6 +395,22 @@ def test_edit_touches_its_region_only():
     assert tree.encoded < 4 * tokens.LEAF
 
 
+def test_long_unbroken_texts_take_time_by_their_length():
+    start = time.process_time()
+    for text in ("x" * 1_000_000 + "@b.c", "a@" * 300_000, "1 " * 500_000 + "a", "1" * 1_000_000 + "a"):
+        tokens.redactions(text)
+    tokens.redactions("é" * 1_000_000)
+    assert tokens._counts("x" * 1_000_000 + "@b.c d", tokens.redactions("x" * 1_000_000 + "@b.c d"), encode.vocabulary_path())[1] == 1
+    assert time.process_time() - start < 30
+
+
+@settings(deadline=None, max_examples=300)
+@given(st.text(alphabet="ab1.@-_+ é", max_size=30))
+def test_mail_addresses(text):
+    whole = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+    assert list(tokens.mail_addresses(text)) == [(m.start(), m.end()) for m in whole.finditer(text)]
+
+
 def test_edits_must_not_overlap():
     with pytest.raises(ValueError):
         tokens.TokenTree("some text", encode.vocabulary_path()).edit([(0, 4, "x"), (2, 6, "y")])
