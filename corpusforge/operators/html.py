@@ -389,6 +389,11 @@ def links_to_articles(listing: DataFrame, fetched: DataFrame, fields: Fields | N
     tasks, and pages that no link leads to are not extracted at all.
     """
     links = materialize(dedupe_links_first(page_links(listing, region_tag, region_class, suffix)), "links")
+    return articles_of(links, fetched, fields, linked_pages)
+
+
+def articles_of(links: DataFrame, fetched: DataFrame, fields: Fields | None = None, linked_pages: int = LINKED_PAGES) -> DataFrame:
+    """X16 -> X15 for distinct ``links`` (``url, source, category``), a written table."""
     if links.count() <= linked_pages:
         fetched = fetched.join(F.broadcast(links.select("url")), "url", "left_semi")
     return join_links_pages(links, pages_to_articles(fetched, fields=fields)).select(*ARTICLE)

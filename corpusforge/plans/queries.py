@@ -20,6 +20,7 @@ from corpusforge.operators import split as G
 from corpusforge.operators import stats as ST
 from corpusforge.operators.plan_utils import explode_computed, filter_computed, materialize
 from corpusforge.operators import html as X
+from corpusforge.operators.seen import SeenUrls, crawl_run
 from corpusforge.operators import tokens as W
 from corpusforge.plans import oracle_sql as Q
 from corpusforge.plans.corpus import build_corpus
@@ -320,6 +321,23 @@ def q_split_exact(spark, sf_dir):
     return G.split_exact(d, "doc_id").select("doc_id", "split")
 
 
+@register("split_appended", f"SELECT doc_id, split FROM ({_SPLIT_DOCS_SQL})")
+def q_split_appended(spark, sf_dir):
+    """G2 under appends: the documents in four parts; each part is labelled when it comes, and later only changed labels are replaced."""
+    d = table(spark, sf_dir, "documents").select("doc_id")
+    grown, labels = G.GrowingSplit(spark, _out(spark, "split"), "doc_id"), None
+    for part in range(4):
+        rows = d.filter(F.pmod(F.xxhash64("doc_id"), F.lit(4)) == part)
+        number = grown.append(rows)
+        new = grown.label(rows, number)
+        if labels is not None:
+            changed = grown.changes(number).select(F.col("key").cast("bigint").alias("doc_id"), F.col("new"))
+            old = labels.join(changed, "doc_id", "left").select("doc_id", F.coalesce("new", "split").alias("split"))
+            new = old.unionByName(new)
+        labels = materialize(new, "labels")
+    return labels
+
+
 @register(
     "split_hash",
     f"""SELECT doc_id, CASE WHEN u < 0.7::DOUBLE THEN 'train' WHEN u < 0.85::DOUBLE THEN 'validation' ELSE 'test' END AS split
@@ -632,6 +650,43 @@ def q_links_to_articles(spark, sf_dir):
     return X.links_to_articles(pages, _fetched(pages), PAGE_FIELDS)
 
 
+_HALF = "(SELECT (min(page_id) + max(page_id)) // 2 FROM pages)"
+
+
+@register(
+    "links_across_runs",
+    f"""SELECT link AS url, source, category, CASE WHEN page_id <= {_HALF} THEN 1 ELSE 2 END AS run FROM (
+  SELECT *, row_number() OVER (PARTITION BY link ORDER BY page_id, pos) AS rn FROM ({_ABS_SQL})) WHERE rn = 1""",
+)
+def q_links_across_runs(spark, sf_dir):
+    """X6 across runs: the first half of the pages, the second, and the first again (which meets nothing new)."""
+    pages = table(spark, sf_dir, "pages")
+    cut = pages.agg(F.floor((F.min("page_id") + F.max("page_id")) / 2)).first()[0]
+    halves = [pages.filter(F.col("page_id") <= cut), pages.filter(F.col("page_id") > cut)]
+    seen, runs = SeenUrls(spark, _out(spark, "seen")), []
+    for k, half in enumerate([*halves, halves[0]], 1):
+        links = materialize(seen.unseen(X.dedupe_links_first(X.page_links(half))), "new-links")
+        seen.commit(links)
+        runs.append(links.withColumn("run", F.lit(k)))
+    return runs[0].unionByName(runs[1]).unionByName(runs[2])
+
+
+@register(
+    "articles_across_runs",
+    f"""WITH r AS (SELECT link AS url, source, category, CASE WHEN page_id <= {_HALF} THEN 1 ELSE 2 END AS run FROM (
+  SELECT *, row_number() OVER (PARTITION BY link ORDER BY page_id, pos) AS rn FROM ({_ABS_SQL})) WHERE rn = 1)
+SELECT f.page_id, f.title, f.content, r.category, p.url, r.source, r.run FROM r JOIN ({_FETCHED_SQL}) p ON r.url = p.url JOIN ({_FIELDS_SQL}) f ON f.page_id = p.page_id WHERE {_GATE}""",
+)
+def q_articles_across_runs(spark, sf_dir):
+    """X16 over two runs: the second one extracts only pages that its new links lead to."""
+    pages = table(spark, sf_dir, "pages")
+    cut = pages.agg(F.floor((F.min("page_id") + F.max("page_id")) / 2)).first()[0]
+    seen = SeenUrls(spark, _out(spark, "seen"))
+    first, second = (crawl_run(seen, half, _fetched(pages), PAGE_FIELDS)[1] for half in (pages.filter(F.col("page_id") <= cut), pages.filter(F.col("page_id") > cut)))
+    both = first.withColumn("run", F.lit(1)).unionByName(second.withColumn("run", F.lit(2)))
+    return both.select("page_id", "title", "content", "category", "url", "source", "run")
+
+
 # ---------------------------------------------------------------------------
 # W*: tokenisation and the compound lexicon
 # ---------------------------------------------------------------------------

@@ -101,6 +101,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def finished(spark: SparkSession, path: str, name: str) -> list[int]:
+    """The numbers k, ascending, of the folders ``path/name=k`` that were written to their end."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [x.getPath().getName() for x in fs.listStatus(folder)] if fs.exists(folder) else []
+    return sorted(int(x[len(name) + 1:]) for x in names if x.startswith(f"{name}=") and fs.exists(jvm.org.apache.hadoop.fs.Path(folder, f"{x}/_SUCCESS")))
+
+
 def read_csv(spark: SparkSession, path: str, schema=None) -> DataFrame:
     r = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
     if schema is not None:
