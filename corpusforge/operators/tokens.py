@@ -24,6 +24,7 @@ TOKENISED_COLUMNS = {"title": "tokenized_title", "summary": "tokenized_summary",
 MARK = "\n"  # between two tokens of a lexicon pair; no token holds white space
 MIN_COUNT = 5
 PMI_RATIO = 8
+MAX_WORDS = 4  # in a compound
 MAX_PAIRS = 200_000  # lexicon pairs that are sent to every task, at most
 
 
@@ -85,6 +86,76 @@ def bigram_lexicon(texts: DataFrame, text_col: str = "text", min_count: int = MI
     return j.filter(keep).select("w1", "w2", "n12", "n1", "n2")
 
 
+def compound_lexicon(texts: DataFrame, text_col: str = "text", max_words: int = MAX_WORDS, min_count: int = MIN_COUNT, pmi_ratio: int = PMI_RATIO) -> DataFrame:
+    """W2 beyond pairs: ``compound`` (its words joined by a space), ``words, n`` of two to ``max_words`` words.
+
+    Level by level: a run of k words is a candidate only if its first and its
+    last k - 1 words are compounds, and is one if it is seen ``min_count`` times
+    and ``pmi_ratio`` times as often as its first k - 1 words and its last word
+    would meet by chance (whole-number arithmetic).  The texts' tokens are written once.
+    Candidates meet the level below before they are counted, so runs
+    without compound parts are not shuffled where that level is small enough
+    for Spark to broadcast, and counts are combined in the tasks first.
+    """
+    pairs = materialize(pair_counts(texts, text_col), "pairs")
+    words = materialize(pairs.groupBy("w").agg(F.sum("n").alias("n")), "words")
+    total = words.agg(F.sum("n")).scalar()
+    dec = "decimal(38,0)"
+    last = words.select(F.col("w").alias("_w"), F.col("n").alias("_nw"))
+
+    def kept(counts: DataFrame, head: DataFrame) -> DataFrame:
+        """Of ``head, last, n``: those seen together often enough, with the head's count from ``head`` (``_h, _nh``)."""
+        j = counts.filter(F.col("n") >= min_count).join(head, F.col("head") == F.col("_h")).join(last, F.col("last") == F.col("_w"))
+        often = F.col("n").cast(dec) * total.cast(dec) >= F.lit(pmi_ratio).cast(dec) * F.col("_nh").cast(dec) * F.col("_nw").cast(dec)
+        return j.filter(often).select(F.concat_ws(" ", "head", "last").alias("compound"), "n")
+
+    level = pairs.filter(F.col("w_next").isNotNull()).select(F.col("w").alias("head"), F.col("w_next").alias("last"), "n")
+    level = materialize(kept(level, words.select(F.col("w").alias("_h"), F.col("n").alias("_nh"))), "compounds")
+    out = level.withColumn("words", F.lit(2))
+    tokens = materialize(with_pinned(texts.select(TK.tokens(text_col).alias("_t")), {"_w": _words_of(F.col("_t"))}).select("_w"), "words-of-texts")
+    for k in range(3, max_words + 1):
+        # runs of k words without punctuation: the words before the last, and those after the first
+        runs = tokens.filter(F.size("_w") >= k).select(F.expr(f"transform(sequence(1, size(_w) - {k - 1}), i -> slice(_w, i, {k}))").alias("r"))
+        runs = explode_computed(runs, F.filter("r", lambda x: ~F.exists(x, lambda w: w.isNull())), [], None, "x")
+        runs = runs.select(F.concat_ws(" ", F.slice("x", 1, k - 1)).alias("head"), F.concat_ws(" ", F.slice("x", 2, k - 1)).alias("tail"), F.get("x", F.lit(k - 1)).alias("last"))
+        below = level.select(F.col("compound").alias("_c"))
+        both = runs.join(below, F.col("head") == F.col("_c"), "left_semi").join(below, F.col("tail") == F.col("_c"), "left_semi")
+        counts = both.groupBy("head", "last").agg(F.count(F.lit(1)).alias("n"))
+        level = materialize(kept(counts, level.select(F.col("compound").alias("_h"), F.col("n").alias("_nh"))), "compounds")
+        out = out.unionByName(level.withColumn("words", F.lit(k)))
+    return out
+
+
+def longest_compounds(tokens: list[str], compounds, max_words: int = MAX_WORDS) -> list[str]:
+    """Tokens with compounds joined by ``_``: from left to right, at each place the longest one."""
+    out, at = [], 0
+    while at < len(tokens):
+        k = min(max_words, len(tokens) - at)
+        while k > 1 and " ".join(tokens[at:at + k]) not in compounds:
+            k -= 1
+        out.append("_".join(tokens[at:at + k]))
+        at += k
+    return out
+
+
+def merge_longest(texts: DataFrame, lexicon: DataFrame, key: str, text_col: str = "text", max_words: int = MAX_WORDS, max_compounds: int = MAX_PAIRS) -> DataFrame:
+    """Apply a :func:`compound_lexicon`, longest compounds first; a null text is empty.
+
+    The lexicon goes to every task, so it must not be larger than ``max_compounds``: raise
+    ``min_count`` for a larger corpus, or merge by pairs with :func:`merge_compounds`.
+    """
+    found = materialize(lexicon.select("compound").distinct(), "lexicon")
+    if found.count() > max_compounds:
+        raise ValueError(f"more than {max_compounds} compounds")
+    held = texts.sparkSession.sparkContext.broadcast(frozenset(r.compound for r in found.collect()))
+
+    @F.arrow_udf("string")
+    def merged(joined: pa.Array) -> pa.Array:
+        return pa.array([" ".join(longest_compounds(t.split(" "), held.value, max_words)) for t in joined.to_pylist()], pa.string())
+
+    return texts.select(key, merged(F.array_join(TK.tokens(text_col), " ")).alias(text_col))
+
+
 def _glued(joined: Column, hits: Column | None, lexicon=None) -> Column:
     """Tokens, joined by spaces, with the pairs of a lexicon (of all texts, or each text's ``hits``) joined by ``_``, left to right."""
 

@@ -732,6 +732,31 @@ def q_bigram_lexicon(spark, sf_dir):
     return W.bigram_lexicon(table(spark, sf_dir, "documents"))
 
 
+def _level_sql(k: int) -> str:
+    """Compounds of k words, from those of k - 1 (``c{k-1}``)."""
+    gram = " || ' ' || ".join(f"t[i + {j}]" for j in range(k))
+    words = " AND ".join(_wt(f"t[i + {j}]") for j in range(k))
+    part = lambda a, b: " || ' ' || ".join(f"t[i + {j}]" for j in range(a, b))
+    return f"""g{k} AS (SELECT {gram} AS compound, {part(0, k - 1)} AS head, {part(1, k)} AS tail, t[i + {k - 1}] AS last, count(*) AS n
+       FROM (SELECT t, unnest(range(1, len(t) - {k - 2})) AS i FROM tk) WHERE {words} GROUP BY ALL HAVING count(*) >= {W.MIN_COUNT}),
+c{k} AS (SELECT g{k}.compound, g{k}.n FROM g{k} JOIN c{k - 1} h ON g{k}.head = h.compound JOIN c{k - 1} e ON g{k}.tail = e.compound JOIN uni u ON g{k}.last = u.w, tot
+       WHERE CAST(g{k}.n AS HUGEINT) * CAST(tot.N AS HUGEINT) >= {W.PMI_RATIO} * CAST(h.n AS HUGEINT) * CAST(u.n AS HUGEINT))"""
+
+
+@register(
+    "compound_lexicon",
+    f"""WITH tk AS ({_TOKS_SQL}),
+uni AS (SELECT w, count(*) AS n FROM (SELECT unnest(t) AS w FROM tk) WHERE {_wt('w')} GROUP BY w),
+tot AS (SELECT sum(n) AS N FROM uni),
+c2 AS (SELECT w1 || ' ' || w2 AS compound, n12 AS n FROM ({SQL["bigram_lexicon"]})),
+{_level_sql(3)}, {_level_sql(4)}
+SELECT compound, 2 AS words, n FROM c2 UNION ALL SELECT compound, 3, n FROM c3 UNION ALL SELECT compound, 4, n FROM c4""",
+)
+def q_compound_lexicon(spark, sf_dir):
+    """W2 beyond pairs: compounds of up to four words, level by level."""
+    return W.compound_lexicon(table(spark, sf_dir, "documents"))
+
+
 _MERGE_SQL = f"""WITH lex AS ({SQL["bigram_lexicon"]}),
 tk AS (SELECT doc_id, {_tok_sql('text')} AS t FROM documents),
 u AS (SELECT doc_id, unnest(t) AS w, generate_subscripts(t, 1) AS i FROM tk),

@@ -47,3 +47,32 @@ def test_merge_compounds_brute_force(spark):
         assert got == {1: "a_b c_d e", 2: "a_b a_b c", 3: "x_y , a_b", 4: ""}
         got = sorted((str(r.k), r.text) for r in W.merge_compounds(more, lex, "k", max_pairs=size).collect())
         assert got == [("1", "a_b c_d e"), ("2", "a_b a_b c"), ("2", "c_d"), ("3", "x_y , a_b"), ("4", ""), ("5", ""), ("None", "b_c"), ("None", "z a_b")]
+
+
+def _brute_compounds(texts, max_words, min_count, ratio):
+    """Level by level, over lists of tokens."""
+    word = lambda w: w[0].isalnum()
+    uni = Counter(w for t in texts for w in t if word(w))
+    n, levels = sum(uni.values()), [{(w,): c for w, c in uni.items()}]
+    for k in range(2, max_words + 1):
+        grams = Counter(tuple(t[i:i + k]) for t in texts for i in range(len(t) - k + 1) if all(map(word, t[i:i + k])))
+        below = levels[-1]
+        levels.append({g: c for g, c in grams.items() if c >= min_count and g[:-1] in below and g[1:] in below and c * n >= ratio * below[g[:-1]] * uni[g[-1]]})
+    return {" ".join(g): c for level in levels[1:] for g, c in level.items()}
+
+
+def test_compounds_of_more_words(spark):
+    import random
+
+    rng = random.Random(4)
+    phrases = ["ho chi minh city", "new york", "new york city", "uy ban nhan dan", "a", "b", "c", "d , e", "chi minh"]
+    texts = [" ".join(rng.choice(phrases) for _ in range(rng.randint(0, 30))) for _ in range(60)] + ["", "one", ", ,"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(99, None)], "k long, text string")
+    for limits in ((4, 3, 2), (3, 1, 1), (2, 5, 8)):
+        got = W.compound_lexicon(df, "text", *limits).collect()
+        want = _brute_compounds([t.split() for t in texts], *limits)
+        assert {r.compound: r.n for r in got} == want and all(len(r.compound.split()) == r.words for r in got)
+    assert W.longest_compounds("x new york city ho chi minh".split(), {"new york", "new york city", "chi minh"}) == ["x", "new_york_city", "ho", "chi_minh"]
+    lex = spark.createDataFrame([("new york",), ("new york city",)], "compound string")
+    got = {r.k: r.text for r in W.merge_longest(df.filter("k > 59").unionByName(spark.createDataFrame([(100, "old new york city, new york")], df.schema)), lex, "k").collect()}
+    assert got[100] == "old new_york_city , new_york" and got[60] == "" and got[99] == ""
