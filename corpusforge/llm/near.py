@@ -324,7 +324,9 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each class, with all its columns; documents without doc_id all stay."""
-    gone = near_classes(docs, doc_id, text).filter("NOT kept").select(F.col("doc_id").alias("g1"), F.col("key").alias("g2")).distinct()
+    # written before it is made distinct: Spark can split the classes' join only where nothing relies on its partitions
+    gone = near_classes(docs, doc_id, text).filter("NOT kept").select(F.col("doc_id").alias("g1"), F.col("key").alias("g2"))
+    gone = materialize(gone, "gone").distinct()
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[doc_id].alias("id"), _key(docs[text]).alias("key"))
     rows = rows.join(gone, (F.col("id") == F.col("g1")) & (F.col("key") == F.col("g2")), "left_anti")
     # a row that repeats doc_id and text of another is a copy too; rows without doc_id are told apart by a number
