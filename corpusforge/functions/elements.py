@@ -167,13 +167,3 @@ def _sums(sizes) -> list[int]:
         total += n
         out.append(total)
     return out
-
-
-def decode_references(text) -> Column:
-    """A text with its character references decoded; null stays null."""
-
-    @F.arrow_udf("string")
-    def run(column: pa.Array) -> pa.Array:
-        return pa.array([x if x is None or "&" not in x else unescape(x) for x in column.to_pylist()], pa.string())
-
-    return run(F.col(text) if isinstance(text, str) else text)
