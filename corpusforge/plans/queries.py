@@ -21,6 +21,7 @@ from corpusforge.operators import stats as ST
 from corpusforge.operators.plan_utils import explode_computed, filter_computed, materialize
 from corpusforge.operators import html as X
 from corpusforge.operators.seen import SeenUrls, crawl_run
+from corpusforge.operators import segment as U
 from corpusforge.operators import tokens as W
 from corpusforge.plans import oracle_sql as Q
 from corpusforge.plans.corpus import build_corpus
@@ -780,6 +781,14 @@ def q_compound_merge(spark, sf_dir):
     return W.merge_compounds(d, lex, "doc_id")
 
 
+@register("segment_words")  # no SQL: tested against all segmentations of small texts
+def q_segment_words(spark, sf_dir):
+    """W1 with a unigram segmenter learnt from the same corpus, over the compounds of W2."""
+    d = table(spark, sf_dir, "documents")
+    model, _ = U.learn(d)
+    return U.segment(d, model, "doc_id")
+
+
 # ---------------------------------------------------------------------------
 # ST*: incremental jobs (file stream over the documents folder)
 # ---------------------------------------------------------------------------

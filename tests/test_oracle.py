@@ -39,7 +39,8 @@ def test_query_matches_oracle(spark, duck, name):
 def test_every_query_has_sql():
     from corpusforge.plans.queries import QUERIES
 
-    assert set(QUERIES) == set(SQL)
+    # the learnt segmenter is tested against brute force in test_segment.py
+    assert set(QUERIES) - {"segment_words"} == set(SQL)
 
 
 @needs(SF_SMALL)
