@@ -26,7 +26,7 @@ from corpusforge.operators import tokens as W
 from corpusforge.plans import oracle_sql as Q
 from corpusforge.plans.corpus import build_corpus
 from corpusforge.session import scratch_path
-from corpusforge.sources import io
+from corpusforge.sources import csv_blocks, io, raw_files
 from corpusforge.sources.io import read_table
 from corpusforge.streaming import stream as STR
 
@@ -920,6 +920,27 @@ def q_csv_sink_scan(spark, sf_dir):
     return io.read_first_existing(spark, [f"{path}-tokenised", path], schema)
 
 
+@register("csv_block_scan", _RAW_CSV_SQL)
+def q_csv_block_scan(spark, sf_dir):
+    """The same corpus read by blocks, so that every file is shared by several tasks."""
+    path = _out(spark, "s2-blocks")
+    io.write_csv(_raw_articles(spark, sf_dir), path)
+    return csv_blocks.read_csv_blocks(spark, path, "url string, source string, category string, title string, summary string, content string", block=4 << 20)
+
+
+@register("raw_files_scan", "SELECT source, 1700000000 + doc_id AS epoch, lang AS category, text AS content, doc_id % 1000 < 500 AS early FROM documents")
+def q_raw_files_scan(spark, sf_dir):
+    """S1 and K1 through the data source: a file per article, read back in two scans by time, from the files' names."""
+    path = _out(spark, "raw-files")
+    d = table(spark, sf_dir, "documents")
+    raw_files.save(d.select("source", (F.lit(1_700_000_000) + F.col("doc_id")).alias("epoch"), F.col("lang").alias("category"),
+                            F.to_json(F.struct(F.col("text").alias("content"))).alias("value")), path)
+    cut = 1_700_000_500
+    halves = raw_files.scan(spark, path, until=cut).unionByName(raw_files.scan(spark, path, since=cut))
+    return halves.select("source", "epoch", "category", F.from_json("value", "content string").content.alias("content"),
+                         ((F.col("epoch") - 1_700_000_000) % 1000 < 500).alias("early"))
+
+
 @register("links_sink_scan", f"SELECT url, source, category FROM ({_DEDUPE_SQL})")
 def q_links_sink_scan(spark, sf_dir):
     """K3: the link list as CSV."""

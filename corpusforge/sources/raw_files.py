@@ -5,8 +5,10 @@ Rows are ``file, source, epoch, category, value``: what the name says, and the
 file's content.  The name's parts are percent-encoded, so a site or category
 may hold any character, null included (an empty part; the empty text is ``%``).
 
-* Scan: filters on ``source``, ``epoch`` and ``category`` are answered from
-  the names, so files that they exclude are never opened.  A file with another name has null parts.
+* Scan: the options ``sources``, ``categories`` (JSON lists), ``since`` and ``until`` are answered from
+  the names, so files that they exclude are never opened.  A file with another name has null parts, which no
+  option takes.  They are options and not pushed filters: Spark 4.1 keeps the filters pushed to a Python
+  source in one place per load, so two filters on the same load, joined in one query, would mix.
 * Sink: every task attempt writes a folder of its own, and the commit lists
   the folders of the tasks that succeeded in one manifest.  Scans follow the manifests (and read
   files that lie in the folder itself), so what a failed or repeated task left is never read; an abort deletes it.
@@ -19,7 +21,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import quote, unquote
 
@@ -32,11 +34,6 @@ SCHEMA = "file string, source string, epoch long, category string, value string"
 NAME = re.compile(r"([^_]*)_([0-9]{1,18})_([^_]*)\.json")
 MANIFESTS = "_committed"
 FILES = 1000  # loose files in a partition of the scan
-TESTS = {
-    ds.EqualTo: lambda a, b: a == b, ds.GreaterThan: lambda a, b: a > b, ds.GreaterThanOrEqual: lambda a, b: a >= b,
-    ds.LessThan: lambda a, b: a < b, ds.LessThanOrEqual: lambda a, b: a <= b, ds.In: lambda a, b: a in b,
-    ds.StringStartsWith: lambda a, b: a.startswith(b),
-}
 
 
 def part(text: str | None) -> str:
@@ -72,23 +69,19 @@ class Files(ds.InputPartition):
 
 
 class Reader(ds.DataSourceReader):
-    def __init__(self, path: str) -> None:
-        self.path, self.filters = path, []
-
-    def pushFilters(self, filters: list[ds.Filter]) -> Iterable[ds.Filter]:
-        for f in filters:
-            column = f.attribute[0] if getattr(f, "attribute", None) else None
-            if column in ("source", "epoch", "category") and (type(f) in TESTS or isinstance(f, ds.IsNotNull)):
-                self.filters.append(f)
-            else:
-                yield f
+    def __init__(self, options: dict) -> None:
+        self.path = options["path"]
+        self.among = {k: set(json.loads(options[name])) for k, name in (("source", "sources"), ("category", "categories")) if name in options}
+        self.since, self.until = (int(options[k]) if k in options else None for k in ("since", "until"))
 
     def wanted(self, named: dict) -> bool:
-        for f in self.filters:
-            v = named[f.attribute[0]]
-            if v is None or not (isinstance(f, ds.IsNotNull) or TESTS[type(f)](v, f.value)):
-                return False
-        return True
+        """Whether a file may be read; ``since`` is included, ``until`` is not."""
+        if any(named[k] is None or named[k] not in held for k, held in self.among.items()):
+            return False
+        if self.since is None and self.until is None:
+            return True
+        at = named["epoch"]
+        return at is not None and (self.since is None or at >= self.since) and (self.until is None or at < self.until)
 
     def partitions(self) -> list[Files]:
         fs, root = _open(self.path)
@@ -162,25 +155,23 @@ class RawFiles(ds.DataSource):
         return SCHEMA
 
     def reader(self, schema) -> Reader:
-        return Reader(self.options["path"])
+        return Reader(dict(self.options))
 
     def writer(self, schema, overwrite: bool) -> Writer:
         return Writer(self.options["path"], overwrite)
 
 
-def register(spark: SparkSession) -> None:
+def scan(spark: SparkSession, path: str, sources: list[str] | None = None, categories: list[str] | None = None,
+         since: int | None = None, until: int | None = None) -> DataFrame:
+    """``file, source, epoch, category, value`` of the raw files, of these sites and categories, ``since <= epoch < until``."""
     spark.dataSource.register(RawFiles)
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-
-
-def scan(spark: SparkSession, path: str) -> DataFrame:
-    """``file, source, epoch, category, value`` of every raw file; filter on the name's parts before anything else."""
-    register(spark)
-    return spark.read.format("raw_files").load(path)
+    wanted = {"sources": None if sources is None else json.dumps(sources), "categories": None if categories is None else json.dumps(categories),
+              "since": since, "until": until}
+    return spark.read.format("raw_files").options(**{k: v for k, v in wanted.items() if v is not None}).load(path)
 
 
 def save(rows: DataFrame, path: str, mode: str = "append") -> None:
     """K1: ``source, epoch, category, value`` as one file per row; rows of one name get numbers, a null or negative epoch a name without parts."""
-    register(rows.sparkSession)
+    rows.sparkSession.dataSource.register(RawFiles)
     rows.selectExpr("cast(source AS string) AS source", "cast(epoch AS long) AS epoch", "cast(category AS string) AS category",
                     "cast(value AS string) AS value").write.format("raw_files").mode(mode).save(path)
