@@ -34,7 +34,7 @@ RARE = 0  # the piece of all words that are too rare to have their own
 RUN = -1  # stands for a piece in the row of a round's log-likelihood
 ROUNDS = 4
 SMOOTH = 1e-3  # added to every expected count, so that no word becomes impossible
-MAX_PIECES = 200_000  # pieces that are sent to every task, at most
+MAX_PIECES = 500_000  # pieces that are sent to every task, at most (about 60 MB)
 GAP = "\n"  # between runs; no token holds white space
 
 _LATTICE = "run long, n long, len int, slots array<int>, pieces array<int>"
@@ -74,8 +74,38 @@ def piece_counts(runs: DataFrame, compounds: DataFrame, min_count: int = W.MIN_C
     return materialize(rare.unionByName(numbered), "numbered")
 
 
-def lattices(runs: DataFrame, pieces: DataFrame, max_words: int = W.MAX_WORDS) -> DataFrame:
-    """``run, n, len, slots, pieces``: which pieces lie where; the piece of k words at word i (from 0) has slot ``i * max_words + k - 1``."""
+def _edges(words: list[str], numbers: dict[str, int], max_words: int) -> list[pa.Array]:
+    """The ``len, slots, pieces`` of runs, looked up in a table of pieces."""
+    lengths, slots, ids = [], [], []
+    for run in words:
+        w = run.split(" ")
+        found = [(i * max_words + k - 1, numbers.get(" ".join(w[i:i + k]))) for i in range(len(w)) for k in range(1, min(max_words, len(w) - i) + 1)]
+        lengths.append(len(w))
+        slots.append([at for at, p in found if p is not None])
+        ids.append([p for _, p in found if p is not None])
+    lists = pa.list_(pa.int32())
+    return [pa.array(lengths, pa.int32()), pa.array(slots, lists), pa.array(ids, lists)]
+
+
+def _numbers(pieces: DataFrame) -> dict[str, int]:
+    """Piece numbers by text, on the driver: for at most ``max_pieces`` pieces, as the callers check."""
+    return {r.text: r.piece for r in pieces.filter("text IS NOT NULL").select("text", "piece").toLocalIterator()}
+
+
+def lattices(runs: DataFrame, pieces: DataFrame, max_words: int = W.MAX_WORDS, max_pieces: int = MAX_PIECES) -> DataFrame:
+    """``run, n, len, slots, pieces``: which pieces lie where; the piece of k words at word i (from 0) has slot ``i * max_words + k - 1``.
+
+    Up to ``max_pieces`` pieces go to every task and runs stay where they are; more stay a table that all words and word groups meet.
+    """
+    if pieces.count() <= max_pieces:
+        held = runs.sparkSession.sparkContext.broadcast(_numbers(pieces))
+
+        def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([batch["run"], batch["n"], *_edges(batch["words"].to_pylist(), held.value, max_words)],
+                                                 ["run", "n", "len", "slots", "pieces"])
+
+        return materialize(runs.select("run", "n", "words").mapInArrow(look_up, _LATTICE), "lattices")
     grams = F.expr(f"""flatten(transform(sequence(0, size(w) - 1), i -> transform(sequence(1, least({max_words}, size(w) - i)),
         k -> struct(i * {max_words} + k - 1 AS slot, array_join(slice(w, i + 1, k), ' ') AS text))))""")
     at = explode_computed(runs.select("run", F.split("words", " ").alias("w")), grams, ["run"], None, "g")
@@ -117,6 +147,14 @@ def _stacked(batch: pa.RecordBatch, max_words: int) -> Iterator[tuple]:
         yield rows, n, piece, lp
 
 
+def _by_piece(model: DataFrame) -> np.ndarray:
+    """Log-probabilities by piece number, on the driver: for at most ``max_pieces`` pieces, as the callers check."""
+    rows = model.select("piece", "lp").toArrow()
+    lp = np.full(rows.num_rows, -np.inf)
+    lp[rows["piece"].to_numpy()] = rows["lp"].to_numpy()
+    return lp
+
+
 def _with_probabilities(lat: DataFrame, model: DataFrame, max_pieces: int) -> DataFrame:
     """``lat`` with the log-probabilities ``lps`` of its ``pieces``, and that of the rare piece.
 
@@ -125,10 +163,7 @@ def _with_probabilities(lat: DataFrame, model: DataFrame, max_pieces: int) -> Da
     rare = model.filter(F.col("piece") == RARE).select("lp").scalar()
     lat = lat.withColumn("rare", rare)
     if model.count() <= max_pieces:
-        rows = model.toArrow()
-        lp = np.full(rows.num_rows, -np.inf)
-        lp[rows["piece"].to_numpy()] = rows["lp"].to_numpy()
-        held = lat.sparkSession.sparkContext.broadcast(lp)
+        held = lat.sparkSession.sparkContext.broadcast(_by_piece(model))
 
         @F.arrow_udf("array<double>")
         def looked_up(ids: pa.Array) -> pa.Array:
@@ -169,7 +204,7 @@ def learn(texts: DataFrame, text_col: str = "text", compounds: DataFrame | None
         compounds = W.compound_lexicon(texts, text_col, max_words, min_count)
     runs = word_runs(texts, text_col)
     pieces = piece_counts(runs, compounds, min_count)
-    lat, model, fits = lattices(runs, pieces, max_words), _probabilities(pieces), []
+    lat, model, fits = lattices(runs, pieces, max_words, max_pieces), _probabilities(pieces), []
     for _ in range(rounds):
         counts = materialize(expected_counts(lat, model, max_words, max_pieces), "expected")
         fits += [r.n for r in counts.filter(F.col("piece") == RUN).collect()] or [0.0]
@@ -180,36 +215,60 @@ def learn(texts: DataFrame, text_col: str = "text", compounds: DataFrame | None
 
 def log_likelihood(texts: DataFrame, model: DataFrame, text_col: str = "text", max_words: int = W.MAX_WORDS, max_pieces: int = MAX_PIECES) -> float:
     """The log-probability of texts that the model need not have seen, over all their segmentations."""
-    lat = lattices(word_runs(texts, text_col), model, max_words)
+    lat = lattices(word_runs(texts, text_col), model, max_words, max_pieces)
     found = expected_counts(lat, model.select("piece", "lp"), max_words, max_pieces).filter(F.col("piece") == RUN).collect()
     return found[0].n if found else 0.0
 
 
+def _glued_runs(batch: pa.RecordBatch, max_words: int) -> dict[str, str]:
+    """A batch's runs whose most probable segmentation holds a compound, with the words of each joined by ``_``."""
+    words, out = batch["words"].to_pylist(), {}
+    for rows, n, _, lp in _stacked(batch, max_words):
+        for row, cut in zip(rows, lattice.best(lp, n), strict=True):
+            if max(cut) > 1:
+                w, ends = words[row].split(" "), np.cumsum(cut)
+                out[words[row]] = " ".join("_".join(w[e - c:e]) for c, e in zip(cut, ends))
+    return out
+
+
 def segment(texts: DataFrame, model: DataFrame, key: str, text_col: str = "text", max_words: int = W.MAX_WORDS, max_pieces: int = MAX_PIECES) -> DataFrame:
     """``key`` and each text as its tokens joined by spaces, the words of a piece by ``_``: its most probable segmentation.
 
-    Every distinct run is segmented once.  Only runs that hold a compound go back to
-    the texts, by row number: a text's other parts stay where they are.
+    Up to ``max_pieces`` pieces go to every task, and texts are segmented where they lie.  With more, every distinct
+    run is segmented once, and runs that hold a compound go back to the texts, by row number.
     """
-    rows = materialize(texts.select(key, F.monotonically_increasing_id().alias("_row"), F.array_join(TK.tokens(text_col), " ").alias("_t")), "tokens")
+    # a text as its runs and, between them, its other tokens, in order
+    mark = F.transform(TK.tokens(text_col), lambda x: F.when(F.substring(x, 1, 1).rlike(TK.W), x).otherwise(F.concat(F.lit(GAP), x, F.lit(GAP))))
+    if model.count() <= max_pieces:
+        lp = _by_piece(model)
+        held = texts.sparkSession.sparkContext.broadcast((_numbers(model), lp))
+
+        @F.arrow_udf("string")
+        def segmented(marked: pa.Array) -> pa.Array:
+            numbers, lp = held.value
+            parts = [[p for p in map(str.strip, t.split(GAP)) if p] for t in marked.to_pylist()]
+            runs = list(dict.fromkeys(p for t in parts for p in t))
+            length, slots, ids = _edges(runs, numbers, max_words)
+            values, bounds = _lists(ids)
+            lps = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(lp[values.astype(np.int64)]))
+            rare = pa.array(np.full(len(runs), lp[RARE]))
+            batch = pa.RecordBatch.from_arrays([pa.array(runs, pa.string()), length, slots, ids, lps, rare], ["words", "len", "slots", "pieces", "lps", "rare"])
+            glued = _glued_runs(batch, max_words)
+            return pa.array([" ".join(glued.get(p, p) for p in t) for t in parts], pa.string())
+
+        return texts.select(key, segmented(F.array_join(mark, " ")).alias(text_col))
+    rows = materialize(texts.select(key, F.monotonically_increasing_id().alias("_row"), F.array_join(TK.tokens(text_col), " ").alias("_t"), F.array_join(mark, " ").alias("_m")), "tokens")
     runs = word_runs(rows, "_t")
-    lat = _with_probabilities(lattices(runs, model, max_words), model.select("piece", "lp"), max_pieces)
+    lat = _with_probabilities(lattices(runs, model, max_words, max_pieces), model.select("piece", "lp"), max_pieces)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words, out = batch["words"].to_pylist(), {}
-            for rows, n, _, lp in _stacked(batch, max_words):
-                for row, cut in zip(rows, lattice.best(lp, n), strict=True):
-                    if max(cut) > 1:
-                        w, ends = words[row].split(" "), np.cumsum(cut)
-                        out[words[row]] = " ".join("_".join(w[e - c:e]) for c, e in zip(cut, ends))
+            out = _glued_runs(batch, max_words)
             yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.string()), pa.array(list(out.values()), pa.string())], ["words", "glued"])
 
     lat = lat.join(runs.select("run", "words"), "run").select("words", "len", "slots", "pieces", "rare", "lps")
     merged = materialize(lat.mapInArrow(decode, "words string, glued string"), "glued")  # runs without a compound stay as they are
-    # a text as its runs and, between them, its other tokens, in order
-    marked = F.transform(F.split("_t", " "), lambda x: F.when(F.substring(x, 1, 1).rlike(TK.W), x).otherwise(F.concat(F.lit(GAP), x, F.lit(GAP))))
-    parts = F.filter(F.transform(F.split(F.array_join(marked, " "), GAP), lambda r: F.trim(r)), lambda r: r != "")
+    parts = F.filter(F.transform(F.split("_m", GAP), lambda r: F.trim(r)), lambda r: r != "")
     at = explode_computed(rows.filter("_t <> ''"), parts, ["_row"], "at", "words")
     hits = at.join(merged, "words").groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct(F.col("at").cast("int"), "glued"))).alias("hits"))
     back = rows.join(hits, "_row", "left").withColumn("parts", parts)
