@@ -871,6 +871,11 @@ def _raw_articles(spark, sf_dir) -> DataFrame:
     return a.select("url", "source", "category", "title", "summary", "content")
 
 
+def _save_files(rows: DataFrame, path: str) -> None:
+    """``source, category, value`` as one raw file each; a writer's rows have one epoch each, so their names differ."""
+    raw_files.save(rows.withColumn("epoch", F.monotonically_increasing_id()), path)
+
+
 _RAW_SQL = f"SELECT url, source, category, title, summary, content FROM ({Q.articles_view('first_line')})"
 # an empty CSV field reads back as null
 _RAW_CSV_SQL = "SELECT url, source, category, nullif(title, '') AS title, nullif(summary, '') AS summary, nullif(content, '') AS content FROM (" + _RAW_SQL + ")"
@@ -903,10 +908,11 @@ SELECT coalesce(reason, 'kept') AS reason, count(*) AS n FROM d GROUP BY 1 UNION
 def q_dead_letters(spark, sf_dir):
     """Raw files, some of them unreadable, sorted into articles and refused records in one pass; kept + refused = read."""
     path, sorted_path = _out(spark, "p3"), _out(spark, "p3-sorted")
-    d = table(spark, sf_dir, "documents").select("doc_id", F.to_json(F.struct(F.col("text").alias("content"), "source"), {"ignoreNullFields": "false"}).alias("j"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "source", F.col("lang").alias("category"),
+                                                 F.to_json(F.struct(F.col("text").alias("content"), "source"), {"ignoreNullFields": "false"}).alias("j"))
     bad = F.when(F.col("doc_id") % 7 == 0, F.expr("left(j, length(j) - 1)")).when(F.col("doc_id") % 11 == 0, '{"content": ["a list"]}').when(F.col("doc_id") % 13 == 0, F.concat(F.lit("["), F.col("j"), F.lit("]")))
-    d.select(F.coalesce(bad, F.col("j")).alias("value")).write.option("maxRecordsPerFile", 1).text(path, lineSep="\n")
-    kept, refused = io.sort_raw_json(spark, path, sorted_path, pattern="*.txt")
+    _save_files(d.select("source", "category", F.coalesce(bad, F.col("j")).alias("value")), path)
+    kept, refused = io.sort_raw_json(spark, path, sorted_path)
     both = kept.select(F.lit("kept").alias("reason")).unionByName(refused.select("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
     return both.unionByName(spark.read.schema("refused boolean").parquet(sorted_path).agg(F.count(F.lit(1)).alias("n")).select(F.lit("read").alias("reason"), "n"))
 

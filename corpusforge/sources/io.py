@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusforge.sources import schemas
+from corpusforge.sources import raw_files, schemas
+
+SCAN_TASKS = 200  # tasks of a scan of small files, at most, or eight for each core
 
 
 # ---------------------------------------------------------------------------
@@ -33,6 +35,9 @@ def scan_raw_json(spark: SparkSession, path: str, exact_keys: bool = True, patte
     stay distinguishable, plus ``_file``.  Unparseable files are dropped (P3).
     ``exact_keys=False`` uses the multi-line JSON reader with
     ``_corrupt_record`` (same rows; no key list).
+
+    A folder that :func:`raw_files.save` wrote is read by its manifests: each
+    task lists and reads the folder of one writer, the driver lists no file.
     """
     if not exact_keys:
         df = (
@@ -48,13 +53,20 @@ def scan_raw_json(spark: SparkSession, path: str, exact_keys: bool = True, patte
     return _parsed_files(spark, path, pattern).filter("reason IS NULL").drop("reason", "value")
 
 
+def _whole_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    """``value, _file``: the content of every file.
+
+    Spark counts 4 MB for opening a file, so a task would read some 30 small ones; they are put together.
+    """
+    if path_exists(spark, f"{path.rstrip('/')}/{raw_files.MANIFESTS}"):
+        return raw_files.scan(spark, path, pattern=pattern).select("value", F.col("file").alias("_file"))
+    text = spark.read.option("pathGlobFilter", pattern).text(path, wholetext=True).withColumn("_file", F.input_file_name())
+    return text.coalesce(max(SCAN_TASKS, 8 * spark.sparkContext.defaultParallelism))
+
+
 def _parsed_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     """Every file as a raw article with ``_keys, _file``, its content ``value``, and the ``reason`` why it is none (null if it is one)."""
-    text = (
-        spark.read.option("pathGlobFilter", pattern)
-        .text(path, wholetext=True)
-        .withColumn("_file", F.input_file_name())
-    )
+    text = _whole_files(spark, path, pattern)
     v = F.try_parse_json("value")
     kinds = [F.schema_of_variant(F.try_variant_get(v, f"$.{f}", "variant")) for f in schemas.TEXT_FIELDS]
     parsed = text.select(

@@ -5,7 +5,7 @@ Rows are ``file, source, epoch, category, value``: what the name says, and the
 file's content.  The name's parts are percent-encoded, so a site or category
 may hold any character, null included (an empty part; the empty text is ``%``).
 
-* Scan: the options ``sources``, ``categories`` (JSON lists), ``since`` and ``until`` are answered from
+* Scan: the options ``sources``, ``categories`` (JSON lists), ``since``, ``until`` and ``pattern`` are answered from
   the names, so files that they exclude are never opened.  A file with another name has null parts, which no
   option takes.  They are options and not pushed filters: Spark 4.1 keeps the filters pushed to a Python
   source in one place per load, so two filters on the same load, joined in one query, would mix.
@@ -21,6 +21,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from fnmatch import fnmatchcase
 from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import quote, unquote
@@ -70,7 +71,7 @@ class Files(ds.InputPartition):
 
 class Reader(ds.DataSourceReader):
     def __init__(self, options: dict) -> None:
-        self.path = options["path"]
+        self.path, self.pattern = options["path"], options.get("pattern", "*")
         self.among = {k: set(json.loads(options[name])) for k, name in (("source", "sources"), ("category", "categories")) if name in options}
         self.since, self.until = (int(options[k]) if k in options else None for k in ("since", "until"))
 
@@ -102,7 +103,7 @@ class Reader(ds.DataSourceReader):
         folder = f"{root}/{partition.folder}".rstrip("/")
         for name in _files(fs, folder) if partition.names is None else partition.names:
             named = parts(name)
-            if self.wanted(named):
+            if fnmatchcase(name, self.pattern) and self.wanted(named):
                 yield (f"{folder}/{name}", named["source"], named["epoch"], named["category"], self.content(fs, f"{folder}/{name}"))
 
 
@@ -162,11 +163,11 @@ class RawFiles(ds.DataSource):
 
 
 def scan(spark: SparkSession, path: str, sources: list[str] | None = None, categories: list[str] | None = None,
-         since: int | None = None, until: int | None = None) -> DataFrame:
-    """``file, source, epoch, category, value`` of the raw files, of these sites and categories, ``since <= epoch < until``."""
+         since: int | None = None, until: int | None = None, pattern: str | None = None) -> DataFrame:
+    """``file, source, epoch, category, value`` of the raw files, of these sites and categories, ``since <= epoch < until``, named like ``pattern``."""
     spark.dataSource.register(RawFiles)
     wanted = {"sources": None if sources is None else json.dumps(sources), "categories": None if categories is None else json.dumps(categories),
-              "since": since, "until": until}
+              "since": since, "until": until, "pattern": pattern}
     return spark.read.format("raw_files").options(**{k: v for k, v in wanted.items() if v is not None}).load(path)
 
 

@@ -85,3 +85,37 @@ def test_failed_tasks_leave_nothing(spark, tmp_path):
     with open(f"{path}/{job}/task-0-99/s_1_c.json", "w") as f:
         f.write("again")
     assert len(_read(R.scan(spark, path))) == 2
+
+
+def test_json_scan_reads_a_committed_folder(spark, tmp_path):
+    """S1 and P3 follow the manifests, so what a lost task left is not read, and apply their pattern."""
+    from corpusforge.sources import io
+
+    path = str(tmp_path / "raw")
+    rows = [("s", 1, "c", '{"content": "one"}'), ("s", 2, "c", '{"content": null}'), ("s", 3, "c", "[1]"), (None, None, None, '{"title": 5}'), ("s", 4, "d", "")]
+    R.save(_rows(spark, rows).repartition(3), path)
+    job = next(d for d in os.listdir(path) if d.startswith("job-"))
+    os.makedirs(f"{path}/{job}/task-0-99")
+    with open(f"{path}/{job}/task-0-99/s_1_c.json", "w") as f:
+        f.write('{"content": "again"}')
+    assert sorted((str(r.content), r._keys) for r in io.scan_raw_json(spark, path).collect()) == [("None", ["content"]), ("one", ["content"])]
+    assert [r.content for r in io.scan_raw_json(spark, path, pattern="s_1_*").collect()] == ["one"]
+    kept, refused = io.sort_raw_json(spark, path, str(tmp_path / "out"))
+    assert kept.count() == 2
+    assert sorted((r.reason, r.value) for r in refused.collect()) == [("not JSON", ""), ("not an object", "[1]"), ("title is no text", '{"title": 5}')]
+
+
+def test_small_files_share_tasks(spark, tmp_path):
+    """A folder from elsewhere: files that Spark deals out nearly one by one are put together, none is lost."""
+    from corpusforge.sources import io
+
+    n = max(io.SCAN_TASKS, 8 * spark.sparkContext.defaultParallelism)
+    for i in range(n + 100):
+        (tmp_path / f"{i}.json").write_text(f'{{"content": "{i}"}}')
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")
+    try:
+        raw = io.scan_raw_json(spark, str(tmp_path))
+        assert raw.rdd.getNumPartitions() <= n and {r.content for r in raw.collect()} == {str(i) for i in range(n + 100)}
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
