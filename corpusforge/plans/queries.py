@@ -892,11 +892,11 @@ def q_raw_sink_scan(spark, sf_dir):
 
 @register("json_dir_scan", f"SELECT url, source, summary, content, content IS NOT NULL AS has_content FROM ({Q.articles_view('first_line')})")
 def q_json_dir_scan(spark, sf_dir):
-    """A folder of JSON objects, each file parsed whole with its keys (one file per source here, of one article each per partition)."""
+    """A folder of JSON objects, one article per file, each file parsed whole with its keys."""
     path = _out(spark, "s1")
     a = _raw_articles(spark, sf_dir)
-    a.select(F.to_json(F.struct(*a.columns)).alias("value")).write.option("maxRecordsPerFile", 1).text(path, lineSep="\n")
-    back = io.scan_raw_json(spark, path, pattern="*.txt")
+    _save_files(a.select("source", "category", F.to_json(F.struct(*a.columns)).alias("value")), path)
+    back = io.scan_raw_json(spark, path)
     return back.select("url", "source", "summary", "content", F.array_contains("_keys", "content").alias("has_content"))
 
 
