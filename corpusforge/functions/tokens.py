@@ -22,8 +22,13 @@ from pyspark.sql import types as TY
 from corpusforge.functions import text as T
 
 W = "[" + T.WORD_BODY + "]"
+WS = "[" + T.WS_BODY + "]"
 TOKEN = W + "+(?:[.,\\-/]" + W + "+)*|[^" + T.WORD_BODY + T.WS_BODY + "]"
 
+# Word tokens with only white space between them; possessive, so that Java matches a run of any length without recursion.
+_WORD = W + "++(?:[.,\\-/]" + W + "++)*+"
+RUN = _WORD + "(?:" + WS + "++" + _WORD + ")*+"
+
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -34,6 +39,16 @@ def tokens(col) -> Column:
     return F.regexp_extract_all(T.null_to_empty(col), F.lit("(" + TOKEN + ")"), 1)
 
 
+def runs(col) -> Column:
+    """array<string>: the runs of word tokens between others, as they stand in the text (see :func:`spaced`)."""
+    return F.regexp_extract_all(T.null_to_empty(col), F.lit("(" + RUN + ")"), 1)
+
+
+def spaced(run) -> Column:
+    """A run with one space between its words, at which Java splits without a regex."""
+    return F.regexp_replace(run, F.lit(WS + "+"), F.lit(" "))
+
+
 def tokenize(col, tokenizer: Callable[[str], list[str]] | None = None) -> Column:
     """Tokens joined by one space; null/non-string -> ''."""
     if tokenizer is None:

@@ -51,13 +51,14 @@ def pair_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
 
     ``w_next`` is null at the end of a text or when the neighbour is not a
     word token, so every word token is counted exactly once: unigram counts
-    are sums over this table (no second pass over the tokens).  One
-    tokenisation, one explode, one partial aggregate; each token is tested
-    once, in the array, before the pairs are made.
+    are sums over this table (no second pass over the tokens).  Runs of words
+    are matched whole, so no token is tested by itself; one explode, one
+    partial aggregate.
     """
-    w = with_pinned(texts.select(TK.tokens(text_col).alias("_t")), {"_w": _words_of(F.col("_t"))})
+    r = explode_computed(texts, TK.runs(text_col), [], None, "_r")
+    w = with_pinned(r, {"_w": F.split(TK.spaced("_r"), " ")})
     p = explode_computed(w, _with_next(pinned(F.col("_w"))), [], "i", "p")
-    p = p.select(F.col("p.w").alias("w"), F.col("p.w_next").alias("w_next")).filter(F.col("w").isNotNull())
+    p = p.select(F.col("p.w").alias("w"), F.col("p.w_next").alias("w_next"))
     return p.groupBy("w", "w_next").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -76,3 +76,12 @@ def test_compounds_of_more_words(spark):
     lex = spark.createDataFrame([("new york",), ("new york city",)], "compound string")
     got = {r.k: r.text for r in W.merge_longest(df.filter("k > 59").unionByName(spark.createDataFrame([(100, "old new york city, new york")], df.schema)), lex, "k").collect()}
     assert got[100] == "old new_york_city , new_york" and got[60] == "" and got[99] == ""
+
+
+def test_pairs_match_whole_runs(spark):
+    """Pairs of words beside any white space, none across punctuation; no token is tested by itself."""
+    rows = [("a\u3000b\x1cc  d",), ("1.000 a-b, a-b- x",), ("",), (None,), (", .",), ("a b a b",)]
+    counts = W.pair_counts(spark.createDataFrame(rows, "text string"))
+    want = {("a", "b"): 3, ("b", "c"): 1, ("c", "d"): 1, ("d", None): 1, ("1.000", "a-b"): 1, ("a-b", None): 2, ("x", None): 1, ("b", "a"): 1, ("b", None): 1}
+    assert {(r.w, r.w_next): r.n for r in counts.collect()} == want
+    assert "rlike" not in counts._jdf.queryExecution().optimizedPlan().toString().lower()
