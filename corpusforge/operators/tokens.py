@@ -10,6 +10,8 @@ floating-point rounding decides membership.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,16 +89,38 @@ def bigram_lexicon(texts: DataFrame, text_col: str = "text", min_count: int = MI
     return j.filter(keep).select("w1", "w2", "n12", "n1", "n2")
 
 
-def compound_lexicon(texts: DataFrame, text_col: str = "text", max_words: int = MAX_WORDS, min_count: int = MIN_COUNT, pmi_ratio: int = PMI_RATIO) -> DataFrame:
+def _chains(runs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``words``: the longest stretches of at least three words in runs (``words``) in which every two neighbours are one of ``pairs`` (``compound``)."""
+    held = runs.sparkSession.sparkContext.broadcast(frozenset(r.compound for r in pairs.select("compound").toLocalIterator()))
+
+    def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for run in batch["words"].to_pylist():
+                w, first = run.split(" "), 0
+                for i, pair in enumerate(zip(w, w[1:]), 1):
+                    if " ".join(pair) not in held.value:
+                        if i - first > 2:
+                            found.append(" ".join(w[first:i]))
+                        first = i
+                if len(w) - first > 2:
+                    found.append(" ".join(w[first:]))
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["words"])
+
+    return runs.mapInArrow(stretches, "words string")
+
+
+def compound_lexicon(texts: DataFrame, text_col: str = "text", max_words: int = MAX_WORDS, min_count: int = MIN_COUNT, pmi_ratio: int = PMI_RATIO,
+                     max_pairs: int = MAX_PAIRS) -> DataFrame:
     """W2 beyond pairs: ``compound`` (its words joined by a space), ``words, n`` of two to ``max_words`` words.
 
     Level by level: a run of k words is a candidate only if its first and its
     last k - 1 words are compounds, and is one if it is seen ``min_count`` times
     and ``pmi_ratio`` times as often as its first k - 1 words and its last word
-    would meet by chance (whole-number arithmetic).  The texts' tokens are written once.
-    Candidates meet the level below before they are counted, so runs
-    without compound parts are not shuffled where that level is small enough
-    for Spark to broadcast, and counts are combined in the tasks first.
+    would meet by chance (whole-number arithmetic).  All words of a longer
+    compound lie in a stretch whose neighbours are compounds: up to ``max_pairs``
+    pairs go to every task, and only such stretches are written and counted.  With
+    more, all runs are written; they meet the level below before they are counted.
     """
     pairs = materialize(pair_counts(texts, text_col), "pairs")
     words = materialize(pairs.groupBy("w").agg(F.sum("n").alias("n")), "words")
@@ -113,11 +137,14 @@ def compound_lexicon(texts: DataFrame, text_col: str = "text", max_words: int =
     level = pairs.filter(F.col("w_next").isNotNull()).select(F.col("w").alias("head"), F.col("w_next").alias("last"), "n")
     level = materialize(kept(level, words.select(F.col("w").alias("_h"), F.col("n").alias("_nh"))), "compounds")
     out = level.withColumn("words", F.lit(2))
-    tokens = materialize(with_pinned(texts.select(TK.tokens(text_col).alias("_t")), {"_w": _words_of(F.col("_t"))}).select("_w"), "words-of-texts")
+    if max_words < 3:
+        return out
+    whole = explode_computed(texts, TK.runs(text_col), [], None, "_r").select(TK.spaced("_r").alias("words"))
+    stretches = materialize(_chains(whole, level) if level.count() <= max_pairs else whole, "words-of-texts").select(F.split("words", " ").alias("_w"))
     for k in range(3, max_words + 1):
         # runs of k words without punctuation: the words before the last, and those after the first
-        runs = tokens.filter(F.size("_w") >= k).select(F.expr(f"transform(sequence(1, size(_w) - {k - 1}), i -> slice(_w, i, {k}))").alias("r"))
-        runs = explode_computed(runs, F.filter("r", lambda x: ~F.exists(x, lambda w: w.isNull())), [], None, "x")
+        runs = stretches.filter(F.size("_w") >= k)
+        runs = explode_computed(runs, F.expr(f"transform(sequence(1, size(_w) - {k - 1}), i -> slice(_w, i, {k}))"), [], None, "x")
         runs = runs.select(F.concat_ws(" ", F.slice("x", 1, k - 1)).alias("head"), F.concat_ws(" ", F.slice("x", 2, k - 1)).alias("tail"), F.get("x", F.lit(k - 1)).alias("last"))
         below = level.select(F.col("compound").alias("_c"))
         both = runs.join(below, F.col("head") == F.col("_c"), "left_semi").join(below, F.col("tail") == F.col("_c"), "left_semi")

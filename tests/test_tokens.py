@@ -78,6 +78,22 @@ def test_compounds_of_more_words(spark):
     assert got[100] == "old new_york_city , new_york" and got[60] == "" and got[99] == ""
 
 
+def test_compounds_with_every_task_and_as_a_table(spark):
+    """Only stretches of compounds are counted for longer ones; punctuation, joined words, any white space and long runs keep their counts."""
+    words = ["ho", "chi", "minh", "city", "1.000", "a-b", "x", "y"]
+    texts = [" ".join(words[(i + j * (1 + i % 3)) % 8] for j in range(i % 13)) for i in range(200)]
+    texts += ["ho　chi\t \nminh city, x", "ho chi. minh city", "(ho chi minh) city", "a-b- 1.000 x", "", ", ,", " ".join(["ho", "chi", "minh"] * 2_000)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(-1, None)], "k long, text string")
+    toks = [r.t for r in df.select(TK.tokens("text").alias("t")).collect()]
+    for limits in ((4, 3, 1), (3, 2, 2)):
+        want = _brute_compounds(toks, *limits)
+        assert any(c.count(" ") == limits[0] - 1 for c in want)
+        for size in (W.MAX_PAIRS, 0):
+            assert {r.compound: r.n for r in W.compound_lexicon(df, "text", *limits, max_pairs=size).collect()} == want
+    runs = df.select(F.explode(F.transform(TK.runs("text"), TK.spaced)).alias("r")).groupBy("r").count().collect()
+    assert sum(len(r.r.split(" ")) * r["count"] for r in runs) == sum(w[0].isalnum() for t in toks for w in t)
+
+
 def test_pairs_match_whole_runs(spark):
     """Pairs of words beside any white space, none across punctuation; no token is tested by itself."""
     rows = [("a\u3000b\x1cc  d",), ("1.000 a-b, a-b- x",), ("",), (None,), (", .",), ("a b a b",)]
