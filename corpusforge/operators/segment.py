@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusforge.functions import lattice
@@ -40,15 +40,9 @@ GAP = "\n"  # between runs; no token holds white space
 _LATTICE = "run long, n long, len int, slots array<int>, pieces array<int>"
 
 
-def _runs_of(text_col: str) -> Column:
-    """A text's runs of word tokens, each joined by spaces."""
-    marked = F.transform(W._words_of(TK.tokens(text_col)), lambda w: F.coalesce(w, F.lit(GAP)))
-    return F.filter(F.transform(F.split(F.array_join(marked, " "), GAP), lambda r: F.trim(r)), lambda r: r != "")
-
-
 def word_runs(texts: DataFrame, text_col: str = "text") -> DataFrame:
     """``run, words, n, len``: the distinct runs of words between punctuation, how often each is seen, its words."""
-    runs = explode_computed(texts, _runs_of(text_col), [], None, "words")
+    runs = explode_computed(texts, TK.runs(text_col), [], None, "_r").select(TK.spaced("_r").alias("words"))
     runs = runs.groupBy("words").agg(F.count(F.lit(1)).alias("n"))
     return materialize(runs.select(F.monotonically_increasing_id().alias("run"), "words", "n", F.size(F.split("words", " ")).alias("len")), "runs")
 

@@ -144,3 +144,12 @@ def _pair_model(texts, pairs):
     counts[None] = sum(c for c in n.values() if c < W.MIN_COUNT)
     total = sum(c + U.SMOOTH for c in counts.values())
     return {p: math.log((c + U.SMOOTH) / total) for p, c in counts.items()}
+
+
+def test_runs_test_no_token_by_itself(spark, monkeypatch):
+    """Runs are the words between punctuation, whatever white space is between them."""
+    plans = []
+    monkeypatch.setattr(U, "materialize", lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString().lower()) or df)
+    df = spark.createDataFrame([("a　b\x1cc  d, a b",), ("(a b) 1.000",), (None,), (", .",)], "text string")
+    assert sorted((r.words, r.n, r.len) for r in U.word_runs(df).collect()) == [("1.000", 1, 1), ("a b", 2, 2), ("a b c d", 1, 4)]
+    assert "rlike" not in plans[0]
