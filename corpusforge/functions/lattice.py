@@ -59,8 +59,8 @@ def posterior(lp: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return out, whole
 
 
-def best(lp: np.ndarray, lengths: np.ndarray) -> list[list[int]]:
-    """The piece lengths, in words, of every run's most probable segmentation; of equal ones, the longer last piece."""
+def best(lp: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """``[r, i]``: whether word i of run r goes on with the piece of the word before it in the run's most probable segmentation; of equal ones, the longer last piece."""
     runs, n, k = lp.shape
     top = np.full((runs, n + 1), -np.inf)
     top[:, 0] = 0.0
@@ -70,11 +70,10 @@ def best(lp: np.ndarray, lengths: np.ndarray) -> list[list[int]]:
         at = steps.argmax(0)
         top[:, j] = steps[at, np.arange(runs)]
         words[:, j] = len(steps) - at
-    out = []
-    for r in range(runs):
-        cut, j = [], int(lengths[r])
-        while j:
-            cut.append(int(words[r, j]))
-            j -= cut[-1]
-        out.append(cut[::-1])
-    return out
+    goes_on = np.ones((runs, n), bool)
+    rows, j = np.arange(runs), lengths.astype(np.int64)
+    while len(rows):
+        j = j - words[rows, j]
+        goes_on[rows, j] = False  # a piece starts here
+        rows, j = rows[j > 0], j[j > 0]
+    return goes_on & (np.arange(n) < lengths[:, None])

@@ -44,6 +44,11 @@ def runs(col) -> Column:
     return F.regexp_extract_all(T.null_to_empty(col), F.lit("(" + RUN + ")"), 1)
 
 
+def runs_and_others(col) -> Column:
+    """array<string>: a text's runs, :func:`spaced`, and between them its other tokens, in order."""
+    return F.regexp_extract_all(spaced(T.null_to_empty(col)), F.lit("(" + RUN + "|[^" + T.WORD_BODY + T.WS_BODY + "])"), 1)
+
+
 def spaced(run) -> Column:
     """A run with one space between its words, at which Java splits without a regex."""
     return F.regexp_replace(run, F.lit(WS + "+"), F.lit(" "))

@@ -27,14 +27,15 @@ from pyspark.sql import functions as F
 
 from corpusforge.functions import lattice
 from corpusforge.functions import tokens as TK
+from corpusforge.functions.held import Held, Words, gathered
 from corpusforge.operators import tokens as W
-from corpusforge.operators.plan_utils import explode_computed, materialize
+from corpusforge.operators.plan_utils import discard, explode_computed, materialize
 
 RARE = 0  # the piece of all words that are too rare to have their own
 RUN = -1  # stands for a piece in the row of a round's log-likelihood
 ROUNDS = 4
 SMOOTH = 1e-3  # added to every expected count, so that no word becomes impossible
-MAX_PIECES = 500_000  # pieces that are sent to every task, at most (about 60 MB)
+MAX_PIECES = W.MAX_HELD  # pieces that are sent to every task, as hashes, at most
 GAP = "\n"  # between runs; no token holds white space
 
 _LATTICE = "run long, n long, len int, slots array<int>, pieces array<int>"
@@ -42,48 +43,32 @@ _LATTICE = "run long, n long, len int, slots array<int>, pieces array<int>"
 
 def word_runs(texts: DataFrame, text_col: str = "text") -> DataFrame:
     """``run, words, n, len``: the distinct runs of words between punctuation, how often each is seen, its words."""
-    runs = explode_computed(texts, TK.runs(text_col), [], None, "_r").select(TK.spaced("_r").alias("words"))
-    runs = runs.groupBy("words").agg(F.count(F.lit(1)).alias("n"))
+    runs = W.run_counts(texts, text_col)
     return materialize(runs.select(F.monotonically_increasing_id().alias("run"), "words", "n", F.size(F.split("words", " ")).alias("len")), "runs")
 
 
-def piece_counts(runs: DataFrame, compounds: DataFrame, min_count: int = W.MIN_COUNT) -> DataFrame:
-    """``piece, text, n``: numbered pieces with how often each is seen, overlaps counted; piece 0 holds all rare words.
-
-    Numbers are dense, by text: they come from counts per hash bucket, not from one sorted task.
-    """
-    words = explode_computed(runs, F.split("words", " "), ["n"], None, "text").groupBy("text").agg(F.sum("n").alias("n"))
-    words = materialize(words, "words")
-    own = words.filter(F.col("n") >= min_count).unionByName(compounds.select(F.col("compound").alias("text"), "n"))
-    own = materialize(own.withColumn("bucket", F.pmod(F.xxhash64("text"), F.lit(1024))), "pieces")
-    sizes = {r.bucket: r.m for r in own.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).collect()}  # at most 1,024 rows
-    first, at = [], 1
-    for b in range(1024):
-        first.append(at)
-        at += sizes.get(b, 0)
-    in_bucket = F.expr("row_number() OVER (PARTITION BY bucket ORDER BY text)")
-    start = F.get(F.array(*[F.lit(x).cast("long") for x in first]), F.col("bucket").cast("int"))
-    numbered = own.select((start + in_bucket - 1).cast("int").alias("piece"), "text", "n")
+def piece_counts(words: DataFrame, compounds: DataFrame, min_count: int = W.MIN_COUNT) -> DataFrame:
+    """``piece, text, n``: numbered pieces with how often each is seen, overlaps counted; piece 0 holds all rare ``words`` (``text, n``)."""
+    own = W.numbered(words.filter(F.col("n") >= min_count).unionByName(compounds.select(F.col("compound").alias("text"), "n")))
     rare = words.filter(F.col("n") < min_count).agg(F.lit(RARE).alias("piece"), F.lit(None).cast("string").alias("text"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-    return materialize(rare.unionByName(numbered), "numbered")
+    out = materialize(rare.unionByName(own), "pieces")
+    discard(own)
+    return out
 
 
-def _edges(words: list[str], numbers: dict[str, int], max_words: int) -> list[pa.Array]:
-    """The ``len, slots, pieces`` of runs, looked up in a table of pieces."""
-    lengths, slots, ids = [], [], []
-    for run in words:
-        w = run.split(" ")
-        found = [(i * max_words + k - 1, numbers.get(" ".join(w[i:i + k]))) for i in range(len(w)) for k in range(1, min(max_words, len(w) - i) + 1)]
-        lengths.append(len(w))
-        slots.append([at for at, p in found if p is not None])
-        ids.append([p for _, p in found if p is not None])
-    lists = pa.list_(pa.int32())
-    return [pa.array(lengths, pa.int32()), pa.array(slots, lists), pa.array(ids, lists)]
+def _list(values: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, pa.int32()))
 
 
-def _numbers(pieces: DataFrame) -> dict[str, int]:
-    """Piece numbers by text, on the driver: for at most ``max_pieces`` pieces, as the callers check."""
-    return {r.text: r.piece for r in pieces.filter("text IS NOT NULL").select("text", "piece").toLocalIterator()}
+def _edges(runs: pa.Array, pieces: Held, max_words: int) -> list[pa.Array]:
+    """The ``len, slots, pieces`` of runs."""
+    words = Words(runs)
+    numbers = pieces.groups(words, max_words)
+    held = numbers.ravel() >= 0
+    at = np.flatnonzero(held)
+    start = np.repeat(words.bounds[:-1], words.lengths)[at // max_words]
+    bounds = np.searchsorted(at, words.bounds * max_words)
+    return [pa.array(words.lengths, pa.int32()), _list(at - start * max_words, bounds), _list(numbers.ravel()[at], bounds)]
 
 
 def lattices(runs: DataFrame, pieces: DataFrame, max_words: int = W.MAX_WORDS, max_pieces: int = MAX_PIECES) -> DataFrame:
@@ -92,11 +77,11 @@ def lattices(runs: DataFrame, pieces: DataFrame, max_words: int = W.MAX_WORDS, m
     Up to ``max_pieces`` pieces go to every task and runs stay where they are; more stay a table that all words and word groups meet.
     """
     if pieces.count() <= max_pieces:
-        held = runs.sparkSession.sparkContext.broadcast(_numbers(pieces))
+        held = runs.sparkSession.sparkContext.broadcast(W.held(pieces))
 
         def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield pa.RecordBatch.from_arrays([batch["run"], batch["n"], *_edges(batch["words"].to_pylist(), held.value, max_words)],
+            for batch in gathered(batches):
+                yield pa.RecordBatch.from_arrays([batch["run"], batch["n"], *_edges(batch["words"], held.value, max_words)],
                                                  ["run", "n", "len", "slots", "pieces"])
 
         return materialize(runs.select("run", "n", "words").mapInArrow(look_up, _LATTICE), "lattices")
@@ -121,23 +106,28 @@ def _lists(col) -> tuple[np.ndarray, np.ndarray]:
     return col.values.to_numpy(zero_copy_only=False)[bounds[0]:bounds[-1]], bounds - bounds[0]
 
 
-def _stacked(batch: pa.RecordBatch, max_words: int) -> Iterator[tuple]:
-    """Stacks of a batch's runs: their row numbers, lengths, the pieces (-1: none) and log-probabilities of their edges."""
+def _stacked(batch: pa.RecordBatch, max_words: int, model: np.ndarray | None = None) -> Iterator[tuple]:
+    """Stacks of a batch's runs: their row numbers, lengths, the pieces (-1: none) and log-probabilities of their edges (from ``model``, by piece, or the batch)."""
     lengths = batch["len"].to_numpy()
-    (slots, bounds), (ids, _), (lps, _) = _lists(batch["slots"]), _lists(batch["pieces"]), _lists(batch["lps"])
-    rare = batch["rare"].to_numpy()
+    (slots, bounds), (ids, _) = _lists(batch["slots"]), _lists(batch["pieces"])
+    if model is None:
+        lps, rare = _lists(batch["lps"])[0], batch["rare"].to_numpy()
+    else:
+        lps, rare = model[ids], np.full(len(lengths), model[RARE])
     for rows in lattice.stacks(lengths):
         n = lengths[rows]
         shape = (len(rows), int(n[0]), max_words)
-        piece = np.full(shape, -1, np.int64)
+        piece = np.full(shape, -1, np.int32)
         lp = np.full(shape, -np.inf)
         inside = np.arange(shape[1]) < n[:, None]
         piece[:, :, 0][inside] = RARE
         lp[:, :, 0] = np.where(inside, rare[rows][:, None], -np.inf)
-        for r, row in enumerate(rows):
-            at = slice(bounds[row], bounds[row + 1])
-            piece[r].reshape(-1)[slots[at]] = ids[at]
-            lp[r].reshape(-1)[slots[at]] = lps[at]
+        edges = bounds[rows + 1] - bounds[rows]
+        before = np.cumsum(edges) - edges
+        at = np.arange(edges.sum()) + np.repeat(bounds[rows] - before, edges)
+        cell = slots[at] + np.repeat(np.arange(len(rows)) * (shape[1] * max_words), edges)
+        piece.reshape(-1)[cell] = ids[at]
+        lp.reshape(-1)[cell] = lps[at]
         yield rows, n, piece, lp
 
 
@@ -149,43 +139,42 @@ def _by_piece(model: DataFrame) -> np.ndarray:
     return lp
 
 
-def _with_probabilities(lat: DataFrame, model: DataFrame, max_pieces: int) -> DataFrame:
-    """``lat`` with the log-probabilities ``lps`` of its ``pieces``, and that of the rare piece.
-
-    Up to ``max_pieces`` pieces go to every task as one array of doubles; more stay a table that the edges meet.
-    """
+def _with_probabilities(lat: DataFrame, model: DataFrame) -> DataFrame:
+    """``lat`` with the log-probabilities ``lps`` of its ``pieces``, and that of the ``rare`` piece, from a model that is too large to be held."""
     rare = model.filter(F.col("piece") == RARE).select("lp").scalar()
     lat = lat.withColumn("rare", rare)
-    if model.count() <= max_pieces:
-        held = lat.sparkSession.sparkContext.broadcast(_by_piece(model))
-
-        @F.arrow_udf("array<double>")
-        def looked_up(ids: pa.Array) -> pa.Array:
-            values, bounds = _lists(ids)
-            return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(held.value[values]))
-
-        return lat.withColumn("lps", looked_up("pieces"))
     edges = explode_computed(lat, F.col("pieces"), ["run"], "at", "piece").join(model, "piece")
     lps = edges.groupBy("run").agg(F.sort_array(F.collect_list(F.struct("at", "lp"))).alias("e"))
     return lat.join(lps, "run", "left").withColumn("lps", F.coalesce("e.lp", F.array().cast("array<double>"))).drop("e")
 
 
 def expected_counts(lat: DataFrame, model: DataFrame, max_words: int = W.MAX_WORDS, max_pieces: int = MAX_PIECES) -> DataFrame:
-    """One E step: ``piece, n``, how often each piece is expected in the corpus; piece -1 has the corpus' log-likelihood."""
+    """One E step: ``piece, n``, how often each piece is expected in the corpus; piece -1 has the corpus' log-likelihood.
+
+    Up to ``max_pieces`` pieces go to every task as one array of doubles; more stay a table that the edges meet.
+    """
+    if model.count() <= max_pieces:
+        known = lat.sparkSession.sparkContext.broadcast(_by_piece(model))
+        rows = lat.select("n", "len", "slots", "pieces")
+    else:
+        known = None
+        rows = _with_probabilities(lat, model).select("n", "len", "slots", "pieces", "rare", "lps")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            times = batch["n"].to_numpy()
-            for rows, n, piece, lp in _stacked(batch, max_words):
+        for batch in gathered(batches):
+            times, pieces, shares, fit = batch["n"].to_numpy(), [], [], 0.0
+            for rows, n, piece, lp in _stacked(batch, max_words, known and known.value):
                 share, whole = lattice.posterior(lp, n)
                 share *= times[rows][:, None, None]
                 used = piece >= 0
-                ids, at = np.unique(piece[used], return_inverse=True)
-                sums = np.bincount(at, share[used], len(ids))
-                yield pa.RecordBatch.from_arrays([pa.array(np.append(ids, RUN).astype(np.int32)), pa.array(np.append(sums, whole @ times[rows]))], ["piece", "n"])
+                pieces.append(piece[used])
+                shares.append(share[used])
+                fit += whole @ times[rows]
+            ids, at = np.unique(np.concatenate(pieces), return_inverse=True)
+            sums = np.bincount(at, np.concatenate(shares), len(ids))
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(ids, RUN).astype(np.int32)), pa.array(np.append(sums, fit))], ["piece", "n"])
 
-    held = _with_probabilities(lat, model, max_pieces).select("n", "len", "slots", "pieces", "rare", "lps")
-    return held.mapInArrow(step, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(step, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n"))
 
 
 def learn(texts: DataFrame, text_col: str = "text", compounds: DataFrame | None = None, rounds: int = ROUNDS, min_count: int = W.MIN_COUNT,
@@ -194,17 +183,22 @@ def learn(texts: DataFrame, text_col: str = "text", compounds: DataFrame | None
 
     ``compounds`` (``compound, n``) are the pieces of several words, by default the lexicon of the texts.
     """
-    if compounds is None:
-        compounds = W.compound_lexicon(texts, text_col, max_words, min_count)
     runs = word_runs(texts, text_col)
-    pieces = piece_counts(runs, compounds, min_count)
+    words = W.word_counts(runs)
+    own = W.lexicon_of_runs(runs, words, max_words, min_count) if compounds is None else None
+    pieces = piece_counts(words, compounds if own is None else own, min_count)
+    discard(words, *[own] * (own is not None))
     lat, model, fits = lattices(runs, pieces, max_words, max_pieces), _probabilities(pieces), []
+    discard(runs)
     for _ in range(rounds):
         counts = materialize(expected_counts(lat, model, max_words, max_pieces), "expected")
         fits += [r.n for r in counts.filter(F.col("piece") == RUN).collect()] or [0.0]
         all_pieces = pieces.select("piece").join(counts, "piece", "left").select("piece", F.coalesce("n", F.lit(0.0)).alias("n"))
-        model = _probabilities(all_pieces)
-    return materialize(model.join(pieces.select("piece", "text"), "piece").select("piece", "text", "lp"), "model"), fits
+        before, model = model, _probabilities(all_pieces)
+        discard(counts, before)
+    out = materialize(model.join(pieces.select("piece", "text"), "piece").select("piece", "text", "lp"), "model")
+    discard(lat, pieces, model)
+    return out, fits
 
 
 def log_likelihood(texts: DataFrame, model: DataFrame, text_col: str = "text", max_words: int = W.MAX_WORDS, max_pieces: int = MAX_PIECES) -> float:
@@ -214,14 +208,15 @@ def log_likelihood(texts: DataFrame, model: DataFrame, text_col: str = "text", m
     return found[0].n if found else 0.0
 
 
-def _glued_runs(batch: pa.RecordBatch, max_words: int) -> dict[str, str]:
+def _glued_runs(batch: pa.RecordBatch, max_words: int, model: np.ndarray | None = None) -> dict[str, str]:
     """A batch's runs whose most probable segmentation holds a compound, with the words of each joined by ``_``."""
-    words, out = batch["words"].to_pylist(), {}
-    for rows, n, _, lp in _stacked(batch, max_words):
-        for row, cut in zip(rows, lattice.best(lp, n), strict=True):
-            if max(cut) > 1:
-                w, ends = words[row].split(" "), np.cumsum(cut)
-                out[words[row]] = " ".join("_".join(w[e - c:e]) for c, e in zip(cut, ends))
+    out = {}
+    for rows, n, _, lp in _stacked(batch, max_words, model):
+        goes_on = lattice.best(lp, n)
+        some = np.flatnonzero(goes_on.any(1))
+        for run, marks in zip(batch["words"].take(pa.array(rows[some])).to_pylist(), goes_on[some], strict=True):
+            w = run.split(" ")
+            out[run] = w[0] + "".join(("_" if on else " ") + x for x, on in zip(w[1:], marks[1:].tolist()))
     return out
 
 
@@ -231,29 +226,23 @@ def segment(texts: DataFrame, model: DataFrame, key: str, text_col: str = "text"
     Up to ``max_pieces`` pieces go to every task, and texts are segmented where they lie.  With more, every distinct
     run is segmented once, and runs that hold a compound go back to the texts, by row number.
     """
-    # a text as its runs and, between them, its other tokens, in order
-    mark = F.transform(TK.tokens(text_col), lambda x: F.when(F.substring(x, 1, 1).rlike(TK.W), x).otherwise(F.concat(F.lit(GAP), x, F.lit(GAP))))
+    mark = F.array_join(TK.runs_and_others(text_col), GAP)
     if model.count() <= max_pieces:
-        lp = _by_piece(model)
-        held = texts.sparkSession.sparkContext.broadcast((_numbers(model), lp))
+        known = texts.sparkSession.sparkContext.broadcast((W.held(model), _by_piece(model)))
 
         @F.arrow_udf("string")
         def segmented(marked: pa.Array) -> pa.Array:
-            numbers, lp = held.value
-            parts = [[p for p in map(str.strip, t.split(GAP)) if p] for t in marked.to_pylist()]
-            runs = list(dict.fromkeys(p for t in parts for p in t))
-            length, slots, ids = _edges(runs, numbers, max_words)
-            values, bounds = _lists(ids)
-            lps = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(lp[values.astype(np.int64)]))
-            rare = pa.array(np.full(len(runs), lp[RARE]))
-            batch = pa.RecordBatch.from_arrays([pa.array(runs, pa.string()), length, slots, ids, lps, rare], ["words", "len", "slots", "pieces", "lps", "rare"])
-            glued = _glued_runs(batch, max_words)
+            pieces, lp = known.value
+            parts = [t.split(GAP) if t else [] for t in marked.to_pylist()]
+            runs = pa.array(list(dict.fromkeys(p for t in parts for p in t)), pa.string())
+            batch = pa.RecordBatch.from_arrays([runs, *_edges(runs, pieces, max_words)], ["words", "len", "slots", "pieces"])
+            glued = _glued_runs(batch, max_words, lp)
             return pa.array([" ".join(glued.get(p, p) for p in t) for t in parts], pa.string())
 
-        return texts.select(key, segmented(F.array_join(mark, " ")).alias(text_col))
-    rows = materialize(texts.select(key, F.monotonically_increasing_id().alias("_row"), F.array_join(TK.tokens(text_col), " ").alias("_t"), F.array_join(mark, " ").alias("_m")), "tokens")
+        return texts.select(key, segmented(mark).alias(text_col))
+    rows = materialize(texts.select(key, F.monotonically_increasing_id().alias("_row"), F.array_join(TK.tokens(text_col), " ").alias("_t"), mark.alias("_m")), "tokens")
     runs = word_runs(rows, "_t")
-    lat = _with_probabilities(lattices(runs, model, max_words, max_pieces), model.select("piece", "lp"), max_pieces)
+    lat = _with_probabilities(lattices(runs, model, max_words, max_pieces), model.select("piece", "lp"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -262,7 +251,7 @@ def segment(texts: DataFrame, model: DataFrame, key: str, text_col: str = "text"
 
     lat = lat.join(runs.select("run", "words"), "run").select("words", "len", "slots", "pieces", "rare", "lps")
     merged = materialize(lat.mapInArrow(decode, "words string, glued string"), "glued")  # runs without a compound stay as they are
-    parts = F.filter(F.transform(F.split("_m", GAP), lambda r: F.trim(r)), lambda r: r != "")
+    parts = F.split("_m", GAP)
     at = explode_computed(rows.filter("_t <> ''"), parts, ["_row"], "at", "words")
     hits = at.join(merged, "words").groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct(F.col("at").cast("int"), "glued"))).alias("hits"))
     back = rows.join(hits, "_row", "left").withColumn("parts", parts)

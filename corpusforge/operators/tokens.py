@@ -12,12 +12,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusforge.functions import tokens as TK
-from corpusforge.operators.plan_utils import explode_computed, materialize, pinned, with_pinned
+from corpusforge.functions.held import Held, Words, gathered
+from corpusforge.operators.plan_utils import discard, explode_computed, materialize, pinned, with_pinned
 
 TOKENISED_COLUMNS = {"title": "tokenized_title", "summary": "tokenized_summary", "content": "tokenized_content"}
 
@@ -27,7 +29,8 @@ MARK = "\n"  # between two tokens of a lexicon pair; no token holds white space
 MIN_COUNT = 5
 PMI_RATIO = 8
 MAX_WORDS = 4  # in a compound
-MAX_PAIRS = 200_000  # lexicon pairs that are sent to every task, at most
+MAX_PAIRS = 200_000  # lexicon pairs that are sent to every task as texts, at most
+MAX_HELD = 4_000_000  # word groups that are sent to every task as hashes, at most (80 MB, and 64 MB more when they are looked up)
 
 
 def tokenize_columns(df: DataFrame, columns=TOKENISED_COLUMNS, tokenizer=None) -> DataFrame:
@@ -89,68 +92,170 @@ def bigram_lexicon(texts: DataFrame, text_col: str = "text", min_count: int = MI
     return j.filter(keep).select("w1", "w2", "n12", "n1", "n2")
 
 
-def _chains(runs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``words``: the longest stretches of at least three words in runs (``words``) in which every two neighbours are one of ``pairs`` (``compound``)."""
-    held = runs.sparkSession.sparkContext.broadcast(frozenset(r.compound for r in pairs.select("compound").toLocalIterator()))
+def run_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
+    """``words, n``: the distinct runs of words between punctuation, joined by single spaces, and how often each is seen."""
+    runs = explode_computed(texts, TK.runs(text_col), [], None, "_r").select(TK.spaced("_r").alias("words"))
+    return runs.groupBy("words").agg(F.count(F.lit(1)).alias("n"))
 
-    def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def word_counts(runs: DataFrame) -> DataFrame:
+    """``text, n``: the words of ``words, n``, written."""
+    words = explode_computed(runs, F.split("words", " "), ["n"], None, "text").groupBy("text").agg(F.sum("n").alias("n"))
+    return materialize(words, "words")
+
+
+def numbered(texts: DataFrame) -> DataFrame:
+    """``piece, text, n`` from ``text, n``: dense numbers from 1, by text; they come from counts per hash bucket, not from one sorted task."""
+    own = materialize(texts.withColumn("bucket", F.pmod(F.xxhash64("text"), F.lit(1024))), "bucketed")
+    sizes = {r.bucket: r.m for r in own.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).collect()}  # at most 1,024 rows
+    first, at = [], 1
+    for b in range(1024):
+        first.append(at)
+        at += sizes.get(b, 0)
+    in_bucket = F.expr("row_number() OVER (PARTITION BY bucket ORDER BY text)")
+    start = F.get(F.array(*[F.lit(x).cast("long") for x in first]), F.col("bucket").cast("int"))
+    out = materialize(own.select((start + in_bucket - 1).cast("int").alias("piece"), "text", "n"), "numbered")
+    discard(own)
+    return out
+
+
+def held(pieces: DataFrame) -> Held:
+    """``piece, text`` as hashes, on the driver: for at most ``MAX_HELD`` texts, as the callers check."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for run in batch["words"].to_pylist():
-                w, first = run.split(" "), 0
-                for i, pair in enumerate(zip(w, w[1:]), 1):
-                    if " ".join(pair) not in held.value:
-                        if i - first > 2:
-                            found.append(" ".join(w[first:i]))
-                        first = i
-                if len(w) - first > 2:
-                    found.append(" ".join(w[first:]))
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["words"])
+            lanes = Words(batch["text"]).whole()
+            yield pa.RecordBatch.from_arrays([batch["piece"], *(pa.array(x.view(np.int64)) for x in lanes)], ["piece", "a", "b"])
+
+    rows = pieces.filter("text IS NOT NULL").select("piece", "text").mapInArrow(hashed, "piece int, a long, b long").toArrow()
+    return Held(rows["a"].to_numpy().view(np.uint64), rows["b"].to_numpy().view(np.uint64), rows["piece"].to_numpy())
+
+
+def _held_pairs(runs: DataFrame, words: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``_a, _b, n``: the pairs of neighbours that are both among ``words`` (``piece, text, n``), by number; and what the numbers stand for, with the words' counts."""
+    known = runs.sparkSession.sparkContext.broadcast(held(words))
 
-    return runs.mapInArrow(stretches, "words string")
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in gathered(batches):
+            w = Words(batch["words"])
+            ids = known.value.groups(w, 1)[:, 0].astype(np.int64)
+            at = np.flatnonzero(w.left > 1)
+            at = at[(ids[at] >= 0) & (ids[at + 1] >= 0)]
+            keys, rows = np.unique(ids[at] << 32 | ids[at + 1], return_inverse=True)
+            times = np.repeat(batch["n"].to_numpy(), w.lengths)[at]
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.bincount(rows, times, len(keys)).astype(np.int64))], ["pair", "n"])
+
+    counts = runs.select("words", "n").mapInArrow(pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    counts = counts.select(F.shiftright("pair", 32).cast("int").alias("_a"), F.col("pair").bitwiseAND(0xFFFFFFFF).cast("int").alias("_b"), "n")
+    a = words.select(F.col("piece").alias("_a"), F.col("text").alias("head"), F.col("n").alias("_nh"))
+    b = words.select(F.col("piece").alias("_b"), F.col("text").alias("last"), F.col("n").alias("_nw"))
+    return counts, a, b
+
+
+def _chains(runs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``words, n``: the longest stretches of at least three words in runs (``words, n``) in which every two neighbours are one of ``pairs`` (``compound``)."""
+    known = runs.sparkSession.sparkContext.broadcast(held(pairs.select(F.lit(0).alias("piece"), F.col("compound").alias("text"))))
+
+    def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in gathered(batches):
+            w = Words(batch["words"])
+            linked = np.r_[False, known.value.groups(w, 2, 2)[:, 1] >= 0, False]
+            first, last = np.flatnonzero(linked[1:] & ~linked[:-1]), np.flatnonzero(linked[:-1] & ~linked[1:])  # the stretch's words, both included
+            long = last - first > 1
+            first, last = first[long], last[long]
+            found = [" ".join(w.values.slice(a, b - a + 1).to_pylist()) for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(np.repeat(batch["n"].to_numpy(), w.lengths)[first])], ["words", "n"])
+
+    return runs.select("words", "n").mapInArrow(stretches, "words string, n long")
+
+
+def _held_groups(runs: DataFrame, below: DataFrame, k: int) -> DataFrame:
+    """``head, last, n``: the groups of k words in runs whose first and last k - 1 words are both among ``below`` (``compound``)."""
+    known = runs.sparkSession.sparkContext.broadcast(held(below.select(F.lit(0).alias("piece"), F.col("compound").alias("text"))))
+
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in gathered(batches):
+            w = Words(batch["words"])
+            part = known.value.groups(w, k - 1, k - 1)[:, k - 2] >= 0
+            at = np.flatnonzero(w.left >= k)
+            at = at[part[at] & part[at + 1]]
+            words = w.values.to_pylist()
+            head = [" ".join(words[i:i + k - 1]) for i in at.tolist()]
+            last = [words[i + k - 1] for i in at.tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(head, pa.string()), pa.array(last, pa.string()), pa.array(np.repeat(batch["n"].to_numpy(), w.lengths)[at])],
+                                             ["head", "last", "n"])
+
+    return runs.select("words", "n").mapInArrow(groups, "head string, last string, n long").groupBy("head", "last").agg(F.sum("n").alias("n"))
+
+
+def _joined_groups(runs: DataFrame, below: DataFrame, k: int) -> DataFrame:
+    """:func:`_held_groups` by joins, for a level that is too large to be held."""
+    words = F.split("words", " ")
+    rows = runs.filter(F.size(words) >= k).select("n", words.alias("_w"))
+    rows = explode_computed(rows, F.expr(f"transform(sequence(1, size(_w) - {k - 1}), i -> slice(_w, i, {k}))"), ["n"], None, "x")
+    rows = rows.select("n", F.concat_ws(" ", F.slice("x", 1, k - 1)).alias("head"), F.concat_ws(" ", F.slice("x", 2, k - 1)).alias("tail"), F.get("x", F.lit(k - 1)).alias("last"))
+    part = below.select(F.col("compound").alias("_c"))
+    both = rows.join(part, F.col("head") == F.col("_c"), "left_semi").join(part, F.col("tail") == F.col("_c"), "left_semi")
+    return both.groupBy("head", "last").agg(F.sum("n").alias("n"))
 
 
 def compound_lexicon(texts: DataFrame, text_col: str = "text", max_words: int = MAX_WORDS, min_count: int = MIN_COUNT, pmi_ratio: int = PMI_RATIO,
-                     max_pairs: int = MAX_PAIRS) -> DataFrame:
-    """W2 beyond pairs: ``compound`` (its words joined by a space), ``words, n`` of two to ``max_words`` words.
+                     max_pairs: int = MAX_HELD) -> DataFrame:
+    """W2 beyond pairs: ``compound`` (its words joined by a space), ``words, n`` of two to ``max_words`` words; see :func:`lexicon_of_runs`."""
+    runs = materialize(run_counts(texts, text_col), "runs")
+    words = word_counts(runs)
+    out = lexicon_of_runs(runs, words, max_words, min_count, pmi_ratio, max_pairs)
+    discard(runs, words)
+    return out
+
+
+def lexicon_of_runs(runs: DataFrame, words: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT, pmi_ratio: int = PMI_RATIO,
+                    max_pairs: int = MAX_HELD) -> DataFrame:
+    """:func:`compound_lexicon` of written runs ``words, n`` and their :func:`word_counts`.
 
     Level by level: a run of k words is a candidate only if its first and its
     last k - 1 words are compounds, and is one if it is seen ``min_count`` times
     and ``pmi_ratio`` times as often as its first k - 1 words and its last word
-    would meet by chance (whole-number arithmetic).  All words of a longer
-    compound lie in a stretch whose neighbours are compounds: up to ``max_pairs``
-    pairs go to every task, and only such stretches are written and counted.  With
-    more, all runs are written; they meet the level below before they are counted.
+    would meet by chance (whole-number arithmetic).  A pair is seen no more often
+    than either word, so only pairs of words seen ``min_count`` times are counted, as
+    numbers; all words of a longer compound lie in a stretch whose neighbours are compounds.
+    Up to ``max_pairs`` words or compounds of a level go to every task, and only such
+    pairs, stretches and candidates are written.  With more, all are, and they meet the
+    words or the level below before or after they are counted.
     """
-    pairs = materialize(pair_counts(texts, text_col), "pairs")
-    words = materialize(pairs.groupBy("w").agg(F.sum("n").alias("n")), "words")
     total = words.agg(F.sum("n")).scalar()
     dec = "decimal(38,0)"
-    last = words.select(F.col("w").alias("_w"), F.col("n").alias("_nw"))
-
-    def kept(counts: DataFrame, head: DataFrame) -> DataFrame:
-        """Of ``head, last, n``: those seen together often enough, with the head's count from ``head`` (``_h, _nh``)."""
-        j = counts.filter(F.col("n") >= min_count).join(head, F.col("head") == F.col("_h")).join(last, F.col("last") == F.col("_w"))
-        often = F.col("n").cast(dec) * total.cast(dec) >= F.lit(pmi_ratio).cast(dec) * F.col("_nh").cast(dec) * F.col("_nw").cast(dec)
-        return j.filter(often).select(F.concat_ws(" ", "head", "last").alias("compound"), "n")
-
-    level = pairs.filter(F.col("w_next").isNotNull()).select(F.col("w").alias("head"), F.col("w_next").alias("last"), "n")
-    level = materialize(kept(level, words.select(F.col("w").alias("_h"), F.col("n").alias("_nh"))), "compounds")
+    often = words.filter(F.col("n") >= min_count)
+    last = often.select(F.col("text").alias("last"), F.col("n").alias("_nw"))
+    scratch = []
+
+    def kept(counts: DataFrame, head: DataFrame, last: DataFrame, on: tuple[str, str] = ("head", "last")) -> DataFrame:
+        """Of counted groups: those seen together often enough, with the counts of their ``head`` (``_nh``) and ``last`` word (``_nw``)."""
+        j = counts.filter(F.col("n") >= min_count).join(head, on[0]).join(last, on[1])
+        enough = F.col("n").cast(dec) * total.cast(dec) >= F.lit(pmi_ratio).cast(dec) * F.col("_nh").cast(dec) * F.col("_nw").cast(dec)
+        return j.filter(enough).select(F.concat_ws(" ", "head", "last").alias("compound"), "n")
+
+    if often.count() <= max_pairs:
+        known = numbered(often)
+        scratch.append(known)
+        level = kept(*_held_pairs(runs, known), ("_a", "_b"))
+    else:
+        w = with_pinned(runs, {"_w": F.split("words", " ")})
+        pairs = explode_computed(w, _with_next(pinned(F.col("_w"))), ["n"], "i", "p").filter("p.w_next IS NOT NULL")
+        pairs = pairs.groupBy(F.col("p.w").alias("head"), F.col("p.w_next").alias("last")).agg(F.sum("n").alias("n"))
+        level = kept(pairs, last.select(F.col("last").alias("head"), F.col("_nw").alias("_nh")), last)
+    level = materialize(level, "compounds")
     out = level.withColumn("words", F.lit(2))
-    if max_words < 3:
-        return out
-    whole = explode_computed(texts, TK.runs(text_col), [], None, "_r").select(TK.spaced("_r").alias("words"))
-    stretches = materialize(_chains(whole, level) if level.count() <= max_pairs else whole, "words-of-texts").select(F.split("words", " ").alias("_w"))
+    stretches = runs
+    if max_words > 2 and level.count() <= max_pairs:
+        stretches = materialize(_chains(runs, level), "words-of-texts")
+        scratch.append(stretches)
     for k in range(3, max_words + 1):
-        # runs of k words without punctuation: the words before the last, and those after the first
-        runs = stretches.filter(F.size("_w") >= k)
-        runs = explode_computed(runs, F.expr(f"transform(sequence(1, size(_w) - {k - 1}), i -> slice(_w, i, {k}))"), [], None, "x")
-        runs = runs.select(F.concat_ws(" ", F.slice("x", 1, k - 1)).alias("head"), F.concat_ws(" ", F.slice("x", 2, k - 1)).alias("tail"), F.get("x", F.lit(k - 1)).alias("last"))
-        below = level.select(F.col("compound").alias("_c"))
-        both = runs.join(below, F.col("head") == F.col("_c"), "left_semi").join(below, F.col("tail") == F.col("_c"), "left_semi")
-        counts = both.groupBy("head", "last").agg(F.count(F.lit(1)).alias("n"))
-        level = materialize(kept(counts, level.select(F.col("compound").alias("_h"), F.col("n").alias("_nh"))), "compounds")
+        counts = (_held_groups if level.count() <= max_pairs else _joined_groups)(stretches, level, k)
+        level = materialize(kept(counts, level.select(F.col("compound").alias("head"), F.col("n").alias("_nh")), last), "compounds")
         out = out.unionByName(level.withColumn("words", F.lit(k)))
+    if scratch:
+        discard(*scratch)
     return out
 
 
