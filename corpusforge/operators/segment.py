@@ -161,18 +161,15 @@ def expected_counts(lat: DataFrame, model: DataFrame, max_words: int = W.MAX_WOR
         rows = _with_probabilities(lat, model).select("n", "len", "slots", "pieces", "rare", "lps")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in gathered(batches):
-            times, pieces, shares, fit = batch["n"].to_numpy(), [], [], 0.0
+        for batch in batches:  # as they come: sums in another order differ in their last bits, which decide between segmentations that are equally likely
+            times = batch["n"].to_numpy()
             for rows, n, piece, lp in _stacked(batch, max_words, known and known.value):
                 share, whole = lattice.posterior(lp, n)
                 share *= times[rows][:, None, None]
                 used = piece >= 0
-                pieces.append(piece[used])
-                shares.append(share[used])
-                fit += whole @ times[rows]
-            ids, at = np.unique(np.concatenate(pieces), return_inverse=True)
-            sums = np.bincount(at, np.concatenate(shares), len(ids))
-            yield pa.RecordBatch.from_arrays([pa.array(np.append(ids, RUN).astype(np.int32)), pa.array(np.append(sums, fit))], ["piece", "n"])
+                ids, at = np.unique(piece[used], return_inverse=True)
+                sums = np.bincount(at, share[used], len(ids))
+                yield pa.RecordBatch.from_arrays([pa.array(np.append(ids, RUN).astype(np.int32)), pa.array(np.append(sums, whole @ times[rows]))], ["piece", "n"])
 
     return rows.mapInArrow(step, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n"))
 
